@@ -287,3 +287,147 @@ def q_priced_metrics(spark, sf):
     return out.select("block_timestamp_hour", "transaction_count",
                       F.col("total_gas_used").cast("bigint").alias("total_fees_native"),
                       "imputed_close", "total_fees_usd")
+
+
+# ===================================================================
+# Chain pipelines over bronze records Spark derives from orders/lineitem
+# ===================================================================
+from .plans import silver as S  # noqa: E402
+from .sources import derived as D  # noqa: E402
+
+
+def _bronze_blocks(spark, sf):
+    return D.bronze_blocks(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"))
+
+
+def _silver_txs(spark, sf):
+    return S.silver_transactions(D.bronze_transactions(_t(spark, sf, "lineitem")))
+
+
+# relational recomputation of the derived records (no JSON involved)
+_L = """L as (select * exclude (rn) from (select *, row_number() over (
+      partition by l_orderkey, l_linenumber
+      order by l_shipdate desc, l_partkey, l_suppkey, l_extendedprice) as rn from lineitem) q
+    where rn = 1)"""
+_TXID = "md5(cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar))"
+_EVENTS = f"""{_L},
+r as (
+  select l_orderkey as block_id, cast(date_trunc('millisecond', l_shipdate) as timestamp) as block_timestamp,
+    {_TXID} as tx_id, l_returnflag <> 'R' as tx_succeeded, l_orderkey, l_quantity, i as msg_index,
+    case when i = 0 then 'tx' when i % 4 in (1, 2, 3) then 'message' else 'transfer' end as msg_type,
+    case when i = 0 then 'fee' when i % 4 = 1 then 'action' when i % 4 in (2, 3) then 'module'
+         else 'recipient' end as k,
+    case when i = 0 then '5uatom'
+         when i % 4 = 1 then (case when l_suppkey % 2 = 0 then '/cosmos.authz.v1beta1.MsgExec'
+                                  else '/cosmos.bank.v1beta1.MsgSend' end)
+         when i % 4 in (2, 3) then 'bank' else 'cosmos1abc' end as v
+  from (select *, unnest(generate_series(0, 3 + l_partkey % 6)) as i from L) x),
+b as (
+  select *, nullif(cast(sum(case when k = 'action' then 1 else 0 end) over (
+      partition by tx_id order by msg_index rows between unbounded preceding and current row)
+      as bigint) - 1, -1) as g
+  from r),
+ex as (select distinct tx_id, g from b
+       where msg_type = 'message' and k = 'action' and lower(v) like '%exec%'),
+gr as (
+  select b.tx_id, b.msg_index,
+         rank() over (partition by b.tx_id, b.g order by b.msg_index) - 1 as sg
+  from b join ex on b.tx_id = ex.tx_id and b.g = ex.g
+  where b.k = 'module' and b.msg_type = 'message'),
+m as (
+  select b.*, case when b.g is null then null else cast(coalesce(last_value(gr.sg ignore nulls) over (
+           partition by b.tx_id, b.g order by b.msg_index desc
+           rows between unbounded preceding and current row), 0) as bigint) end as sub
+  from b left join gr on b.tx_id = gr.tx_id and b.msg_index = gr.msg_index)"""
+
+
+@register("silver_blocks", """
+select 'cosmos' as blockchain, o_orderkey as block_id,
+       cast(date_trunc('second', o_orderdate) + interval 123456 microsecond as timestamp) as block_timestamp,
+       'chain-' || o_orderstatus as chain_id, cast(coalesce(l.n, 0) as bigint) as tx_count,
+       'val' || cast(o_custkey as varchar) as proposer_address,
+       'vh-' || o_orderstatus as validator_hash,
+       md5('chain-' || o_orderstatus || '-' || cast(o_orderkey as varchar)) as blocks_id
+from orders left join (select l_orderkey, count(*) as n from lineitem group by 1) l
+  on l.l_orderkey = o_orderkey
+where o_orderkey % 97 <> 0
+""")
+def q_silver_blocks(spark, sf):
+    b = S.silver_blocks(_bronze_blocks(spark, sf))
+    return b.select("blockchain", "block_id", "block_timestamp", "chain_id", "tx_count",
+                    "proposer_address", "validator_hash", "blocks_id")
+
+
+@register("silver_transactions", f"""
+with {_L}
+select l_orderkey as block_id,
+       cast(date_trunc('millisecond', l_shipdate) as timestamp) as block_timestamp,
+       {_TXID} as tx_id, cast(l_linenumber - 1 as bigint) as tx_index,
+       case when l_returnflag = 'R' then 'sdk' else '' end as codespace,
+       cast(trunc(l_quantity * 1000) as bigint) as gas_used,
+       cast(trunc(l_quantity * 1000) as bigint) + 500 as gas_wanted,
+       l_returnflag <> 'R' as tx_succeeded,
+       case when l_returnflag = 'R' then 5 else 0 end as tx_code,
+       md5(cast(l_orderkey as varchar) || '-' || {_TXID}) as transactions_id
+from L
+""")
+def q_silver_transactions(spark, sf):
+    t = _silver_txs(spark, sf)
+    return t.select("block_id", "block_timestamp", "tx_id", "tx_index", "codespace", "gas_used",
+                    "gas_wanted", "tx_succeeded", "tx_code", "transactions_id")
+
+
+@register("silver_msgs", f"""
+with {_EVENTS}
+select block_id, block_timestamp, tx_id, tx_succeeded, g as msg_group, sub as msg_sub_group,
+       cast(msg_index as integer) as msg_index, msg_type,
+       md5(tx_id || '-' || cast(msg_index as varchar)) as msgs_id
+from m
+""")
+def q_silver_msgs(spark, sf):
+    m = S.silver_msgs(_silver_txs(spark, sf))
+    return m.select("block_id", "block_timestamp", "tx_id", "tx_succeeded", "msg_group",
+                    "msg_sub_group", "msg_index", "msg_type", "msgs_id")
+
+
+@register("silver_msg_attributes", f"""
+with {_EVENTS},
+a as (
+  select m.*, 0 as attribute_index, k as attribute_key, v as attribute_value from m
+  union all
+  select m.*, 1 as attribute_index, 'amount' as attribute_key,
+         case when l_orderkey % 10 = 4 then null
+              else cast(cast(trunc(l_quantity) as bigint) as varchar) || 'uatom' end
+  from m where msg_type = 'transfer')
+select block_id, block_timestamp, tx_id, tx_succeeded, g as msg_group, sub as msg_sub_group,
+       cast(msg_index as integer) as msg_index, msg_type,
+       cast(attribute_index as integer) as attribute_index, attribute_key, attribute_value,
+       md5(tx_id || '-' || cast(msg_index as varchar) || '-' || cast(attribute_index as varchar))
+         as msg_attributes_id
+from a
+""")
+def q_silver_msg_attributes(spark, sf):
+    a = S.silver_msg_attributes(S.silver_msgs(_silver_txs(spark, sf)))
+    return a.select("block_id", "block_timestamp", "tx_id", "tx_succeeded", "msg_group",
+                    "msg_sub_group", "msg_index", "msg_type", "attribute_index",
+                    "attribute_key", "attribute_value", "msg_attributes_id")
+
+
+@register("normalize_logs", f"""
+with {_L}
+select l_orderkey as block_id, {_TXID} as tx_id, l_returnflag <> 'R' as tx_succeeded,
+       case when l_returnflag = 'R' then 5 else 0 end as tx_code,
+       case when l_returnflag = 'R'
+         then '[{{"msg_index":0,"event_type":"error","attributes":[{{"key":"error_message","value":"err '
+              || cast(l_partkey as varchar) || '"}}]}}]'
+         else '[{{"msg_index":0,"event_type":"coin","attributes":[{{"key":"s","value":"'
+              || cast(l_suppkey as varchar) || '"}}]}},'
+              || '{{"msg_index":0,"event_type":"transfer","attributes":[{{"key":"a","value":"'
+              || cast(l_partkey as varchar) || '"}},{{"key":"b","value":""}}]}}]' end as tx_log,
+       md5({_TXID}) as transactions_logs_id
+from L
+""")
+def q_normalize_logs(spark, sf):
+    lg = S.normalize_logs(_silver_txs(spark, sf))
+    return lg.select("block_id", "tx_id", "tx_succeeded", "tx_code",
+                     F.to_json("tx_log").alias("tx_log"), "transactions_logs_id")

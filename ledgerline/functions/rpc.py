@@ -37,4 +37,4 @@ def tx_count_request(block_id: ColumnOrName) -> Column:
 
 
 def status_request() -> Column:
-    return rpc_request("status", [], F.lit(1))
+    return rpc_request("status", [], F.lit(0))
