@@ -431,3 +431,254 @@ def q_normalize_logs(spark, sf):
     lg = S.normalize_logs(_silver_txs(spark, sf))
     return lg.select("block_id", "tx_id", "tx_succeeded", "tx_code",
                      F.to_json("tx_log").alias("tx_log"), "transactions_logs_id")
+
+
+# ===================================================================
+# Audits
+# ===================================================================
+from .plans import observability as O  # noqa: E402
+
+AUDIT_RUN_TS = "2025-01-02 00:00:00"
+
+
+@register("blocks_completeness", """
+with b as (select distinct l_orderkey as k from lineitem),
+p as (select k, lag(k, 1) over (order by k) as pk from b),
+m as (select n.o_orderkey as x from orders n
+      join p on n.o_orderkey > p.pk and n.o_orderkey < p.k and p.k - p.pk <> 1)
+select 'blocks' as test_name, (select min(k) from b) as min_block, (select max(k) from b) as max_block,
+       (select min(l_shipdate) from lineitem) as min_block_timestamp,
+       (select max(l_shipdate) from lineitem) as max_block_timestamp,
+       (select max(k) - min(k) + 1 from b) as blocks_tested, count(*) as blocks_impacted_count,
+       cast(to_json(coalesce(list(x order by x), [])) as varchar) as blocks_impacted_array,
+       timestamp '2025-01-02 00:00:00' as test_timestamp,
+       timestamp '2025-01-02 00:00:00' as modified_timestamp
+from m
+""")
+def q_blocks_completeness(spark, sf):
+    li = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("block_id"),
+                                          F.col("l_shipdate").alias("block_timestamp"))
+    r = O.blocks_completeness(li, AUDIT_RUN_TS, now="2100-01-01 00:00:00")
+    return r.withColumn("blocks_impacted_array", F.to_json("blocks_impacted_array"))
+
+
+@register("transactions_completeness", f"""
+with {_L},
+n as (select l_orderkey, count(*) as n from lineitem group by 1),
+d as (select l_orderkey, count(*) as c from L group by 1),
+blk as (select o_orderkey as block_id,
+               date_trunc('second', o_orderdate) + interval 123456 microsecond as ts,
+               coalesce(n.n, 0) as tx_count
+        from orders left join n on n.l_orderkey = o_orderkey
+        where o_orderkey % 97 <> 0
+          and date_trunc('second', o_orderdate) + interval 123456 microsecond
+              <= timestamp '2001-01-01 00:00:00'),
+mm as (select block_id from blk left join d on d.l_orderkey = blk.block_id
+       where coalesce(d.c, 0) <> blk.tx_count)
+select 'transactions' as test_name, (select min(block_id) from blk) as min_block,
+       (select max(block_id) from blk) as max_block,
+       (select cast(min(ts) as timestamp) from blk) as min_block_timestamp,
+       (select cast(max(ts) as timestamp) from blk) as max_block_timestamp,
+       (select count(*) from blk) as blocks_tested,
+       count(*) as blocks_impacted_count,
+       cast(to_json(coalesce(list(block_id order by block_id), [])) as varchar) as blocks_impacted_array,
+       timestamp '2025-01-02 00:00:00' as test_timestamp,
+       timestamp '2025-01-02 00:00:00' as modified_timestamp
+from mm
+""")
+def q_transactions_completeness(spark, sf):
+    blocks = S.silver_blocks(_bronze_blocks(spark, sf))
+    txs = _silver_txs(spark, sf)
+    r = O.transactions_completeness(blocks, txs, AUDIT_RUN_TS, now="2001-01-01 12:00:00")
+    return r.withColumn("blocks_impacted_array", F.to_json("blocks_impacted_array"))
+
+
+# ===================================================================
+# Fetch planning
+# ===================================================================
+from .plans import streamline as SL  # noqa: E402
+
+_REQ = """cast(json_object('id', block_id, 'jsonrpc', '2.0', 'method', {method},
+          'params', {params}) as varchar)"""
+
+
+def _wanted(spark, sf):
+    head = SL.chainhead(D.bronze_status(_t(spark, sf, "orders")))
+    return SL.wanted_blocks(spark, head)
+
+
+@register("pending_blocks", f"""
+with w as (select unnest(generate_series(0, (select max(o_orderkey) + 10 from orders))) as block_id),
+d as (select o_orderkey as block_id from orders where o_orderkey % 97 <> 0),
+p as (select block_id from w except select block_id from d)
+select cast(round(block_id, -4) as integer) as partition_key, block_id,
+       {_REQ.format(method="'block'", params="json_array(cast(block_id as varchar))")} as request
+from p order by block_id limit 7200
+""")
+def q_pending_blocks(spark, sf):
+    done = SL.blocks_complete(_bronze_blocks(spark, sf))
+    return SL.pending_blocks(_wanted(spark, sf), done)
+
+
+@register("pending_tx_counts", f"""
+with w as (select unnest(generate_series(0, (select max(o_orderkey) + 10 from orders))) as block_id),
+p as (select block_id from w except select l_orderkey from lineitem)
+select cast(round(block_id, -3) as integer) as partition_key, block_id,
+       {_REQ.format(method="'tx_search'",
+                    params="json_array('tx.height=' || cast(block_id as varchar), true, '1', '1', 'asc')")}
+         as request
+from p order by block_id limit 7200
+""")
+def q_pending_tx_counts(spark, sf):
+    done = SL.tx_count_complete(D.bronze_tx_counts(_t(spark, sf, "orders"),
+                                                   _t(spark, sf, "lineitem")))
+    return SL.pending_tx_counts(_wanted(spark, sf), done)
+
+
+@register("pending_tx_pages", f"""
+with {_L},
+n as (select l_orderkey, count(*) as n from lineitem group by 1),
+blk as (select o_orderkey as block_id, n.n as tx_count,
+               date_trunc('second', o_orderdate) + interval 123456 microsecond as ts
+        from orders join n on n.l_orderkey = o_orderkey where o_orderkey % 97 <> 0),
+pages as (select block_id, ts, unnest(generate_series(1, cast(ceil(tx_count / 2.0) as bigint))) as page_number
+          from blk),
+done as (select distinct l_orderkey as block_id, cast(ceil(l_linenumber / 2.0) as bigint) as page_number from L),
+todo as (select p.* from pages p
+         where not exists (select 1 from done d where d.block_id = p.block_id and d.page_number = p.page_number))
+select cast(round(block_id, -3) as integer) as partition_key,
+       cast(json_object('id', block_id, 'jsonrpc', '2.0', 'method', 'tx_search',
+            'params', json_array('tx.height=' || cast(block_id as varchar), true,
+                                 cast(page_number as varchar), '2', 'asc')) as varchar) as request,
+       page_number, block_id as block_id_requested,
+       strftime(ts, '%Y_%m_%d_%H_%M_%S_%g') as block_timestamp
+from todo order by block_id, page_number limit 7200
+""")
+def q_pending_tx_pages(spark, sf):
+    blocks = SL.blocks_complete(_bronze_blocks(spark, sf))
+    done = SL.transactions_complete(D.bronze_transactions(_t(spark, sf, "lineitem"),
+                                                          page_size=2))
+    return SL.pending_tx_pages(blocks, done, page_size=2)
+
+
+# ===================================================================
+# Incremental loading
+# ===================================================================
+from .operators import replace_keys, since, upsert  # noqa: E402
+from .operators.incremental import high_watermark  # noqa: E402
+
+
+@register("upsert", """
+with t as (select o_orderkey as k, o_totalprice as p, 1 as ins from orders where o_orderkey % 3 < 2),
+n as (select o_orderkey as k, o_totalprice + 1 as p, 2 as ins from orders where o_orderkey % 3 > 0)
+select k, p, ins from t where k not in (select k from n)
+union all
+select n.k, n.p, coalesce(t.ins, n.ins) as ins from n left join t on n.k = t.k
+""")
+def q_upsert(spark, sf):
+    o = _t(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    target = o.where(k % 3 < 2).select(k.alias("k"), F.col("o_totalprice").alias("p"),
+                                       F.lit(1).alias("ins"))
+    batch = o.where(k % 3 > 0).select(k.alias("k"), (F.col("o_totalprice") + 1).alias("p"),
+                                      F.lit(2).alias("ins"))
+    return upsert(target, batch, ["k"], preserve=["ins"])
+
+
+@register("replace_keys", """
+with t as (select o_orderkey as k, date_trunc('month', o_orderdate) as m, o_totalprice as p
+           from orders where o_orderkey % 3 < 2),
+n as (select o_orderkey as k, date_trunc('month', o_orderdate) as m, o_totalprice + 1 as p
+      from orders where o_orderkey % 3 = 2 and o_orderdate >= timestamp '2000-01-01 00:00:00')
+select k, p from t where not exists (select 1 from n where n.m = t.m)
+union all select k, p from n
+""")
+def q_replace_keys(spark, sf):
+    o = _t(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    m = F.date_trunc("month", "o_orderdate").alias("m")
+    target = o.where(k % 3 < 2).select(k.alias("k"), m, F.col("o_totalprice").alias("p"))
+    batch = (o.where((k % 3 == 2) & (F.col("o_orderdate") >= L.ts_lit("2000-01-01 00:00:00")))
+              .select(k.alias("k"), m, (F.col("o_totalprice") + 1).alias("p")))
+    return replace_keys(target, batch, ["m"]).select("k", "p")
+
+
+@register("since", """
+select o_orderkey, o_orderdate from orders
+where o_orderdate >= (select max(o_orderdate) from orders where o_orderkey % 2 = 0) - interval 2 day
+""")
+def q_since(spark, sf):
+    o = _t(spark, sf, "orders")
+    hwm = high_watermark(o.where(F.col("o_orderkey") % 2 == 0), "o_orderdate")
+    return since(o, "o_orderdate", hwm, lookback_days=2).select("o_orderkey", "o_orderdate")
+
+
+# ===================================================================
+# Data quality
+# ===================================================================
+from .operators import quality as Q  # noqa: E402
+
+_STATUS = "case when {f} > {t} then 'error' else 'pass' end"
+
+
+@register("dq_checks", """
+select 'not_null' as check_name, 'events' as tbl, 'user_id' as col,
+       count(*) filter (where nullif(user_id, 7) is null) as failures, cast(0 as bigint) as threshold,
+       case when count(*) filter (where nullif(user_id, 7) is null) > 0 then 'error' else 'pass' end as status
+from events
+union all
+select 'sequential_values', 'lineitem', 'l_orderkey',
+       count(*) filter (where pk is not null and k - pk <> 1), 100,
+       case when count(*) filter (where pk is not null and k - pk <> 1) > 100 then 'error' else 'pass' end
+from (select k, lag(k) over (order by k) as pk from (select distinct l_orderkey as k from lineitem) d) s
+union all
+select 'accepted_values', 'events', 'event_type',
+       count(*) filter (where event_type not in ('view', 'click')), 0,
+       case when count(*) filter (where event_type not in ('view', 'click')) > 0 then 'error' else 'pass' end
+from events
+union all
+select 'unique', 'lineitem', 'l_orderkey,l_linenumber', count(*), 0,
+       case when count(*) > 0 then 'error' else 'pass' end
+from (select l_orderkey, l_linenumber from lineitem group by 1, 2 having count(*) > 1) u
+""")
+def q_dq_checks(spark, sf):
+    ev = _t(spark, sf, "events")
+    li = _t(spark, sf, "lineitem")
+    return Q.run_checks(
+        Q.not_null(ev.select(F.nullif("user_id", F.lit(7)).alias("user_id")), "events",
+                   ["user_id"]),
+        Q.sequential_values(li, "lineitem", "l_orderkey"),
+        Q.accepted_values(ev, "events", "event_type", ["view", "click"]),
+        Q.unique_key(li, "lineitem", ["l_orderkey", "l_linenumber"]))
+
+
+@register("dq_freshness", """
+select 'expression_is_true' as check_name, 'events' as tbl, 'value >= 0' as col,
+       count(*) filter (where not coalesce(value >= 0, false)) as failures, cast(0 as bigint) as threshold,
+       case when count(*) filter (where not coalesce(value >= 0, false)) > 0 then 'error' else 'pass' end as status
+from events
+union all
+select 'recency', 'events', 'ts',
+       case when max(ts) < timestamp '2024-01-31 00:00:00' - interval 3 hour then 1 else 0 end, 0,
+       case when max(ts) < timestamp '2024-01-31 00:00:00' - interval 3 hour then 'error' else 'pass' end
+from events
+union all
+select 'recency', 'orders', 'o_orderdate',
+       case when max(o_orderdate) < timestamp '2024-01-31 00:00:00' - interval 3 hour then 1 else 0 end, 0,
+       case when max(o_orderdate) < timestamp '2024-01-31 00:00:00' - interval 3 hour then 'warn' else 'pass' end
+from orders
+union all
+select 'source_freshness', 'events', 'ts',
+       case when age > 2 then 1 else 0 end, 2,
+       case when age > 4 then 'error' when age > 2 then 'warn' else 'pass' end
+from (select (epoch(timestamp '2024-01-31 03:00:00') - epoch(max(ts))) / 3600.0 as age from events) a
+""")
+def q_dq_freshness(spark, sf):
+    ev = _t(spark, sf, "events")
+    o = _t(spark, sf, "orders")
+    now = "2024-01-31 00:00:00"
+    return Q.run_checks(
+        Q.expression_is_true(ev, "events", "value >= 0"),
+        Q.recency(ev, "events", "ts", now, hours=3),
+        Q.recency(o, "orders", "o_orderdate", now, hours=3, severity="warn"),
+        Q.source_freshness(ev, "events", "ts", "2024-01-31 03:00:00"))

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions.time import ts_lit
 
-RESULT_COLS = ["check", "tbl", "col", "failures", "threshold", "status"]
+RESULT_COLS = ["check_name", "tbl", "col", "failures", "threshold", "status"]
 
 
 def _result(df: DataFrame, check: str, table: str, column: str, failures: Column,
             threshold: int = 0, severity: str = "error") -> DataFrame:
     f = failures.cast("bigint")
     return df.agg(f.alias("failures")).select(
-        F.lit(check).alias("check"), F.lit(table).alias("tbl"), F.lit(column).alias("col"),
+        F.lit(check).alias("check_name"), F.lit(table).alias("tbl"), F.lit(column).alias("col"),
         F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
         F.lit(threshold).cast("bigint").alias("threshold"),
         F.when(F.coalesce("failures", F.lit(0)) > threshold, F.lit(severity))
@@ -29,7 +29,7 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     stack = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = agg.selectExpr(f"stack({len(columns)}, {stack}) as (col, failures)")
-    return long.select(F.lit("not_null").alias("check"), F.lit(table).alias("tbl"), "col",
+    return long.select(F.lit("not_null").alias("check_name"), F.lit(table).alias("tbl"), "col",
                        F.col("failures").cast("bigint").alias("failures"),
                        F.lit(0).cast("bigint").alias("threshold"),
                        F.when(F.col("failures") > 0, F.lit("error")).otherwise(F.lit("pass"))
@@ -78,7 +78,7 @@ def source_freshness(df: DataFrame, table: str, column: str, now, warn_hours: in
              - F.unix_timestamp(F.max(column).cast("timestamp"))) / 3600.0
     agg = df.agg(age_h.alias("age"))
     return agg.select(
-        F.lit("source_freshness").alias("check"), F.lit(table).alias("tbl"),
+        F.lit("source_freshness").alias("check_name"), F.lit(table).alias("tbl"),
         F.lit(column).alias("col"),
         F.when(F.col("age").isNull() | (F.col("age") > warn_hours), F.lit(1)).otherwise(F.lit(0))
          .cast("bigint").alias("failures"),

@@ -165,3 +165,13 @@ def bronze_tx_counts(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.round("k", -3).cast("int").alias("partition_key"),
         F.lit("tx_count/0.json").alias("file_name"),
         F.lit(LANDED_AT).cast("timestamp_ntz").alias("inserted_timestamp"))
+
+
+HEAD_AHEAD = 10   # the chain head runs this many heights past the newest order
+
+
+def bronze_status(orders: DataFrame) -> DataFrame:
+    """A stored ``status`` response whose head is the newest order + HEAD_AHEAD."""
+    h = (F.max("o_orderkey") + HEAD_AHEAD).cast("string")
+    return orders.agg(F.parse_json(F.to_json(F.struct(F.struct(F.struct(
+        h.alias("latest_block_height")).alias("sync_info")).alias("result")))).alias("data"))
