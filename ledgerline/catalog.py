@@ -682,3 +682,50 @@ def q_dq_freshness(spark, sf):
         Q.recency(ev, "events", "ts", now, hours=3),
         Q.recency(o, "orders", "o_orderdate", now, hours=3, severity="warn"),
         Q.source_freshness(ev, "events", "ts", "2024-01-31 03:00:00"))
+
+
+# ===================================================================
+# Gold facts and chain metrics
+# ===================================================================
+from .plans import gold as G  # noqa: E402
+
+
+@register("fact_msgs", f"""
+with {_EVENTS}
+select block_id, tx_id, cast(g as varchar) || ':' || cast(sub as varchar) as msg_group,
+       msg_type, cast(msg_index as integer) as msg_index,
+       md5(tx_id || '-' || cast(msg_index as varchar)) as fact_msgs_id
+from m
+""")
+def q_fact_msgs(spark, sf):
+    f = G.fact_msgs(S.silver_msgs(_silver_txs(spark, sf)))
+    return f.select("block_id", "tx_id", "msg_group", "msg_type", "msg_index", "fact_msgs_id")
+
+
+@register("fact_blocks", """
+select o_orderkey as block_id, 'chain-' || o_orderstatus as chain_id,
+       md5(cast(o_orderkey as varchar)) as fact_blocks_id
+from orders where o_orderkey % 97 <> 0
+""")
+def q_fact_blocks(spark, sf):
+    f = G.fact_blocks(S.silver_blocks(_bronze_blocks(spark, sf)))
+    return f.select("block_id", "chain_id", "fact_blocks_id")
+
+
+@register("core_metrics_hourly", f"""
+with {_L},
+h as (select *, cast(date_trunc('hour', l_shipdate) as timestamp) as hr from L)
+select hr as block_timestamp_hour,
+       min(l_orderkey) as block_id_min, max(l_orderkey) as block_id_max,
+       count(distinct l_orderkey) as block_count, count(*) as transaction_count,
+       count(*) filter (where l_returnflag <> 'R') as transaction_count_success,
+       count(*) filter (where l_returnflag = 'R') as transaction_count_failed,
+       cast(sum(cast(trunc(l_quantity * 1000) as bigint)) as bigint) as total_gas_used,
+       md5(strftime(hr, '%Y-%m-%d %H:%M:%S')) as core_metrics_hourly_id
+from h group by hr
+""")
+def q_core_metrics_hourly(spark, sf):
+    txs = G.fact_transactions(_silver_txs(spark, sf))
+    m = hourly_metrics(txs, now="2100-01-01 00:00:00")
+    return m.withColumn("total_gas_used", F.col("total_gas_used").cast("bigint")).withColumn(
+        "core_metrics_hourly_id", L.surrogate_key("block_timestamp_hour"))
