@@ -296,12 +296,21 @@ from .plans import silver as S  # noqa: E402
 from .sources import derived as D  # noqa: E402
 
 
+from .sources.landing import landed  # noqa: E402
+
+
 def _bronze_blocks(spark, sf):
-    return D.bronze_blocks(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"))
+    return landed(spark, "bronze_blocks", sf,
+                  lambda: D.bronze_blocks(_t(spark, sf, "orders"), _t(spark, sf, "lineitem")))
+
+
+def _bronze_txs(spark, sf, page_size=100):
+    return landed(spark, f"bronze_transactions_p{page_size}", sf,
+                  lambda: D.bronze_transactions(_t(spark, sf, "lineitem"), page_size))
 
 
 def _silver_txs(spark, sf):
-    return S.silver_transactions(D.bronze_transactions(_t(spark, sf, "lineitem")))
+    return S.silver_transactions(_bronze_txs(spark, sf))
 
 
 # relational recomputation of the derived records (no JSON involved)
@@ -530,8 +539,9 @@ select cast(round(block_id, -3) as integer) as partition_key, block_id,
 from p order by block_id limit 7200
 """)
 def q_pending_tx_counts(spark, sf):
-    done = SL.tx_count_complete(D.bronze_tx_counts(_t(spark, sf, "orders"),
-                                                   _t(spark, sf, "lineitem")))
+    done = SL.tx_count_complete(landed(
+        spark, "bronze_tx_count", sf,
+        lambda: D.bronze_tx_counts(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"))))
     return SL.pending_tx_counts(_wanted(spark, sf), done)
 
 
@@ -556,8 +566,7 @@ from todo order by block_id, page_number limit 7200
 """)
 def q_pending_tx_pages(spark, sf):
     blocks = SL.blocks_complete(_bronze_blocks(spark, sf))
-    done = SL.transactions_complete(D.bronze_transactions(_t(spark, sf, "lineitem"),
-                                                          page_size=2))
+    done = SL.transactions_complete(_bronze_txs(spark, sf, page_size=2))
     return SL.pending_tx_pages(blocks, done, page_size=2)
 
 
@@ -726,6 +735,6 @@ from h group by hr
 """)
 def q_core_metrics_hourly(spark, sf):
     txs = G.fact_transactions(_silver_txs(spark, sf))
-    m = hourly_metrics(txs, now="2100-01-01 00:00:00")
+    m = hourly_metrics(txs, now="2100-01-01 00:00:00", single_pass=True)
     return m.withColumn("total_gas_used", F.col("total_gas_used").cast("bigint")).withColumn(
         "core_metrics_hourly_id", L.surrogate_key("block_timestamp_hour"))

@@ -47,8 +47,11 @@ def no_error(data: ColumnOrName = "data", value: ColumnOrName = "value") -> Colu
 
 
 def not_empty_array(col: ColumnOrName) -> Column:
-    """Empty-payload filter (P8): ``DATA <> '[]'``; NULL payloads drop too."""
-    return F.coalesce(F.to_json(_c(col)) != F.lit("[]"), F.lit(False))
+    """Empty-payload filter (P8): ``DATA <> '[]'``; NULL payloads drop too.
+    Probes the value's type instead of serialising the payload to text."""
+    c = _c(col)
+    n = F.size(F.try_variant_get(c, "$", "array<variant>"))
+    return c.isNotNull() & F.coalesce(n != 0, F.lit(True))
 
 
 def vsize(col: ColumnOrName, path: str | None = None) -> Column:
@@ -59,8 +62,12 @@ def vsize(col: ColumnOrName, path: str | None = None) -> Column:
 
 
 def is_object(col: ColumnOrName) -> Column:
-    """IS_OBJECT."""
-    return F.coalesce(F.schema_of_variant(_c(col)).startswith("OBJECT"), F.lit(False))
+    """IS_OBJECT (P13/F9): a type probe (an object converts to a map)."""
+    return F.try_variant_get(_c(col), "$", "map<string,variant>").isNotNull()
+
+
+def is_array(col: ColumnOrName) -> Column:
+    return F.try_variant_get(_c(col), "$", "array<variant>").isNotNull()
 
 
 def parse_or_text(col: ColumnOrName) -> Column:

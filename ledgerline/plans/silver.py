@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import contains_ci, decode_or_keep, surrogate_key
 from ..functions.time import parse_block_ts
-from ..functions.variant import (is_object, no_error, not_empty_array, parse_or_text, vget,
+from ..functions.variant import (no_error, not_empty_array, parse_or_text, vget,
                                  vget_first, vsize, vstring)
 from ..operators.aggregates import ordered_struct_agg
 from ..operators.incremental import with_audit
-from ..operators.windows import conditional_true_event, fill_next, latest_by_key
+from ..operators.windows import conditional_true_event, latest_by_key
 
 HEADER_PATHS = ("result.block.header", "block.header")
 
@@ -92,40 +92,47 @@ def flatten_events(txs: DataFrame) -> DataFrame:
 
 
 def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
-    """X1 message grouping, single-shuffle window form.
+    """X1 message grouping in two window passes over one partitioning.
 
     ``msg_group``: running count of *action* events (first attribute key is
-    ``action``, base64 or plain) minus one, NULL before the first action.
+    ``action``, base64 or plain) minus one, NULL before the first action (W3).
     ``msg_sub_group``: inside groups whose action contains ``exec``, the
-    ``module`` message events are numbered 0, 1, …; every event takes the
-    number of the next such marker at or after it (0 when none); NULL when
-    the group is NULL. ``strict_compat`` reproduces the original rule that
-    reads a plain-text key in place of the value (D7)."""
+    ``module`` message events are markers numbered 0, 1, …; every event takes
+    the number of the next marker at or after it (0 when none); NULL when the
+    group is NULL. ``strict_compat`` reproduces the original rule that reads
+    a plain-text key in place of the value (D7).
+
+    The W4 rank + W5 look-ahead fill of the original collapse into one pass:
+    the next marker at or after a row is numbered by the markers strictly
+    before it, provided the group has more markers than that. Exec flag,
+    running marker count and marker total share one window spec (one sort);
+    both passes ride on the single ``tx_id`` hash partitioning."""
+    from ..functions.text import try_base64_decode
     k0 = vget("msg", "attributes[0].key")
     v0 = vget("msg", "attributes[0].value")
     key, value = decode_or_keep(k0, v0)
     if strict_compat:
-        value = F.when(F.col("__key_raw_decoded").isNull(), k0).otherwise(value)
-    ev = events.withColumn("msg_type", vget("msg", "type"))
-    if strict_compat:
-        from ..functions.text import try_base64_decode
-        ev = ev.withColumn("__key_raw_decoded", try_base64_decode(k0))
-    ev = ev.withColumn("__key", key).withColumn("__value", value)
+        value = F.when(try_base64_decode(k0).isNull(), k0).otherwise(value)
+    ev = events.select("*", vget("msg", "type").alias("msg_type"), key.alias("__key"),
+                       value.alias("__value"))
     ev = conditional_true_event(ev, F.col("__key") == "action", "tx_id", "msg_index", "__cte")
     ev = ev.withColumn("msg_group", F.nullif(F.col("__cte") - 1, F.lit(-1)).cast("bigint"))
-    g = Window.partitionBy("tx_id", "msg_group")
     exec_row = ((F.col("msg_type") == "message") & (F.col("__key") == "action")
                 & contains_ci("__value", "exec"))
-    ev = ev.withColumn("__exec", F.max(F.coalesce(exec_row, F.lit(False)).cast("int")).over(g))
-    marker = ((F.col("__exec") == 1) & (F.col("__key") == "module")
-              & (F.col("msg_type") == "message") & F.col("msg_group").isNotNull())
-    ev = ev.withColumn("__m", F.coalesce(marker, F.lit(False)).cast("int"))
-    run = F.sum("__m").over(g.orderBy("msg_index").rowsBetween(Window.unboundedPreceding, 0))
-    ev = ev.withColumn("__sub", F.when(F.col("__m") == 1, run - 1))
-    ev = fill_next(ev, F.col("__sub"), "msg_index", "__next", partition=["tx_id", "msg_group"])
-    return ev.withColumn(
-        "msg_sub_group",
-        F.when(F.col("msg_group").isNotNull(), F.coalesce("__next", F.lit(0))).cast("bigint"))
+    modmsg = F.coalesce((F.col("__key") == "module") & (F.col("msg_type") == "message"),
+                        F.lit(False)).cast("bigint")
+    ev = ev.withColumn("__mm", modmsg)
+    g = Window.partitionBy("tx_id", "msg_group").orderBy("msg_index")
+    whole = g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = g.rowsBetween(Window.unboundedPreceding, 0)
+    ev = ev.select("*",
+                   F.max(F.coalesce(exec_row, F.lit(False)).cast("int")).over(whole).alias("__ex"),
+                   F.sum("__mm").over(upto).alias("__incl"),
+                   F.sum("__mm").over(whole).alias("__tot"))
+    before = F.col("__incl") - F.col("__mm")
+    sub = F.when((F.col("__ex") == 1) & (F.col("__tot") > before), before).otherwise(F.lit(0))
+    return ev.withColumn("msg_sub_group",
+                         F.when(F.col("msg_group").isNotNull(), sub).cast("bigint"))
 
 
 def silver_msgs(txs: DataFrame, strict_compat: bool = False, run_ts=None,
@@ -172,18 +179,17 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
     synthetic ``error`` event holding the raw text. Newest landing per tx.
     Both groupings contain (block_id, tx_id), the partitioning the upstream
     dedupe already produced, so they add no shuffle of their own."""
+    # object-shaped logs only (an object converts to a map, anything else to
+    # NULL, which explodes to no rows); arrays too with ``accept_arrays``
     ok = txs.where(F.col("tx_log").isNotNull() & F.col("tx_succeeded"))
-    shape = is_object("tx_log")
-    if accept_arrays:
-        shape = shape | F.schema_of_variant("tx_log").startswith("ARRAY")
-    ok = ok.where(shape)
     as_map = F.try_variant_get("tx_log", "$", "map<string,variant>")
-    as_arr = F.try_variant_get("tx_log", "$", "array<variant>")
-    entries = F.coalesce(
-        F.transform(F.map_entries(as_map),
-                    lambda e: F.struct(F.coalesce(e["key"].try_cast("int"), F.lit(0))
-                                        .alias("pos"), e["value"].alias("entry"))),
-        F.transform(as_arr, lambda x, i: F.struct(i.alias("pos"), x.alias("entry"))))
+    entries = F.transform(F.map_entries(as_map),
+                          lambda e: F.struct(F.coalesce(e["key"].try_cast("int"), F.lit(0))
+                                              .alias("pos"), e["value"].alias("entry")))
+    if accept_arrays:
+        as_arr = F.try_variant_get("tx_log", "$", "array<variant>")
+        entries = F.coalesce(entries, F.transform(
+            as_arr, lambda x, i: F.struct(i.alias("pos"), x.alias("entry"))))
     e1 = ok.select(*LOG_TX_COLS, F.explode(entries).alias("__e"))
     e2 = e1.select(*LOG_TX_COLS, F.col("__e.pos").alias("__epos"),
                    F.coalesce(vget("__e.entry", "msg_index", "int"), F.lit(0)).alias("msg_index"),
