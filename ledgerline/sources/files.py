@@ -31,12 +31,12 @@ def _records(reader, path: str, segment: int) -> DataFrame:
          .alias("inserted_timestamp"))
 
 
-def scan_all(spark: SparkSession, path: str, segment: int = -2) -> DataFrame:
+def scan_all(spark: SparkSession, path: str, segment: int = -1) -> DataFrame:
     """S2 full-refresh scan of every landed file."""
     return _records(spark.read.option("recursiveFileLookup", "true"), path, segment)
 
 
-def scan_recent(spark: SparkSession, path: str, days: int, now, segment: int = -2
+def scan_recent(spark: SparkSession, path: str, days: int, now, segment: int = -1
                 ) -> DataFrame:
     """S1 incremental scan: only files modified in the last ``abs(days)`` days."""
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
@@ -46,7 +46,7 @@ def scan_recent(spark: SparkSession, path: str, days: int, now, segment: int = -
 
 
 def choose_scan(spark: SparkSession, path: str, is_incremental: bool, days: int = 3,
-                now=None, segment: int = -2) -> DataFrame:
+                now=None, segment: int = -1) -> DataFrame:
     """The incremental view when the target exists, else the full scan."""
     if is_incremental:
         return scan_recent(spark, path, days, now or dt.datetime.utcnow(), segment)

@@ -1,0 +1,3 @@
+from .live import bronze_stream, dedupe_stream, hourly_metrics_stream, stream_upsert
+
+__all__ = ["bronze_stream", "dedupe_stream", "hourly_metrics_stream", "stream_upsert"]

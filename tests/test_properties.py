@@ -1,0 +1,79 @@
+"""Properties: split (bucketed) windows equal plain windows, gap ranges
+partition the id range, upsert is idempotent, dedupe yields unique keys."""
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerline.functions import format_block_ts, parse_block_ts
+from ledgerline.operators import (conditional_true_event, fill_last, fill_next, find_gaps,
+                                  latest_by_key, missing_ids, rank0, upsert)
+
+rows_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.booleans()),
+                   min_size=1, max_size=40)
+
+
+def _df(spark, rows):
+    # key 0 is the hot key; ids are unique and increasing
+    data = [(i, k, o, bool(f)) for i, (k, o, f) in enumerate(rows)]
+    return spark.createDataFrame(data, "id bigint, k int, o int, f boolean")
+
+
+def _rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=rows_st, width=st.integers(1, 7))
+def test_split_windows_equal_plain(spark, rows, width):
+    df = _df(spark, rows)
+    b = F.floor(F.col("id") / width)
+    for fn in (
+        lambda d, bb: conditional_true_event(d, F.col("f"), "k", "id", "x", bucket=bb),
+        lambda d, bb: fill_last(d, F.when(F.col("f"), F.col("id")), "id", "x", partition="k",
+                                bucket=bb),
+        lambda d, bb: fill_next(d, F.when(F.col("f"), F.col("id")), "id", "x", partition="k",
+                                default=-1, bucket=bb),
+        lambda d, bb: fill_last(d, F.when(F.col("f"), F.col("id")), "id", "x", bucket=bb),
+    ):
+        assert _rows(fn(df, None), ["id", "x"]) == _rows(fn(df, b), ["id", "x"])
+    ob = F.floor(F.col("o") / max(1, width // 2))
+    assert _rows(rank0(df, "k", "o", "x"), ["id", "x"]) == \
+        _rows(rank0(df, "k", "o", "x", bucket=ob), ["id", "x"])
+
+
+@settings(max_examples=10, deadline=None)
+@given(ids=st.sets(st.integers(0, 300), min_size=1, max_size=60), width=st.integers(1, 50),
+       chunk=st.integers(1, 20))
+def test_gaps_partition_range(spark, ids, width, chunk):
+    df = spark.createDataFrame([(i,) for i in ids], "k bigint")
+    miss = {r.missing_id for r in missing_ids(df, "k", bucket_width=width, chunk=chunk)
+            .collect()}
+    assert miss.isdisjoint(ids)
+    assert miss | ids == set(range(min(ids), max(ids) + 1))
+    g = find_gaps(df, "k", bucket_width=width).collect()
+    assert sum(r.gap_end - r.gap_start + 1 for r in g) == len(miss)
+
+
+def test_upsert_idempotent_and_unique(spark):
+    t = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, ins int")
+    b = spark.createDataFrame([(2, "B", 2), (3, "c", 2)], "k int, v string, ins int")
+    once = upsert(t, b, ["k"], preserve=["ins"])
+    twice = upsert(once, b, ["k"], preserve=["ins"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert sorted(tuple(r) for r in once.collect()) == [(1, "a", 1), (2, "B", 1), (3, "c", 2)]
+
+
+def test_latest_by_key_unique(spark):
+    df = spark.createDataFrame([(1, 1, 5), (1, 2, 7), (2, 1, 1), (1, 3, 7)],
+                               "k int, v int, ts int")
+    out = latest_by_key(df, ["k"], [F.col("ts").desc(), F.col("v").desc()]).collect()
+    assert sorted(tuple(r) for r in out) == [(1, 3, 7), (2, 1, 1)]
+
+
+def test_timestamp_format_roundtrip(spark):
+    df = spark.createDataFrame([("2025-01-02 13:04:05.123",)], "s string").select(
+        F.to_timestamp_ntz("s").alias("t"))
+    r = df.select(format_block_ts("t").alias("f"), parse_block_ts(format_block_ts("t"))
+                  .alias("p"), "t").first()
+    assert r.f == "2025_01_02_13_04_05_123" and r.p == r.t
