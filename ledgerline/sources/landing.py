@@ -25,10 +25,22 @@ def _fs(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """A landed table is complete once its ``_SUCCESS`` marker is there."""
     fs, p = _fs(spark, path.rstrip("/") + "/_SUCCESS")
     return fs.exists(p)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """A table folder holding data (partition folders or data files). Dynamic
+    partition overwrites leave no root marker, so the folder is listed."""
+    fs, p = _fs(spark, path.rstrip("/"))
+    if not fs.exists(p):
+        return False
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    # same rule as Spark's file index: hidden unless it is a partition folder
+    return any(not n.startswith(".") and (not n.startswith("_") or "=" in n) for n in names)
+
+
 def landed(spark: SparkSession, name: str, source_key: str, build: Callable[[], DataFrame],
            version: str = "v1") -> DataFrame:
     """Read the landed table ``name`` for ``source_key``, building it first

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import replace_keys, upsert
 from ..session import checkpoint_dir
-from .landing import exists
+from .landing import table_exists as exists
 
 
 # ------------------------------------------------------------------ S9 keys
