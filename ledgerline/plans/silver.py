@@ -82,6 +82,12 @@ def silver_transactions(bronze: DataFrame, run_ts=None, run_id: str | None = Non
 
 # -------------------------------------------------------------------- msgs
 TX_COLS = ["block_id", "block_timestamp", "tx_id", "tx_succeeded"]
+# Message windows are keyed by (block_id, tx_id): the transaction dedupe has
+# already hash-partitioned the rows on exactly these keys, so flattening and
+# all message windows run without another shuffle of the (many) event rows.
+# A valid chain never has one hash in two blocks; if it did, keying by block
+# keeps their events apart instead of interleaving two msg_index sequences.
+TX_KEY = ["block_id", "tx_id"]
 
 
 def flatten_events(txs: DataFrame) -> DataFrame:
@@ -106,7 +112,7 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
     the next marker at or after a row is numbered by the markers strictly
     before it, provided the group has more markers than that. Exec flag,
     running marker count and marker total share one window spec (one sort);
-    both passes ride on the single ``tx_id`` hash partitioning."""
+    both passes ride on the (block_id, tx_id) partitioning of the input."""
     from ..functions.text import try_base64_decode
     k0 = vget("msg", "attributes[0].key")
     v0 = vget("msg", "attributes[0].value")
@@ -115,14 +121,14 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
         value = F.when(try_base64_decode(k0).isNull(), k0).otherwise(value)
     ev = events.select("*", vget("msg", "type").alias("msg_type"), key.alias("__key"),
                        value.alias("__value"))
-    ev = conditional_true_event(ev, F.col("__key") == "action", "tx_id", "msg_index", "__cte")
+    ev = conditional_true_event(ev, F.col("__key") == "action", TX_KEY, "msg_index", "__cte")
     ev = ev.withColumn("msg_group", F.nullif(F.col("__cte") - 1, F.lit(-1)).cast("bigint"))
     exec_row = ((F.col("msg_type") == "message") & (F.col("__key") == "action")
                 & contains_ci("__value", "exec"))
     modmsg = F.coalesce((F.col("__key") == "module") & (F.col("msg_type") == "message"),
                         F.lit(False)).cast("bigint")
     ev = ev.withColumn("__mm", modmsg)
-    g = Window.partitionBy("tx_id", "msg_group").orderBy("msg_index")
+    g = Window.partitionBy(*TX_KEY, "msg_group").orderBy("msg_index")
     whole = g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = g.rowsBetween(Window.unboundedPreceding, 0)
     ev = ev.select("*",
