@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from . import functions as L
 from .operators import (conditional_true_event, count_mismatch, fill_last, fill_next,
-                        latest_by_key, missing_ids, ordered_array_agg, paginate, pending, rank0)
+                        latest_by_key, missing_ids, paginate, pending, rank0)
+from .operators.aggregates import ordered_array_by_group
 from .plans.stats import hourly_metrics, metrics_with_price
 from .tables import load
 
@@ -216,7 +217,8 @@ from events group by user_id
 """)
 def q_ordered_array_agg(spark, sf):
     ev = _t(spark, sf, "events")
-    return ev.groupBy("user_id").agg(F.to_json(ordered_array_agg("event_id")).alias("event_ids"))
+    r = ordered_array_by_group(ev, ["user_id"], "event_id", "event_ids")
+    return r.select("user_id", F.to_json("event_ids").alias("event_ids"))
 
 
 # --------------------------------------------------------------------- F12/F13

@@ -12,7 +12,10 @@ Running windows (W3 running count, W4 rank, W5/W6 fills) come in two forms:
 
 Carry tables hold one row per (partition, bucket) — orders of magnitude
 smaller than the input — and are joined on the same keys the main window
-is already hash-partitioned by, so the big side is not shuffled again.
+is already hash-partitioned by, so the big side is shuffled once. The
+per-bucket summary is a partial+final aggregate over a second (pruned,
+columnar) read of the input: measured cheaper than deriving it from the
+windowed rows, which makes Spark sort and run the window twice.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import settled_cond, ts_lit
 from ..operators.gaps import expand_ranges, find_gaps
+from ..operators.aggregates import ordered_array_by_group
 from ..operators.joins import count_mismatch
 
 CHUNK = 1 << 14
@@ -21,12 +22,7 @@ CHUNK = 1 << 14
 def sorted_id_array(ids: DataFrame, col: str, out: str) -> DataFrame:
     """One row holding ``ids.col`` ascending (A8), built from per-chunk
     sorted arrays; empty input → ``[]``."""
-    per_chunk = ids.groupBy(F.floor(F.col(col) / CHUNK).alias("__c")).agg(
-        F.sort_array(F.collect_list(col)).alias("__ids"))
-    return per_chunk.agg(
-        F.coalesce(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("__c", "__ids"))),
-                                         lambda s: s["__ids"])),
-                   F.array().cast("array<bigint>")).alias(out))
+    return ordered_array_by_group(ids, [], col, out, CHUNK)
 
 
 def _window(blocks: DataFrame, key: str, ts: str, now, settle_hours: int, restart) -> DataFrame:
