@@ -738,3 +738,71 @@ def q_core_metrics_hourly(spark, sf):
     m = hourly_metrics(txs, now="2100-01-01 00:00:00", single_pass=True)
     return m.withColumn("total_gas_used", F.col("total_gas_used").cast("bigint")).withColumn(
         "core_metrics_hourly_id", L.surrogate_key("block_timestamp_hour"))
+
+
+# ===================================================================
+# Row-level operators: flatten, top-1, summary, response explode, batching
+# ===================================================================
+from .operators import flatten, latest_row, summary_stats  # noqa: E402
+from .sources.files import explode_response  # noqa: E402
+
+
+@register("flatten", """
+select e.event_id, cast(null as integer) as flat_index, j.key as flat_key,
+       cast(j.value as varchar) as flat_value
+from events e, json_each(e.props) j
+""")
+def q_flatten(spark, sf):
+    ev = _t(spark, sf, "events").select("event_id", F.parse_json("props").alias("p"))
+    f = flatten(ev, "p", prefix="flat_")
+    return f.select("event_id", "flat_index", "flat_key",
+                    F.col("flat_value").cast("string").alias("flat_value"))
+
+
+@register("latest_row", """
+select * from events order by ts desc, event_id desc limit 1
+""")
+def q_latest_row(spark, sf):
+    return latest_row(_t(spark, sf, "events"), [F.col("ts").desc(), F.col("event_id").desc()])
+
+
+@register("summary_stats", """
+select min(l_orderkey) as min_key, max(l_orderkey) as max_key, min(l_shipdate) as min_ts,
+       max(l_shipdate) as max_ts, count(*) as n
+from lineitem
+""")
+def q_summary_stats(spark, sf):
+    return summary_stats(_t(spark, sf, "lineitem"), "l_orderkey", "l_shipdate")
+
+
+@register("explode_response", f"""
+select l_orderkey as block_id, cast(l_linenumber - 1 as bigint) as tx_index, {_TXID} as tx_id
+from lineitem
+""")
+def q_explode_response(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    tx = F.struct(D.tx_hash("l_orderkey", "l_linenumber").alias("hash"),
+                  (F.col("l_linenumber") - 1).alias("index"))
+    pages = li.groupBy("l_orderkey").agg(F.collect_list(tx).alias("txs"))
+    bronze = pages.select(
+        F.parse_json(F.to_json(F.struct(F.col("l_orderkey").alias("BLOCK_ID_REQUESTED"),
+                                        F.lit(1).alias("PAGE_NUMBER")))).alias("value"),
+        F.parse_json(F.to_json(F.struct(F.struct("txs").alias("result")))).alias("data"))
+    rows = explode_response(bronze, "result.txs")
+    return rows.select(L.vget("value", "BLOCK_ID_REQUESTED", "bigint").alias("block_id"),
+                       L.vget("data", "index", "bigint").alias("tx_index"),
+                       L.vget("data", "hash").alias("tx_id"))
+
+
+@register("worklist_batches", f"""
+with w as (select unnest(generate_series(0, (select max(o_orderkey) + 10 from orders))) as block_id),
+d as (select o_orderkey as block_id from orders where o_orderkey % 97 <> 0),
+p as (select block_id from w except select block_id from d order by block_id limit 7200)
+select cast(round(block_id, -4) as integer) as partition_key, block_id,
+       cast((row_number() over (order by block_id) - 1) // 50 as bigint) as batch_id
+from p
+""")
+def q_worklist_batches(spark, sf):
+    done = SL.blocks_complete(_bronze_blocks(spark, sf))
+    wl = SL.pending_blocks(_wanted(spark, sf), done)
+    return SL.with_batches(wl, "block_id", 50).select("partition_key", "block_id", "batch_id")

@@ -228,3 +228,7 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
                      "codespace", "tx_log", surrogate_key("tx_id").alias("transactions_logs_id"),
                      "_inserted_timestamp")
     return _audit(out, run_ts, run_id)
+
+
+# the blueprint's model name for the log normalisation
+silver_transactions_logs = normalize_logs

@@ -95,9 +95,11 @@ def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: S
         .partitionBy(partition_col).parquet(path)
 
 
-def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: int) -> None:
-    """Publish a bounded work-list for an external fetcher as JSON lines,
-    one folder per producer batch (``batch_id``) in ``order_by`` order."""
+def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: int,
+                   limit: int | None = None) -> None:
+    """Publish a work-list for an external fetcher as JSON lines, at most
+    ``limit`` requests in ``order_by`` order, one folder per producer batch."""
     from ..plans.streamline import with_batches
-    with_batches(worklist, order_by, batch_size).write.mode("overwrite") \
+    wl = worklist.orderBy(order_by).limit(limit) if limit else worklist
+    with_batches(wl, order_by, batch_size).write.mode("overwrite") \
         .partitionBy("batch_id").json(path)
