@@ -83,7 +83,7 @@ def test_flatten_arrays_objects_and_outer(spark):
     from ledgerline.operators import flatten
     df = spark.createDataFrame([(1, '[10, 20]'), (2, '{"b": 2, "a": 1}'), (3, '5'), (4, '[]')],
                                "id int, j string").select("id", F.parse_json("j").alias("v"))
-    got = sorted((r.id, r.index, r.key, None if r.value is None else r.value.toJson())
+    got = sorted((r.id, r["index"], r["key"], None if r.value is None else r.value.toJson())
                  for r in flatten(df, "v").collect())
     assert got == [(1, 0, None, "10"), (1, 1, None, "20"), (2, None, "a", "1"),
                    (2, None, "b", "2")]
