@@ -505,7 +505,7 @@ def q_transactions_completeness(spark, sf):
 # ===================================================================
 # Fetch planning
 # ===================================================================
-from .plans import streamline as SL  # noqa: E402
+from .plans import fetching as SL  # noqa: E402
 
 _REQ = """cast(json_object('id', block_id, 'jsonrpc', '2.0', 'method', {method},
           'params', {params}) as varchar)"""

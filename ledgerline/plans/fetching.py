@@ -34,7 +34,7 @@ def chainhead(status: DataFrame) -> DataFrame:
 
 
 def wanted_blocks(spark, head: DataFrame, start: int = 0) -> DataFrame:
-    """``streamline__blocks``: every height up to the chain head."""
+    """Wanted heights: every height up to the chain head."""
     hi = head.first()["block_id"]
     if hi is None:
         return spark.range(0).select(F.col("id").alias("block_id"))

@@ -21,7 +21,7 @@ from ..operators.incremental import (high_watermark, min_changed_period, observa
 from ..sources.files import choose_scan
 from ..sources.landing import table_exists as exists
 from ..sources.sinks import replace_table_keys, upsert_table
-from . import gold, observability, silver, stats, streamline
+from . import fetching, gold, observability, silver, stats
 
 DATE_KEY = "cluster_date"
 # Partition grain of the model tables: a day holds ~14k blocks / millions of
@@ -161,7 +161,7 @@ def run_blocks_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     target = None if not exists(spark, path) else spark.read.parquet(path)
     hwm = high_watermark(target, "_inserted_timestamp")
     bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
-    led = streamline.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
+    led = fetching.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
                                                                "_inserted_timestamp")
     led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
                      ts_lit(run_ts).alias("modified_timestamp"))
@@ -258,7 +258,7 @@ def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     """complete_transactions ledger (pages landed), first-insert time kept."""
     src = choose_scan(spark, bronze_root, False)
     return run_merge(spark, src, path, ["complete_transactions_id"], "inserted_timestamp",
-                     run_ts, "", transform=lambda d: streamline.transactions_complete(d)
+                     run_ts, "", transform=lambda d: fetching.transactions_complete(d)
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
                      hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
                      preserve=["inserted_timestamp"])

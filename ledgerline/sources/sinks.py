@@ -99,7 +99,7 @@ def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: in
                    limit: int | None = None) -> None:
     """Publish a work-list for an external fetcher as JSON lines, at most
     ``limit`` requests in ``order_by`` order, one folder per producer batch."""
-    from ..plans.streamline import with_batches
+    from ..plans.fetching import with_batches
     wl = worklist.orderBy(order_by).limit(limit) if limit else worklist
     with_batches(wl, order_by, batch_size).write.mode("overwrite") \
         .partitionBy("batch_id").json(path)
