@@ -20,7 +20,7 @@ from ..operators.incremental import (high_watermark, min_changed_period, observa
                                      since)
 from ..sources.files import choose_scan
 from ..sources.landing import table_exists as exists
-from ..sources.sinks import replace_table_keys, upsert_table
+from ..sources.sinks import load_watermarks, replace_table_keys, save_watermarks, upsert_table
 from . import fetching, gold, observability, silver, stats
 
 DATE_KEY = "cluster_date"
@@ -47,13 +47,27 @@ def _target(spark: SparkSession, path: str, full_refresh: bool, allow_full_refre
     return spark.read.parquet(path)
 
 
-def _write(spark, path, df, keys, date_col, preserve=(), target_exists=True, overwrite=False):
+def table_hwm(spark: SparkSession, path: str, target: DataFrame | None, col: str):
+    """High-water mark of ``col``: the stored mark when the table keeps one
+    (no scan), else ``max(col)`` over the table (first run after an upgrade)."""
+    if target is None:
+        return None
+    stored = load_watermarks(spark, path).get(col)
+    return stored if stored is not None else high_watermark(target, col)
+
+
+def _write(spark, path, df, keys, date_col, preserve=(), target_exists=True, overwrite=False,
+           track=("_inserted_timestamp", "modified_timestamp")):
     df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(date_col), F.lit("1970-01-01")
                                             .cast("date")))
+    track = [c for c in track if c in df.columns]
     if overwrite:
         df.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        t = spark.read.parquet(path)
+        marks = t.agg(*[F.max(c).alias(c) for c in track]).first().asDict() if track else {}
     else:
-        upsert_table(spark, path, df, keys, DATE_KEY, preserve=preserve)
+        marks = upsert_table(spark, path, df, keys, DATE_KEY, preserve=preserve, track=track)
+    save_watermarks(spark, path, marks)
 
 
 def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts, run_id: str,
@@ -62,7 +76,7 @@ def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts,
     """silver_blocks: merge on ``blocks_id``; rows from files at/after the
     newest stored file time (I1)."""
     target = _target(spark, path, full_refresh, allow_full_refresh)
-    hwm = high_watermark(target, "_inserted_timestamp")
+    hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
     out = silver.silver_blocks(bronze, blockchain, run_ts, run_id)
     _write(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
@@ -72,7 +86,7 @@ def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts,
 def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refresh=False,
                             allow_full_refresh=False) -> DataFrame:
     target = _target(spark, path, full_refresh, allow_full_refresh)
-    hwm = high_watermark(target, "_inserted_timestamp")
+    hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
     out = silver.silver_transactions(bronze, run_ts, run_id)
     _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
@@ -83,7 +97,7 @@ def run_silver_msgs(spark, txs: DataFrame, path, run_ts, run_id, lookback_days:
                     full_refresh=False, allow_full_refresh=False) -> DataFrame:
     """silver_msgs: transactions of the last ``lookback_days`` dates."""
     target = _target(spark, path, full_refresh, allow_full_refresh)
-    hwm = high_watermark(target, "_inserted_timestamp")
+    hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     src = since(txs, "_inserted_timestamp", hwm, lookback_days=lookback_days, by_date=True)
     out = silver.silver_msgs(src, run_ts=run_ts, run_id=run_id)
     _write(spark, path, out, ["msgs_id"], "block_timestamp", overwrite=target is None)
@@ -159,18 +173,14 @@ def run_transactions_audit(spark, fact_blocks: DataFrame, fact_txs: DataFrame, p
 def run_blocks_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     """complete_blocks ledger: merge on the block, first-insert time kept."""
     target = None if not exists(spark, path) else spark.read.parquet(path)
-    hwm = high_watermark(target, "_inserted_timestamp")
+    hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
     led = fetching.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
-                                                               "_inserted_timestamp")
+                                                             "_inserted_timestamp")
     led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
                      ts_lit(run_ts).alias("modified_timestamp"))
-    led = led.withColumn(DATE_KEY, cluster_value("block_timestamp"))
-    if target is None:
-        led.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
-    else:
-        upsert_table(spark, path, led, ["complete_blocks_id"], DATE_KEY,
-                     preserve=["inserted_timestamp"])
+    _write(spark, path, led, ["complete_blocks_id"], "block_timestamp",
+           preserve=["inserted_timestamp"], overwrite=target is None)
     return spark.read.parquet(path)
 
 
@@ -209,7 +219,7 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster_c
     target = _target(spark, path, full_refresh, allow_full_refresh)
     src = source
     if hwm_col is not None:
-        hwm = high_watermark(target, hwm_col)
+        hwm = table_hwm(spark, path, target, hwm_col)
         src = since(source, source_col or hwm_col, hwm, lookback_days, by_date)
     out = transform(src) if transform else src
     if "_invocation_id" not in out.columns:

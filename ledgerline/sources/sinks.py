@@ -67,19 +67,57 @@ def _touched(target: DataFrame, batch: DataFrame, partition_col: str) -> DataFra
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_col: str, preserve: Sequence[str] = (),
-                 sort_by: Sequence[str] = ()) -> None:
+                 sort_by: Sequence[str] = (), track: Sequence[str] = ()) -> dict:
     """I4/I5/I6 MERGE into a partitioned Parquet table. A key's partition
     value must not change between versions (it derives from the key, e.g.
-    the date of a block)."""
+    the date of a block). Returns ``max`` of the ``track`` columns over the
+    rewritten partitions (for high-water marks; no full-table scan)."""
     if not exists(spark, path):
         write_table(batch, path, [partition_col], sort_by)
-        return
+        return _maxima(spark.read.parquet(path), track)
     target = spark.read.parquet(path)
     merged = upsert(_touched(target, batch, partition_col), batch, keys, preserve)
     staged = _stage(spark, merged)
     (staged.sortWithinPartitions(*sort_by) if sort_by else staged).write \
         .mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
+    return _maxima(staged, track)
+
+
+def _maxima(df: DataFrame, cols: Sequence[str]) -> dict:
+    if not cols:
+        return {}
+    row = df.agg(*[F.max(c).alias(c) for c in cols]).first()
+    return {c: row[c] for c in cols}
+
+
+WATERMARKS = "_watermarks"
+
+
+def save_watermarks(spark: SparkSession, path: str, marks: dict) -> None:
+    """Persist high-water marks next to a table (a one-row Parquet folder that
+    Spark's file index ignores, being ``_``-prefixed). Values only grow."""
+    old = load_watermarks(spark, path)
+    merged = {**old}
+    for k, v in marks.items():
+        if v is not None:
+            merged[k] = v if old.get(k) is None else max(old[k], v)
+    if not merged:
+        return
+    cols = sorted(merged)
+    df = spark.createDataFrame([tuple(merged[c] for c in cols)], cols)
+    df = df.select(*[F.col(c).cast("timestamp_ntz") if "timestamp" in
+                     df.schema[c].dataType.simpleString() else F.col(c) for c in cols])
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{WATERMARKS}")
+
+
+def load_watermarks(spark: SparkSession, path: str) -> dict:
+    wm = f"{path.rstrip('/')}/{WATERMARKS}"
+    from .landing import exists as marker_exists
+    if not marker_exists(spark, wm):
+        return {}
+    row = spark.read.parquet(wm).first()
+    return {} if row is None else row.asDict()
 
 
 def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],

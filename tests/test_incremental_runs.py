@@ -46,6 +46,8 @@ def test_incremental_equals_full(spark, tmp_dir, monkeypatch):
     full = os.path.join(tmp_dir, "full")
     models.run_silver_blocks(spark, land, full, "2025-01-03 03:00:00", "f")
     assert len(merges) == 2                 # runs 2 and 3 merged, run 1 created
+    from ledgerline.sources.sinks import load_watermarks
+    assert load_watermarks(spark, inc)["_inserted_timestamp"] is not None
     a, b = spark.read.parquet(inc), spark.read.parquet(full)
     assert _cols(a) == _cols(b)
     # inclusive high-water mark: run 2 re-reads the boundary file (1_a), run 3
