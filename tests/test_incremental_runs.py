@@ -99,3 +99,19 @@ def test_bronze_view_explodes_pages(spark, tmp_dir):
     df = bronze(spark, root, "transactions", incremental=False, explode_key="result.txs")
     from ledgerline.functions import vget
     assert sorted(r.h for r in df.select(vget("data", "hash").alias("h")).collect()) == ["a", "b"]
+
+
+def test_block_ledger_keeps_first_insert(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "blocks")
+    os.makedirs(land)
+    t0 = time.time() - 10_000
+    _land(land, "1_a.json", [_block(h) for h in (1, 2)], t0)
+    path = os.path.join(tmp_dir, "ledger")
+    models.run_blocks_complete(spark, land, path, "2025-01-03 00:00:00")
+    _land(land, "1_b.json", [_block(h) for h in (2, 3)], t0 + 100)
+    out = models.run_blocks_complete(spark, land, path, "2025-01-04 00:00:00")
+    got = {r.block_id: (str(r.inserted_timestamp), str(r.modified_timestamp))
+           for r in out.collect()}
+    assert got == {1: ("2025-01-03 00:00:00", "2025-01-04 00:00:00"),
+                   2: ("2025-01-03 00:00:00", "2025-01-04 00:00:00"),
+                   3: ("2025-01-04 00:00:00", "2025-01-04 00:00:00")}
