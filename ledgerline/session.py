@@ -55,13 +55,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` as the cluster names it; only when it is
     unset (local tests) a fresh temporary folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d.rstrip("/")
-    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")      # unset: tests / local runs only
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

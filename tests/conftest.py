@@ -14,9 +14,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from ledgerline.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="ledgerline-test-ckpt-")
+    # spark.checkpoint.dir: the platform's when set, else checkpoint_dir()
+    # creates a temporary one for the test session
     s = get_session("local[4]", 4, app="ledgerline-tests",
-                    extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                    extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 
