@@ -57,16 +57,18 @@ def table_hwm(spark: SparkSession, path: str, target: DataFrame | None, col: str
 
 
 def _write(spark, path, df, keys, date_col, preserve=(), target_exists=True, overwrite=False,
-           track=("_inserted_timestamp", "modified_timestamp")):
+           track=("_inserted_timestamp", "modified_timestamp"), sort_by=()):
     df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(date_col), F.lit("1970-01-01")
                                             .cast("date")))
     track = [c for c in track if c in df.columns]
     if overwrite:
-        df.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        (df.sortWithinPartitions(DATE_KEY, *sort_by) if sort_by else df).write \
+            .mode("overwrite").partitionBy(DATE_KEY).parquet(path)
         t = spark.read.parquet(path)
         marks = t.agg(*[F.max(c).alias(c) for c in track]).first().asDict() if track else {}
     else:
-        marks = upsert_table(spark, path, df, keys, DATE_KEY, preserve=preserve, track=track)
+        marks = upsert_table(spark, path, df, keys, DATE_KEY, preserve=preserve, track=track,
+                             sort_by=sort_by)
     save_watermarks(spark, path, marks)
 
 
@@ -210,8 +212,8 @@ def run_silver_prices(spark, prices: DataFrame, asset_id: str, path, run_ts) ->
 def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster_col: str,
               run_ts, run_id: str, transform=None, hwm_col: str | None = None,
               source_col: str | None = None, lookback_days: int = 0, by_date: bool = False,
-              preserve=(), full_refresh: bool = False, allow_full_refresh: bool = False
-              ) -> DataFrame:
+              preserve=(), full_refresh: bool = False, allow_full_refresh: bool = False,
+              sort_by=()) -> DataFrame:
     """Generic incremental merge model: rows of ``source`` at/after the
     target's high-water mark (``hwm_col`` of the target vs ``source_col`` of
     the source, optional date-grained lookback) → ``transform`` → audit
@@ -229,7 +231,7 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster_c
                          ts_lit(run_ts).alias("modified_timestamp"),
                          F.lit(run_id).alias("_invocation_id"))
     _write(spark, path, out, list(keys), cluster_col, preserve=preserve,
-           overwrite=target is None)
+           overwrite=target is None, sort_by=sort_by)
     return spark.read.parquet(path)
 
 
@@ -244,7 +246,7 @@ def run_silver_msg_attributes(spark, msgs: DataFrame, path, run_ts, run_id,
 def run_silver_transactions_logs(spark, txs: DataFrame, path, run_ts, run_id) -> DataFrame:
     return run_merge(spark, txs, path, ["tx_id"], "block_timestamp", run_ts, run_id,
                      transform=lambda d: silver.normalize_logs(d, run_ts=run_ts, run_id=run_id),
-                     hwm_col="_inserted_timestamp")
+                     hwm_col="_inserted_timestamp", sort_by=("block_timestamp", "tx_id"))
 
 
 FACTS = {
