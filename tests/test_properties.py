@@ -89,3 +89,31 @@ def test_flatten_arrays_objects_and_outer(spark):
                    (2, None, "b", "2")]
     outer = {r.id for r in flatten(df, "v", outer=True).collect()}
     assert outer == {1, 2, 3, 4}
+
+
+def _py_try_b64(s):
+    import base64
+    import binascii
+    if s is None or len(s) % 4:
+        return None
+    try:
+        return base64.b64decode(s, validate=True).decode("utf-8")
+    except (binascii.Error, UnicodeDecodeError, ValueError):
+        return None
+
+
+b64ish = st.one_of(
+    st.text(alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=",
+            max_size=12),
+    st.text(max_size=8).map(lambda t: __import__("base64").b64encode(t.encode()).decode()),
+    st.sampled_from(["action", "module", "sender", "amount", "receiver", "fee", "test", "",
+                     "YWN0aW9u", "YWN0aW9u=", "c3BlbmRlcg", "/cosmos.bank.v1beta1.MsgSend"]))
+
+
+@settings(max_examples=20, deadline=None)
+@given(vals=st.lists(b64ish, min_size=1, max_size=25))
+def test_try_base64_decode_matches_strict_decoder(spark, vals):
+    from ledgerline.functions import try_base64_decode
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
+    got = {r.i: r.d for r in df.select("i", try_base64_decode("s").alias("d")).collect()}
+    assert got == {i: _py_try_b64(v) for i, v in enumerate(vals)}
