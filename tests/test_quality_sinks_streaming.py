@@ -102,3 +102,44 @@ def test_stream_hourly_metrics_and_dedupe(spark, tmp_dir):
     d.awaitTermination(120)
     users = ev.select("user_id").distinct().count()
     assert spark.sql("select count(distinct user_id) c from dd_test").first().c == users
+
+
+def test_worklist_sink_batches_in_order(spark, tmp_dir):
+    from ledgerline.plans.fetching import pending_blocks
+    from ledgerline.sources.sinks import write_worklist
+    wanted = spark.range(0, 40).select(F.col("id").alias("block_id"))
+    done = spark.range(0, 40, 3).select(F.col("id").alias("block_id"))
+    wl = pending_blocks(wanted, done, limit=100)
+    path = os.path.join(tmp_dir, "wl")
+    write_worklist(wl, path, "block_id", batch_size=5, limit=12)
+    got = sorted((r.block_id, r.batch_id) for r in spark.read.json(path).collect())
+    ids = [i for i in range(40) if i % 3][:12]
+    assert got == [(b, i // 5) for i, b in enumerate(ids)]
+
+
+def test_stream_transactions_chain(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "land", "tx")
+    os.makedirs(src)
+    ev = [{"type": "message", "attributes": [{"key": "action", "value": "/x.MsgExec"}]},
+          {"type": "message", "attributes": [{"key": "module", "value": "bank"}]}]
+    recs = [{"value": {"BLOCK_ID_REQUESTED": 9, "BLOCK_TIMESTAMP": "2025_01_02_10_00_00_000",
+                       "PAGE_NUMBER": 1},
+             "data": {"hash": h, "index": i, "tx_result": {"code": 0, "gas_used": "10",
+                                                           "gas_wanted": "20", "log": "[]",
+                                                           "events": ev}}}
+            for i, h in enumerate(["A", "B"])]
+    with open(os.path.join(src, "9_a.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in recs) + "\n")
+    target = os.path.join(tmp_dir, "msgs")
+
+    def sink(df, epoch):
+        upsert_table(spark, target, df.withColumn("d", F.to_date("block_timestamp")),
+                     ["msgs_id"], "d")
+
+    q = stream_upsert(bronze_stream(spark, src),
+                      lambda b: silver.silver_msgs(silver.silver_transactions(b)), sink,
+                      os.path.join(tmp_dir, "ck2"))
+    q.awaitTermination(120)
+    got = sorted((r.tx_id, r.msg_index, r.msg_group, r.msg_sub_group)
+                 for r in spark.read.parquet(target).collect())
+    assert got == [("A", 0, 0, 0), ("A", 1, 0, 0), ("B", 0, 0, 0), ("B", 1, 0, 0)]
