@@ -115,3 +115,59 @@ def test_block_ledger_keeps_first_insert(spark, tmp_dir):
     assert got == {1: ("2025-01-03 00:00:00", "2025-01-04 00:00:00"),
                    2: ("2025-01-03 00:00:00", "2025-01-04 00:00:00"),
                    3: ("2025-01-04 00:00:00", "2025-01-04 00:00:00")}
+
+
+def _facts(spark, rows):
+    return spark.createDataFrame(rows, "block_id bigint, tx_id string, ok boolean, gas bigint, "
+                                       "ts string, mod string").select(
+        "block_id", "tx_id", F.col("ok").alias("tx_succeeded"), F.col("gas").alias("gas_used"),
+        F.to_timestamp_ntz("ts").alias("block_timestamp"),
+        F.to_timestamp_ntz("mod").alias("modified_timestamp"))
+
+
+def test_metrics_replace_changed_hours_only(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "m")
+    f1 = _facts(spark, [(1, "a", True, 10, "2025-01-02 00:10:00", "2025-01-02 05:00:00"),
+                        (2, "b", False, 5, "2025-01-02 01:10:00", "2025-01-02 05:00:00"),
+                        (3, "c", True, 7, "2025-01-02 02:10:00", "2025-01-02 05:00:00")])
+    models.run_core_metrics_hourly(spark, f1, path, "2025-01-02 06:00:00", "r1",
+                                   now="2025-01-02 06:00:00")
+    # a late tx lands in hour 01; hour 00 is untouched and keeps its first run id
+    f2 = f1.unionByName(_facts(spark, [(4, "d", True, 1, "2025-01-02 01:20:00",
+                                        "2025-01-02 07:00:00")]))
+    out = models.run_core_metrics_hourly(spark, f2, path, "2025-01-02 07:30:00", "r2",
+                                         now="2025-01-02 07:30:00")
+    got = {str(r.block_timestamp_hour)[11:13]: (r.transaction_count, r.total_gas_used,
+                                                r._invocation_id) for r in out.collect()}
+    assert got == {"00": (1, 10, "r1"), "01": (2, 6, "r2"), "02": (1, 7, "r2")}
+    # nothing changed since: no run, table unchanged
+    same = models.run_core_metrics_hourly(spark, f2, path, "2025-01-02 09:00:00", "r3",
+                                          now="2025-01-02 09:00:00")
+    assert {r._invocation_id for r in same.collect()} == {"r1", "r2"}
+
+
+def test_priced_metrics_lookback(spark, tmp_dir):
+    mpath, epath = os.path.join(tmp_dir, "m"), os.path.join(tmp_dir, "ez")
+    f = _facts(spark, [(h, f"t{h}", True, 10, f"2025-01-02 {h:02d}:10:00",
+                        "2025-01-02 12:00:00") for h in range(10)])
+    prices = spark.createDataFrame([("cosmos", "2025-01-02 00:00:00", 2.0)],
+                                   "id string, t string, close double").select(
+        "id", F.to_timestamp_ntz("t").alias("recorded_hour"), "close")
+    m = models.run_core_metrics_hourly(spark, f, mpath, "2025-01-02 12:30:00", "r1",
+                                       now="2025-01-02 12:30:00")
+    ez = models.run_ez_metrics(spark, m, prices, "cosmos", epath, "2025-01-02 12:45:00",
+                               now="2025-01-02 12:45:00")
+    assert ez.count() == 10 and {r.total_fees_usd for r in ez.collect()} == {20.0}
+    f2 = f.unionByName(_facts(spark, [(99, "late", True, 5, "2025-01-02 08:30:00",
+                                       "2025-01-02 13:00:00")]))
+    m2 = models.run_core_metrics_hourly(spark, f2, mpath, "2025-01-02 13:30:00", "r2",
+                                        now="2025-01-02 13:30:00")
+    ez2 = models.run_ez_metrics(spark, m2, prices, "cosmos", epath, "2025-01-02 13:45:00",
+                                now="2025-01-02 13:45:00")
+    mod = {str(r.block_timestamp_hour)[11:13]: str(r.modified_timestamp)[11:16]
+           for r in ez2.collect()}
+    # recomputed from 4 h before the earliest changed hour (08 → 04)
+    assert [h for h, t in sorted(mod.items()) if t == "13:45"] == ["04", "05", "06", "07",
+                                                                   "08", "09"]
+    row8 = [r for r in ez2.collect() if str(r.block_timestamp_hour)[11:13] == "08"][0]
+    assert row8.total_fees_native == 15 and row8.total_fees_usd == 30.0
