@@ -117,3 +117,29 @@ def test_try_base64_decode_matches_strict_decoder(spark, vals):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
     got = {r.i: r.d for r in df.select("i", try_base64_decode("s").alias("d")).collect()}
     assert got == {i: _py_try_b64(v) for i, v in enumerate(vals)}
+
+
+def test_split_window_spreads_a_hot_key(spark):
+    """90% of rows on one key: the plain window puts them in one task, the
+    split window spreads them over the (key, bucket) partitions."""
+    n = 20000
+    df = spark.range(n).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.col("id") % 7)
+                               .otherwise(F.lit(-1)).alias("k"),
+                               (F.col("id") % 13 == 0).alias("f"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        def biggest(out):
+            # count the window's output column so the window is not pruned
+            return (out.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.count("x").alias("c")).agg(F.max("c")).first()[0])
+        plain = conditional_true_event(df, F.col("f"), "k", "id", "x")
+        split = conditional_true_event(df, F.col("f"), "k", "id", "x",
+                                       bucket=F.floor(F.col("id") / 1000))
+        assert biggest(plain) >= 0.9 * n
+        assert biggest(split) <= 0.35 * n
+        assert _rows(plain, ["id", "x"]) == _rows(split, ["id", "x"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
