@@ -49,7 +49,8 @@ def choose_scan(spark: SparkSession, path: str, is_incremental: bool, days: int
                 now=None, segment: int = -1) -> DataFrame:
     """The incremental view when the target exists, else the full scan."""
     if is_incremental:
-        return scan_recent(spark, path, days, now or dt.datetime.utcnow(), segment)
+        return scan_recent(spark, path, days,
+                           now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), segment)
     return scan_all(spark, path, segment)
 
 
