@@ -38,3 +38,37 @@ def test_file_meta_projection_and_batch_bound(spark):
     assert [r.block_id for r in restrict_to_batch(recs, batch).collect()] == [20]
     t = recs.withColumn("modified_timestamp", F.col("block_id"))
     assert t.where(changed_since(t)).count() == 1
+
+
+def _scan_metrics(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if "Scan" in node.nodeName():
+            ms = node.metrics()
+            return {k: ms.apply(k).value() for k in ("numFiles", "numOutputRows")}
+        it = node.children().iterator()
+        while it.hasNext():
+            stack.append(it.next())
+    return {}
+
+
+def test_file_time_watermark_prunes_files(spark, tmp_dir):
+    import datetime as dt
+    import json
+    import os
+    import time
+
+    from ledgerline.operators import since
+    from ledgerline.sources.files import scan_all
+    for i in range(3):
+        p = os.path.join(tmp_dir, f"{i}_x.json")
+        with open(p, "w") as f:
+            f.write(json.dumps({"value": {"BLOCK_ID": i}, "data": {}}) + "\n")
+        os.utime(p, (time.time() - 3600 * (3 - i),) * 2)
+    mark = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(minutes=90)
+    q = since(scan_all(spark, tmp_dir), "inserted_timestamp", mark)
+    assert q.count() == 1
+    q.collect()
+    assert _scan_metrics(q)["numFiles"] == 1      # older files are never opened
