@@ -18,7 +18,7 @@ from ..functions.variant import (no_error, not_empty_array, parse_or_text, vget,
                                  vget_first, vsize, vstring)
 from ..operators.aggregates import ordered_struct_agg
 from ..operators.incremental import with_audit
-from ..operators.windows import conditional_true_event, latest_by_key
+from ..operators.windows import latest_by_key
 
 HEADER_PATHS = ("result.block.header", "block.header")
 
@@ -98,7 +98,7 @@ def flatten_events(txs: DataFrame) -> DataFrame:
 
 
 def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
-    """X1 message grouping in two window passes over one partitioning.
+    """X1 message grouping, two window passes over one sort.
 
     ``msg_group``: running count of *action* events (first attribute key is
     ``action``, base64 or plain) minus one, NULL before the first action (W3).
@@ -108,11 +108,16 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
     group is NULL. ``strict_compat`` reproduces the original rule that reads
     a plain-text key in place of the value (D7).
 
-    The W4 rank + W5 look-ahead fill of the original collapse into one pass:
-    the next marker at or after a row is numbered by the markers strictly
-    before it, provided the group has more markers than that. Exec flag,
-    running marker count and marker total share one window spec (one sort);
-    both passes ride on the (block_id, tx_id) partitioning of the input."""
+    Every group starts at its action event, so the group-level quantities of
+    the original (exec flag per group, RANK of markers, look-ahead fill) are
+    read off transaction-level running values: the exec flag is the latest
+    action's; markers before a row in its group = running module count minus
+    the count at the group's start; the group's marker total = the count at
+    the next action (or the transaction's end). The next marker at or after a
+    row is numbered by the markers before it, if the group has more. Both
+    passes share the (block_id, tx_id) partitioning and ``msg_index`` order,
+    so the event rows are shuffled once (by the upstream dedupe) and sorted
+    once."""
     from ..functions.text import try_base64_decode
     k0 = vget("msg", "attributes[0].key")
     v0 = vget("msg", "attributes[0].value")
@@ -121,24 +126,36 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
         value = F.when(try_base64_decode(k0).isNull(), k0).otherwise(value)
     ev = events.select("*", vget("msg", "type").alias("msg_type"), key.alias("__key"),
                        value.alias("__value"))
-    ev = conditional_true_event(ev, F.col("__key") == "action", TX_KEY, "msg_index", "__cte")
-    ev = ev.withColumn("msg_group", F.nullif(F.col("__cte") - 1, F.lit(-1)).cast("bigint"))
-    exec_row = ((F.col("msg_type") == "message") & (F.col("__key") == "action")
-                & contains_ci("__value", "exec"))
+    act = F.coalesce(F.col("__key") == "action", F.lit(False))
+    exec_row = F.coalesce((F.col("msg_type") == "message") & act
+                          & contains_ci("__value", "exec"), F.lit(False))
     modmsg = F.coalesce((F.col("__key") == "module") & (F.col("msg_type") == "message"),
                         F.lit(False)).cast("bigint")
-    ev = ev.withColumn("__mm", modmsg)
-    g = Window.partitionBy(*TX_KEY, "msg_group").orderBy("msg_index")
-    whole = g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = g.rowsBetween(Window.unboundedPreceding, 0)
+    ev = ev.select("*", act.alias("__act"), exec_row.cast("int").alias("__xr"),
+                   modmsg.alias("__mm"))
+    w = Window.partitionBy(*TX_KEY).orderBy("msg_index")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = w.rowsBetween(1, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # pass 1: running action count, running module count, latest action's flag
     ev = ev.select("*",
-                   F.max(F.coalesce(exec_row, F.lit(False)).cast("int")).over(whole).alias("__ex"),
-                   F.sum("__mm").over(upto).alias("__incl"),
-                   F.sum("__mm").over(whole).alias("__tot"))
-    before = F.col("__incl") - F.col("__mm")
-    sub = F.when((F.col("__ex") == 1) & (F.col("__tot") > before), before).otherwise(F.lit(0))
-    return ev.withColumn("msg_sub_group",
-                         F.when(F.col("msg_group").isNotNull(), sub).cast("bigint"))
+                   F.sum(F.col("__act").cast("bigint")).over(upto).alias("__cte"),
+                   F.sum("__mm").over(upto).alias("__r"),
+                   F.last(F.when(F.col("__act"), F.col("__xr")), ignorenulls=True).over(upto)
+                    .alias("__ex"))
+    # pass 2 (same spec, no new sort): module count at this group's start and
+    # at the next group's start (= this group's end)
+    ev = ev.select("*",
+                   F.last(F.when(F.col("__act"), F.col("__r")), ignorenulls=True).over(upto)
+                    .alias("__base"),
+                   F.coalesce(F.first(F.when(F.col("__act"), F.col("__r")), ignorenulls=True)
+                              .over(ahead), F.max("__r").over(whole)).alias("__end"))
+    group = F.nullif(F.col("__cte") - 1, F.lit(-1)).cast("bigint")
+    before = F.col("__r") - F.col("__mm") - F.col("__base")
+    total = F.col("__end") - F.col("__base")
+    sub = F.when((F.col("__ex") == 1) & (total > before), before).otherwise(F.lit(0))
+    return ev.withColumn("msg_group", group).withColumn(
+        "msg_sub_group", F.when(F.col("msg_group").isNotNull(), sub).cast("bigint"))
 
 
 def silver_msgs(txs: DataFrame, strict_compat: bool = False, run_ts=None,
