@@ -198,47 +198,61 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
     Succeeded txs with an object-shaped log: entries → events → attributes,
     regrouped by (msg_index, event_type) with a missing msg_index read as 0
     and a missing value as ''; attributes keep their position order, events
-    are ordered by (msg_index, event_type). Failed txs with a log get one
-    synthetic ``error`` event holding the raw text. Newest landing per tx.
-    Both groupings contain (block_id, tx_id), the partitioning the upstream
-    dedupe already produced, so they add no shuffle of their own."""
-    # object-shaped logs only (an object converts to a map, anything else to
-    # NULL, which explodes to no rows); arrays too with ``accept_arrays``
-    ok = txs.where(F.col("tx_log").isNotNull() & F.col("tx_succeeded"))
-    as_map = F.try_variant_get("tx_log", "$", "map<string,variant>")
+    are ordered by (msg_index, event_type); empty/NULL arrays at any level
+    drop out (inner flatten), and a tx left with no event is dropped. Failed
+    txs with a log get one synthetic ``error`` event holding the raw text.
+    Newest landing per tx.
+
+    One pass: both kinds flow through the same outer explodes (a failed tx
+    explodes nothing) and the same two aggregates, whose keys contain
+    (block_id, tx_id) — the partitioning the upstream dedupe produced — so
+    neither aggregate shuffles and the transactions are read once."""
+    base = txs.where(F.col("tx_log").isNotNull())
+    ok = F.col("tx_succeeded")
+    as_map = F.when(ok, F.try_variant_get("tx_log", "$", "map<string,variant>"))
     entries = F.transform(F.map_entries(as_map),
                           lambda e: F.struct(F.coalesce(e["key"].try_cast("int"), F.lit(0))
                                               .alias("pos"), e["value"].alias("entry")))
     if accept_arrays:
-        as_arr = F.try_variant_get("tx_log", "$", "array<variant>")
+        as_arr = F.when(ok, F.try_variant_get("tx_log", "$", "array<variant>"))
         entries = F.coalesce(entries, F.transform(
             as_arr, lambda x, i: F.struct(i.alias("pos"), x.alias("entry"))))
-    e1 = ok.select(*LOG_TX_COLS, F.explode(entries).alias("__e"))
-    e2 = e1.select(*LOG_TX_COLS, F.col("__e.pos").alias("__epos"),
+    # the raw log is kept only where it is the output (failed txs)
+    e1 = base.select(*LOG_TX_COLS, F.when(~ok, F.col("tx_log")).alias("tx_log"),
+                     F.explode_outer(entries).alias("__e"))
+    e2 = e1.select(*LOG_TX_COLS, "tx_log", F.col("__e.pos").alias("__epos"),
                    F.coalesce(vget("__e.entry", "msg_index", "int"), F.lit(0)).alias("msg_index"),
-                   F.posexplode(F.try_variant_get("__e.entry", "$.events", "array<variant>"))
-                    .alias("__vpos", "__ev"))
-    e3 = e2.select(*LOG_TX_COLS, "__epos", "msg_index", "__vpos",
+                   F.posexplode_outer(F.try_variant_get("__e.entry", "$.events",
+                                                        "array<variant>")).alias("__vpos", "__ev"))
+    e3 = e2.select(*LOG_TX_COLS, "tx_log", "__epos", "msg_index", "__vpos",
                    vget("__ev", "type").alias("event_type"),
-                   F.posexplode(F.try_variant_get("__ev", "$.attributes", "array<variant>"))
+                   F.posexplode_outer(F.try_variant_get("__ev", "$.attributes", "array<variant>"))
                     .alias("__apos", "__a"))
-    e3 = e3.select(*LOG_TX_COLS, "__epos", "msg_index", "__vpos", "event_type", "__apos",
-                   vget("__a", "key").alias("key"),
-                   F.coalesce(vget("__a", "value"), F.lit("")).alias("value"))
+    attr = F.when(F.col("__a").isNotNull(), F.struct(
+        F.col("__epos").alias("s0"), F.col("__vpos").alias("s1"), F.col("__apos").alias("s2"),
+        vget("__a", "key").alias("key"),
+        F.coalesce(vget("__a", "value"), F.lit("")).alias("value")))
     per_event = e3.groupBy(*LOG_TX_COLS, "msg_index", "event_type").agg(
-        ordered_struct_agg(["__epos", "__vpos", "__apos"], {"key": "key", "value": "value"})
+        F.first("tx_log").alias("tx_log"),
+        F.transform(F.sort_array(F.collect_list(attr)),
+                    lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
         .alias("attributes"))
+    per_event = per_event.where((F.size("attributes") > 0) | ~ok)
+    event = F.when(ok, F.struct(F.col("msg_index").alias("s0"), F.col("event_type").alias("s1"),
+                                F.col("msg_index").alias("msg_index"),
+                                F.col("event_type").alias("event_type"),
+                                F.col("attributes").alias("attributes")))
     per_tx = per_event.groupBy(*LOG_TX_COLS).agg(
-        ordered_struct_agg(["msg_index", "event_type"],
-                           {"msg_index": "msg_index", "event_type": "event_type",
-                            "attributes": "attributes"}).alias("tx_log"))
-    failed = txs.where(~F.col("tx_succeeded") & F.col("tx_log").isNotNull()).select(
-        *LOG_TX_COLS,
-        F.array(F.struct(F.lit(0).alias("msg_index"), F.lit("error").alias("event_type"),
-                         F.array(F.struct(F.lit("error_message").alias("key"),
-                                          vstring("tx_log").alias("value"))).alias("attributes")))
-        .alias("tx_log"))
-    both = per_tx.unionByName(failed)
+        F.first("tx_log").alias("__raw"),
+        F.transform(F.sort_array(F.collect_list(event)), lambda x: F.struct(
+            x["msg_index"].alias("msg_index"), x["event_type"].alias("event_type"),
+            x["attributes"].alias("attributes"))).alias("__events"))
+    failed_log = F.array(F.struct(
+        F.lit(0).alias("msg_index"), F.lit("error").alias("event_type"),
+        F.array(F.struct(F.lit("error_message").alias("key"),
+                         vstring("__raw").alias("value"))).alias("attributes")))
+    both = per_tx.select(*LOG_TX_COLS, F.when(ok, F.col("__events")).otherwise(failed_log)
+                         .alias("tx_log"))
     out = latest_by_key(both, ["tx_id"], [F.col("_inserted_timestamp").desc(),
                                           F.col("block_id").desc()])
     out = out.select("block_id", "block_timestamp", "tx_id", "tx_succeeded", "tx_code",
