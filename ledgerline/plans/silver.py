@@ -16,7 +16,6 @@ from ..functions.text import contains_ci, decode_or_keep, surrogate_key
 from ..functions.time import parse_block_ts
 from ..functions.variant import (no_error, not_empty_array, parse_or_text, vget,
                                  vget_first, vsize, vstring)
-from ..operators.aggregates import ordered_struct_agg
 from ..operators.incremental import with_audit
 from ..operators.windows import latest_by_key
 
