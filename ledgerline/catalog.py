@@ -310,8 +310,20 @@ import inspect as _inspect  # noqa: E402
 _GEN_VERSION = _hashlib.sha1(_inspect.getsource(D).encode()).hexdigest()[:12]
 
 
+def _input_stamp(spark, sf):
+    """Size + modification time of the source tables: regenerated inputs at
+    the same path get a fresh landing."""
+    jvm = spark._jvm
+    parts = []
+    for t in ("orders", "lineitem"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{t}.parquet")
+        st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+        parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(parts)
+
+
 def landed(spark, name, sf, build):
-    return _landed(spark, name, sf, build, version=_GEN_VERSION)
+    return _landed(spark, name, f"{sf}|{_input_stamp(spark, sf)}", build, version=_GEN_VERSION)
 
 
 def _bronze_blocks(spark, sf):
