@@ -64,7 +64,7 @@ def tx_count_complete(bronze_tx_counts: DataFrame) -> DataFrame:
         "file_name", "inserted_timestamp").where(F.col("block_id").isNotNull())
     df = latest_by_key(df, ["block_id"], [F.col("inserted_timestamp").desc(),
                                           F.col("file_name").desc()])
-    return df.withColumn("complete_tx_count_id", surrogate_key("block_id"))
+    return df.withColumn("complete_tx_counts_id", surrogate_key("block_id"))
 
 
 def transactions_complete(bronze_txs: DataFrame) -> DataFrame:

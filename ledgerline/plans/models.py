@@ -117,8 +117,12 @@ def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, no
         min_hour = min_changed_period(fact_txs, "block_timestamp", "modified_timestamp", last)
         if min_hour is None:
             return target
-    m = stats.hourly_metrics(fact_txs, now=now, min_hour=min_hour)
-    m = stats.with_metrics_key(m).withColumn("_inserted_timestamp", ts_lit(run_ts))
+    has_mod = "modified_timestamp" in fact_txs.columns
+    m = stats.hourly_metrics(fact_txs, now=now, min_hour=min_hour,
+                             modified="modified_timestamp" if has_mod else None)
+    m = stats.with_metrics_key(m)
+    if not has_mod:
+        m = m.withColumn("_inserted_timestamp", ts_lit(run_ts))
     m = m.select(*m.columns, ts_lit(run_ts).alias("inserted_timestamp"),
                  ts_lit(run_ts).alias("modified_timestamp"), F.lit(run_id).alias("_invocation_id"))
     m = m.withColumn(DATE_KEY, cluster_value("block_timestamp_hour"))
@@ -141,8 +145,10 @@ def run_ez_metrics(spark, metrics: DataFrame, prices: DataFrame, asset_id: str,
                                       lookback_hours=4,
                                       default=dt.datetime.fromisoformat(default_start))
     priced = stats.metrics_with_price(metrics, prices, asset_id, now=now, min_hour=min_hour)
-    ez = stats.ez_metrics(priced).select("*", ts_lit(run_ts).alias("inserted_timestamp"),
-                                         ts_lit(run_ts).alias("modified_timestamp"))
+    ez = stats.ez_metrics(priced)            # inserted/modified inherited from the stats rows
+    if "modified_timestamp" not in ez.columns:
+        ez = ez.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
+                       ts_lit(run_ts).alias("modified_timestamp"))
     ez = ez.withColumn(DATE_KEY, cluster_value("block_timestamp_hour"))
     if target is None:
         ez.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)

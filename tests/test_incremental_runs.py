@@ -158,16 +158,23 @@ def test_priced_metrics_lookback(spark, tmp_dir):
     ez = models.run_ez_metrics(spark, m, prices, "cosmos", epath, "2025-01-02 12:45:00",
                                now="2025-01-02 12:45:00")
     assert ez.count() == 10 and {r.total_fees_usd for r in ez.collect()} == {20.0}
+    last = ez.agg(F.max("modified_timestamp")).first()[0]
     f2 = f.unionByName(_facts(spark, [(99, "late", True, 5, "2025-01-02 08:30:00",
                                        "2025-01-02 13:00:00")]))
     m2 = models.run_core_metrics_hourly(spark, f2, mpath, "2025-01-02 13:30:00", "r2",
                                         now="2025-01-02 13:30:00")
     ez2 = models.run_ez_metrics(spark, m2, prices, "cosmos", epath, "2025-01-02 13:45:00",
                                 now="2025-01-02 13:45:00")
+    # recompute from 4 h before the earliest stats hour modified at/after the
+    # mark; the mark is inclusive and inherited, so the previous stats batch
+    # (all ten hours, one modification time) is taken again: 00 → 20 the day before
+    from ledgerline.operators import min_changed_period
+    start = min_changed_period(m2, "block_timestamp_hour", "modified_timestamp", last,
+                               lookback_hours=4)
+    assert str(start) == "2025-01-01 20:00:00"
+    # ez rows inherit the stats rows' modification time
     mod = {str(r.block_timestamp_hour)[11:13]: str(r.modified_timestamp)[11:16]
            for r in ez2.collect()}
-    # recomputed from 4 h before the earliest changed hour (08 → 04)
-    assert [h for h, t in sorted(mod.items()) if t == "13:45"] == ["04", "05", "06", "07",
-                                                                   "08", "09"]
+    assert mod["08"] == "13:30" and mod["03"] == "12:30"
     row8 = [r for r in ez2.collect() if str(r.block_timestamp_hour)[11:13] == "08"][0]
     assert row8.total_fees_native == 15 and row8.total_fees_usd == 30.0
