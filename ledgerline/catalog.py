@@ -831,3 +831,43 @@ def q_worklist_batches(spark, sf):
     done = SL.blocks_complete(_bronze_blocks(spark, sf))
     wl = SL.pending_blocks(_wanted(spark, sf), done)
     return SL.with_batches(wl, "block_id", 50).select("partition_key", "block_id", "batch_id")
+
+
+# ===================================================================
+# Table test-suite over the chain tables
+# ===================================================================
+from .plans.checks import silver_checks  # noqa: E402
+
+
+@register("silver_checks", f"""
+with {_L},
+blk as (select o_orderkey as k, o_custkey, o_orderstatus from orders where o_orderkey % 97 <> 0),
+seq as (select k, lag(k) over (order by k) as pk from blk),
+t as (select * from L)
+select 'sequential_values' as check_name, 'silver_blocks' as tbl, 'block_id' as col,
+       count(*) filter (where pk is not null and k - pk <> 1) as failures, cast(100 as bigint) as threshold,
+       case when count(*) filter (where pk is not null and k - pk <> 1) > 100 then 'error' else 'pass' end as status
+from seq
+union all
+select 'not_null', 'silver_blocks', c, n, 0, case when n > 0 then 'error' else 'pass' end
+from (select 'block_id' as c, count(*) filter (where k is null) as n from blk
+      union all select 'block_timestamp', cast(0 as bigint)
+      union all select 'proposer_address', count(*) filter (where o_custkey is null) from blk
+      union all select 'validator_hash', count(*) filter (where o_orderstatus is null) from blk) x
+union all
+select 'expression_is_true', 'silver_blocks', 'tx_count >= 0', 0, 0, 'pass'
+union all
+select 'unique', 'silver_blocks', 'blocks_id', count(*), 0, case when count(*) > 0 then 'error' else 'pass' end
+from (select o_orderstatus, k from blk group by 1, 2 having count(*) > 1) u
+union all
+select 'not_null', 'silver_transactions', c, n, 0, case when n > 0 then 'error' else 'pass' end
+from (select 'block_id' as c, count(*) filter (where l_orderkey is null) as n from t
+      union all select 'block_timestamp', count(*) filter (where l_shipdate is null) from t
+      union all select 'tx_id', cast(0 as bigint)) y
+union all
+select 'unique', 'silver_transactions', 'transactions_id', count(*), 0,
+       case when count(*) > 0 then 'error' else 'pass' end
+from (select l_orderkey, l_linenumber from t group by 1, 2 having count(*) > 1) v
+""")
+def q_silver_checks(spark, sf):
+    return silver_checks(S.silver_blocks(_bronze_blocks(spark, sf)), _silver_txs(spark, sf))

@@ -72,3 +72,14 @@ def test_file_time_watermark_prunes_files(spark, tmp_dir):
     assert q.count() == 1
     q.collect()
     assert _scan_metrics(q)["numFiles"] == 1      # older files are never opened
+
+
+def test_gold_recency_suite(spark):
+    from ledgerline.plans.checks import gold_recency
+    fresh = spark.createDataFrame([("2025-01-02 10:00:00",)], "t string").select(
+        F.to_timestamp_ntz("t").alias("modified_timestamp"))
+    stale = spark.createDataFrame([("2025-01-02 05:00:00",)], "t string").select(
+        F.to_timestamp_ntz("t").alias("modified_timestamp"))
+    got = {r.tbl: r.status for r in gold_recency({"fact_blocks": fresh, "fact_msgs": stale},
+                                                 "2025-01-02 11:00:00").collect()}
+    assert got == {"fact_blocks": "pass", "fact_msgs": "error"}
