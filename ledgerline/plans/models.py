@@ -280,3 +280,36 @@ def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
                      hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
                      preserve=["inserted_timestamp"])
+
+
+def run_tx_count_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+    """complete_tx_counts ledger, first-insert time kept."""
+    src = choose_scan(spark, bronze_root, False)
+    return run_merge(spark, src, path, ["complete_tx_counts_id"], "inserted_timestamp",
+                     run_ts, "", transform=lambda d: fetching.tx_count_complete(d)
+                     .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
+                     hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
+                     preserve=["inserted_timestamp"])
+
+
+def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_done: DataFrame,
+                  pages_done: DataFrame, out_root: str, limit: int = fetching.DEFAULT_LIMIT,
+                  batch_size: int = fetching.BLOCKS_PER_HOUR, page_size: int = fetching.PAGE_SIZE
+                  ) -> dict:
+    """One planning run: chain head → wanted heights → the three work-lists
+    (blocks, tx counts, transaction pages), each published for the fetcher.
+    Returns the number of requests written per list."""
+    from ..sources.sinks import write_worklist
+    wanted = fetching.wanted_blocks(spark, fetching.chainhead(status))
+    lists = {
+        "blocks": (fetching.pending_blocks(wanted, blocks_done, limit), "block_id"),
+        "tx_counts": (fetching.pending_tx_counts(wanted, tx_counts_done, limit), "block_id"),
+        "transactions": (fetching.pending_tx_pages(blocks_done, pages_done, page_size, limit),
+                         "block_id_requested"),
+    }
+    counts = {}
+    for name, (wl, order) in lists.items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        write_worklist(wl, path, order, batch_size)
+        counts[name] = spark.read.json(path).count()
+    return counts

@@ -178,3 +178,19 @@ def test_priced_metrics_lookback(spark, tmp_dir):
     assert mod["08"] == "13:30" and mod["03"] == "12:30"
     row8 = [r for r in ez2.collect() if str(r.block_timestamp_hour)[11:13] == "08"][0]
     assert row8.total_fees_native == 15 and row8.total_fees_usd == 30.0
+
+
+def test_planning_run_publishes_worklists(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "blocks")
+    os.makedirs(land)
+    _land(land, "1_a.json", [_block(h) for h in (0, 1, 2, 4)], time.time() - 100)
+    ledger = models.run_blocks_complete(spark, land, os.path.join(tmp_dir, "ledger"),
+                                        "2025-01-03 00:00:00")
+    status = spark.createDataFrame([('{"result":{"sync_info":{"latest_block_height":"6"}}}',)],
+                                   "j string").select(F.parse_json("j").alias("data"))
+    tx_done = spark.createDataFrame([(0,), (1,)], "block_id bigint")
+    pages_done = spark.createDataFrame([(1, 1)], "block_id bigint, page_number bigint")
+    counts = models.run_worklists(spark, status, ledger, tx_done, pages_done,
+                                  os.path.join(tmp_dir, "wl"), batch_size=2)
+    # blocks 3, 5, 6 missing; tx counts for 2..6; pages: blocks 2 and 4 (1 has its page)
+    assert counts == {"blocks": 3, "tx_counts": 5, "transactions": 2}
