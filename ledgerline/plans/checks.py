@@ -14,6 +14,8 @@ from ..operators import quality as Q
 # The configured test parameters of the chain tables.
 BLOCK_SEQUENCE_BREAKS_ALLOWED = 100
 GOLD_RECENCY_HOURS = 3
+SOURCE_WARN_HOURS = 2
+SOURCE_ERROR_HOURS = 4
 
 
 def silver_checks(blocks: DataFrame, txs: DataFrame, msgs: DataFrame | None = None,
@@ -47,3 +49,11 @@ def gold_recency(facts: dict[str, DataFrame], now, hours: int = GOLD_RECENCY_HOU
     """Every gold fact was modified within the last ``hours`` (error)."""
     return Q.run_checks(*[Q.recency(df, name, "modified_timestamp", now, hours=hours)
                           for name, df in facts.items()])
+
+
+def source_freshness_checks(feeds: dict[str, DataFrame], now,
+                            column: str = "inserted_timestamp") -> DataFrame:
+    """Bronze feeds: newest landed record older than 2 h warns, 4 h errors."""
+    return Q.run_checks(*[Q.source_freshness(df, name, column, now, SOURCE_WARN_HOURS,
+                                             SOURCE_ERROR_HOURS)
+                          for name, df in feeds.items()])

@@ -83,3 +83,15 @@ def test_gold_recency_suite(spark):
     got = {r.tbl: r.status for r in gold_recency({"fact_blocks": fresh, "fact_msgs": stale},
                                                  "2025-01-02 11:00:00").collect()}
     assert got == {"fact_blocks": "pass", "fact_msgs": "error"}
+
+
+def test_source_freshness_suite(spark):
+    from ledgerline.plans.checks import source_freshness_checks
+
+    def feed(t):
+        return spark.createDataFrame([(t,)], "t string").select(
+            F.to_timestamp_ntz("t").alias("inserted_timestamp"))
+    got = {r.tbl: r.status for r in source_freshness_checks(
+        {"blocks": feed("2025-01-02 10:00:00"), "transactions": feed("2025-01-02 08:30:00"),
+         "tx_count": feed("2025-01-02 06:00:00")}, "2025-01-02 11:00:00").collect()}
+    assert got == {"blocks": "pass", "transactions": "warn", "tx_count": "error"}
