@@ -55,12 +55,18 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.parquet(path)
 
 
-def _stage(spark: SparkSession, df: DataFrame) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` once to a fresh folder in the shared
+    checkpoint folder and read it back (survives executor loss; unlike
+    ``checkpoint()`` without persist, the plan is computed once)."""
     p = f"{checkpoint_dir(spark)}/staging/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(p)
     return spark.read.parquet(p)
 
 
+_stage = stage
+
+
 def _touched(target: DataFrame, batch: DataFrame, partition_col: str) -> DataFrame:
     return target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
 
