@@ -313,3 +313,45 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
         write_worklist(wl, path, order, batch_size)
         counts[name] = spark.read.json(path).count()
     return counts
+
+
+def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, run_id: str,
+              now, prices: DataFrame | None = None, asset_id: str = "cosmos",
+              blockchain: str = "cosmos") -> dict:
+    """One scheduled run of every model in dependency order (bronze folders
+    ``<landing_root>/{blocks,transactions}``, tables under ``warehouse``):
+    silver blocks / transactions → messages → attributes, logs → gold facts →
+    hourly metrics (→ priced metrics when ``prices`` is given) → audits → the
+    silver test-suite. Returns the result DataFrames by name."""
+    from . import checks
+    w = warehouse.rstrip("/")
+    out = {}
+    out["silver_blocks"] = run_silver_blocks(spark, f"{landing_root}/blocks", f"{w}/silver_blocks",
+                                             run_ts, run_id, blockchain=blockchain)
+    out["silver_transactions"] = run_silver_transactions(
+        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id)
+    out["silver_msgs"] = run_silver_msgs(spark, out["silver_transactions"], f"{w}/silver_msgs",
+                                         run_ts, run_id)
+    out["silver_msg_attributes"] = run_silver_msg_attributes(
+        spark, out["silver_msgs"], f"{w}/silver_msg_attributes", run_ts, run_id)
+    out["silver_transactions_logs"] = run_silver_transactions_logs(
+        spark, out["silver_transactions"], f"{w}/silver_transactions_logs", run_ts, run_id)
+    sources = {"fact_blocks": "silver_blocks", "fact_transactions": "silver_transactions",
+               "fact_msgs": "silver_msgs", "fact_msg_attributes": "silver_msg_attributes"}
+    for fact, src in sources.items():
+        out[fact] = run_fact(spark, fact, out[src], f"{w}/{fact}", run_ts, run_id)
+    out["core_metrics_hourly"] = run_core_metrics_hourly(
+        spark, out["fact_transactions"], f"{w}/core_metrics_hourly", run_ts, run_id, now)
+    if prices is not None:
+        out["ez_core_metrics_hourly"] = run_ez_metrics(
+            spark, out["core_metrics_hourly"], prices, asset_id, f"{w}/ez_core_metrics_hourly",
+            run_ts, now)
+    out["blocks_completeness"] = run_blocks_audit(spark, out["fact_blocks"],
+                                                  f"{w}/blocks_completeness", run_ts, now)
+    out["transactions_completeness"] = run_transactions_audit(
+        spark, out["fact_blocks"], out["fact_transactions"], f"{w}/transactions_completeness",
+        run_ts, now)
+    out["silver_checks"] = checks.silver_checks(out["silver_blocks"], out["silver_transactions"],
+                                                out["silver_msgs"], out["silver_msg_attributes"],
+                                                out["silver_transactions_logs"])
+    return out
