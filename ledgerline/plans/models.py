@@ -101,7 +101,7 @@ def run_silver_msgs(spark, txs: DataFrame, path, run_ts, run_id, lookback_days:
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     src = since(txs, "_inserted_timestamp", hwm, lookback_days=lookback_days, by_date=True)
-    out = silver.silver_msgs(src, run_ts=run_ts, run_id=run_id)
+    out = silver.silver_msgs(src, run_ts=run_ts, run_id=run_id, partition_input=True)
     _write(spark, path, out, ["msgs_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)
 
@@ -251,7 +251,8 @@ def run_silver_msg_attributes(spark, msgs: DataFrame, path, run_ts, run_id,
 
 def run_silver_transactions_logs(spark, txs: DataFrame, path, run_ts, run_id) -> DataFrame:
     return run_merge(spark, txs, path, ["tx_id"], "block_timestamp", run_ts, run_id,
-                     transform=lambda d: silver.normalize_logs(d, run_ts=run_ts, run_id=run_id),
+                     transform=lambda d: silver.normalize_logs(d, run_ts=run_ts, run_id=run_id,
+                                                               partition_input=True),
                      hwm_col="_inserted_timestamp", sort_by=("block_timestamp", "tx_id"))
 
 

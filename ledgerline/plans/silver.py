@@ -158,7 +158,12 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
 
 
 def silver_msgs(txs: DataFrame, strict_compat: bool = False, run_ts=None,
-                run_id: str | None = None) -> DataFrame:
+                run_id: str | None = None, partition_input: bool = False) -> DataFrame:
+    """Messages of each transaction with their groups. ``partition_input``:
+    hash a stored (unpartitioned) transactions table on (block_id, tx_id)
+    before flattening, so the message windows need no shuffle of events."""
+    if partition_input:
+        txs = txs.repartition(*TX_KEY)
     g = msg_groups(flatten_events(txs), strict_compat)
     out = g.select(*TX_COLS, "msg_group", "msg_sub_group", F.col("msg_index").cast("int"),
                    "msg_type", "msg", surrogate_key("tx_id", "msg_index").alias("msgs_id"),
@@ -190,7 +195,7 @@ LOG_TX_COLS = ["block_id", "block_timestamp", "tx_id", "tx_succeeded", "tx_code"
 
 
 def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
-                   run_id: str | None = None) -> DataFrame:
+                   run_id: str | None = None, partition_input: bool = False) -> DataFrame:
     """Per transaction, an ordered array of events
     ``{msg_index, event_type, attributes[{key, value}]}``.
 
@@ -205,8 +210,14 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
     One pass: both kinds flow through the same outer explodes (a failed tx
     explodes nothing) and the same two aggregates, whose keys contain
     (block_id, tx_id) — the partitioning the upstream dedupe produced — so
-    neither aggregate shuffles and the transactions are read once."""
+    neither aggregate shuffles and the transactions are read once. For a
+    stored (unpartitioned) input pass ``partition_input=True``: the
+    transactions are hashed on (block_id, tx_id) before exploding."""
     base = txs.where(F.col("tx_log").isNotNull())
+    if partition_input:
+        # a stored table has no partitioning: hash the (narrow) transactions
+        # once so both aggregates below run without shuffling exploded rows
+        base = base.repartition(*TX_KEY)
     ok = F.col("tx_succeeded")
     as_map = F.when(ok, F.try_variant_get("tx_log", "$", "map<string,variant>"))
     entries = F.transform(F.map_entries(as_map),
