@@ -45,3 +45,16 @@ def test_scans_prune_columns(spark):
     plan = _plan(spark, "count_mismatch")
     schemas = re.findall(r"ReadSchema: (struct<[^ ]*>)", plan)
     assert schemas and all(s.count(":") == 1 for s in schemas)   # one column per side
+
+
+def test_runner_path_shuffles_transactions_not_exploded_rows(spark, tmp_dir):
+    from ledgerline.catalog import _silver_txs
+    from ledgerline.plans import silver
+    path = f"{tmp_dir}/silver_txs"
+    _silver_txs(spark, SF_SMALL).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for df, want in ((silver.silver_msgs(stored, partition_input=True), 1),
+                     (silver.normalize_logs(stored, partition_input=True), 2)):
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert _shuffles(plan) == want
