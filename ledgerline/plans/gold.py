@@ -20,7 +20,8 @@ FACT_KEYS = {
 
 
 def _audit(df, run_ts, run_id):
-    return df if run_ts is None else with_audit(df, run_ts, run_id or "")
+    from .docs import document
+    return document(df if run_ts is None else with_audit(df, run_ts, run_id or ""))
 
 
 def fact_blocks(silver_blocks: DataFrame, run_ts=None, run_id=None) -> DataFrame:

@@ -95,3 +95,17 @@ def test_source_freshness_suite(spark):
         {"blocks": feed("2025-01-02 10:00:00"), "transactions": feed("2025-01-02 08:30:00"),
          "tx_count": feed("2025-01-02 06:00:00")}, "2025-01-02 11:00:00").collect()}
     assert got == {"blocks": "pass", "transactions": "warn", "tx_count": "error"}
+
+
+def test_gold_columns_carry_comments(spark, tmp_dir):
+    from ledgerline.plans import gold
+    df = spark.createDataFrame([(1, "t", True)], "block_id bigint, tx_id string, "
+                               "tx_succeeded boolean").select(
+        "block_id", F.lit(None).cast("timestamp_ntz").alias("block_timestamp"), "tx_id",
+        "tx_succeeded", F.lit(0).alias("tx_code"), F.lit("").alias("codespace"),
+        F.lit(None).cast("string").alias("tx_log"), F.lit(1).cast("bigint").alias("gas_used"),
+        F.lit(2).cast("bigint").alias("gas_wanted"))
+    f = gold.fact_transactions(df)
+    f.write.parquet(f"{tmp_dir}/ft")
+    back = spark.read.parquet(f"{tmp_dir}/ft").schema
+    assert back["tx_id"].metadata["comment"] == "Transaction hash."
