@@ -313,7 +313,9 @@ _GEN_VERSION = _hashlib.sha1(_inspect.getsource(D).encode()).hexdigest()[:12]
 def _input_stamp(spark, sf):
     """Size + modification time of the source tables: regenerated inputs at
     the same path get a fresh landing."""
-    jvm = spark._jvm
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:                          # no JVM gateway (Spark Connect)
+        return ""
     parts = []
     for t in ("orders", "lineitem"):
         p = jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{t}.parquet")

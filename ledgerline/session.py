@@ -55,7 +55,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` as the cluster names it; only when it is
     unset (local tests) a fresh temporary folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                        # Spark Connect: no SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d.rstrip("/")
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
         if not sc.getCheckpointDir():

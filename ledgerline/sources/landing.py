@@ -19,14 +19,28 @@ from ..session import checkpoint_dir
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
+    """Hadoop FileSystem + Path through the JVM gateway; None on sessions
+    without one (Spark Connect), where callers fall back to plain reads."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None, None
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _readable(spark: SparkSession, path: str, fmt: str) -> bool:
+    try:
+        spark.read.format(fmt).load(path).limit(0).collect()
+        return True
+    except Exception:  # missing / empty path
+        return False
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """A landed table is complete once its ``_SUCCESS`` marker is there."""
     fs, p = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    if fs is None:
+        return _readable(spark, path.rstrip("/") + "/_SUCCESS", "text")
     return fs.exists(p)
 
 
@@ -34,6 +48,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     """A table folder holding data (partition folders or data files). Dynamic
     partition overwrites leave no root marker, so the folder is listed."""
     fs, p = _fs(spark, path.rstrip("/"))
+    if fs is None:
+        return _readable(spark, path, "parquet")
     if not fs.exists(p):
         return False
     names = [st.getPath().getName() for st in fs.listStatus(p)]
@@ -49,6 +65,10 @@ def landed(spark: SparkSession, name: str, source_key: str, build: Callable[[],
     final = f"{checkpoint_dir(spark)}/landed/{name}-{digest}"
     if not exists(spark, final):
         staging = f"{final}.staging-{uuid.uuid4().hex}"
+        fs, _ = _fs(spark, staging)
+        if fs is None:                       # no JVM gateway: write in place
+            build().write.mode("overwrite").parquet(final)
+            return spark.read.parquet(final)
         build().write.mode("overwrite").parquet(staging)
         fs, src = _fs(spark, staging)
         _, dst = _fs(spark, final)
