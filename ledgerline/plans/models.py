@@ -86,11 +86,11 @@ def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts,
 
 
 def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refresh=False,
-                            allow_full_refresh=False) -> DataFrame:
+                            allow_full_refresh=False, keep_data: bool = True) -> DataFrame:
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
-    out = silver.silver_transactions(bronze, run_ts, run_id)
+    out = silver.silver_transactions(bronze, run_ts, run_id, keep_data=keep_data)
     _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)
 

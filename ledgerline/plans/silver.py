@@ -55,8 +55,12 @@ def silver_blocks(bronze: DataFrame, blockchain: str = "cosmos", run_ts=None,
 
 
 # ------------------------------------------------------------ transactions
-def silver_transactions(bronze: DataFrame, run_ts=None, run_id: str | None = None) -> DataFrame:
-    """One row per (block_id, tx_id), newest landing wins; empty pages dropped."""
+def silver_transactions(bronze: DataFrame, run_ts=None, run_id: str | None = None,
+                        keep_data: bool = True) -> DataFrame:
+    """One row per (block_id, tx_id), newest landing wins; empty pages dropped.
+    ``keep_data=False`` leaves the raw response out: the dedupe shuffle then
+    carries only typed columns plus ``msgs``/``tx_log``, and the table does
+    not duplicate bronze (messages and logs need nothing else)."""
     d, v = F.col("data"), F.col("value")
     code = vget(d, "tx_result.code", "bigint")
     df = bronze.where(not_empty_array("data")).select(
@@ -71,7 +75,7 @@ def silver_transactions(bronze: DataFrame, run_ts=None, run_id: str | None = Non
         code.cast("int").alias("tx_code"),
         parse_or_text(vget(d, "tx_result.log")).alias("tx_log"),
         vget(d, "tx_result.events", "variant").alias("msgs"),
-        d.alias("data"),
+        *([d.alias("data")] if keep_data else []),
         F.col("partition_key"),
         F.col("inserted_timestamp").alias("_inserted_timestamp"))
     df = latest_by_key(df, ["block_id", "tx_id"], [F.col("_inserted_timestamp").desc()])

@@ -119,3 +119,16 @@ def test_landing_without_jvm_gateway(spark, tmp_dir, monkeypatch):
     df = landing.landed(spark, "t", f"{tmp_dir}/key", lambda: spark.range(3))
     assert df.count() == 3
     assert landing.table_exists(spark, df.inputFiles()[0].rsplit("/", 1)[0])
+
+
+def test_silver_transactions_without_raw_payload(spark):
+    from ledgerline.catalog import _bronze_txs
+    from ledgerline.plans import silver
+    from conftest import SF_SMALL
+    b = _bronze_txs(spark, SF_SMALL)
+    lean = silver.silver_transactions(b, keep_data=False)
+    full = silver.silver_transactions(b)
+    assert "data" not in lean.columns and "data" in full.columns
+    cols = ["tx_id", "msg_group", "msg_sub_group", "msg_index"]
+    assert sorted(tuple(r) for r in silver.silver_msgs(lean).select(*cols).collect()) == \
+        sorted(tuple(r) for r in silver.silver_msgs(full).select(*cols).collect())
