@@ -130,5 +130,6 @@ def test_silver_transactions_without_raw_payload(spark):
     full = silver.silver_transactions(b)
     assert "data" not in lean.columns and "data" in full.columns
     cols = ["tx_id", "msg_group", "msg_sub_group", "msg_index"]
-    assert sorted(tuple(r) for r in silver.silver_msgs(lean).select(*cols).collect()) == \
-        sorted(tuple(r) for r in silver.silver_msgs(full).select(*cols).collect())
+    assert sorted((tuple(r) for r in silver.silver_msgs(lean).select(*cols).collect()),
+                  key=str) == \
+        sorted((tuple(r) for r in silver.silver_msgs(full).select(*cols).collect()), key=str)
