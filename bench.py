@@ -31,7 +31,7 @@ def main() -> None:
     # tasks (measured: 16 on 8 cores let AQE coalesce into 12 uneven tasks)
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=parts,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "4g")})
     out = {}
     for n in names:
         times = []

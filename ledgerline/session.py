@@ -27,7 +27,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "8g"      # local mode: the driver is the executor
+    conf["spark.driver.memory"] = "4g"      # local mode: the driver is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
