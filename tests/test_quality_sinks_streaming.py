@@ -97,6 +97,20 @@ def test_stream_hourly_metrics_and_dedupe(spark, tmp_dir):
     n_stream = spark.sql("select count(*) c from hm_test").first().c
     n_hours = ev.select(F.date_trunc("hour", "ts")).distinct().count()
     assert 0 < n_stream <= n_hours
+    # every emitted (closed) hour equals the exact batch metrics
+    from ledgerline.plans.stats import hourly_metrics
+    batch = hourly_metrics(ev.select(
+        F.col("ts").alias("block_timestamp"), F.col("event_id").alias("block_id"),
+        F.col("user_id").alias("tx_id"), (F.col("event_type") != "error").alias("tx_succeeded"),
+        F.col("value").alias("gas_used")))
+    # (success/failure counts are exact only when a tx's rows agree on the
+    # flag — true for chain transactions, not for users standing in for them)
+    cols = ["block_timestamp_hour", "block_id_min", "block_id_max", "block_count",
+            "transaction_count", "total_gas_used"]
+    streamed = spark.sql("select * from hm_test").select(
+        *cols[:-1], F.round("total_gas_used", 6).alias("total_gas_used"))
+    batch = batch.select(*cols[:-1], F.round("total_gas_used", 6).alias("total_gas_used"))
+    assert streamed.join(batch, cols, "left_anti").count() == 0
     d = (dedupe_stream(stream, ["user_id"], "ts").writeStream.format("memory")
          .queryName("dd_test").trigger(availableNow=True).start())
     d.awaitTermination(120)
@@ -143,3 +157,30 @@ def test_stream_transactions_chain(spark, tmp_dir):
     got = sorted((r.tx_id, r.msg_index, r.msg_group, r.msg_sub_group)
                  for r in spark.read.parquet(target).collect())
     assert got == [("A", 0, 0, 0), ("A", 1, 0, 0), ("B", 0, 0, 0), ("B", 1, 0, 0)]
+
+
+def test_stream_hourly_metrics_exact_on_transactions(spark, tmp_dir):
+    from ledgerline.plans.stats import hourly_metrics
+    rows = [(b, f"tx{b}-{i}", (b + i) % 3 != 0, 10 * i,
+             f"2025-01-02 {b % 6:02d}:{(7 * i) % 60:02d}:00") for b in range(40) for i in range(3)]
+    df = spark.createDataFrame(rows, "block_id bigint, tx_id string, tx_succeeded boolean, "
+                                     "gas_used bigint, t string").select(
+        "block_id", "tx_id", "tx_succeeded", "gas_used",
+        F.to_timestamp_ntz("t").alias("block_timestamp"))
+    src = os.path.join(tmp_dir, "txs")
+    df.write.parquet(src)
+    # a late record far ahead closes every hour of the batch
+    spark.createDataFrame([(999, "late", True, 0, "2025-01-03 12:00:00")],
+                          "block_id bigint, tx_id string, tx_succeeded boolean, "
+                          "gas_used bigint, t string").select(
+        "block_id", "tx_id", "tx_succeeded", "gas_used",
+        F.to_timestamp_ntz("t").alias("block_timestamp")).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(df.schema).parquet(src)
+    q = (hourly_metrics_stream(stream).writeStream.outputMode("append").format("memory")
+         .queryName("hm_exact").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = spark.sql("select * from hm_exact")
+    want = hourly_metrics(df)
+    cols = want.columns
+    assert got.count() == want.count() == 6
+    assert got.select(*cols).join(want, cols, "left_anti").count() == 0
