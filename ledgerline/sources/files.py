@@ -20,8 +20,9 @@ from ..functions.variant import vget
 RECORD = "__rec"
 
 
-def _records(reader, path: str, segment: int) -> DataFrame:
-    raw = reader.option("singleVariantColumn", RECORD).json(path)
+def _records(reader, path, segment: int) -> DataFrame:
+    paths = [path] if isinstance(path, str) else list(path)
+    raw = reader.option("singleVariantColumn", RECORD).json(paths)
     return raw.select(
         F.try_variant_get(RECORD, "$.value", "variant").alias("value"),
         F.try_variant_get(RECORD, "$.data", "variant").alias("data"),
@@ -31,14 +32,15 @@ def _records(reader, path: str, segment: int) -> DataFrame:
          .alias("inserted_timestamp"))
 
 
-def scan_all(spark: SparkSession, path: str, segment: int = -1) -> DataFrame:
-    """S2 full-refresh scan of every landed file."""
+def scan_all(spark: SparkSession, path: str | list[str], segment: int = -1) -> DataFrame:
+    """S2 full-refresh scan of every landed file under one or more folders."""
     return _records(spark.read.option("recursiveFileLookup", "true"), path, segment)
 
 
-def scan_recent(spark: SparkSession, path: str, days: int, now, segment: int = -1
+def scan_recent(spark: SparkSession, path: str | list[str], days: int, now, segment: int = -1
                 ) -> DataFrame:
-    """S1 incremental scan: only files modified in the last ``abs(days)`` days."""
+    """S1 incremental scan: only files modified in the last ``abs(days)`` days
+    (pass ``recent_folders(...)`` to avoid listing old folders at all)."""
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
     after = (n - dt.timedelta(days=abs(days))).strftime("%Y-%m-%dT%H:%M:%S")
     reader = spark.read.option("recursiveFileLookup", "true").option("modifiedAfter", after)
@@ -54,6 +56,23 @@ def choose_scan(spark: SparkSession, path: str, is_incremental: bool, days: int
     return scan_all(spark, path, segment)
 
 
+def recent_folders(spark: SparkSession, root: str, days: int, now,
+                   fmt: str = "%Y-%m-%d") -> list[str]:
+    """Date-named landing folders (``<root>/<yyyy-mm-dd>``) of the last
+    ``days`` days that exist — one listing of the root level instead of a
+    recursive listing of every landed file."""
+    n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
+    wanted = {(n - dt.timedelta(days=d)).strftime(fmt) for d in range(abs(days) + 1)}
+    from .landing import _fs
+    fs, p = _fs(spark, root)
+    if fs is None:
+        return [f"{root.rstrip('/')}/{w}" for w in sorted(wanted)]
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName() in wanted)
+
+
 def explode_response(df: DataFrame, key: str = "result.txs") -> DataFrame:
     """A page response's array at ``key`` becomes one row per element."""
     others = [c for c in df.columns if c != "data"]

@@ -133,3 +133,19 @@ def test_silver_transactions_without_raw_payload(spark):
     assert sorted((tuple(r) for r in silver.silver_msgs(lean).select(*cols).collect()),
                   key=str) == \
         sorted((tuple(r) for r in silver.silver_msgs(full).select(*cols).collect()), key=str)
+
+
+def test_recent_folders_limit_the_listing(spark, tmp_dir):
+    import json
+    import os
+
+    from ledgerline.sources.files import recent_folders, scan_all
+    for day, h in (("2025-01-01", 1), ("2025-01-04", 4), ("2025-01-05", 5)):
+        os.makedirs(f"{tmp_dir}/{day}")
+        with open(f"{tmp_dir}/{day}/{h}_a.json", "w") as f:
+            f.write(json.dumps({"value": {"BLOCK_ID": h}, "data": {}}) + "\n")
+    folders = recent_folders(spark, tmp_dir, days=1, now="2025-01-05 10:00:00")
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["2025-01-04", "2025-01-05"]
+    ids = sorted(r.b for r in scan_all(spark, folders).select(
+        F.try_variant_get("value", "$.BLOCK_ID", "int").alias("b")).collect())
+    assert ids == [4, 5]
