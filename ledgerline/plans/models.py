@@ -47,6 +47,21 @@ def _target(spark: SparkSession, path: str, full_refresh: bool, allow_full_refre
     return spark.read.parquet(path)
 
 
+def _landed_scan(spark: SparkSession, root: str, hwm, dated_folders: bool) -> DataFrame:
+    """Landed records at/after ``hwm``. With ``dated_folders`` (layout
+    ``<root>/<yyyy-mm-dd>/…``) only folders from the day before the mark on
+    are listed and read; the file-time filter then prunes inside them."""
+    from ..sources.files import recent_folders, scan_all
+    if not dated_folders or hwm is None:
+        return since(choose_scan(spark, root, False), "inserted_timestamp", hwm)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    days = max(1, (now.date() - hwm.date()).days + 1)
+    folders = recent_folders(spark, root, days, now)
+    if not folders:
+        return since(choose_scan(spark, root, False), "inserted_timestamp", hwm).limit(0)
+    return since(scan_all(spark, folders), "inserted_timestamp", hwm)
+
+
 def table_hwm(spark: SparkSession, path: str, target: DataFrame | None, col: str):
     """High-water mark of ``col``: the stored mark when the table keeps one
     (no scan), else ``max(col)`` over the table (first run after an upgrade)."""
@@ -74,22 +89,23 @@ def _write(spark, path, df, keys, date_col, preserve=(), target_exists=True, ove
 
 def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts, run_id: str,
                       full_refresh: bool = False, allow_full_refresh: bool = False,
-                      blockchain: str = "cosmos") -> DataFrame:
+                      blockchain: str = "cosmos", dated_folders: bool = False) -> DataFrame:
     """silver_blocks: merge on ``blocks_id``; rows from files at/after the
     newest stored file time (I1)."""
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
+    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
     out = silver.silver_blocks(bronze, blockchain, run_ts, run_id)
     _write(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)
 
 
 def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refresh=False,
-                            allow_full_refresh=False, keep_data: bool = True) -> DataFrame:
+                            allow_full_refresh=False, keep_data: bool = True,
+                            dated_folders: bool = False) -> DataFrame:
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
+    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
     out = silver.silver_transactions(bronze, run_ts, run_id, keep_data=keep_data)
     _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)

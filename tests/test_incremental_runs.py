@@ -194,3 +194,28 @@ def test_planning_run_publishes_worklists(spark, tmp_dir):
                                   os.path.join(tmp_dir, "wl"), batch_size=2)
     # blocks 3, 5, 6 missing; tx counts for 2..6; pages: blocks 2 and 4 (1 has its page)
     assert counts == {"blocks": 3, "tx_counts": 5, "transactions": 2}
+
+
+def test_dated_landing_folders_read_only_recent_days(spark, tmp_dir):
+    import datetime as dt
+    land = os.path.join(tmp_dir, "blocks")
+    today = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    old_day = (today - dt.timedelta(days=10)).strftime("%Y-%m-%d")
+    new_day = today.strftime("%Y-%m-%d")
+    for d in (old_day, new_day):
+        os.makedirs(os.path.join(land, d))
+    _land(os.path.join(land, old_day), "1_a.json", [_block(h) for h in (1, 2)],
+          time.time() - 10 * 86400)
+    _land(os.path.join(land, new_day), "1_b.json", [_block(3)], time.time() - 60)
+    mark = today - dt.timedelta(hours=1)
+    dated = models._landed_scan(spark, land, mark, dated_folders=True)
+    plain = models._landed_scan(spark, land, mark, dated_folders=False)
+    assert [f.rsplit("/", 2)[1] for f in dated.inputFiles()] == [new_day]
+    assert len(plain.inputFiles()) == 2            # the whole tree is listed
+    assert [r.block_id for r in silver_blocks_of(dated)] == [3]
+    assert [r.block_id for r in silver_blocks_of(plain)] == [3]
+
+
+def silver_blocks_of(bronze):
+    from ledgerline.plans import silver
+    return silver.silver_blocks(bronze).collect()
