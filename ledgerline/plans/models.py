@@ -194,11 +194,12 @@ def run_transactions_audit(spark, fact_blocks: DataFrame, fact_txs: DataFrame, p
     return spark.read.parquet(path)
 
 
-def run_blocks_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+def run_blocks_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
+                        ) -> DataFrame:
     """complete_blocks ledger: merge on the block, first-insert time kept."""
     target = None if not exists(spark, path) else spark.read.parquet(path)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = since(choose_scan(spark, bronze_root, False), "inserted_timestamp", hwm)
+    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
     led = fetching.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
                                                              "_inserted_timestamp")
     led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
