@@ -290,9 +290,16 @@ def run_fact(spark, name: str, silver_table: DataFrame, path, run_ts, run_id) ->
                      transform=lambda d: fn(d, run_ts, run_id), hwm_col="modified_timestamp")
 
 
-def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+def _ledger_source(spark, bronze_root, path, dated_folders):
+    target = None if not exists(spark, path) else spark.read.parquet(path)
+    return _landed_scan(spark, bronze_root, table_hwm(spark, path, target, "_inserted_timestamp"),
+                        dated_folders)
+
+
+def run_transactions_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
+                              ) -> DataFrame:
     """complete_transactions ledger (pages landed), first-insert time kept."""
-    src = choose_scan(spark, bronze_root, False)
+    src = _ledger_source(spark, bronze_root, path, dated_folders)
     return run_merge(spark, src, path, ["complete_transactions_id"], "inserted_timestamp",
                      run_ts, "", transform=lambda d: fetching.transactions_complete(d)
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
@@ -300,9 +307,10 @@ def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
                      preserve=["inserted_timestamp"])
 
 
-def run_tx_count_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+def run_tx_count_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
+                          ) -> DataFrame:
     """complete_tx_counts ledger, first-insert time kept."""
-    src = choose_scan(spark, bronze_root, False)
+    src = _ledger_source(spark, bronze_root, path, dated_folders)
     return run_merge(spark, src, path, ["complete_tx_counts_id"], "inserted_timestamp",
                      run_ts, "", transform=lambda d: fetching.tx_count_complete(d)
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),

@@ -219,3 +219,23 @@ def test_dated_landing_folders_read_only_recent_days(spark, tmp_dir):
 def silver_blocks_of(bronze):
     from ledgerline.plans import silver
     return silver.silver_blocks(bronze).collect()
+
+
+def test_page_and_count_ledgers(spark, tmp_dir):
+    land_tx = os.path.join(tmp_dir, "tx")
+    land_tc = os.path.join(tmp_dir, "tc")
+    os.makedirs(land_tx)
+    os.makedirs(land_tc)
+    pages = [{"value": {"BLOCK_ID_REQUESTED": b, "PAGE_NUMBER": p}, "data": {"hash": f"h{b}{p}"}}
+             for b, p in ((5, 1), (5, 2), (6, 1))] + [
+            {"value": {"BLOCK_ID_REQUESTED": 7, "PAGE_NUMBER": 1}, "data": []}]
+    _land(land_tx, "5_a.json", pages, time.time() - 100)
+    counts = [{"value": {"block_id": 5}, "data": {"result": {"total_count": "150"}}},
+              {"value": {"BLOCK_ID": 6}, "data": {"result": {"total_count": "1"}}}]
+    _land(land_tc, "5_a.json", counts, time.time() - 100)
+    led = models.run_transactions_complete(spark, land_tx, os.path.join(tmp_dir, "p"),
+                                           "2025-01-03 00:00:00")
+    assert sorted((r.block_id, r.page_number) for r in led.collect()) == [(5, 1), (5, 2), (6, 1)]
+    tc = models.run_tx_count_complete(spark, land_tc, os.path.join(tmp_dir, "c"),
+                                      "2025-01-03 00:00:00")
+    assert sorted((r.block_id, r.tx_count) for r in tc.collect()) == [(5, 150), (6, 1)]
