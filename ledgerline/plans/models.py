@@ -343,7 +343,7 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
 
 def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, run_id: str,
               now, prices: DataFrame | None = None, asset_id: str = "cosmos",
-              blockchain: str = "cosmos") -> dict:
+              blockchain: str = "cosmos", dated_folders: bool = False) -> dict:
     """One scheduled run of every model in dependency order (bronze folders
     ``<landing_root>/{blocks,transactions}``, tables under ``warehouse``):
     silver blocks / transactions → messages → attributes, logs → gold facts →
@@ -353,9 +353,11 @@ def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, ru
     w = warehouse.rstrip("/")
     out = {}
     out["silver_blocks"] = run_silver_blocks(spark, f"{landing_root}/blocks", f"{w}/silver_blocks",
-                                             run_ts, run_id, blockchain=blockchain)
+                                             run_ts, run_id, blockchain=blockchain,
+                                             dated_folders=dated_folders)
     out["silver_transactions"] = run_silver_transactions(
-        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id)
+        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id,
+        dated_folders=dated_folders)
     out["silver_msgs"] = run_silver_msgs(spark, out["silver_transactions"], f"{w}/silver_msgs",
                                          run_ts, run_id)
     out["silver_msg_attributes"] = run_silver_msg_attributes(
