@@ -36,6 +36,24 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
                         .alias("status"))
 
 
+def row_checks(df: DataFrame, table: str, not_null_cols: Sequence[str] = (),
+               expressions: Sequence[str] = ()) -> DataFrame:
+    """Q1 + Q2 fused: every not-null column and every boolean expression of a
+    table counted in one aggregate (one scan), then unpivoted to rows."""
+    items = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null_cols]
+    items += [("expression_is_true", e, F.count_if(~F.coalesce(F.expr(e), F.lit(False))))
+              for e in expressions]
+    agg = df.agg(*[x.alias(f"__c{i}") for i, (_, _, x) in enumerate(items)])
+    stack = ", ".join(f"'{k}', '{c.replace(chr(39), chr(39) * 2)}', `__c{i}`"
+                      for i, (k, c, _) in enumerate(items))
+    long = agg.selectExpr(f"stack({len(items)}, {stack}) as (check_name, col, failures)")
+    return long.select("check_name", F.lit(table).alias("tbl"), "col",
+                       F.col("failures").cast("bigint").alias("failures"),
+                       F.lit(0).cast("bigint").alias("threshold"),
+                       F.when(F.col("failures") > 0, F.lit("error")).otherwise(F.lit("pass"))
+                        .alias("status"))
+
+
 def expression_is_true(df: DataFrame, table: str, expr: str) -> DataFrame:
     """Q2: rows where ``expr`` is not true."""
     return _result(df, "expression_is_true", table, expr, F.count_if(~F.coalesce(F.expr(expr),

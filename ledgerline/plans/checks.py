@@ -24,13 +24,13 @@ def silver_checks(blocks: DataFrame, txs: DataFrame, msgs: DataFrame | None = No
     """silver_blocks: sequential block ids (error above 100 breaks), not-null
     ids / times / proposer / validator hash, ``tx_count >= 0``;
     silver_transactions: not-null block id, time and tx id; every table:
-    its merge key is unique."""
+    its merge key is unique. Row-level checks of a table share one scan."""
     parts = [
         Q.sequential_values(blocks, "silver_blocks", "block_id", 1,
                             BLOCK_SEQUENCE_BREAKS_ALLOWED),
-        Q.not_null(blocks, "silver_blocks",
-                   ["block_id", "block_timestamp", "proposer_address", "validator_hash"]),
-        Q.expression_is_true(blocks, "silver_blocks", "tx_count >= 0"),
+        Q.row_checks(blocks, "silver_blocks",
+                     ["block_id", "block_timestamp", "proposer_address", "validator_hash"],
+                     ["tx_count >= 0"]),
         Q.unique_key(blocks, "silver_blocks", ["blocks_id"]),
         Q.not_null(txs, "silver_transactions", ["block_id", "block_timestamp", "tx_id"]),
         Q.unique_key(txs, "silver_transactions", ["transactions_id"]),

@@ -184,3 +184,15 @@ def test_stream_hourly_metrics_exact_on_transactions(spark, tmp_dir):
     cols = want.columns
     assert got.count() == want.count() == 6
     assert got.select(*cols).join(want, cols, "left_anti").count() == 0
+
+
+def test_row_checks_one_scan(spark):
+    df = spark.createDataFrame([(1, "a", 0), (2, None, 5), (None, "b", -1)],
+                               "id bigint, s string, n int")
+    r = Q.row_checks(df, "t", ["id", "s"], ["n >= 0", "s <> 'b'"])
+    assert _status(r) == {("not_null", "id"): (1, "error"), ("not_null", "s"): (1, "error"),
+                          ("expression_is_true", "n >= 0"): (1, "error"),
+                          ("expression_is_true", "s <> 'b'"): (2, "error")}
+    r.collect()
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("Scan") == 1   # final plan only
