@@ -112,12 +112,18 @@ def pending_tx_pages(blocks: DataFrame, done_pages: DataFrame, page_size: int =
                 .orderBy("block_id_requested", "page_number").limit(limit))
 
 
-def with_batches(worklist: DataFrame, order_by: str, batch_size: int) -> DataFrame:
+def with_batches(worklist: DataFrame, order_by: str, batch_size: int,
+                 worker_batch_size: int | None = None) -> DataFrame:
     """Producer batch id = ``floor((row_number − 1) / batch_size)`` in work-list
-    order, from a distributed prefix count over range partitions (no global
-    single-task window)."""
+    order, from a distributed prefix count over range buckets (no global
+    single-task window); optionally a worker batch id within it
+    (``worker_batch_size``, e.g. 3,600 of a 7,200-request producer batch)."""
     from ..operators.windows import rank0
     ranked = rank0(worklist, None, order_by, "__rn",
                    bucket=F.floor(F.col(order_by) / F.lit(max(batch_size, 1))))
-    return ranked.withColumn("batch_id", F.floor(F.col("__rn") / batch_size).cast("bigint")) \
-                 .drop("__rn")
+    out = ranked.withColumn("batch_id", F.floor(F.col("__rn") / batch_size).cast("bigint"))
+    if worker_batch_size:
+        out = out.withColumn("worker_batch_id",
+                             F.floor((F.col("__rn") % batch_size) / worker_batch_size)
+                             .cast("bigint"))
+    return out.drop("__rn")

@@ -140,10 +140,11 @@ def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: S
 
 
 def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: int,
-                   limit: int | None = None) -> None:
+                   limit: int | None = None, worker_batch_size: int | None = None) -> None:
     """Publish a work-list for an external fetcher as JSON lines, at most
-    ``limit`` requests in ``order_by`` order, one folder per producer batch."""
+    ``limit`` requests in ``order_by`` order, one folder per producer batch
+    (rows carry ``worker_batch_id`` when ``worker_batch_size`` is given)."""
     from ..plans.fetching import with_batches
     wl = worklist.orderBy(order_by).limit(limit) if limit else worklist
-    with_batches(wl, order_by, batch_size).write.mode("overwrite") \
+    with_batches(wl, order_by, batch_size, worker_batch_size).write.mode("overwrite") \
         .partitionBy("batch_id").json(path)

@@ -125,10 +125,11 @@ def test_worklist_sink_batches_in_order(spark, tmp_dir):
     done = spark.range(0, 40, 3).select(F.col("id").alias("block_id"))
     wl = pending_blocks(wanted, done, limit=100)
     path = os.path.join(tmp_dir, "wl")
-    write_worklist(wl, path, "block_id", batch_size=5, limit=12)
-    got = sorted((r.block_id, r.batch_id) for r in spark.read.json(path).collect())
+    write_worklist(wl, path, "block_id", batch_size=5, limit=12, worker_batch_size=2)
+    got = sorted((r.block_id, r.batch_id, r.worker_batch_id)
+                 for r in spark.read.json(path).collect())
     ids = [i for i in range(40) if i % 3][:12]
-    assert got == [(b, i // 5) for i, b in enumerate(ids)]
+    assert got == [(b, i // 5, (i % 5) // 2) for i, b in enumerate(ids)]
 
 
 def test_stream_transactions_chain(spark, tmp_dir):
