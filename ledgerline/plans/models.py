@@ -320,11 +320,13 @@ def run_tx_count_complete(spark, bronze_root, path, run_ts, dated_folders: bool
 
 def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_done: DataFrame,
                   pages_done: DataFrame, out_root: str, limit: int = fetching.DEFAULT_LIMIT,
-                  batch_size: int = fetching.BLOCKS_PER_HOUR, page_size: int = fetching.PAGE_SIZE
-                  ) -> dict:
+                  batch_size: int = fetching.DEFAULT_LIMIT,
+                  worker_batch_size: int = fetching.BLOCKS_PER_HOUR,
+                  page_size: int = fetching.PAGE_SIZE) -> dict:
     """One planning run: chain head → wanted heights → the three work-lists
-    (blocks, tx counts, transaction pages), each published for the fetcher.
-    Returns the number of requests written per list."""
+    (blocks, tx counts, transaction pages), each published for the fetcher in
+    producer batches (default: the per-run limit) split into worker batches
+    (default: one hour of blocks). Returns the number of requests per list."""
     from ..sources.sinks import write_worklist
     wanted = fetching.wanted_blocks(spark, fetching.chainhead(status))
     lists = {
@@ -336,7 +338,7 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
     counts = {}
     for name, (wl, order) in lists.items():
         path = f"{out_root.rstrip('/')}/{name}"
-        write_worklist(wl, path, order, batch_size)
+        write_worklist(wl, path, order, batch_size, worker_batch_size=worker_batch_size)
         counts[name] = spark.read.json(path).count()
     return counts
 
