@@ -55,15 +55,28 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.parquet(path)
 
 
-def stage(spark: SparkSession, df: DataFrame) -> DataFrame:
+def _staging_path(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/staging/{uuid.uuid4().hex}"
+
+
+def stage(spark: SparkSession, df: DataFrame, path: str | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once to a fresh folder in the shared
     checkpoint folder and read it back (survives executor loss; unlike
     ``checkpoint()`` without persist, the plan is computed once)."""
-    p = f"{checkpoint_dir(spark)}/staging/{uuid.uuid4().hex}"
+    p = path or _staging_path(spark)
     df.write.mode("overwrite").parquet(p)
     return spark.read.parquet(p)
 
 
+def _release(spark: SparkSession, path: str) -> None:
+    """Drop a merge's staged copy once the merge has committed (no-op
+    without a JVM gateway; a crash before this leaves only garbage)."""
+    from .landing import _fs
+    fs, p = _fs(spark, path)
+    if fs is not None and fs.exists(p):
+        fs.delete(p, True)
+
+
 _stage = stage
 
 
@@ -83,11 +96,14 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         return _maxima(spark.read.parquet(path), track)
     target = spark.read.parquet(path)
     merged = upsert(_touched(target, batch, partition_col), batch, keys, preserve)
-    staged = _stage(spark, merged)
+    staging = _staging_path(spark)
+    staged = stage(spark, merged, staging)
     (staged.sortWithinPartitions(*sort_by) if sort_by else staged).write \
         .mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
-    return _maxima(staged, track)
+    marks = _maxima(staged, track)
+    _release(spark, staging)
+    return marks
 
 
 def _maxima(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -134,9 +150,11 @@ def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: S
         return
     target = spark.read.parquet(path)
     merged = replace_keys(_touched(target, batch, partition_col), batch, keys)
-    staged = _stage(spark, merged)
+    staging = _staging_path(spark)
+    staged = stage(spark, merged, staging)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
+    _release(spark, staging)
 
 
 def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: int,

@@ -197,3 +197,17 @@ def test_row_checks_one_scan(spark):
     r.collect()
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("Scan") == 1   # final plan only
+
+
+def test_merge_releases_its_staging_copy(spark, tmp_dir):
+    from ledgerline.session import checkpoint_dir
+    staging = os.path.join(checkpoint_dir(spark), "staging")
+    before = set(os.listdir(staging)) if os.path.isdir(staging) else set()
+    path = os.path.join(tmp_dir, "t")
+    a = spark.createDataFrame([(1, "x", "d1")], "k int, v string, p string")
+    upsert_table(spark, path, a, ["k"], "p")
+    upsert_table(spark, path, a.withColumn("v", F.lit("y")), ["k"], "p")
+    replace_table_keys(spark, path, a, ["p"], "p")
+    after = set(os.listdir(staging)) if os.path.isdir(staging) else set()
+    assert after - before == set()
+    assert [r.v for r in spark.read.parquet(path).collect()] == ["x"]
