@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import mixing, sharding, simhash, toxicity
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,3 +20,6 @@ def _on(table: str, fn):
 
 QUERIES["op6_ring_sharding"] = _on("documents", sharding.op6)
 QUERIES["op7_mixing_tree"] = _on("documents", mixing.op7)
+QUERIES["op4_covering_simhash"] = _on("documents", simhash.op4)
+QUERIES["op10_toxic_segments"] = lambda spark, sf_dir: toxicity.op10(
+    load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
