@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, simhash, toxicity
+from . import ann, decontamination, mixing, sharding, simhash, toxicity
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,6 @@ QUERIES["op7_mixing_tree"] = _on("documents", mixing.op7)
 QUERIES["op4_covering_simhash"] = _on("documents", simhash.op4)
 QUERIES["op10_toxic_segments"] = lambda spark, sf_dir: toxicity.op10(
     load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+QUERIES["op9_cgk_decontamination"] = lambda spark, sf_dir: decontamination.op9(
+    load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+QUERIES["op3_multi_index_hashing"] = _on("embeddings", ann.op3)
