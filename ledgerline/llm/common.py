@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Rows that one window partition of :func:`prefix_sums` aims at.
-TARGET_ROWS = 100_000
+TARGET_ROWS = 4_096
 #: Copies that one task expands at a time in :func:`expand_copies`.
 COPY_CHUNK = 65_536
 

@@ -202,3 +202,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
 def op7(docs: DataFrame) -> DataFrame:
     documents, blocks = mix(docs)
     return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: a document appears once
+    for each of its blocks; one that is cut keeps its first words, joined by
+    single spaces (and ``n_chars``, where there is such a column, follows).
+    Rows that agree in doc_id, source and text are copies of one document and
+    get the other columns of one of them."""
+    _, blocks = mix(docs, **options)
+    cols = docs.columns
+    keys = {"__s": F.col("source"), "__d": F.col("doc_id"), "__h": F.xxhash64("text")}
+    one = docs.withColumns(keys).dropDuplicates(list(keys))
+    b = blocks.select(F.col("source").alias("__bs"), F.col("doc_id").alias("__bd"), F.col("text_hash").alias("__bh"),
+                      F.col("words").alias("__w"), F.col("size").alias("__n"))
+    rows = one.join(b, F.col("__s").eqNullSafe(F.col("__bs")) & F.col("__d").eqNullSafe(F.col("__bd"))
+                    & (F.col("__h") == F.col("__bh")))
+    cut = F.col("__w") < F.col("__n")
+    text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1),
+                                            F.col("__w").cast("int")), " ")).otherwise(F.col("text"))
+    rows = rows.withColumn("text", text)
+    if "n_chars" in cols:
+        rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+                               .otherwise(F.col("n_chars")))
+    return rows.select(*cols)

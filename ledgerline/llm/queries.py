@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontamination, mixing, sharding, simhash, toxicity
+from . import (ann, decontamination, licenses, mixing, secrets, sharding, simhash,
+               toxicity, warc)
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,7 @@ QUERIES["op10_toxic_segments"] = lambda spark, sf_dir: toxicity.op10(
 QUERIES["op9_cgk_decontamination"] = lambda spark, sf_dir: decontamination.op9(
     load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 QUERIES["op3_multi_index_hashing"] = _on("embeddings", ann.op3)
+QUERIES["op2_credential_links"] = _on("documents", secrets.op2)
+QUERIES["op5_license_inheritance"] = _on("documents", licenses.op5)
+QUERIES["op8_warc_derivatives"] = _on("pages", warc.op8)
+ORACLES["op8_warc_derivatives"] = warc.oracle_sql()
