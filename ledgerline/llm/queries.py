@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (ann, decontamination, licenses, mixing, secrets, sharding, simhash,
-               toxicity, warc)
+               suffixes, toxicity, warc)
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,4 @@ QUERIES["op2_credential_links"] = _on("documents", secrets.op2)
 QUERIES["op5_license_inheritance"] = _on("documents", licenses.op5)
 QUERIES["op8_warc_derivatives"] = _on("pages", warc.op8)
 ORACLES["op8_warc_derivatives"] = warc.oracle_sql()
+QUERIES["op1_cover_suffixes"] = _on("documents", suffixes.op1)
