@@ -311,17 +311,18 @@ _GEN_VERSION = _hashlib.sha1(_inspect.getsource(D).encode()).hexdigest()[:12]
 
 
 def _input_stamp(spark, sf):
-    """Size + modification time of the source tables: regenerated inputs at
-    the same path get a fresh landing."""
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is None:                          # no JVM gateway (Spark Connect)
-        return ""
-    parts = []
+    """Names, sizes and modification times of the source tables' files:
+    changed inputs at the same path get a fresh landing."""
+    digest = _hashlib.sha1()
     for t in ("orders", "lineitem"):
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{t}.parquet")
-        st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
-        parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
-    return "|".join(parts)
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{t}.parquet")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, seen = fs.listFiles(p, True), []
+        while files.hasNext():
+            st = files.next()
+            seen.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        digest.update("|".join([t, *sorted(seen)]).encode())
+    return digest.hexdigest()
 
 
 def landed(spark, name, sf, build):
@@ -549,7 +550,7 @@ d as (select o_orderkey as block_id from orders where o_orderkey % 97 <> 0),
 p as (select block_id from w except select block_id from d)
 select cast(round(block_id, -4) as integer) as partition_key, block_id,
        {_REQ.format(method="'block'", params="json_array(cast(block_id as varchar))")} as request
-from p order by block_id limit 7200
+from p
 """)
 def q_pending_blocks(spark, sf):
     done = SL.blocks_complete(_bronze_blocks(spark, sf))
@@ -563,7 +564,7 @@ select cast(round(block_id, -3) as integer) as partition_key, block_id,
        {_REQ.format(method="'tx_search'",
                     params="json_array('tx.height=' || cast(block_id as varchar), true, '1', '1', 'asc')")}
          as request
-from p order by block_id limit 7200
+from p
 """)
 def q_pending_tx_counts(spark, sf):
     done = SL.tx_count_complete(landed(
@@ -589,7 +590,7 @@ select cast(round(block_id, -3) as integer) as partition_key,
                                  cast(page_number as varchar), '2', 'asc')) as varchar) as request,
        page_number, block_id as block_id_requested,
        strftime(ts, '%Y_%m_%d_%H_%M_%S_%g') as block_timestamp
-from todo order by block_id, page_number limit 7200
+from todo
 """)
 def q_pending_tx_pages(spark, sf):
     blocks = SL.blocks_complete(_bronze_blocks(spark, sf))
@@ -824,7 +825,7 @@ def q_explode_response(spark, sf):
 @register("worklist_batches", f"""
 with w as (select unnest(generate_series(0, (select max(o_orderkey) + 10 from orders))) as block_id),
 d as (select o_orderkey as block_id from orders where o_orderkey % 97 <> 0),
-p as (select block_id from w except select block_id from d order by block_id limit 7200)
+p as (select block_id from w except select block_id from d)
 select cast(round(block_id, -4) as integer) as partition_key, block_id,
        cast((row_number() over (order by block_id) - 1) // 50 as bigint) as batch_id
 from p
@@ -835,6 +836,52 @@ def q_worklist_batches(spark, sf):
     return SL.with_batches(wl, "block_id", 50).select("partition_key", "block_id", "batch_id")
 
 
+@register("worklist_pages", f"""
+with {_L},
+n as (select l_orderkey, count(*) as n from lineitem group by 1),
+pages as (select o_orderkey as block_id,
+                 unnest(generate_series(1, cast(ceil(n.n / 2.0) as bigint))) as page_number
+          from orders join n on n.l_orderkey = o_orderkey where o_orderkey % 97 <> 0),
+done as (select distinct l_orderkey as block_id, cast(ceil(l_linenumber / 2.0) as bigint) as page_number from L),
+todo as (select p.* from pages p
+         where not exists (select 1 from done d where d.block_id = p.block_id and d.page_number = p.page_number)),
+r as (select *, row_number() over (order by block_id, page_number) - 1 as rn from todo)
+select block_id as block_id_requested, page_number, cast(rn // 500 as bigint) as batch_id,
+       cast(rn % 500 // 200 as bigint) as worker_batch_id
+from r
+""")
+def q_worklist_pages(spark, sf):
+    wl = q_pending_tx_pages(spark, sf)
+    b = SL.with_batches(wl, ["block_id_requested", "page_number"], 500, 200)
+    return b.select("block_id_requested", "page_number", "batch_id", "worker_batch_id")
+
+
+@register("split_windows_null_keys", """
+with e as (select event_id, nullif(user_id % 5, 0) as k, event_type,
+                  case when event_type = 'purchase' then event_id end as v from events),
+w as (select *, cast(sum(case when event_type = 'signup' then 1 else 0 end) over (
+        partition by k order by event_id rows between unbounded preceding and current row) as bigint) as signups,
+       cast(rank() over (partition by k order by event_id) - 1 as bigint) as rank0,
+       last_value(v ignore nulls) over (partition by k order by event_id
+         rows between unbounded preceding and current row) as last_v,
+       last_value(v ignore nulls) over (partition by k order by event_id desc
+         rows between unbounded preceding and current row) as next_v
+  from e)
+select event_id, k, signups, rank0, last_v, next_v from w
+""")
+def q_split_windows_null_keys(spark, sf):
+    # few, hot partition values, one of them NULL, cut into many buckets
+    ev = _t(spark, sf, "events").select(
+        "event_id", F.nullif(F.col("user_id") % 5, F.lit(0)).alias("k"), "event_type",
+        F.when(F.col("event_type") == "purchase", F.col("event_id")).alias("v"))
+    b = F.floor(F.col("event_id") / 512)
+    r = conditional_true_event(ev, F.col("event_type") == "signup", "k", "event_id", "signups", bucket=b)
+    r = rank0(r, "k", "event_id", "rank0", bucket=b)
+    r = fill_last(r, F.col("v"), "event_id", "last_v", partition="k", bucket=b)
+    r = fill_next(r, F.col("v"), "event_id", "next_v", partition="k", bucket=b)
+    return r.select("event_id", "k", "signups", "rank0", "last_v", "next_v")
+
+
 # ===================================================================
 # Table test-suite over the chain tables
 # ===================================================================

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.variant import ColumnOrName, _c
 
-_B = "__bucket"
+_P, _B, _K = "__part", "__bucket", "__key"
 
 
 def _names(cols: Sequence[str] | str | None) -> list[str]:
@@ -51,12 +51,25 @@ def latest_row(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
-def _with_bucket(df: DataFrame, bucket: ColumnOrName) -> DataFrame:
-    return df.withColumn(_B, _c(bucket))
+def _with_bucket(df: DataFrame, part: list[str], bucket: ColumnOrName) -> DataFrame:
+    """Adds the key (partition, bucket) as one struct. A struct is never NULL
+    and its NULL fields compare equal, so NULL partition or order keys form
+    groups of their own in the windows and in the carry join alike, and both
+    still use one hash partitioning."""
+    whole = F.struct(*[F.col(c) for c in part]) if part else F.struct(F.lit(0).alias("all"))
+    return df.withColumn(_K, F.struct(whole.alias(_P), _c(bucket).alias(_B)))
 
 
-def _carry_join(local: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    return local.join(carry, on=keys, how="left")
+def _carry_join(local: DataFrame, carry: DataFrame) -> DataFrame:
+    return local.join(carry, on=_K, how="left")
+
+
+def _carry(per_bucket: DataFrame, state: Column, descending: bool = False) -> DataFrame:
+    """(key, __carry): ``state`` (an aggregate) over the earlier buckets."""
+    b = F.col(f"{_K}.{_B}")
+    wc = (Window.partitionBy(F.col(f"{_K}.{_P}")).orderBy(b.desc() if descending else b)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    return per_bucket.select(_K, state.over(wc).alias("__carry"))
 
 
 def conditional_true_event(df: DataFrame, cond: Column, partition: Sequence[str] | str | None,
@@ -70,34 +83,32 @@ def conditional_true_event(df: DataFrame, cond: Column, partition: Sequence[str]
     if bucket is None:
         w = Window.partitionBy(*part).orderBy(_c(order)).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(flag).over(w))
-    b = _with_bucket(df, bucket).withColumn("__flag", flag)
-    keys = part + [_B]
-    wl = Window.partitionBy(*keys).orderBy(_c(order)).rowsBetween(Window.unboundedPreceding, 0)
+    b = _with_bucket(df, part, bucket).withColumn("__flag", flag)
+    wl = Window.partitionBy(_K).orderBy(_c(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("__local", F.sum("__flag").over(wl))
-    per_bucket = b.groupBy(*keys).agg(F.sum("__flag").alias("__n"))
-    wc = Window.partitionBy(*part).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, F.coalesce(F.sum("__n").over(wc), F.lit(0)).alias("__carry"))
-    j = _carry_join(local, carry, keys)
+    per_bucket = b.groupBy(_K).agg(F.sum("__flag").alias("__n"))
+    j = _carry_join(local, _carry(per_bucket, F.sum("__n")))
     return j.select(*cols, (F.col("__local") + F.coalesce("__carry", F.lit(0))).alias(out))
 
 
 def rank0(df: DataFrame, partition: Sequence[str] | str | None, order: ColumnOrName, out: str,
-          bucket: ColumnOrName | None = None) -> DataFrame:
-    """``RANK() − 1`` within ``partition`` by a single ascending order key.
+          bucket: ColumnOrName | None = None, ties: bool = True) -> DataFrame:
+    """``RANK() − 1`` within ``partition`` by an ascending order key.
     Ties share a rank; with ``bucket`` derived from the order key, ties never
-    straddle a bucket edge, so rank = rank-in-bucket + rows of earlier buckets."""
+    straddle a bucket edge, so rank = rank-in-bucket + rows of earlier buckets.
+    ``ties=False`` numbers the rows instead (``ROW_NUMBER() − 1``); ``order``
+    may then be several columns, the first of which gives the bucket."""
     part = _names(partition)
     cols = df.columns
+    by = [_c(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
+    rank = F.rank if ties else F.row_number
     if bucket is None:
-        w = Window.partitionBy(*part).orderBy(_c(order))
-        return df.withColumn(out, (F.rank().over(w) - 1).cast("bigint"))
-    b = _with_bucket(df, bucket)
-    keys = part + [_B]
-    local = b.withColumn("__local", F.rank().over(Window.partitionBy(*keys).orderBy(_c(order))))
-    per_bucket = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    wc = Window.partitionBy(*part).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*keys, F.coalesce(F.sum("__n").over(wc), F.lit(0)).alias("__carry"))
-    j = _carry_join(local, carry, keys)
+        w = Window.partitionBy(*part).orderBy(*by)
+        return df.withColumn(out, (rank().over(w) - 1).cast("bigint"))
+    b = _with_bucket(df, part, bucket)
+    local = b.withColumn("__local", rank().over(Window.partitionBy(_K).orderBy(*by)))
+    per_bucket = b.groupBy(_K).agg(F.count(F.lit(1)).alias("__n"))
+    j = _carry_join(local, _carry(per_bucket, F.sum("__n")))
     return j.select(*cols, (F.col("__local") - 1 + F.coalesce("__carry", F.lit(0))).cast("bigint")
                     .alias(out))
 
@@ -113,20 +124,16 @@ def _fill(df: DataFrame, value: Column, partition, order: ColumnOrName, out: str
         w = Window.partitionBy(*part).orderBy(o_sorted).rowsBetween(Window.unboundedPreceding, 0)
         res = F.last(value, ignorenulls=True).over(w)
         return df.withColumn(out, res if dflt is None else F.coalesce(res, dflt))
-    b = _with_bucket(df, bucket).withColumn("__v", value).withColumn("__o", o)
-    keys = part + [_B]
-    wl = Window.partitionBy(*keys).orderBy(F.col("__o").desc() if descending else F.col("__o"))
+    b = _with_bucket(df, part, bucket).withColumn("__v", value).withColumn("__o", o)
+    wl = Window.partitionBy(_K).orderBy(F.col("__o").desc() if descending else F.col("__o"))
     local = b.withColumn("__local", F.last("__v", ignorenulls=True).over(
         wl.rowsBetween(Window.unboundedPreceding, 0)))
     # one summary row per bucket (also buckets without any non-NULL value):
-    # the extreme non-NULL value, NULL-ordered rows being ignored by max_by
+    # the extreme non-NULL value; a struct orders NULL order keys first
     pick = F.min_by if descending else F.max_by
-    per_bucket = b.groupBy(*keys).agg(
-        pick("__v", F.when(F.col("__v").isNotNull(), F.col("__o"))).alias("__bv"))
-    wc = (Window.partitionBy(*part).orderBy(F.col(_B).desc() if descending else F.col(_B))
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_bucket.select(*keys, F.last("__bv", ignorenulls=True).over(wc).alias("__carry"))
-    j = _carry_join(local, carry, keys)
+    per_bucket = b.groupBy(_K).agg(
+        pick("__v", F.when(F.col("__v").isNotNull(), F.struct("__o"))).alias("__bv"))
+    j = _carry_join(local, _carry(per_bucket, F.last("__bv", ignorenulls=True), descending))
     res = F.coalesce(F.col("__local"), F.col("__carry"))
     if dflt is not None:
         res = F.coalesce(res, dflt)

@@ -1,10 +1,9 @@
 """Fetch planning (X8–X13): completion ledgers from landed records, the
 chain head, and work-lists of requests still to make.
 
-Work-lists are bounded by the fetcher's per-run limit and ordered by the
-declared order column (O3/O4, D15) — the limit is the feature: a run asks for
-at most ``limit`` requests, the next run continues where this one stopped.
-``orderBy().limit()`` plans as a distributed top-k (TakeOrderedAndProject).
+Work-lists hold every pending request; batches are numbered in the declared
+order (D15). A caller that wants at most n requests per run passes ``limit``
+(O3/O4), which plans as a distributed top-k (TakeOrderedAndProject).
 """
 
 from __future__ import annotations
@@ -20,10 +19,10 @@ from ..operators.joins import paginate, pending
 from ..operators.windows import latest_by_key
 from ..sources.files import number_sequence
 
-# Per-run request limits and page size of the fetcher
-# (2 × 3,600 blocks per hour; 100 transactions per tx_search page).
+# Batch sizes and page size of the fetcher (2 × 3,600 blocks per
+# hour; 100 transactions per tx_search page).
 BLOCKS_PER_HOUR = 3600
-DEFAULT_LIMIT = 2 * BLOCKS_PER_HOUR
+PRODUCER_BATCH = 2 * BLOCKS_PER_HOUR
 PAGE_SIZE = 100
 
 
@@ -78,26 +77,28 @@ def transactions_complete(bronze_txs: DataFrame) -> DataFrame:
     return df.withColumn("complete_transactions_id", surrogate_key("block_id", "page_number"))
 
 
-def pending_blocks(wanted: DataFrame, done: DataFrame, limit: int = DEFAULT_LIMIT
+def _at_most(requests: DataFrame, order: list[str], limit: int | None) -> DataFrame:
+    return requests if limit is None else requests.orderBy(*order).limit(limit)
+
+
+def pending_blocks(wanted: DataFrame, done: DataFrame, limit: int | None = None
                    ) -> DataFrame:
     """Heights not landed yet → ``block`` requests, bucket key round(−4)."""
     p = pending(wanted, done, ["block_id"])
-    return (p.select(F.round("block_id", -4).cast("int").alias("partition_key"), "block_id",
-                     block_request("block_id").alias("request"))
-             .orderBy("block_id").limit(limit))
+    return _at_most(p.select(F.round("block_id", -4).cast("int").alias("partition_key"), "block_id",
+                             block_request("block_id").alias("request")), ["block_id"], limit)
 
 
-def pending_tx_counts(wanted: DataFrame, done: DataFrame, limit: int = DEFAULT_LIMIT
+def pending_tx_counts(wanted: DataFrame, done: DataFrame, limit: int | None = None
                       ) -> DataFrame:
     """Heights without a tx count → ``tx_search`` page 1 of size 1."""
     p = pending(wanted, done, ["block_id"])
-    return (p.select(F.round("block_id", -3).cast("int").alias("partition_key"), "block_id",
-                     tx_count_request("block_id").alias("request"))
-             .orderBy("block_id").limit(limit))
+    return _at_most(p.select(F.round("block_id", -3).cast("int").alias("partition_key"), "block_id",
+                             tx_count_request("block_id").alias("request")), ["block_id"], limit)
 
 
 def pending_tx_pages(blocks: DataFrame, done_pages: DataFrame, page_size: int = PAGE_SIZE,
-                     limit: int = DEFAULT_LIMIT) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """Pages ``1 … ceil(tx_count / page_size)`` of blocks with
     transactions, minus pages already landed (anti-join on (block_id,
     page_number), D6) → ``tx_search`` requests."""
@@ -105,22 +106,26 @@ def pending_tx_pages(blocks: DataFrame, done_pages: DataFrame, page_size: int =
                      page_size)
     todo = pages.join(done_pages.select("block_id", "page_number"),
                       ["block_id", "page_number"], "left_anti")
-    return (todo.select(F.round("block_id", -3).cast("int").alias("partition_key"),
-                        tx_search_request("block_id", "page_number", page_size).alias("request"),
-                        "page_number", F.col("block_id").alias("block_id_requested"),
-                        format_block_ts("block_timestamp").alias("block_timestamp"))
-                .orderBy("block_id_requested", "page_number").limit(limit))
+    return _at_most(
+        todo.select(F.round("block_id", -3).cast("int").alias("partition_key"),
+                    tx_search_request("block_id", "page_number", page_size).alias("request"),
+                    "page_number", F.col("block_id").alias("block_id_requested"),
+                    format_block_ts("block_timestamp").alias("block_timestamp")),
+        ["block_id_requested", "page_number"], limit)
 
 
-def with_batches(worklist: DataFrame, order_by: str, batch_size: int,
+def with_batches(worklist: DataFrame, order_by: str | list[str], batch_size: int,
                  worker_batch_size: int | None = None) -> DataFrame:
     """Producer batch id = ``floor((row_number − 1) / batch_size)`` in work-list
-    order, from a distributed prefix count over range buckets (no global
-    single-task window); optionally a worker batch id within it
-    (``worker_batch_size``, e.g. 3,600 of a 7,200-request producer batch)."""
+    order, from a distributed prefix count over range buckets of the first
+    order column (no global single-task window); optionally a worker batch id
+    within it (``worker_batch_size``, e.g. 3,600 of a 7,200-request batch).
+    Rows are numbered, so no batch exceeds its size whatever the ties; order
+    by a unique key for the same batches on every run."""
     from ..operators.windows import rank0
-    ranked = rank0(worklist, None, order_by, "__rn",
-                   bucket=F.floor(F.col(order_by) / F.lit(max(batch_size, 1))))
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    ranked = rank0(worklist, None, order, "__rn", ties=False,
+                   bucket=F.floor(F.col(order[0]) / F.lit(max(batch_size, 1))))
     out = ranked.withColumn("batch_id", F.floor(F.col("__rn") / batch_size).cast("bigint"))
     if worker_batch_size:
         out = out.withColumn("worker_batch_id",

@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from ..functions.time import ts_lit
 from ..operators.incremental import (high_watermark, min_changed_period, observability_restart,
                                      since)
-from ..sources.files import choose_scan
+from ..sources.files import scan_all, scan_since
 from ..sources.landing import table_exists as exists
-from ..sources.sinks import load_watermarks, replace_table_keys, save_watermarks, upsert_table
+from ..sources.sinks import (load_watermarks, replace_table_keys, save_watermarks, stage,
+                             upsert_table, write_table)
 from . import fetching, gold, observability, silver, stats
 
 DATE_KEY = "cluster_date"
+BLOCK_KEY = "cluster_block"
 # Partition grain of the model tables: a day holds ~14k blocks / millions of
 # transactions on a live chain. Coarser grains suit sparse histories.
 CLUSTER_GRAIN = {"grain": "day"}
@@ -47,19 +49,12 @@ def _target(spark: SparkSession, path: str, full_refresh: bool, allow_full_refre
     return spark.read.parquet(path)
 
 
-def _landed_scan(spark: SparkSession, root: str, hwm, dated_folders: bool) -> DataFrame:
-    """Landed records at/after ``hwm``. With ``dated_folders`` (layout
-    ``<root>/<yyyy-mm-dd>/…``) only folders from the day before the mark on
-    are listed and read; the file-time filter then prunes inside them."""
-    from ..sources.files import recent_folders, scan_all
-    if not dated_folders or hwm is None:
-        return since(choose_scan(spark, root, False), "inserted_timestamp", hwm)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    days = max(1, (now.date() - hwm.date()).days + 1)
-    folders = recent_folders(spark, root, days, now)
-    if not folders:
-        return since(choose_scan(spark, root, False), "inserted_timestamp", hwm).limit(0)
-    return since(scan_all(spark, folders), "inserted_timestamp", hwm)
+def _landed_scan(spark: SparkSession, root: str, hwm) -> DataFrame:
+    """Landed records of files written at/after ``hwm``, whatever folder they
+    are in: only the file time decides, so late files in old folders count."""
+    if hwm is None:
+        return scan_all(spark, root)
+    return since(scan_since(spark, root, hwm), "inserted_timestamp", hwm)
 
 
 def table_hwm(spark: SparkSession, path: str, target: DataFrame | None, col: str):
@@ -71,41 +66,52 @@ def table_hwm(spark: SparkSession, path: str, target: DataFrame | None, col: str
     return stored if stored is not None else high_watermark(target, col)
 
 
-def _write(spark, path, df, keys, date_col, preserve=(), target_exists=True, overwrite=False,
-           track=("_inserted_timestamp", "modified_timestamp"), sort_by=()):
-    df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(date_col), F.lit("1970-01-01")
-                                            .cast("date")))
+def block_bucket(col: str = "block_id"):
+    """ROUND(id, −3): a cluster key that never changes for a block."""
+    return F.round(F.col(col), -3).cast("bigint")
+
+
+def _write(spark, path, df, keys, cluster, preserve=(), overwrite=False,
+           track=("_inserted_timestamp", "modified_timestamp"), sort_by=(), moving=True):
+    """``cluster``: the timestamp column whose date, or the expression, that the
+    table is partitioned by. ``moving``: a key's partition may change between
+    versions (its date is not part of the key)."""
+    if isinstance(cluster, str):
+        df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(cluster), F.lit("1970-01-01")
+                                                .cast("date")))
+        part = DATE_KEY
+    else:
+        df, part = df.withColumn(BLOCK_KEY, cluster), BLOCK_KEY
     track = [c for c in track if c in df.columns]
+    blooms = [c for c in ("block_id", "tx_id") if c in df.columns]
     if overwrite:
-        (df.sortWithinPartitions(DATE_KEY, *sort_by) if sort_by else df).write \
-            .mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        write_table(df, path, [part], list(sort_by) or blooms, blooms)
         t = spark.read.parquet(path)
         marks = t.agg(*[F.max(c).alias(c) for c in track]).first().asDict() if track else {}
     else:
-        marks = upsert_table(spark, path, df, keys, DATE_KEY, preserve=preserve, track=track,
-                             sort_by=sort_by)
+        marks = upsert_table(spark, path, df, keys, part, preserve=preserve, track=track,
+                             sort_by=list(sort_by) or blooms, bloom_cols=blooms, moving=moving)
     save_watermarks(spark, path, marks)
 
 
 def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts, run_id: str,
                       full_refresh: bool = False, allow_full_refresh: bool = False,
-                      blockchain: str = "cosmos", dated_folders: bool = False) -> DataFrame:
+                      blockchain: str = "cosmos") -> DataFrame:
     """silver_blocks: merge on ``blocks_id``; rows from files at/after the
     newest stored file time (I1)."""
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
+    bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_blocks(bronze, blockchain, run_ts, run_id)
     _write(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)
 
 
 def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refresh=False,
-                            allow_full_refresh=False, keep_data: bool = True,
-                            dated_folders: bool = False) -> DataFrame:
+                            allow_full_refresh=False, keep_data: bool = True) -> DataFrame:
     target = _target(spark, path, full_refresh, allow_full_refresh)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
+    bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_transactions(bronze, run_ts, run_id, keep_data=keep_data)
     _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
     return spark.read.parquet(path)
@@ -173,48 +179,53 @@ def run_ez_metrics(spark, metrics: DataFrame, prices: DataFrame, asset_id: str,
     return spark.read.parquet(path)
 
 
+def _earlier_results(spark, path, run_ts) -> DataFrame | None:
+    """Stored audit rows of the other runs (None before the first run)."""
+    if not exists(spark, path):
+        return None
+    return spark.read.parquet(path).where(F.col("test_timestamp") != ts_lit(run_ts))
+
+
+def _keep_result(spark, path, prev, result) -> DataFrame:
+    """One row per run is kept: the earlier rows and this run's, staged first."""
+    rows = stage(spark, result if prev is None else prev.unionByName(result))
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_blocks_audit(spark, fact_blocks: DataFrame, path, run_ts, now, full: bool = False
                      ) -> DataFrame:
-    """observability blocks: append one result row per run, restarting from
-    the previous run's impacted ids (I9)."""
-    prev = spark.read.parquet(path) if exists(spark, path) else None
+    """observability blocks: one result row per test timestamp (a re-run
+    replaces its own), restarting from the previous run's impacted ids (I9)."""
+    prev = _earlier_results(spark, path, run_ts)
     restart = observability_restart(fact_blocks, prev, now, full=full or prev is None)
     r = observability.blocks_completeness(fact_blocks, run_ts, now=now, restart=restart)
-    r.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return _keep_result(spark, path, prev, r)
 
 
 def run_transactions_audit(spark, fact_blocks: DataFrame, fact_txs: DataFrame, path, run_ts,
                            now, full: bool = False) -> DataFrame:
-    prev = spark.read.parquet(path) if exists(spark, path) else None
+    prev = _earlier_results(spark, path, run_ts)
     restart = observability_restart(fact_blocks, prev, now, full=full or prev is None)
     r = observability.transactions_completeness(fact_blocks, fact_txs, run_ts, now=now,
                                                 restart=restart)
-    r.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    return _keep_result(spark, path, prev, r)
 
 
-def run_blocks_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
-                        ) -> DataFrame:
+def run_blocks_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     """complete_blocks ledger: merge on the block, first-insert time kept."""
     target = None if not exists(spark, path) else spark.read.parquet(path)
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = _landed_scan(spark, bronze_root, hwm, dated_folders)
+    bronze = _landed_scan(spark, bronze_root, hwm)
     led = fetching.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
                                                              "_inserted_timestamp")
     led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
                      ts_lit(run_ts).alias("modified_timestamp"))
-    _write(spark, path, led, ["complete_blocks_id"], "block_timestamp",
-           preserve=["inserted_timestamp"], overwrite=target is None)
+    _write(spark, path, led, ["complete_blocks_id"], block_bucket(),
+           preserve=["inserted_timestamp"], overwrite=target is None, moving=False)
     return spark.read.parquet(path)
 
 
-def fact_views(silver_blocks: DataFrame, silver_txs: DataFrame, silver_msgs: DataFrame):
-    """Gold facts as projections of the silver tables."""
-    return (gold.fact_blocks(silver_blocks), gold.fact_transactions(silver_txs),
-            gold.fact_msgs(silver_msgs))
-
-
 def run_silver_prices(spark, prices: DataFrame, asset_id: str, path, run_ts) -> DataFrame:
     """silver_hourly_prices: merge on (id, recorded_hour), rows modified at or
     after the stored high-water mark (I3), first-insert time kept (I5)."""
@@ -232,11 +243,11 @@ def run_silver_prices(spark, prices: DataFrame, asset_id: str, path, run_ts) ->
     return spark.read.parquet(path)
 
 
-def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster_col: str,
+def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster,
               run_ts, run_id: str, transform=None, hwm_col: str | None = None,
               source_col: str | None = None, lookback_days: int = 0, by_date: bool = False,
               preserve=(), full_refresh: bool = False, allow_full_refresh: bool = False,
-              sort_by=()) -> DataFrame:
+              sort_by=(), moving: bool = True) -> DataFrame:
     """Generic incremental merge model: rows of ``source`` at/after the
     target's high-water mark (``hwm_col`` of the target vs ``source_col`` of
     the source, optional date-grained lookback) → ``transform`` → audit
@@ -253,8 +264,8 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster_c
                          ts_lit(run_ts).alias("inserted_timestamp"),
                          ts_lit(run_ts).alias("modified_timestamp"),
                          F.lit(run_id).alias("_invocation_id"))
-    _write(spark, path, out, list(keys), cluster_col, preserve=preserve,
-           overwrite=target is None, sort_by=sort_by)
+    _write(spark, path, out, list(keys), cluster, preserve=preserve,
+           overwrite=target is None, sort_by=sort_by, moving=moving)
     return spark.read.parquet(path)
 
 
@@ -290,50 +301,48 @@ def run_fact(spark, name: str, silver_table: DataFrame, path, run_ts, run_id) ->
                      transform=lambda d: fn(d, run_ts, run_id), hwm_col="modified_timestamp")
 
 
-def _ledger_source(spark, bronze_root, path, dated_folders):
+def _ledger_source(spark, bronze_root, path):
     target = None if not exists(spark, path) else spark.read.parquet(path)
-    return _landed_scan(spark, bronze_root, table_hwm(spark, path, target, "_inserted_timestamp"),
-                        dated_folders)
+    return _landed_scan(spark, bronze_root, table_hwm(spark, path, target, "_inserted_timestamp"))
 
 
-def run_transactions_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
-                              ) -> DataFrame:
+def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     """complete_transactions ledger (pages landed), first-insert time kept."""
-    src = _ledger_source(spark, bronze_root, path, dated_folders)
-    return run_merge(spark, src, path, ["complete_transactions_id"], "inserted_timestamp",
+    src = _ledger_source(spark, bronze_root, path)
+    return run_merge(spark, src, path, ["complete_transactions_id"], block_bucket(),
                      run_ts, "", transform=lambda d: fetching.transactions_complete(d)
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
                      hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
-                     preserve=["inserted_timestamp"])
+                     preserve=["inserted_timestamp"], moving=False)
 
 
-def run_tx_count_complete(spark, bronze_root, path, run_ts, dated_folders: bool = False
-                          ) -> DataFrame:
+def run_tx_count_complete(spark, bronze_root, path, run_ts) -> DataFrame:
     """complete_tx_counts ledger, first-insert time kept."""
-    src = _ledger_source(spark, bronze_root, path, dated_folders)
-    return run_merge(spark, src, path, ["complete_tx_counts_id"], "inserted_timestamp",
+    src = _ledger_source(spark, bronze_root, path)
+    return run_merge(spark, src, path, ["complete_tx_counts_id"], block_bucket(),
                      run_ts, "", transform=lambda d: fetching.tx_count_complete(d)
                      .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
                      hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
-                     preserve=["inserted_timestamp"])
+                     preserve=["inserted_timestamp"], moving=False)
 
 
 def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_done: DataFrame,
-                  pages_done: DataFrame, out_root: str, limit: int = fetching.DEFAULT_LIMIT,
-                  batch_size: int = fetching.DEFAULT_LIMIT,
+                  pages_done: DataFrame, out_root: str, limit: int | None = None,
+                  batch_size: int = fetching.PRODUCER_BATCH,
                   worker_batch_size: int = fetching.BLOCKS_PER_HOUR,
                   page_size: int = fetching.PAGE_SIZE) -> dict:
     """One planning run: chain head → wanted heights → the three work-lists
     (blocks, tx counts, transaction pages), each published for the fetcher in
-    producer batches (default: the per-run limit) split into worker batches
-    (default: one hour of blocks). Returns the number of requests per list."""
+    producer batches (default: two hours of blocks) split into worker batches
+    (default: one hour). Every pending request is listed unless ``limit`` is
+    given. Returns the number of requests per list."""
     from ..sources.sinks import write_worklist
     wanted = fetching.wanted_blocks(spark, fetching.chainhead(status))
     lists = {
         "blocks": (fetching.pending_blocks(wanted, blocks_done, limit), "block_id"),
         "tx_counts": (fetching.pending_tx_counts(wanted, tx_counts_done, limit), "block_id"),
         "transactions": (fetching.pending_tx_pages(blocks_done, pages_done, page_size, limit),
-                         "block_id_requested"),
+                         ["block_id_requested", "page_number"]),
     }
     counts = {}
     for name, (wl, order) in lists.items():
@@ -345,7 +354,7 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
 
 def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, run_id: str,
               now, prices: DataFrame | None = None, asset_id: str = "cosmos",
-              blockchain: str = "cosmos", dated_folders: bool = False) -> dict:
+              blockchain: str = "cosmos") -> dict:
     """One scheduled run of every model in dependency order (bronze folders
     ``<landing_root>/{blocks,transactions}``, tables under ``warehouse``):
     silver blocks / transactions → messages → attributes, logs → gold facts →
@@ -355,11 +364,9 @@ def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, ru
     w = warehouse.rstrip("/")
     out = {}
     out["silver_blocks"] = run_silver_blocks(spark, f"{landing_root}/blocks", f"{w}/silver_blocks",
-                                             run_ts, run_id, blockchain=blockchain,
-                                             dated_folders=dated_folders)
+                                             run_ts, run_id, blockchain=blockchain)
     out["silver_transactions"] = run_silver_transactions(
-        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id,
-        dated_folders=dated_folders)
+        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id)
     out["silver_msgs"] = run_silver_msgs(spark, out["silver_transactions"], f"{w}/silver_msgs",
                                          run_ts, run_id)
     out["silver_msg_attributes"] = run_silver_msg_attributes(

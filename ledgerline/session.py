@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,7 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as the cluster names it; only when it is
-    unset (local tests) a fresh temporary folder is created and registered.
+    unset on a local master (tests) a fresh temporary folder is created; on a
+    cluster that is an error, as executors would each write to their own disk.
     """
     try:
         sc = spark.sparkContext
@@ -67,11 +67,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d.rstrip("/")
-    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")      # unset: tests / local runs only
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")      # tests / local runs only
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/") if sc.getCheckpointDir() else d
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-path of the shared checkpoint folder for a written intermediate."""
-    return os.path.join(checkpoint_dir(spark), name)

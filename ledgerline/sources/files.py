@@ -39,38 +39,34 @@ def scan_all(spark: SparkSession, path: str | list[str], segment: int = -1) -> D
 
 def scan_recent(spark: SparkSession, path: str | list[str], days: int, now, segment: int = -1
                 ) -> DataFrame:
-    """S1 incremental scan: only files modified in the last ``abs(days)`` days
-    (pass ``recent_folders(...)`` to avoid listing old folders at all)."""
+    """S1 incremental scan: only files modified in the last ``abs(days)`` days."""
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
-    after = (n - dt.timedelta(days=abs(days))).strftime("%Y-%m-%dT%H:%M:%S")
+    return scan_since(spark, path, n - dt.timedelta(days=abs(days)), segment)
+
+
+def scan_since(spark: SparkSession, path: str | list[str], mark: dt.datetime, segment: int = -1
+               ) -> DataFrame:
+    """Files modified at/after ``mark`` (a second earlier, as the option is
+    exclusive and in whole seconds; callers filter on the file time itself)."""
+    after = (mark - dt.timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S")
     reader = spark.read.option("recursiveFileLookup", "true").option("modifiedAfter", after)
     return _records(reader, path, segment)
 
 
 def choose_scan(spark: SparkSession, path: str, is_incremental: bool, days: int = 3,
-                now=None, segment: int = -1) -> DataFrame:
-    """The incremental view when the target exists, else the full scan."""
-    if is_incremental:
-        return scan_recent(spark, path, days,
-                           now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), segment)
-    return scan_all(spark, path, segment)
-
-
-def recent_folders(spark: SparkSession, root: str, days: int, now,
-                   fmt: str = "%Y-%m-%d") -> list[str]:
-    """Date-named landing folders (``<root>/<yyyy-mm-dd>``) of the last
-    ``days`` days that exist — one listing of the root level instead of a
-    recursive listing of every landed file."""
+                now=None, segment: int = -1, mark: dt.datetime | None = None) -> DataFrame:
+    """The incremental view when the target exists, else the full scan.
+    ``mark`` (the target's newest file time) widens the lookback to all files
+    since, so nothing is lost after a long pause; ``now`` is the run's time."""
+    if not is_incremental:
+        return scan_all(spark, path, segment)
+    if now is None and mark is None:
+        raise ValueError("an incremental scan needs the run's time or the target's mark")
+    if now is None:
+        return scan_since(spark, path, mark, segment)
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
-    wanted = {(n - dt.timedelta(days=d)).strftime(fmt) for d in range(abs(days) + 1)}
-    from .landing import _fs
-    fs, p = _fs(spark, root)
-    if fs is None:
-        return [f"{root.rstrip('/')}/{w}" for w in sorted(wanted)]
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().toString() for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName() in wanted)
+    start = n - dt.timedelta(days=abs(days))
+    return scan_since(spark, path, start if mark is None else min(start, mark), segment)
 
 
 def explode_response(df: DataFrame, key: str = "result.txs") -> DataFrame:

@@ -66,9 +66,8 @@ def landed(spark: SparkSession, name: str, source_key: str, build: Callable[[],
     if not exists(spark, final):
         staging = f"{final}.staging-{uuid.uuid4().hex}"
         fs, _ = _fs(spark, staging)
-        if fs is None:                       # no JVM gateway: write in place
-            build().write.mode("overwrite").parquet(final)
-            return spark.read.parquet(final)
+        if fs is None:
+            raise RuntimeError("landing a table needs the Hadoop file system for its atomic rename")
         build().write.mode("overwrite").parquet(staging)
         fs, src = _fs(spark, staging)
         _, dst = _fs(spark, final)

@@ -33,7 +33,8 @@ def cluster_key(kind: str, col: str) -> Column:
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 sort_by: Sequence[str] = (), bloom_cols: Sequence[str] = (),
-                mode: str = "overwrite", num_files: int | None = None) -> None:
+                mode: str = "overwrite", num_files: int | None = None,
+                dynamic: bool = False) -> None:
     """Write Parquet, partitioned by ``partition_by``, rows clustered
     by ``sort_by`` (tight row-group min/max → pruning) and Parquet bloom
     filters on ``bloom_cols`` for point lookups (tx_id).
@@ -48,6 +49,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
              else w.repartitionByRange(*keys))
         w = w.sortWithinPartitions(*keys)
     writer = w.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     for c in bloom_cols:
@@ -84,25 +87,56 @@ def _touched(target: DataFrame, batch: DataFrame, partition_col: str) -> DataFra
     return target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
 
 
+def _unique_batch(batch: DataFrame, keys: Sequence[str]) -> None:
+    twice = batch.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"duplicate merge key in the batch: {twice[0].asDict()}")
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence) -> None:
+    """Remove partition folders that a merge left without rows."""
+    from .landing import _fs
+    for v in values:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{partition_col}={v}")
+        if fs is None:
+            raise RuntimeError("moving a key to another partition needs the Hadoop file system")
+        fs.delete(p, True)
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_col: str, preserve: Sequence[str] = (),
-                 sort_by: Sequence[str] = (), track: Sequence[str] = ()) -> dict:
-    """I4/I5/I6 MERGE into a partitioned Parquet table. A key's partition
-    value must not change between versions (it derives from the key, e.g.
-    the date of a block). Returns ``max`` of the ``track`` columns over the
-    rewritten partitions (for high-water marks; no full-table scan)."""
+                 sort_by: Sequence[str] = (), track: Sequence[str] = (),
+                 bloom_cols: Sequence[str] = (), moving: bool = True) -> dict:
+    """I4/I5/I6 MERGE into a partitioned Parquet table. The batch is evaluated
+    once (staged); a key twice in it is an error. ``moving``: a key's partition
+    may differ from the stored one, so the stored partitions of the batch's keys
+    are looked up (keys and partition column only) and rewritten too; pass False
+    where the partition derives from the key. Returns ``max`` of the ``track``
+    columns over the rewritten partitions (for high-water marks)."""
+    batch_path = _staging_path(spark)
+    batch = stage(spark, batch, batch_path)
+    _unique_batch(batch, keys)
     if not exists(spark, path):
-        write_table(batch, path, [partition_col], sort_by)
+        write_table(batch, path, [partition_col], sort_by, bloom_cols)
+        _release(spark, batch_path)
         return _maxima(spark.read.parquet(path), track)
     target = spark.read.parquet(path)
-    merged = upsert(_touched(target, batch, partition_col), batch, keys, preserve)
+    parts = batch.select(partition_col)
+    if moving:
+        old = target.select(*keys, partition_col).join(batch.select(*keys), list(keys), "left_semi")
+        parts = parts.unionByName(old.select(partition_col))
+    parts_path = _staging_path(spark)
+    parts = stage(spark, parts.distinct(), parts_path)
+    merged = upsert(_touched(target, parts, partition_col), batch, keys, preserve)
     staging = _staging_path(spark)
     staged = stage(spark, merged, staging)
-    (staged.sortWithinPartitions(*sort_by) if sort_by else staged).write \
-        .mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(partition_col).parquet(path)
+    write_table(staged, path, [partition_col], sort_by, bloom_cols, dynamic=True)
+    if moving:                       # dates: one value per touched partition
+        empty = parts.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
+        _drop_partitions(spark, path, partition_col, [r[0] for r in empty.collect()])
     marks = _maxima(staged, track)
-    _release(spark, staging)
+    for p in (staging, batch_path, parts_path):
+        _release(spark, p)
     return marks
 
 
@@ -157,12 +191,14 @@ def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: S
     _release(spark, staging)
 
 
-def write_worklist(worklist: DataFrame, path: str, order_by: str, batch_size: int,
+def write_worklist(worklist: DataFrame, path: str, order_by: str | Sequence[str], batch_size: int,
                    limit: int | None = None, worker_batch_size: int | None = None) -> None:
-    """Publish a work-list for an external fetcher as JSON lines, at most
-    ``limit`` requests in ``order_by`` order, one folder per producer batch
-    (rows carry ``worker_batch_id`` when ``worker_batch_size`` is given)."""
+    """Publish a work-list for an external fetcher as JSON lines, in
+    ``order_by`` order (all requests; at most ``limit`` if one is given), one
+    folder per producer batch (rows carry ``worker_batch_id`` when
+    ``worker_batch_size`` is given)."""
     from ..plans.fetching import with_batches
-    wl = worklist.orderBy(order_by).limit(limit) if limit else worklist
-    with_batches(wl, order_by, batch_size, worker_batch_size).write.mode("overwrite") \
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    wl = worklist.orderBy(*order).limit(limit) if limit else worklist
+    with_batches(wl, order, batch_size, worker_batch_size).write.mode("overwrite") \
         .partitionBy("batch_id").json(path)

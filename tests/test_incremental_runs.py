@@ -5,6 +5,8 @@ import json
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline.plans import models
@@ -196,24 +198,46 @@ def test_planning_run_publishes_worklists(spark, tmp_dir):
     assert counts == {"blocks": 3, "tx_counts": 5, "transactions": 2}
 
 
-def test_dated_landing_folders_read_only_recent_days(spark, tmp_dir):
-    import datetime as dt
-    land = os.path.join(tmp_dir, "blocks")
-    today = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    old_day = (today - dt.timedelta(days=10)).strftime("%Y-%m-%d")
-    new_day = today.strftime("%Y-%m-%d")
-    for d in (old_day, new_day):
+def test_late_file_in_an_old_folder_is_loaded(spark, tmp_dir):
+    land, path = os.path.join(tmp_dir, "blocks"), os.path.join(tmp_dir, "silver")
+    for d in ("2024-12-01", "2025-01-02"):
         os.makedirs(os.path.join(land, d))
-    _land(os.path.join(land, old_day), "1_a.json", [_block(h) for h in (1, 2)],
-          time.time() - 10 * 86400)
-    _land(os.path.join(land, new_day), "1_b.json", [_block(3)], time.time() - 60)
-    mark = today - dt.timedelta(hours=1)
-    dated = models._landed_scan(spark, land, mark, dated_folders=True)
-    plain = models._landed_scan(spark, land, mark, dated_folders=False)
-    assert [f.rsplit("/", 2)[1] for f in dated.inputFiles()] == [new_day]
-    assert len(plain.inputFiles()) == 2            # the whole tree is listed
-    assert [r.block_id for r in silver_blocks_of(dated)] == [3]
-    assert [r.block_id for r in silver_blocks_of(plain)] == [3]
+    _land(os.path.join(land, "2025-01-02"), "1_b.json", [_block(3)], time.time() - 3600)
+    models.run_silver_blocks(spark, land, path, "2025-01-03 00:00:00", "r1")
+    _land(os.path.join(land, "2024-12-01"), "1_a.json", [_block(1)], time.time() - 60)
+    out = models.run_silver_blocks(spark, land, path, "2025-01-04 00:00:00", "r2")
+    assert sorted(r.block_id for r in out.collect()) == [1, 3]
+
+
+def test_block_that_changes_its_date_stays_unique(spark, tmp_dir):
+    land, path = os.path.join(tmp_dir, "blocks"), os.path.join(tmp_dir, "silver")
+    os.makedirs(land)
+    timeless = _block(7)
+    for v in timeless["data"].values():
+        v["block"]["header"].pop("time", None)
+    _land(land, "1_a.json", [timeless, _block(8)], time.time() - 3600)
+    first = models.run_silver_blocks(spark, land, path, "2025-01-03 00:00:00", "r1")
+    assert {r.block_id: r.block_timestamp is None for r in first.collect()} == {7: True, 8: False}
+    _land(land, "1_b.json", [_block(7)], time.time() - 60)
+    out = models.run_silver_blocks(spark, land, path, "2025-01-04 00:00:00", "r2").collect()
+    assert {r.block_id: r.block_timestamp is None for r in out} == {7: False, 8: False} and len(out) == 2
+
+
+def test_duplicate_batch_keys_are_refused(spark, tmp_dir):
+    from ledgerline.sources.sinks import upsert_table
+    b = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], "k int, v string, p int")
+    with pytest.raises(ValueError, match="duplicate"):
+        upsert_table(spark, os.path.join(tmp_dir, "t"), b, ["k"], "p")
+
+
+def test_audit_rerun_leaves_one_row(spark, tmp_dir):
+    blocks = spark.createDataFrame([(i, f"2025-01-01 00:00:0{i}") for i in (1, 2, 5)],
+                                   "block_id long, t string").selectExpr(
+        "block_id", "cast(t as timestamp_ntz) as block_timestamp")
+    path = os.path.join(tmp_dir, "audit")
+    for ts in ("2025-01-03 00:00:00", "2025-01-03 00:00:00", "2025-01-04 00:00:00", "2025-01-04 00:00:00"):
+        out = models.run_blocks_audit(spark, blocks, path, ts, "2025-01-04 12:00:00", full=True)
+    assert sorted(str(r.test_timestamp) for r in out.collect()) == ["2025-01-03 00:00:00", "2025-01-04 00:00:00"]
 
 
 def silver_blocks_of(bronze):
@@ -239,3 +263,15 @@ def test_page_and_count_ledgers(spark, tmp_dir):
     tc = models.run_tx_count_complete(spark, land_tc, os.path.join(tmp_dir, "c"),
                                       "2025-01-03 00:00:00")
     assert sorted((r.block_id, r.tx_count) for r in tc.collect()) == [(5, 150), (6, 1)]
+    # a second run a day later: keys stay unique, the first insert time is kept
+    _land(land_tx, "5_b.json", pages[:2] + [{"value": {"BLOCK_ID_REQUESTED": 9, "PAGE_NUMBER": 1},
+                                            "data": {"hash": "h9"}}], time.time() - 10)
+    _land(land_tc, "5_b.json", counts[:1], time.time() - 10)
+    led = models.run_transactions_complete(spark, land_tx, os.path.join(tmp_dir, "p"),
+                                           "2025-01-04 00:00:00").collect()
+    assert sorted((r.block_id, r.page_number, str(r.inserted_timestamp)[:10]) for r in led) == [
+        (5, 1, "2025-01-03"), (5, 2, "2025-01-03"), (6, 1, "2025-01-03"), (9, 1, "2025-01-04")]
+    tc = models.run_tx_count_complete(spark, land_tc, os.path.join(tmp_dir, "c"),
+                                      "2025-01-04 00:00:00").collect()
+    assert sorted((r.block_id, str(r.inserted_timestamp)[:10]) for r in tc) == [
+        (5, "2025-01-03"), (6, "2025-01-03")]

@@ -9,12 +9,13 @@ from ledgerline.functions import format_block_ts, parse_block_ts
 from ledgerline.operators import (conditional_true_event, fill_last, fill_next, find_gaps,
                                   latest_by_key, missing_ids, rank0, upsert)
 
-rows_st = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 3), st.booleans()),
+rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.integers(0, 3)),
+                             st.booleans()),
                    min_size=1, max_size=40)
 
 
 def _df(spark, rows):
-    # key 0 is the hot key; ids are unique and increasing
+    # few keys, NULL among them; ids are unique and increasing
     data = [(i, k, o, bool(f)) for i, (k, o, f) in enumerate(rows)]
     return spark.createDataFrame(data, "id bigint, k int, o int, f boolean")
 

@@ -1,5 +1,6 @@
 """Small operators without a registered query of their own."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import (closed_hours, count_by_key, drop_empty, drop_errors,
@@ -116,9 +117,10 @@ def test_landing_without_jvm_gateway(spark, tmp_dir, monkeypatch):
     from ledgerline.sources import landing
     monkeypatch.setattr(landing, "_fs", lambda s, p: (None, None))
     assert not landing.table_exists(spark, f"{tmp_dir}/none")
-    df = landing.landed(spark, "t", f"{tmp_dir}/key", lambda: spark.range(3))
-    assert df.count() == 3
-    assert landing.table_exists(spark, df.inputFiles()[0].rsplit("/", 1)[0])
+    spark.range(3).write.parquet(f"{tmp_dir}/some")
+    assert landing.table_exists(spark, f"{tmp_dir}/some")
+    with pytest.raises(RuntimeError):                 # never a non-atomic landing
+        landing.landed(spark, "t", f"{tmp_dir}/key", lambda: spark.range(3))
 
 
 def test_silver_transactions_without_raw_payload(spark):
@@ -135,17 +137,31 @@ def test_silver_transactions_without_raw_payload(spark):
         sorted((tuple(r) for r in silver.silver_msgs(full).select(*cols).collect()), key=str)
 
 
-def test_recent_folders_limit_the_listing(spark, tmp_dir):
-    import json
+def test_worklist_batches_never_exceed_their_size(spark):
+    from ledgerline.plans.fetching import with_batches
+    wl = spark.createDataFrame([(b, p) for b in (3, 1, 2) for p in range(1, 11)] + [(None, 1)],
+                               "block_id long, page_number long")
+    rows = with_batches(wl, ["block_id", "page_number"], 4, 2).collect()
+    sizes = [sum(r.batch_id == k for r in rows) for k in range(8)]
+    assert sizes == [4] * 7 + [3]
+    ordered = sorted((r for r in rows if r.block_id), key=lambda r: (r.block_id, r.page_number))
+    assert [r.batch_id for r in ordered] == [(i + 1) // 4 for i in range(30)]
+    assert all(sum((r.batch_id, r.worker_batch_id) == k for r in rows) <= 2
+               for k in {(r.batch_id, r.worker_batch_id) for r in rows})
+
+
+def test_incremental_scan_covers_everything_since_the_mark(spark, tmp_dir):
+    import datetime as dt
     import os
 
-    from ledgerline.sources.files import recent_folders, scan_all
-    for day, h in (("2025-01-01", 1), ("2025-01-04", 4), ("2025-01-05", 5)):
-        os.makedirs(f"{tmp_dir}/{day}")
-        with open(f"{tmp_dir}/{day}/{h}_a.json", "w") as f:
-            f.write(json.dumps({"value": {"BLOCK_ID": h}, "data": {}}) + "\n")
-    folders = recent_folders(spark, tmp_dir, days=1, now="2025-01-05 10:00:00")
-    assert [f.rsplit("/", 1)[1] for f in folders] == ["2025-01-04", "2025-01-05"]
-    ids = sorted(r.b for r in scan_all(spark, folders).select(
-        F.try_variant_get("value", "$.BLOCK_ID", "int").alias("b")).collect())
-    assert ids == [4, 5]
+    from ledgerline.sources.files import choose_scan
+    now = dt.datetime(2025, 1, 20)
+    for day in (1, 8, 19):
+        with open(f"{tmp_dir}/{day}_a.json", "w") as f:
+            f.write('{"value": {}, "data": {}}\n')
+        at = dt.datetime(2025, 1, day, tzinfo=dt.timezone.utc).timestamp()
+        os.utime(f"{tmp_dir}/{day}_a.json", (at, at))
+    assert choose_scan(spark, tmp_dir, True, 3, now).count() == 1
+    assert choose_scan(spark, tmp_dir, True, 3, now, mark=dt.datetime(2025, 1, 8)).count() == 2
+    with pytest.raises(ValueError):
+        choose_scan(spark, tmp_dir, True)
