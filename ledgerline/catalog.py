@@ -623,20 +623,18 @@ def q_upsert(spark, sf):
 
 
 @register("replace_keys", """
-with t as (select o_orderkey as k, date_trunc('month', o_orderdate) as m, o_totalprice as p
-           from orders where o_orderkey % 3 < 2),
-n as (select o_orderkey as k, date_trunc('month', o_orderdate) as m, o_totalprice + 1 as p
-      from orders where o_orderkey % 3 = 2 and o_orderdate >= timestamp '2000-01-01 00:00:00')
+with t as (select o_orderkey as k, date_trunc('month', o_orderdate) as m, o_totalprice as p from orders),
+n as (select k, m, p + 1 as p from t where m >= timestamp '2000-01-01 00:00:00')
 select k, p from t where not exists (select 1 from n where n.m = t.m)
 union all select k, p from n
 """)
 def q_replace_keys(spark, sf):
-    o = _t(spark, sf, "orders")
-    k = F.col("o_orderkey")
-    m = F.date_trunc("month", "o_orderdate").alias("m")
-    target = o.where(k % 3 < 2).select(k.alias("k"), m, F.col("o_totalprice").alias("p"))
-    batch = (o.where((k % 3 == 2) & (F.col("o_orderdate") >= L.ts_lit("2000-01-01 00:00:00")))
-              .select(k.alias("k"), m, (F.col("o_totalprice") + 1).alias("p")))
+    # every order is stored; the months from 2000 on are recomputed whole
+    target = _t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("k"), F.date_trunc("month", "o_orderdate").alias("m"),
+        F.col("o_totalprice").alias("p"))
+    batch = (target.where(F.col("m") >= L.ts_lit("2000-01-01 00:00:00"))
+             .withColumn("p", F.col("p") + 1))
     return replace_keys(target, batch, ["m"]).select("k", "p")
 
 
@@ -740,13 +738,175 @@ def q_fact_msgs(spark, sf):
 
 
 @register("fact_blocks", """
-select o_orderkey as block_id, 'chain-' || o_orderstatus as chain_id,
-       md5(cast(o_orderkey as varchar)) as fact_blocks_id
-from orders where o_orderkey % 97 <> 0
+select 'cosmos' as blockchain, o_orderkey as block_id,
+       cast(date_trunc('second', o_orderdate) + interval 123456 microsecond as timestamp) as block_timestamp,
+       'chain-' || o_orderstatus as chain_id, cast(coalesce(l.n, 0) as bigint) as tx_count,
+       'val' || cast(o_custkey as varchar) as proposer_address,
+       'vh-' || o_orderstatus as validator_hash, md5(cast(o_orderkey as varchar)) as fact_blocks_id
+from orders left join (select l_orderkey, count(*) as n from lineitem group by 1) l
+  on l.l_orderkey = o_orderkey
+where o_orderkey % 97 <> 0
 """)
 def q_fact_blocks(spark, sf):
-    f = G.fact_blocks(S.silver_blocks(_bronze_blocks(spark, sf)))
-    return f.select("block_id", "chain_id", "fact_blocks_id")
+    return G.fact_blocks(S.silver_blocks(_bronze_blocks(spark, sf)))
+
+
+@register("fact_transactions", f"""
+with {_L}
+select l_orderkey as block_id, cast(date_trunc('millisecond', l_shipdate) as timestamp) as block_timestamp,
+       case when l_returnflag = 'R' then 'sdk' else '' end as codespace, {_TXID} as tx_id,
+       l_returnflag <> 'R' as tx_succeeded, case when l_returnflag = 'R' then 5 else 0 end as tx_code,
+       case when l_returnflag = 'R' then '"err ' || cast(l_partkey as varchar) || '"'
+         else '{{"0":{{"events":[{{"attributes":[{{"key":"a","value":"' || cast(l_partkey as varchar)
+              || '"}},{{"key":"b"}}],"type":"transfer"}},{{"attributes":[{{"key":"s","value":"'
+              || cast(l_suppkey as varchar) || '"}}],"type":"coin"}}]}}}}' end as tx_log,
+       cast(trunc(l_quantity * 1000) as bigint) as gas_used,
+       cast(trunc(l_quantity * 1000) as bigint) + 500 as gas_wanted, md5({_TXID}) as fact_transactions_id
+from L
+""")
+def q_fact_transactions(spark, sf):
+    return G.fact_transactions(_silver_txs(spark, sf)).withColumn("tx_log", F.to_json("tx_log"))
+
+
+@register("fact_msg_attributes", f"""
+with {_EVENTS},
+a as (
+  select m.*, 0 as attribute_index, k as attribute_key, v as attribute_value from m
+  union all
+  select m.*, 1 as attribute_index, 'amount' as attribute_key,
+         case when l_orderkey % 10 = 4 then null
+              else cast(cast(trunc(l_quantity) as bigint) as varchar) || 'uatom' end
+  from m where msg_type = 'transfer')
+select block_id, block_timestamp, tx_id, tx_succeeded, g as msg_group, sub as msg_sub_group,
+       cast(msg_index as integer) as msg_index, msg_type,
+       cast(attribute_index as integer) as attribute_index, attribute_key, attribute_value,
+       md5(tx_id || '-' || cast(msg_index as varchar) || '-' || cast(attribute_index as varchar))
+         as fact_msg_attributes_id
+from a
+""")
+def q_fact_msg_attributes(spark, sf):
+    return G.fact_msg_attributes(S.silver_msg_attributes(S.silver_msgs(_silver_txs(spark, sf))))
+
+
+@register("fact_transactions_logs", f"""
+with {_L}
+select l_orderkey as block_id, cast(date_trunc('millisecond', l_shipdate) as timestamp) as block_timestamp,
+       {_TXID} as tx_id, l_returnflag <> 'R' as tx_succeeded,
+       case when l_returnflag = 'R' then 5 else 0 end as tx_code,
+       case when l_returnflag = 'R' then 'sdk' else '' end as codespace,
+       case when l_returnflag = 'R'
+         then '[{{"msg_index":0,"event_type":"error","attributes":[{{"key":"error_message","value":"err '
+              || cast(l_partkey as varchar) || '"}}]}}]'
+         else '[{{"msg_index":0,"event_type":"coin","attributes":[{{"key":"s","value":"'
+              || cast(l_suppkey as varchar) || '"}}]}},'
+              || '{{"msg_index":0,"event_type":"transfer","attributes":[{{"key":"a","value":"'
+              || cast(l_partkey as varchar) || '"}},{{"key":"b","value":""}}]}}]' end as tx_log,
+       md5({_TXID}) as transactions_logs_id
+from L
+""")
+def q_fact_transactions_logs(spark, sf):
+    f = G.fact_transactions_logs(S.normalize_logs(_silver_txs(spark, sf)))
+    return f.withColumn("tx_log", F.to_json("tx_log"))
+
+
+# --------------------------------------------------- completion ledgers, chain head
+@register("blocks_complete", """
+select o_orderkey as block_id,
+       cast(date_trunc('second', o_orderdate) + interval 123456 microsecond as timestamp) as block_timestamp,
+       cast(coalesce(l.n, 0) as bigint) as tx_count,
+       'blocks/' || cast(cast(round(o_orderkey, -4) as integer) as varchar) || '_0.json' as file_name,
+       timestamp '2025-01-02 00:00:00' as inserted_timestamp, md5(cast(o_orderkey as varchar)) as complete_blocks_id
+from orders left join (select l_orderkey, count(*) as n from lineitem group by 1) l
+  on l.l_orderkey = o_orderkey
+where o_orderkey % 97 <> 0
+""")
+def q_blocks_complete(spark, sf):
+    return SL.blocks_complete(_bronze_blocks(spark, sf))
+
+
+@register("tx_count_complete", """
+select l_orderkey as block_id, count(*) as tx_count, 'tx_count/0.json' as file_name,
+       timestamp '2025-01-02 00:00:00' as inserted_timestamp,
+       md5(cast(l_orderkey as varchar)) as complete_tx_counts_id
+from lineitem group by l_orderkey
+""")
+def q_tx_count_complete(spark, sf):
+    return SL.tx_count_complete(landed(
+        spark, "bronze_tx_count", sf,
+        lambda: D.bronze_tx_counts(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"))))
+
+
+@register("transactions_complete", """
+select distinct l_orderkey as block_id, cast(ceil(l_linenumber / 2.0) as bigint) as page_number,
+       'transactions/' || cast(cast(round(l_orderkey, -3) as integer) as varchar) || '_0.json' as file_name,
+       timestamp '2025-01-02 00:00:00' as inserted_timestamp,
+       md5(cast(l_orderkey as varchar) || '-' || cast(cast(ceil(l_linenumber / 2.0) as bigint) as varchar))
+         as complete_transactions_id
+from lineitem
+""")
+def q_transactions_complete(spark, sf):
+    return SL.transactions_complete(_bronze_txs(spark, sf, page_size=2))
+
+
+@register("chainhead", "select max(o_orderkey) + 10 as block_id from orders")
+def q_chainhead(spark, sf):
+    return SL.chainhead(D.bronze_status(_t(spark, sf, "orders")))
+
+
+# ------------------------------------------------------------ prices, priced hours
+_PRICES = """pr as (select cast(date_trunc('hour', ts) as timestamp) as h, max(value) as hi, min(value) as lo
+  from events where event_type = 'purchase' group by 1)"""
+
+
+def _hourly_prices(spark, sf):
+    ev = _t(spark, sf, "events").where("event_type = 'purchase'")
+    hi, lo = F.max("value").cast("double"), F.min("value").cast("double")
+    return ev.groupBy(L.hour_floor("ts").alias("recorded_hour")).agg(
+        lo.alias("open"), hi.alias("high"), lo.alias("low"), hi.alias("close"),
+        F.max("ts").alias("_inserted_timestamp"), F.max("event_id").alias("hourly_prices_id")) \
+        .withColumn("id", F.lit("cosmos")).withColumn("modified_timestamp", F.col("_inserted_timestamp"))
+
+
+@register("silver_prices", f"""
+with {_PRICES},
+k as (select cast(date_trunc('hour', ts) as timestamp) as h, max(ts) as ins, max(event_id) as e
+      from events where event_type = 'purchase' group by 1)
+select 'cosmos' as id, h as recorded_hour, cast(lo as double) as open, cast(hi as double) as high,
+       cast(lo as double) as low, cast(hi as double) as close, k.ins as _inserted_timestamp,
+       k.e as hourly_prices_id, md5('cosmos-' || strftime(h, '%Y-%m-%d %H:%M:%S')) as hourly_prices_coin_gecko_id,
+       timestamp '2025-01-02 00:00:00' as inserted_timestamp,
+       timestamp '2025-01-02 00:00:00' as modified_timestamp, 'run' as _invocation_id
+from pr join k using (h)
+""")
+def q_silver_prices(spark, sf):
+    from .plans.stats import silver_prices
+    return silver_prices(_hourly_prices(spark, sf), "cosmos", "2025-01-02 00:00:00", "run").drop("_source_modified")
+
+
+@register("ez_core_metrics_hourly", f"""
+with {_PRICES},
+st as (select cast(date_trunc('hour', ts) as timestamp) as h, min(event_id) as b0, max(event_id) as b1,
+              count(distinct event_id) as bc, count(distinct user_id) as n,
+              count(distinct case when event_type <> 'error' then user_id end) as ok,
+              count(distinct case when event_type = 'error' then user_id end) as bad,
+              cast(sum(event_id) as bigint) as gas
+       from events group by 1),
+f as (select st.*, last_value(cast(hi as double) ignore nulls) over (order by st.h
+        rows between unbounded preceding and current row) as px from st left join pr on st.h = pr.h)
+select h as block_timestamp_hour, b0 as block_number_min, b1 as block_number_max, bc as block_count,
+       n as transaction_count, ok as transaction_count_success, bad as transaction_count_failed,
+       gas as total_fees_native, cast(round(gas * px, 2) as double) as total_fees_usd,
+       md5(strftime(h, '%Y-%m-%d %H:%M:%S')) as ez_core_metrics_hourly_id
+from f
+""")
+def q_ez_core_metrics_hourly(spark, sf):
+    from .plans.stats import ez_metrics
+    txs = _t(spark, sf, "events").select(
+        F.col("ts").alias("block_timestamp"), F.col("event_id").alias("block_id"),
+        F.col("user_id").alias("tx_id"), (F.col("event_type") != "error").alias("tx_succeeded"),
+        F.col("event_id").alias("gas_used"))
+    m = ez_metrics(metrics_with_price(hourly_metrics(txs), _hourly_prices(spark, sf), "cosmos"))
+    return m.withColumn("total_fees_native", F.col("total_fees_native").cast("bigint"))
 
 
 @register("core_metrics_hourly", f"""
@@ -890,7 +1050,9 @@ from .plans.checks import silver_checks  # noqa: E402
 
 @register("silver_checks", f"""
 with {_L},
-blk as (select o_orderkey as k, o_custkey, o_orderstatus from orders where o_orderkey % 97 <> 0),
+blk as (select o_orderkey as k, o_custkey, o_orderstatus, o_orderdate, coalesce(n, 0) as n from orders
+        left join (select l_orderkey, count(*) as n from lineitem group by 1) c on l_orderkey = o_orderkey
+        where o_orderkey % 97 <> 0),
 seq as (select k, lag(k) over (order by k) as pk from blk),
 t as (select * from L)
 select 'sequential_values' as check_name, 'silver_blocks' as tbl, 'block_id' as col,
@@ -900,11 +1062,12 @@ from seq
 union all
 select 'not_null', 'silver_blocks', c, n, 0, case when n > 0 then 'error' else 'pass' end
 from (select 'block_id' as c, count(*) filter (where k is null) as n from blk
-      union all select 'block_timestamp', cast(0 as bigint)
+      union all select 'block_timestamp', count(*) filter (where o_orderdate is null) from blk
       union all select 'proposer_address', count(*) filter (where o_custkey is null) from blk
       union all select 'validator_hash', count(*) filter (where o_orderstatus is null) from blk) x
 union all
-select 'expression_is_true', 'silver_blocks', 'tx_count >= 0', 0, 0, 'pass'
+select 'expression_is_true', 'silver_blocks', 'tx_count >= 0', count(*) filter (where n < 0), 0,
+       case when count(*) filter (where n < 0) > 0 then 'error' else 'pass' end from blk
 union all
 select 'unique', 'silver_blocks', 'blocks_id', count(*), 0, case when count(*) > 0 then 'error' else 'pass' end
 from (select o_orderstatus, k from blk group by 1, 2 having count(*) > 1) u
@@ -912,7 +1075,7 @@ union all
 select 'not_null', 'silver_transactions', c, n, 0, case when n > 0 then 'error' else 'pass' end
 from (select 'block_id' as c, count(*) filter (where l_orderkey is null) as n from t
       union all select 'block_timestamp', count(*) filter (where l_shipdate is null) from t
-      union all select 'tx_id', cast(0 as bigint)) y
+      union all select 'tx_id', count(*) filter (where l_orderkey is null or l_linenumber is null) from t) y
 union all
 select 'unique', 'silver_transactions', 'transactions_id', count(*), 0,
        case when count(*) > 0 then 'error' else 'pass' end

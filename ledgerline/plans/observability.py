@@ -1,9 +1,10 @@
 """Audits (X6 sequence gaps, X7 count reconciliation) with restart points.
 
-Each audit returns one result row; the impacted ids are also available as a
-distributed DataFrame (``*_impacted``) for callers that want the detail
-without building an array. The array is assembled from per-chunk sorted
-pieces so no task sorts the whole list.
+Each audit returns one result row; :func:`blocks_impacted` and
+:func:`transactions_impacted` give the impacted ids as a distributed table. The
+row's array, which the result format asks for, is assembled from per-chunk
+sorted pieces; the count is its size, and only the small summary row is
+broadcast to it.
 """
 
 from __future__ import annotations
@@ -34,20 +35,27 @@ def _window(blocks: DataFrame, key: str, ts: str, now, settle_hours: int, restar
     return b
 
 
-def _result(test_name: str, summary: DataFrame, impacted_count: DataFrame, arr: DataFrame,
-            run_ts) -> DataFrame:
+def _result(test_name: str, summary: DataFrame, arr: DataFrame, run_ts) -> DataFrame:
     t = ts_lit(run_ts)
-    return (summary.crossJoin(impacted_count).crossJoin(arr)   # J8: 1 row × 1 row × 1 row
+    return (arr.crossJoin(F.broadcast(summary))                # J8: 1 row × 1 row
             .select(F.lit(test_name).alias("test_name"), "min_block", "max_block",
                     "min_block_timestamp", "max_block_timestamp", "blocks_tested",
-                    "blocks_impacted_count", "blocks_impacted_array",
-                    t.alias("test_timestamp"), t.alias("modified_timestamp")))
+                    F.size("blocks_impacted_array").cast("bigint").alias("blocks_impacted_count"),
+                    "blocks_impacted_array", t.alias("test_timestamp"), t.alias("modified_timestamp")))
 
 
 def blocks_impacted(blocks: DataFrame, key: str = "block_id") -> DataFrame:
+    """Ids missing inside the id range, one row each."""
     return expand_ranges(find_gaps(blocks, key), "gap_start", "gap_end", "block_id")
 
 
+def transactions_impacted(blocks: DataFrame, txs: DataFrame, key: str = "block_id",
+                          count_col: str = "tx_count") -> DataFrame:
+    """Ids of blocks whose declared count differs from the transactions present."""
+    return count_mismatch(blocks.select(key, count_col), txs.select(key), key, count_col).select(
+        F.col(key).cast("bigint").alias("block_id"))
+
+
 def blocks_completeness(blocks: DataFrame, run_ts, now=None, restart=None,
                         key: str = "block_id", ts: str = "block_timestamp",
                         settle_hours: int = 12) -> DataFrame:
@@ -59,12 +67,8 @@ def blocks_completeness(blocks: DataFrame, run_ts, now=None, restart=None,
                     F.min(ts).alias("min_block_timestamp"),
                     F.max(ts).alias("max_block_timestamp")).withColumn(
         "blocks_tested", (F.col("max_block") - F.col("min_block") + 1).cast("bigint"))
-    gaps = find_gaps(b, key)
-    cnt = gaps.agg(F.coalesce(F.sum(F.col("gap_end") - F.col("gap_start") + 1), F.lit(0))
-                   .cast("bigint").alias("blocks_impacted_count"))
-    missing = expand_ranges(gaps, "gap_start", "gap_end", "block_id")
-    arr = sorted_id_array(missing, "block_id", "blocks_impacted_array")
-    return _result("blocks", summary, cnt, arr, run_ts)
+    arr = sorted_id_array(blocks_impacted(b, key), "block_id", "blocks_impacted_array")
+    return _result("blocks", summary, arr, run_ts)
 
 
 def transactions_completeness(blocks: DataFrame, txs: DataFrame, run_ts, now=None,
@@ -82,8 +86,6 @@ def transactions_completeness(blocks: DataFrame, txs: DataFrame, run_ts, now=Non
     t = txs.select(key)
     if restart is not None:
         t = t.where(F.col(key) >= F.lit(restart))
-    mism = count_mismatch(b.select(key, count_col), t, key, count_col).select(
-        F.col(key).cast("bigint").alias("block_id"))
-    cnt = mism.agg(F.count(F.lit(1)).cast("bigint").alias("blocks_impacted_count"))
+    mism = transactions_impacted(b, t, key, count_col)
     arr = sorted_id_array(mism, "block_id", "blocks_impacted_array")
-    return _result("transactions", summary, cnt, arr, run_ts)
+    return _result("transactions", summary, arr, run_ts)
