@@ -105,8 +105,8 @@ def _tag(text: bytes) -> int:
 
 def _pieces(texts: list[bytes]):
     """Groups of (row, offset, bytes) of about GROUP bytes. A long text comes
-    in pieces that overlap by two windows, so each of its windows, with the
-    windows around it that may choose the same anchor, is in some piece."""
+    in pieces that overlap by LENGTH - 1 bytes, so each of its windows is in
+    one piece; a window chooses its anchor by its own bytes alone."""
     group, size = [], 0
     for row, t in enumerate(texts):
         if len(t) < LENGTH:
@@ -121,7 +121,7 @@ def _pieces(texts: list[bytes]):
                 group, size = [], 0
             if at + GROUP >= len(t):
                 break
-            at += GROUP - 2 * LENGTH
+            at += GROUP - LENGTH + 1
     if group:
         yield group
 
