@@ -34,7 +34,3 @@ def tx_search_request(block_id: ColumnOrName, page: ColumnOrName, per_page: int
 def tx_count_request(block_id: ColumnOrName) -> Column:
     """tx_search asking for page 1 of size 1 — only ``total_count`` is used."""
     return tx_search_request(block_id, F.lit(1), per_page=1)
-
-
-def status_request() -> Column:
-    return rpc_request("status", [], F.lit(0))

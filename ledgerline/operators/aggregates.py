@@ -35,7 +35,7 @@ def ordered_array_by_group(df: DataFrame, group: Sequence[str], value: str, out:
     group = list(group)
     v = F.col(value)
     per_chunk = (df.select(*group, v.alias("__v"))
-                   .groupBy(*group, F.floor(F.col("__v") / F.lit(chunk)).alias("__c"))
+                   .groupBy(*group, F.expr(f"(__v - pmod(__v, {int(chunk)})) div {int(chunk)}").alias("__c"))
                    .agg(F.sort_array(F.collect_list("__v")).alias("__ids")))
     arr = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("__c", "__ids"))),
                                 lambda s: s["__ids"]))
@@ -45,16 +45,6 @@ def ordered_array_by_group(df: DataFrame, group: Sequence[str], value: str, out:
     return per_chunk.agg(F.coalesce(arr, empty).alias(out))
 
 
-def ordered_struct_agg(sort_keys: Sequence[ColumnOrName], payload: dict[str, ColumnOrName]
-                       ) -> Column:
-    """A8/A9 for structs: collect ``struct(sort keys…, payload…)``, sort, then
-    drop the sort keys — deterministic order for ARRAY_AGG(OBJECT)."""
-    keys = [(_c(k)).alias(f"__s{i}") for i, k in enumerate(sort_keys)]
-    pay = [(_c(v)).alias(n) for n, v in payload.items()]
-    arr = F.sort_array(F.collect_list(F.struct(*keys, *pay)))
-    return F.transform(arr, lambda x: F.struct(*[x[n].alias(n) for n in payload]))
-
-
 def scalar(df: DataFrame, expr: Column):
     """One scalar (high-water mark, bound) — a single-row action."""
     return df.agg(expr.alias("v")).first()["v"]

@@ -43,8 +43,3 @@ def join_file_meta(records: DataFrame, meta: DataFrame, keys: Sequence[str] = ("
     """Records ⋈ an explicit file registry. The registry has one row per
     file; Spark/AQE choose broadcast only when its runtime size allows."""
     return records.join(meta, list(keys), "inner")
-
-
-def bucket_key(col: ColumnOrName, digits: int) -> ColumnOrName:
-    """F25 ``ROUND(x, -digits)`` half-up, integral in/out (bucket/partition key)."""
-    return F.round(_c(col), -digits).cast("bigint")

@@ -11,8 +11,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_all(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)
