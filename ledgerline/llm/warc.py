@@ -26,7 +26,7 @@ STEPS = (
     ("<[^>]*>", ""),
     ("&nbsp;|&#160;", " "), ("&lt;|&#60;", "<"), ("&gt;|&#62;", ">"), ("&quot;|&#34;", '"'),
     ("&#39;|&apos;", "'"), ("&amp;|&#38;", "&"),
-    ("[ \\t\\r\\f]+", " "), (" ?(\\n ?)+", "\n"), ("^[ \\n]+|[ \\n]+$", ""),
+    ("[ \\t\\r\\f]+", " "), ("[ \\n]*\\n[ \\n]*", "\n"), ("^[ \\n]+|[ \\n]+$", ""),
 )
 
 
