@@ -99,7 +99,9 @@ def fit_terms(docs: DataFrame, train: DataFrame) -> dict:
     if not nt or not nc:
         return {"terms": {}, "lam": 1.0, "rate": rate}
     prior = F.greatest(F.lit(PRIOR) * F.col("n") / F.lit(float(max(n, 1))), F.lit(0.01))
-    odds = lambda y, of: F.log((F.col(y) + F.col("a")) / (F.lit(of + PRIOR) - F.col(y) - F.col("a")))
+    # a token of every document leaves nothing on the other side: 0.01 is the prior's floor
+    odds = lambda y, of: F.log((F.col(y) + F.col("a")) / F.greatest(
+        F.lit(of + PRIOR) - F.col(y) - F.col("a"), F.lit(0.01)))
     scored = (both.where("token <> ''").withColumn("a", prior)
               .withColumn("delta", odds("t", nt) - odds("c", nc))
               .withColumn("z", F.col("delta") / F.sqrt(1 / (F.col("t") + F.col("a")) + 1 / (F.col("c") + F.col("a"))))
