@@ -10,9 +10,10 @@ each unedited passage has a window in common with its item whatever its place.
 A CGK walk (Chakraborty, Goldenberg, Koucky 2016) copies the word under a
 pointer at every step and moves the pointer by a random bit of (step, word):
 after an edit the walks of two windows fall into step again, so edit distance
-becomes Hamming distance. Each table has a walk of its own and samples ``K``
-of its coordinates as the key; the number of tables follows from the recall
-asked for. Candidates are verified by exact word-level edit distance.
+becomes Hamming distance. A table samples ``K`` coordinates of a walk as its
+key, ``SHARED`` tables use one walk, and the number of tables follows from the
+recall asked for. A walk has as many steps as the window has words, so it never
+leaves it. Candidates are verified by exact word-level edit distance.
 
 The benchmark is a reference list: items are taken in blocks of ``ITEM_BLOCK``
 (a documented size), documents are scanned once a block and never moved.
@@ -38,10 +39,12 @@ K = 4
 #: copy at SIMILARITY differ (measured in tests/llm; sets the tables).
 APART = 0.35
 TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - APART) ** K))
+SHARED = 4
 ITEM_BLOCK = 2_000
-#: A window needs this share of its words in its class's items to be hashed;
-#: below, it has more edits than any passage that must be found.
-IN_ITEMS = 0.5
+#: A window needs this share of its words in its class's items to be hashed.
+#: An item's edits, at most a fifth of its words, cannot be dense in all the
+#: windows of its passage, so one of them has about this share at least.
+IN_ITEMS = 0.7
 MASK = 1023
 
 
@@ -57,26 +60,27 @@ class Walks:
 
     def __init__(self, width: int, seed: int = 7):
         rng = np.random.default_rng([seed, width])
-        self.width, self.steps = width, 2 * width
-        self.moves = rng.integers(0, 2, (TABLES, self.steps, MASK + 1), dtype=np.int8)
-        self.at = [np.sort(rng.choice(self.steps, min(K, self.steps), replace=False)) for _ in range(TABLES)]
-        self.mix = rng.integers(1, 1 << 62, (TABLES, K), dtype=np.uint64) | np.uint64(1)
-
-    def keys(self, table: int, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Keys of the windows words[start : start + width]."""
-        pos = starts.copy()
-        end = starts + self.width
-        key = np.zeros(len(starts), np.uint64)
-        wanted = self.at[table]
-        j = 0
-        padded = np.append(words, 0)
-        for step in range(int(wanted[-1]) + 1):
-            word = np.where(pos < end, padded[np.minimum(pos, len(words))], 0)
-            if step == wanted[j]:
-                key += (word.astype(np.uint64) + np.uint64(1)) * self.mix[table, j]
-                j += 1
-            pos += self.moves[table, step][word & MASK]
-        return key
+        self.width = width
+        self.moves = rng.integers(0, 2, (-(-TABLES // SHARED), width, MASK + 1), dtype=np.int8).astype(np.int64)
+        self.at = [rng.choice(width, min(K, width), replace=False).tolist() for _ in range(TABLES)]
+        self.mix = rng.integers(1, 1 << 62, (TABLES, width), dtype=np.uint64) | np.uint64(1)
+
+    def keys(self, words: np.ndarray, starts: np.ndarray):
+        """(table, keys of the windows words[start : start + width]) of every table."""
+        unsigned = words.astype(np.uint64) + np.uint64(1)
+        bits = words & MASK
+        for walk, moves in enumerate(self.moves):
+            mine = range(walk * SHARED, min(TABLES, (walk + 1) * SHARED))
+            keys = {t: np.zeros(len(starts), np.uint64) for t in mine}
+            pos = starts.copy()
+            for step in range(max(x for t in mine for x in self.at[t]) + 1):
+                wanted = [t for t in mine if step in self.at[t]]
+                if wanted:
+                    word = unsigned[pos]
+                    for t in wanted:
+                        keys[t] += word * self.mix[t, step]
+                pos += moves[step][bits[pos]]
+            yield from keys.items()
 
 
 def edit_passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -125,9 +129,8 @@ class Index:
                 ids = self.items[i][1]
                 known[ids] = True
                 starts = np.arange(len(ids) - w + 1)
-                for t in range(TABLES):
-                    entries.append((np.full(len(starts), t), walks.keys(t, ids, starts),
-                                    np.full(len(starts), i), starts))
+                for t, keys in walks.keys(ids, starts):
+                    entries.append((np.full(len(starts), t), keys, np.full(len(starts), i), starts))
             t, key, item, shift = (np.concatenate(c) for c in zip(*entries))
             per = []
             for x in range(TABLES):
@@ -158,8 +161,8 @@ class Index:
             # a passage's last windows can also end at the text's end
             enough = total[starts + w] - total[starts] >= IN_ITEMS * w
             row, starts = row[enough], starts[enough]
-            for t, (keys, item, shift) in enumerate(per):
-                mine = walks.keys(t, words, starts)
+            for t, mine in walks.keys(words, starts):
+                keys, item, shift = per[t]
                 lo, hi = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
                 for j in np.flatnonzero(hi > lo):
                     r, at = int(row[j]), int(starts[j])
