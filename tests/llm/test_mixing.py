@@ -1,0 +1,78 @@
+import math
+
+from pyspark.sql import functions as F
+
+from ledgerline.llm import mixing
+from llm_data import ODD, clashing, documents
+
+SF = "/root/testdata/sf0.001"
+
+
+def water(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Reshare the excess by weight until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, capped = share * sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in capped)
+        free = [s for s in names if s not in capped]
+        t = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = {s for s in free if t[s] > most * sizes[s]}
+        if not over:
+            return {**t, **{s: most * sizes[s] for s in capped}}
+        capped |= over
+
+
+def check(df, rows):
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    want = water({s: sum(r.size for r in v) for s, v in by.items()})
+    for s, v in by.items():
+        assert math.isclose(v[0].target, want[s], rel_tol=1e-9, abs_tol=1e-9)
+        assert v[0].source_size == sum(r.size for r in v)
+        assert abs(sum(r.taken for r in v) - want[s]) <= 1
+        assert all(0 <= r.taken <= 2 * r.size for r in v)
+
+
+def test_targets_and_reruns(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    rows, blocks = mixing.mix(df, shards=5)
+    rows = rows.collect()
+    check(df, rows)
+    again = mixing.op7(df.repartition(9)).collect()
+    assert sorted((r.doc_id, r.taken) for r in rows) == sorted((r.doc_id, r.taken) for r in again)
+    b = blocks.collect()
+    n = [sum(x.shard == s for x in b) for s in range(5)]
+    assert max(n) - min(n) <= 1 and sum(n) == len(b)
+    assert len({(x.doc_id, x["pass"]) for x in b}) == len(b)              # disjoint
+    assert sum(x.words for x in b) == sum(r.taken for r in rows)
+
+
+def test_splitting_tree_is_hypergeometric(spark):
+    quotas = spark.createDataFrame([(0, 40), (1, 60), (2, 3)], "n int, quota long")
+    first = []
+    for seed in range(10):
+        segs = {r.n: r.segs for r in mixing.splitting_tree(quotas, 4, seed).collect()}
+        for n, q in ((0, 40), (1, 60), (2, 3)):
+            assert sorted((g.lo, g.hi) for g in segs[n])[0][0] == 0
+            edges = sorted((g.lo, g.hi) for g in segs[n])
+            assert all(a[1] == b[0] for a, b in zip(edges, edges[1:])) and edges[-1][1] == q
+        first.append(sum(g.hi - g.lo for g in segs[0] if g.shard < 2))
+    mean, sd = sum(first) / 10, (40 * 63 / 103 ** 2 * 51 * 52 / 102) ** 0.5
+    assert abs(mean - 40 * 51.5 / 103) < 4 * sd / 10 ** 0.5
+    assert len(set(first)) > 3
+
+
+def test_odd_rows(spark):
+    texts = ODD + ["w " * 50] * 40 + [None]
+    src = ["b", None, "a", "a", "b", None, "é", "Z", "big"] + ["hot"] * 40 + ["only null"]
+    df = clashing(documents(spark, texts, [1] * len(texts), src))
+    rows, _ = mixing.mix(df)
+    rows = rows.collect()
+    assert len(rows) == len(texts)
+    check(df, rows)
+    assert mixing.op7(df.limit(0)).count() == 0
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(r.taken for r in rows)

@@ -1,0 +1,43 @@
+import hashlib
+
+from ledgerline.llm import warc
+from ledgerline.llm.queries import ORACLES
+from llm_data import clashing
+from oracle import compare, duck
+
+SF = "/root/testdata/sf0.01"
+HTML = ("<html><head><title>A\n b</title><script type='x'>var a='<p>';</script ><style>p{}</style></head>"
+        "<body><!-- c > d --><p>One&nbsp;two<br/>three &amp;lt; <b>bo</b>ld</p><a href=\"/x\">L</a></body>")
+
+
+def test_oracle(spark):
+    assert compare(warc.op8(spark.read.parquet(f"{SF}/pages.parquet")), duck(SF), ORACLES["op8_warc_derivatives"]) == []
+
+
+def test_text_links_and_odd_pages(spark):
+    rows = [(1, "http://a/", HTML), (2, None, None), (3, "", ""), (1, "http://a/", HTML), (None, "u", "<p>" * 50_000 + "x"),
+            (5, "u", "<script>never closed <p>y")]
+    df = clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = warc.op8(df).collect()
+    assert len(got) == 2 * len(rows)
+    text = [r for r in got if r.page_id == 1 and r.warc_type == "conversion"]
+    assert text[0] == text[1] and text[0].block == "A\nb\nOne two\nthree &lt; bold\nL"
+    meta = next(r for r in got if r.page_id == 1 and r.warc_type == "metadata")
+    assert "title: A b\r\n" in meta.block and meta.block.endswith("outlink: /x")
+    assert meta.refers_to == text[0].refers_to and meta.record_id != text[0].record_id
+    assert f"source-payload-digest: sha256:{hashlib.sha256(HTML.encode()).hexdigest()}" in meta.block
+    assert all(r.block_digest == "sha256:" + hashlib.sha256(r.block.encode()).hexdigest()
+               and r.content_length == len(r.block.encode()) for r in got)
+    assert warc.op8(df.limit(0)).count() == 0
+
+
+def test_round_trip(spark, tmp_dir):
+    recs = warc.op8(spark.read.parquet(f"{SF}/pages.parquet")).cache()
+    warc.write_warc(recs, f"{tmp_dir}/w")
+    back = {r.headers["WARC-Record-ID"]: r for r in warc.read_warc(spark, f"{tmp_dir}/w").collect()}
+    want = recs.collect()
+    assert len(back) == len(want)
+    for r in want:
+        b = back[r.record_id]
+        assert b.block == r.block and b.headers["WARC-Refers-To"] == r.refers_to
+        assert b.headers["WARC-Block-Digest"] == r.block_digest and b.headers["WARC-Type"] == r.warc_type
