@@ -270,18 +270,21 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster,
 
 
 def run_silver_msg_attributes(spark, msgs: DataFrame, path, run_ts, run_id,
-                              lookback_days: int = 2) -> DataFrame:
+                              lookback_days: int = 2, **refresh) -> DataFrame:
     return run_merge(spark, msgs, path, ["msg_attributes_id"], "block_timestamp", run_ts, run_id,
                      transform=lambda d: silver.silver_msg_attributes(d, run_ts=run_ts,
                                                                       run_id=run_id),
-                     hwm_col="_inserted_timestamp", lookback_days=lookback_days, by_date=True)
+                     hwm_col="_inserted_timestamp", lookback_days=lookback_days, by_date=True,
+                     **refresh)
 
 
-def run_silver_transactions_logs(spark, txs: DataFrame, path, run_ts, run_id) -> DataFrame:
+def run_silver_transactions_logs(spark, txs: DataFrame, path, run_ts, run_id, **refresh
+                                 ) -> DataFrame:
     return run_merge(spark, txs, path, ["tx_id"], "block_timestamp", run_ts, run_id,
                      transform=lambda d: silver.normalize_logs(d, run_ts=run_ts, run_id=run_id,
                                                                partition_input=True),
-                     hwm_col="_inserted_timestamp", sort_by=("block_timestamp", "tx_id"))
+                     hwm_col="_inserted_timestamp", sort_by=("block_timestamp", "tx_id"),
+                     **refresh)
 
 
 FACTS = {
@@ -293,12 +296,14 @@ FACTS = {
 }
 
 
-def run_fact(spark, name: str, silver_table: DataFrame, path, run_ts, run_id) -> DataFrame:
+def run_fact(spark, name: str, silver_table: DataFrame, path, run_ts, run_id, **refresh
+             ) -> DataFrame:
     """Gold facts: silver rows modified at/after the fact's newest
     ``modified_timestamp`` (I3, D4 fixed) → projection → merge on its key."""
     fn, key = FACTS[name]
     return run_merge(spark, silver_table, path, [key], "block_timestamp", run_ts, run_id,
-                     transform=lambda d: fn(d, run_ts, run_id), hwm_col="modified_timestamp")
+                     transform=lambda d: fn(d, run_ts, run_id), hwm_col="modified_timestamp",
+                     **refresh)
 
 
 def _ledger_source(spark, bronze_root, path):
@@ -355,9 +360,9 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
 def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, run_id: str,
               now, prices: DataFrame | None = None, asset_id: str = "cosmos",
               blockchain: str = "cosmos") -> dict:
-    """One scheduled run of every model in dependency order (bronze folders
+    """One scheduled run of the table models in dependency order (bronze folders
     ``<landing_root>/{blocks,transactions}``, tables under ``warehouse``):
-    silver blocks / transactions → messages → attributes, logs → gold facts →
+    silver blocks / transactions → messages → attributes, logs → the five gold facts →
     hourly metrics (→ priced metrics when ``prices`` is given) → audits → the
     silver test-suite. Returns the result DataFrames by name."""
     from . import checks
@@ -374,7 +379,8 @@ def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, ru
     out["silver_transactions_logs"] = run_silver_transactions_logs(
         spark, out["silver_transactions"], f"{w}/silver_transactions_logs", run_ts, run_id)
     sources = {"fact_blocks": "silver_blocks", "fact_transactions": "silver_transactions",
-               "fact_msgs": "silver_msgs", "fact_msg_attributes": "silver_msg_attributes"}
+               "fact_msgs": "silver_msgs", "fact_msg_attributes": "silver_msg_attributes",
+               "fact_transactions_logs": "silver_transactions_logs"}
     for fact, src in sources.items():
         out[fact] = run_fact(spark, fact, out[src], f"{w}/{fact}", run_ts, run_id)
     out["core_metrics_hourly"] = run_core_metrics_hourly(
