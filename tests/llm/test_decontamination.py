@@ -76,3 +76,46 @@ def test_odd_rows(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 7] and kept.columns == df.columns
     assert dc.op9(df.limit(0), bench).count() == 0 and dc.op9(df, bench.limit(0)).count() == 0
     assert dc.keep_uncontaminated(df, bench.limit(0)).count() == len(ODD)
+
+
+def test_edits_at_the_limit():
+    """Runs of replaced words and spread deletions, at every alignment."""
+    r = random.Random(23)
+    for n in (20, 40, 100):
+        k = n // 5
+        items = [[f"w{r.randrange(30000)}" for _ in range(n)] for _ in range(20)]
+        index = dc.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+        for at in ((n - k) // 2, None):
+            texts, held = [], []
+            for j in range(160):
+                w = list(items[j % 20])
+                if at is not None:
+                    w[at:at + k] = [f"n{r.randrange(9999)}" for _ in range(k)]
+                else:
+                    for _ in range(k):
+                        del w[r.randrange(len(w))]
+                texts.append(" ".join([f"z{r.randrange(9999)}" for _ in range(j % 32)] + w + ["z"] * (j % 3 * 20)))
+                held.append((j, j % 20))
+            found = {x[:2] for x in index.hits(texts)}
+            assert found <= set(held) and len(found) >= 0.98 * len(held)
+
+
+def test_least_is_left_in_some_window():
+    """Any edits of an item leave a window with what least() asks for."""
+    r = random.Random(29)
+    for _ in range(3000):
+        n = r.randrange(1, 70)
+        b, s, w = dc.shape(n)
+        k, text = int(0.2 * n + 1e-9), list(range(1, n + 1))
+        near = r.randrange(n + 1)
+        for _ in range(k):
+            i = min(len(text) - 1, max(0, near + r.randrange(-k, k + 1))) if r.random() < 0.7 else r.randrange(len(text))
+            what = r.randrange(3)
+            text[i:i + 1] = [0] if what == 0 else [] if what == 1 else [0, text[i]]
+        before = r.randrange(2 * s)
+        text = [0] * before + text + [0] * r.choice((0, w))
+        starts = [*range(0, len(text) - w + 1, s), len(text) - w]
+        words, pairs = dc.least(n)
+        assert any(sum(x > 0 for x in text[a:a + w]) >= words
+                   and sum(x > 0 and y == x + 1 for x, y in zip(text[a:a + w], text[a + 1:a + w])) >= pairs
+                   for a in starts)
