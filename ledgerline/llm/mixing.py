@@ -133,7 +133,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     """Returns (documents, blocks).
 
     documents: one row per input row — doc_id, size, source, source_size,
-    target, taken, text_hash. blocks: one row per block of the mix — source,
+    target, taken (the words of its blocks), blocks (an array of pass, shard,
+    position, words), text_hash. blocks: one row per block of the mix — source,
     doc_id, size, text_hash, copy, pass, words (under ``size`` for the block at
     the target only), shard, position (hash order inside the shard).
 
@@ -183,39 +184,41 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
               .withColumn("words", F.least(F.col("size"), F.col("left") - F.col("copy") * F.col("size"))))
     blocks = blocks.select("source", "doc_id", "size", "text_hash", "copy", "pass", "words", "shard",
                            F.xxhash64(F.lit(seed), "shard", "doc_id", "copy", "pass").alias("position"))
-    # what each copy gave: the copies of an entry are equal but for the one that is cut
-    per = draws.groupBy("source", "doc_id", "size", "text_hash").agg(F.collect_list(F.struct("left", "pass")).alias("ls"))
-    same = [items[c].eqNullSafe(per[c]) for c in ("source", "doc_id", "size", "text_hash")]
-    whole = items.join(per, same[0] & same[1] & same[2] & same[3], "left").select(
-        *[items[c] for c in items.columns], per["ls"])
-    whole = whole.join(F.broadcast(goal), whole["source"].eqNullSafe(goal["source"])).select(
-        *[whole[c] for c in whole.columns], "source_size", "target")
-    each = expand_copies(whole.withColumn("zero", F.lit(0).cast("long")), "zero", "copies", "copy")
-    taken = F.aggregate(F.coalesce("ls", F.expr("cast(array() as array<struct<left:bigint,pass:int>>)")),
-                        F.lit(0).cast("long"),
-                        lambda a, x: a + F.greatest(F.lit(0).cast("long"), F.least(
-                            F.col("size"), x["left"] - F.col("copy") * F.col("size"))))
-    documents = each.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "text_hash")
+    # every copy with the blocks it was drawn for, one a pass at most
+    keys = ["source", "doc_id", "size", "text_hash", "copy"]
+    drawn = ["shard", "position", "pass", "words"]
+    each = expand_copies(items.withColumn("zero", F.lit(0).cast("long")), "zero", "copies", "copy")
+    none = [F.lit(None).cast(blocks.schema[c].dataType).alias(c) for c in drawn]
+    rows = each.select(*keys, *none).unionByName(blocks.select(*keys, *drawn)).groupBy(*keys).agg(
+        F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"),
+        F.array_sort(F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("pass", "shard", "position", "words"))))
+        .alias("blocks"))
+    rows = rows.join(F.broadcast(goal), rows["source"].eqNullSafe(goal["source"])).select(
+        *[rows[c] for c in rows.columns], "source_size", "target")
+    documents = rows.select("doc_id", "size", "source_size", "target", "taken", "blocks", "source", "text_hash")
     return documents, blocks
 
 
 def op7(docs: DataFrame) -> DataFrame:
     documents, blocks = mix(docs)
-    return documents.select("doc_id", "size", "source_size", "target", "taken")
+    return documents.select("doc_id", "size", "source_size", "target", "taken", "blocks")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document appears once
     for each of its blocks; one that is cut keeps its first words, joined by
     single spaces (and ``n_chars``, where there is such a column, follows).
+    Partitions are in the order of shards, an equal number for each shard,
+    and rows in the order of ``position``.
     Rows that agree in doc_id, source and text are copies of one document and
     get the other columns of one of them."""
-    _, blocks = mix(docs, **options)
+    _, blocks = mix(docs, shards=shards, **options)
     cols = docs.columns
     keys = {"__s": F.col("source"), "__d": F.col("doc_id"), "__h": F.xxhash64("text")}
     one = docs.withColumns(keys).dropDuplicates(list(keys))
     b = blocks.select(F.col("source").alias("__bs"), F.col("doc_id").alias("__bd"), F.col("text_hash").alias("__bh"),
-                      F.col("words").alias("__w"), F.col("size").alias("__n"))
+                      F.col("words").alias("__w"), F.col("size").alias("__n"),
+                      F.col("shard").alias("__shard"), F.col("position").alias("__position"))
     rows = one.join(b, F.col("__s").eqNullSafe(F.col("__bs")) & F.col("__d").eqNullSafe(F.col("__bd"))
                     & (F.col("__h") == F.col("__bh")))
     cut = F.col("__w") < F.col("__n")
@@ -225,4 +228,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     if "n_chars" in cols:
         rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType))
                                .otherwise(F.col("n_chars")))
-    return rows.select(*cols)
+    # ranges of position inside each shard: the sign bit flipped, 31 bits are in its order
+    per = math.ceil(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards)
+    high = F.shiftrightunsigned("__position", 33).bitwiseXOR(F.lit(1 << 30).cast("long"))
+    part = (F.col("__shard") * per + F.shiftright(high * F.lit(per), 31)).cast("int")
+    return (rows.select(*cols, "__shard", "__position").repartitionById(per * shards, part)
+            .sortWithinPartitions("__shard", "__position").select(*cols))

@@ -76,3 +76,16 @@ def test_odd_rows(spark):
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
     assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(r.taken for r in rows)
+
+
+def test_op7_gives_each_block_and_the_mix_is_by_shard(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    blocks = mixing.mix(df, shards=8)[1].collect()
+    rows = mixing.op7(df).collect()
+    assert all(r.taken == sum(b.words for b in r.blocks) for r in rows) and len(rows) == df.count()
+    assert (sorted((r.doc_id, b["pass"], b.shard, b.position, b.words) for r in rows for b in r.blocks)
+            == sorted((b.doc_id, b["pass"], b.shard, b.position, b.words) for b in blocks))
+    out = mixing.mixed_documents(df).select("doc_id", F.spark_partition_id().alias("p")).collect()
+    assert [r.doc_id for r in out] == [b.doc_id for b in sorted(blocks, key=lambda b: (b.shard, b.position))]
+    per = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    assert [r.p // per for r in out] == sorted(b.shard for b in blocks)
