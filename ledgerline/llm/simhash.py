@@ -57,16 +57,20 @@ def simhash(text: bytes, k: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row; null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 4, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) for every row, with ``hashed`` also text_hash; null text
+    counts as empty."""
+    more = ["text_hash"] if hashed else []
+
     def run(batches):
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([simhash(t or b"", shingle) for t in texts], pa.int64())],
-                names=["doc_id", "fp"])
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, fp long"))
+                [b.column(0), pa.array([simhash(t or b"", shingle) for t in texts], pa.int64()),
+                 *[b.column(2) for _ in more]], names=["doc_id", "fp", *more])
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                        *[F.xxhash64("text").alias(c) for c in more])
+            .mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in more)))
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -179,6 +183,13 @@ def links(fps: DataFrame, radius: int, scratch: Scratch) -> DataFrame:
     return edges.union(more)
 
 
+def rooted(fps: DataFrame, radius: int, scratch: Scratch) -> DataFrame:
+    """``fps`` (distinct fp, other columns) with the root fingerprint of each."""
+    roots = connected_components(links(fps.select("fp"), radius, scratch))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        *[fps[c] for c in fps.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row.
 
@@ -190,9 +201,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.save(fingerprints(docs, shingle))
     fps = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected_components(links(fps.select("fp"), radius, scratch))
-    of = scratch.save(fps.join(roots, fps["fp"] == roots["node"], "left")
-                      .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    of = scratch.save(rooted(fps, radius, scratch))
     low = of.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("component_id"))
     named = of.join(low, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     return (rows.join(named, F.col("fp") == F.col("f"))
@@ -204,10 +213,15 @@ def op4(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest
-    doc_id (one row of it, if that row is repeated)."""
-    kept = (near_duplicates(docs, shingle, radius).where("doc_id <=> component_id")
-            .select(F.col("doc_id").alias("__kept")).distinct())
+    """``docs`` with exactly one row of each group: the smallest doc_id (null
+    last), then the smallest hash of its text. Rows are told apart by doc_id
+    and text, so rows of other groups with the same or no id stay."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = scratch.save(fingerprints(docs, shingle, hashed=True))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    fps = scratch.save(rows.groupBy("fp").agg(first.alias("first")))
+    kept = scratch.save(rooted(fps, radius, scratch).groupBy("root").agg(F.min("first").alias("first"))
+                        .select(F.col("first.doc_id").alias("__kept"), F.col("first.text_hash").alias("__text")))
     cols = docs.columns
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")))
-            .dropDuplicates(["__kept"]).select(*cols))
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.xxhash64("text") == F.col("__text")))
+            .dropDuplicates(["__kept", "__text"]).select(*cols))

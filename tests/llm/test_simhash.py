@@ -78,6 +78,15 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and "fp" in kept.columns
 
 
+def test_keep_one_with_null_and_shared_ids(spark):
+    rows = [("a b c", None), ("x y z", None), ("x y z", None), (None, None),          # groups of null ids only
+            ("p q r", None), ("p q r", 3), ("s t u", 5), ("k l m", 3), ("k l m", 5), ("s t u", 5)]
+    df = documents(spark, [t for t, _ in rows], [i for _, i in rows])
+    kept = [(r.text, r.doc_id) for r in simhash.keep_one(clashing(df)).collect()]
+    assert sorted(kept, key=str) == sorted([("a b c", None), ("x y z", None), (None, None), ("p q r", 3),
+                                            ("s t u", 5), ("k l m", 3)], key=str)
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (100, 100), (100, 200)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
