@@ -204,10 +204,12 @@ def op7(docs: DataFrame) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken", "blocks")
 
 
-def mixed_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, shards: int = 8, whole: bool = False, **options) -> DataFrame:
     """The mix as rows with the columns of ``docs``: a document appears once
-    for each of its blocks; one that is cut keeps its first words, joined by
-    single spaces (and ``n_chars``, where there is such a column, follows).
+    for each of its blocks. With ``whole`` every text is whole, so a source
+    exceeds its target by less than its last document; else the one at the
+    target keeps its first words, joined by single spaces (and ``n_chars``,
+    where there is such a column, follows).
     Partitions are in the order of shards, an equal number for each shard,
     and rows in the order of ``position``.
     Rows that agree in doc_id, source and text are copies of one document and
@@ -221,13 +223,14 @@ def mixed_documents(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
                       F.col("shard").alias("__shard"), F.col("position").alias("__position"))
     rows = one.join(b, F.col("__s").eqNullSafe(F.col("__bs")) & F.col("__d").eqNullSafe(F.col("__bd"))
                     & (F.col("__h") == F.col("__bh")))
-    cut = F.col("__w") < F.col("__n")
-    text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1),
-                                            F.col("__w").cast("int")), " ")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in cols:
-        rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                               .otherwise(F.col("n_chars")))
+    if not whole:
+        cut = F.col("__w") < F.col("__n")
+        text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1),
+                                                F.col("__w").cast("int")), " ")).otherwise(F.col("text"))
+        rows = rows.withColumn("text", text)
+        if "n_chars" in cols:
+            rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+                                   .otherwise(F.col("n_chars")))
     # ranges of position inside each shard: the sign bit flipped, 31 bits are in its order
     per = math.ceil(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) / shards)
     high = F.shiftrightunsigned("__position", 33).bitwiseXOR(F.lit(1 << 30).cast("long"))

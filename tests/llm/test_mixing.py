@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import mixing
@@ -89,3 +90,14 @@ def test_op7_gives_each_block_and_the_mix_is_by_shard(spark):
     assert [r.doc_id for r in out] == [b.doc_id for b in sorted(blocks, key=lambda b: (b.shard, b.position))]
     per = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
     assert [r.p // per for r in out] == sorted(b.shard for b in blocks)
+
+
+def test_pipeline_mixes_whole_texts(spark):
+    P = pytest.importorskip("corpus_pipeline")
+    df = documents(spark, [f"a{i}\nb  c d{i} e f g" for i in range(9)], None, ["x"] * 5 + ["y"] * 3 + ["z"])
+    blocks = mixing.mix(df)[1].collect()
+    assert any(b.words < b.size for b in blocks)
+    rows = P.mix_sources(spark, df, SF).collect()
+    texts = {r.doc_id: (r.text, r.n_chars) for r in df.collect()}
+    assert all((r.text, r.n_chars) == texts[r.doc_id] for r in rows)
+    assert sorted(r.doc_id for r in rows) == sorted(b.doc_id for b in blocks)
