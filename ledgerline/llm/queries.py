@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, decontamination, licenses, mixing, secrets, sharding, simhash,
+from . import (ann, decontamination, exact, licenses, mixing, secrets, sharding, simhash,
                suffixes, toxicity, warc)
 from .common import load
 
@@ -32,3 +32,5 @@ QUERIES["op5_license_inheritance"] = _on("documents", licenses.op5)
 QUERIES["op8_warc_derivatives"] = _on("pages", warc.op8)
 ORACLES["op8_warc_derivatives"] = warc.oracle_sql()
 QUERIES["op1_cover_suffixes"] = _on("documents", suffixes.op1)
+QUERIES["op13_heavy_hitter_dedup"] = _on("documents", exact.op13)
+ORACLES["op13_heavy_hitter_dedup"] = exact.oracle_sql()

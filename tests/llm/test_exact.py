@@ -1,0 +1,73 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from ledgerline.llm import exact
+from llm_data import ODD, clashing, documents
+
+SF = "/root/testdata/sf0.001"
+
+
+def normal(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+
+def brute(rows):
+    """Sorted (doc_id, keep_id, size, kept, digest), -1 for a null id."""
+    of = {}
+    for i, t in rows:
+        of.setdefault(normal(t), []).append(-1 if i is None else i)
+    out = []
+    for t, ids in of.items():
+        d = hashlib.sha256(t.encode()).hexdigest()
+        for n, i in enumerate(sorted(ids, reverse=True)):
+            out.append((i, max(ids), len(ids), n == 0, d))
+    return sorted(out)
+
+
+def shown(df):
+    return sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.keep_id is None else r.keep_id, r.group_size, r.kept,
+                   r.text_sha256) for r in df.collect())
+
+
+def test_whole_table(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    assert shown(exact.op13(df)) == brute([(r.doc_id, r.text) for r in df.collect()])
+
+
+def test_odd_texts_repeats_and_hot_groups(spark):
+    texts = ODD + ["ABC É", "abc É", "abc é", "AbC É", "😀 Z", "😀 z"] + ["Hot"] * 400 + [None] * 300 + ["x", "x"]
+    ids = list(range(len(texts)))
+    ids[-2:] = [7_000, 7_000]                                   # a row that repeats
+    ids[60:90] = [None] * 30                                    # null ids inside the hot group
+    ids[420:430] = [9_999] * 10                                 # the hot winner, ten times
+    df = documents(spark, texts, ids).repartition(5)
+    for heavy in (2, 100, 10_000):
+        got = exact.groups(clashing(df), heavy_rows=heavy)
+        assert shown(got) == brute(list(zip(ids, texts)))
+        kept = exact.deduplicate(clashing(df), heavy_rows=heavy)
+        assert kept.columns == clashing(df).columns
+        want = sorted((i, d) for i, _, _, k, d in brute(list(zip(ids, texts))) if k)
+        assert sorted((-1 if r.doc_id is None else r.doc_id, hashlib.sha256(normal(r.text).encode()).hexdigest())
+                      for r in kept.collect()) == want
+    assert exact.op13(df.limit(0)).count() == 0 == exact.deduplicate(df.limit(0)).count()
+    nulls = documents(spark, ["same"] * 600, [None] * 600)
+    assert exact.op13(nulls).where("kept").count() == 1 == exact.deduplicate(nulls).count()
+
+
+def test_frequent_digests_never_reach_the_shuffle(spark):
+    """A small summary still names a third of all rows, and the rows that the
+    window reads hold none of them."""
+    df = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("text"))
+    rows = df.select("doc_id", exact.digest(F.col("text")).alias("d")).withColumn("row", F.col("doc_id"))
+    found = exact.winners(rows, tracked=256, candidates=100).collect()
+    assert [(r["size"], r.win.doc_id) for r in found] == [(10_000, 29_997)]
+    assert exact.winners(rows, tracked=256, candidates=100, heavy_rows=10_001).count() == 0
+    got = exact.groups(df, tracked=256, candidates=100)
+    assert got.where("kept").count() == 20_001 and got.where("group_size = 10000 and keep_id = 29997").count() == 10_000
+
+
+def test_native_plan(spark):
+    plan = exact.op13(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
