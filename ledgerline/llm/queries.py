@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (ann, decontamination, exact, licenses, mixing, secrets, sharding, simhash,
-               suffixes, tokens, toxicity, warc)
+               suffixes, tokens, toxicity, warc, whitening)
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,4 @@ QUERIES["op1_cover_suffixes"] = _on("documents", suffixes.op1)
 QUERIES["op13_heavy_hitter_dedup"] = _on("documents", exact.op13)
 ORACLES["op13_heavy_hitter_dedup"] = exact.oracle_sql()
 QUERIES["op12_token_alignment"] = _on("documents", tokens.op12)
+QUERIES["op11_contour_whitening"] = _on("embeddings", whitening.op11)
