@@ -61,3 +61,22 @@ def missing_ids(df: DataFrame, key: str, out: str = "missing_id",
                 bucket_width: int = DEFAULT_BUCKET_WIDTH, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Every integer missing between the min and max present ``key``."""
     return expand_ranges(find_gaps(df, key, bucket_width), "gap_start", "gap_end", out, chunk)
+
+
+def to_ranges(ids: DataFrame, key: str, bucket_width: int = DEFAULT_BUCKET_WIDTH,
+              lo: str = "range_start", hi: str = "range_end") -> DataFrame:
+    """Maximal runs of consecutive integers (inclusive ``lo``, ``hi``): the
+    run-length form of a set of ids. Runs are found per bucket of the key space
+    (a run keeps id − position constant); only the at most two runs of a bucket
+    that touch its edges can go on in a neighbour, and those few are joined."""
+    k = distinct_keys(ids, key).withColumn("__b", F.floor(F.col("k") / F.lit(bucket_width)).cast("bigint"))
+    w = Window.partitionBy("__b").orderBy("k")
+    runs = (k.withColumn("__r", F.col("k") - F.row_number().over(w)).groupBy("__b", "__r")
+            .agg(F.min("k").alias(lo), F.max("k").alias(hi)))
+    edge = (F.pmod(F.col(lo), F.lit(bucket_width)) == 0) | (F.pmod(F.col(hi) + 1, F.lit(bucket_width)) == 0)
+    every = Window.orderBy(lo)                       # two rows per non-empty bucket at most
+    start = F.when(F.lag(hi).over(every) == F.col(lo) - 1, 0).otherwise(1)
+    linked = (runs.where(edge).select(lo, hi, start.alias("__s"))
+              .withColumn("__g", F.sum("__s").over(every.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy("__g").agg(F.min(lo).alias(lo), F.max(hi).alias(hi)))
+    return runs.where(~edge).select(lo, hi).unionByName(linked.select(lo, hi))

@@ -68,13 +68,15 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     return kept.unionByName(b.select(*target.columns))
 
 
-def replace_keys(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """I7 delete+insert: every key (period) present in the batch is replaced
-    whole by the batch rows; other target rows stay."""
+def replace_keys(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
+                 periods: DataFrame | None = None) -> DataFrame:
+    """I7 delete+insert: every key (period) present in the batch, or in
+    ``periods``, is replaced whole by the batch rows; other target rows stay."""
     keys = list(keys)
     if target is None:
         return batch
-    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
+    gone = (batch if periods is None else periods).select(*keys).distinct()
+    kept = target.join(gone, keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -91,17 +93,24 @@ def min_changed_period(changed: DataFrame, ts_col: str, modified_col: str, since
 
 def observability_restart(blocks: DataFrame, prev_results: DataFrame | None, now,
                           key: str = "block_id", ts: str = "block_timestamp",
-                          lookback_hours: int = 96, full: bool = False):
+                          lookback_hours: int = 96, full: bool = False,
+                          prev_ranges: DataFrame | None = None):
     """Restart id for an audit = min(first id in the window
     [now − lookback, now − lookback + 1h], smallest previously impacted id − 1);
-    None (= test everything) when ``full`` or nothing is known."""
+    None (= test everything) when ``full`` or nothing is known. The impacted ids
+    are read from the last result's array, or from ``prev_ranges`` (range_start
+    per test_timestamp) where the audit keeps them as ranges."""
     if full:
         return None
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
     lo, hi = n - dt.timedelta(hours=lookback_hours), n - dt.timedelta(hours=lookback_hours - 1)
     first = scalar(blocks.where(F.col(ts).between(ts_lit(lo), ts_lit(hi))), F.min(key))
     prev = None
-    if prev_results is not None:
+    if prev_ranges is not None:
+        last = prev_results.agg(F.max("test_timestamp").alias("t")).first()["t"]
+        prev = scalar(prev_ranges.where(F.col("test_timestamp") == ts_lit(last)), F.min("range_start"))
+        prev = None if prev is None else prev - 1
+    elif prev_results is not None:
         last = prev_results.orderBy(F.col("test_timestamp").desc()).limit(1)
         prev = scalar(last.select(F.explode("blocks_impacted_array").alias("x")), F.min("x"))
         prev = None if prev is None else prev - 1

@@ -3,9 +3,12 @@
 
 Each run takes ``run_ts`` / ``run_id`` (audit columns, never the wall clock
 inside a transform) and a ``full_refresh`` flag that is honoured only when
-the table allows it (I10). Targets are Parquet folders partitioned by a date
-cluster key; high-water marks compare like with like — file time with the
-stored file time (D8) — and a missing/empty target loads everything (D18).
+the table allows it (I10). Targets are versioned tables
+(:mod:`ledgerline.sources.versions`) partitioned by a date or key bucket:
+readers and crashes see one version. High-water marks compare like with like
+(file time with the stored file time, D8), and a missing or empty target loads
+everything (D18). A model that follows another model's table reads which hours
+changed from that table's commits, not from its rows.
 """
 
 from __future__ import annotations
@@ -15,13 +18,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import ts_lit
+from ..functions.time import hour_floor, ts_lit
 from ..operators.incremental import (high_watermark, min_changed_period, observability_restart,
                                      since)
 from ..sources.files import scan_all, scan_since
-from ..sources.landing import table_exists as exists
-from ..sources.sinks import (load_watermarks, replace_table_keys, save_watermarks, stage,
-                             upsert_table, write_table)
+from ..sources import versions
+from ..sources.sinks import (load_watermarks, overwrite_table, replace_table_keys, upsert_table)
+from ..sources.versions import exists, read_table
 from . import fetching, gold, observability, silver, stats
 
 DATE_KEY = "cluster_date"
@@ -46,7 +49,7 @@ def _target(spark: SparkSession, path: str, full_refresh: bool, allow_full_refre
         full_refresh = False          # I10: the table ignores full-refresh requests
     if full_refresh or not exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def _landed_scan(spark: SparkSession, root: str, hwm) -> DataFrame:
@@ -79,19 +82,17 @@ def _write(spark, path, df, keys, cluster, preserve=(), overwrite=False,
     if isinstance(cluster, str):
         df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(cluster), F.lit("1970-01-01")
                                                 .cast("date")))
-        part = DATE_KEY
+        part, changed_ts = DATE_KEY, cluster
     else:
-        df, part = df.withColumn(BLOCK_KEY, cluster), BLOCK_KEY
+        df, part, changed_ts = df.withColumn(BLOCK_KEY, cluster), BLOCK_KEY, None
     track = [c for c in track if c in df.columns]
     blooms = [c for c in ("block_id", "tx_id") if c in df.columns]
+    layout = {"sort_by": list(sort_by) or blooms, "bloom_cols": blooms, "track": track,
+              "changed_ts": changed_ts}
     if overwrite:
-        write_table(df, path, [part], list(sort_by) or blooms, blooms)
-        t = spark.read.parquet(path)
-        marks = t.agg(*[F.max(c).alias(c) for c in track]).first().asDict() if track else {}
+        overwrite_table(spark, path, df, part, **layout)
     else:
-        marks = upsert_table(spark, path, df, keys, part, preserve=preserve, track=track,
-                             sort_by=list(sort_by) or blooms, bloom_cols=blooms, moving=moving)
-    save_watermarks(spark, path, marks)
+        upsert_table(spark, path, df, keys, part, preserve=preserve, moving=moving, **layout)
 
 
 def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts, run_id: str,
@@ -104,7 +105,7 @@ def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts,
     bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_blocks(bronze, blockchain, run_ts, run_id)
     _write(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refresh=False,
@@ -114,7 +115,7 @@ def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refre
     bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_transactions(bronze, run_ts, run_id, keep_data=keep_data)
     _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def run_silver_msgs(spark, txs: DataFrame, path, run_ts, run_id, lookback_days: int = 2,
@@ -125,22 +126,82 @@ def run_silver_msgs(spark, txs: DataFrame, path, run_ts, run_id, lookback_days:
     src = since(txs, "_inserted_timestamp", hwm, lookback_days=lookback_days, by_date=True)
     out = silver.silver_msgs(src, run_ts=run_ts, run_id=run_id, partition_input=True)
     _write(spark, path, out, ["msgs_id"], "block_timestamp", overwrite=target is None)
-    return spark.read.parquet(path)
-
-
-def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, now
+    return read_table(spark, path)
+
+
+def _changes(spark, source: DataFrame, path: str) -> tuple[list[list[int]] | None, dict]:
+    """What the table at ``path`` has to follow: the runs of hours that the
+    ``source`` table's commits changed since the version it was computed from
+    (None: not known, look at the rows), and the source version to record. Hours
+    noted as still open are added."""
+    src, snap = versions.origin(source), versions.snapshot(spark, path)
+    if src is None:
+        return None, {}
+    seen = {src[0]: src[1]}
+    if snap is None:
+        return None, seen
+    runs = versions.changed_hours(spark, src[0], snap.sources.get(src[0]), src[1])
+    if runs is None:
+        return None, seen
+    return versions.joined_runs([*runs, *snap.notes.get("open_hours", [])]), seen
+
+
+def _open_part(runs: list[list[int]], now) -> list[list[int]]:
+    """The hours of ``runs`` that are not closed at ``now``."""
+    n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
+    first = int((n - dt.datetime(1970, 1, 1)).total_seconds() // 3600)
+    return [[max(lo, first), hi] for lo, hi in runs if hi >= first]
+
+
+def _hours_table(spark, runs: list[list[int]], col: str) -> DataFrame:
+    """One row per hour of ``runs`` with its partition date. As many rows as the
+    history has hours at most, whatever the number of facts."""
+    hours = spark.createDataFrame([tuple(r) for r in runs], "lo long, hi long").select(
+        F.explode(F.sequence("lo", "hi")).alias("h"))
+    ts = F.timestamp_micros(F.col("h") * F.lit(3_600_000_000)).cast("timestamp_ntz")
+    return hours.select(ts.alias(col)).withColumn(DATE_KEY, cluster_value(col))
+
+
+def _only_hours(facts: DataFrame, hours: DataFrame, col: str, ts: str) -> DataFrame:
+    """The facts in ``hours``; where they are partitioned by date, only those
+    dates' files are read."""
+    if DATE_KEY in facts.columns:
+        dates = [r[0] for r in hours.select(DATE_KEY).distinct().collect()]
+        facts = facts.where(F.col(DATE_KEY).isin(dates))
+    wanted = F.broadcast(hours.select(F.col(col).alias("__hour")))      # bounded: hours of the history
+    return facts.join(wanted, hour_floor(ts) == F.col("__hour"), "left_semi")
+
+
+def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, now,
+                            full_refresh: bool = False, allow_full_refresh: bool = False
                             ) -> DataFrame | None:
-    """silver core_metrics_hourly: delete+insert every hour from the earliest
-    hour changed since the last run (I7); nothing changed → no run (D20)."""
-    target = None if not exists(spark, path) else spark.read.parquet(path)
-    min_hour = None
-    if target is not None:
+    """silver core_metrics_hourly: delete+insert (I7); nothing changed → no run
+    (D20). For a versioned fact table the changed hours come from its commits and
+    only they are read and replaced (hours that lost all rows go). For any other
+    input every hour from the earliest changed one is replaced, found by its
+    modification times."""
+    target = _target(spark, path, full_refresh, allow_full_refresh)
+    runs, seen = _changes(spark, fact_txs, path) if target is not None else (
+        None, dict([versions.origin(fact_txs)]) if versions.origin(fact_txs) else {})
+    min_hour, src, gone, notes = None, fact_txs, None, {"open_hours": []}
+    if target is None and seen:
+        # first load: the hours that are still open count as changes of the next run
+        last = fact_txs.agg(F.max(hour_floor("block_timestamp"))).first()[0]
+        if last is not None:
+            notes["open_hours"] = _open_part([[0, int((last - dt.datetime(1970, 1, 1)).total_seconds() // 3600)]], now)
+    if runs is not None:
+        if not runs:
+            return target
+        notes["open_hours"] = _open_part(runs, now)
+        gone = _hours_table(spark, runs, "block_timestamp_hour")
+        src = _only_hours(fact_txs, gone, "block_timestamp_hour", "block_timestamp")
+    elif target is not None:
         last = high_watermark(target, "modified_timestamp")
         min_hour = min_changed_period(fact_txs, "block_timestamp", "modified_timestamp", last)
         if min_hour is None:
             return target
     has_mod = "modified_timestamp" in fact_txs.columns
-    m = stats.hourly_metrics(fact_txs, now=now, min_hour=min_hour,
+    m = stats.hourly_metrics(src, now=now, min_hour=min_hour,
                              modified="modified_timestamp" if has_mod else None)
     m = stats.with_metrics_key(m)
     if not has_mod:
@@ -148,99 +209,134 @@ def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, no
     m = m.select(*m.columns, ts_lit(run_ts).alias("inserted_timestamp"),
                  ts_lit(run_ts).alias("modified_timestamp"), F.lit(run_id).alias("_invocation_id"))
     m = m.withColumn(DATE_KEY, cluster_value("block_timestamp_hour"))
+    how = {"sort_by": ["block_timestamp_hour"], "track": ["modified_timestamp"],
+           "changed_ts": "block_timestamp_hour", "sources": seen, "notes": notes}
     if target is None:
-        m.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        overwrite_table(spark, path, m, DATE_KEY, **how)
     else:
-        replace_table_keys(spark, path, m, ["block_timestamp_hour"], DATE_KEY)
-    return spark.read.parquet(path)
+        replace_table_keys(spark, path, m, ["block_timestamp_hour"], DATE_KEY, gone=gone, **how)
+    return read_table(spark, path)
 
 
 def run_ez_metrics(spark, metrics: DataFrame, prices: DataFrame, asset_id: str, path, run_ts,
-                   now, default_start="2025-01-01 00:00:00") -> DataFrame:
+                   now, default_start="2025-01-01 00:00:00", full_refresh: bool = False,
+                   allow_full_refresh: bool = False) -> DataFrame:
     """gold ez_core_metrics_hourly: recompute from 4 h before the earliest
-    changed hour (I8); the price fill runs over the full series first."""
-    target = None if not exists(spark, path) else spark.read.parquet(path)
-    min_hour = None
+    changed hour (I8), which a versioned metrics table's commits name; the price
+    fill runs over the full series first."""
+    target = _target(spark, path, full_refresh, allow_full_refresh)
+    min_hour, seen = None, dict([versions.origin(metrics)]) if versions.origin(metrics) else {}
     if target is not None:
-        last = high_watermark(target, "modified_timestamp")
-        min_hour = min_changed_period(metrics, "block_timestamp_hour", "modified_timestamp", last,
-                                      lookback_hours=4,
-                                      default=dt.datetime.fromisoformat(default_start))
+        default = dt.datetime.fromisoformat(default_start)
+        runs, _ = _changes(spark, metrics, path)
+        if runs is None:
+            last = high_watermark(target, "modified_timestamp")
+            min_hour = min_changed_period(metrics, "block_timestamp_hour", "modified_timestamp", last,
+                                          lookback_hours=4, default=default)
+        elif runs:
+            min_hour = versions.hour_of(runs[0][0]) - dt.timedelta(hours=4)
+        else:
+            min_hour = default
     priced = stats.metrics_with_price(metrics, prices, asset_id, now=now, min_hour=min_hour)
     ez = stats.ez_metrics(priced)            # inserted/modified inherited from the stats rows
     if "modified_timestamp" not in ez.columns:
         ez = ez.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
                        ts_lit(run_ts).alias("modified_timestamp"))
     ez = ez.withColumn(DATE_KEY, cluster_value("block_timestamp_hour"))
+    how = {"sort_by": ["block_timestamp_hour"], "track": ["modified_timestamp"], "sources": seen}
     if target is None:
-        ez.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        overwrite_table(spark, path, ez, DATE_KEY, **how)
     else:
-        replace_table_keys(spark, path, ez, ["block_timestamp_hour"], DATE_KEY)
-    return spark.read.parquet(path)
-
-
-def _earlier_results(spark, path, run_ts) -> DataFrame | None:
-    """Stored audit rows of the other runs (None before the first run)."""
-    if not exists(spark, path):
-        return None
-    return spark.read.parquet(path).where(F.col("test_timestamp") != ts_lit(run_ts))
-
-
-def _keep_result(spark, path, prev, result) -> DataFrame:
-    """One row per run is kept: the earlier rows and this run's, staged first."""
-    rows = stage(spark, result if prev is None else prev.unionByName(result))
-    rows.coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def run_blocks_audit(spark, fact_blocks: DataFrame, path, run_ts, now, full: bool = False
-                     ) -> DataFrame:
+        replace_table_keys(spark, path, ez, ["block_timestamp_hour"], DATE_KEY, **how)
+    return read_table(spark, path)
+
+
+RUN_KEY = "test_run"
+
+
+def _audit(spark, path, run_ts, now, blocks: DataFrame, full: bool, full_refresh: bool,
+           allow_full_refresh: bool, find, result) -> DataFrame:
+    """Store one audit run: its impacted ranges (table ``<path>_impacted``) and
+    its result row. Both tables have one partition per test timestamp, so a run
+    writes its own partition, a re-run replaces it, and no history is read or
+    rewritten. The ranges are stored first and give the result row."""
+    detail = f"{path.rstrip('/')}_impacted"
+    fresh = full_refresh and allow_full_refresh
+    prev = ranges = None
+    if not fresh and exists(spark, path) and exists(spark, detail):
+        other = F.col("test_timestamp") != ts_lit(run_ts)
+        prev, ranges = (read_table(spark, p).where(other) for p in (path, detail))
+        prev = prev if prev.limit(1).count() else None
+    restart = observability_restart(blocks, prev, now, full=full or prev is None, prev_ranges=ranges)
+    run = F.date_format(ts_lit(run_ts), "yyyyMMddHHmmss")
+
+    def store(p, df):
+        def attempt():
+            snap = versions.snapshot(spark, p)
+            mine = [] if snap is None else snap.named([_run_name(run_ts)])
+            return versions.commit(spark, p, snap, df, RUN_KEY, drop=mine, fresh=fresh, operation="audit")
+        versions.retried(attempt)
+    found = find(restart).select("*", ts_lit(run_ts).alias("test_timestamp"), run.alias(RUN_KEY))
+    store(detail, found)
+    stored = versions.snapshot(spark, detail)
+    mine = versions.read_parts(spark, detail, stored, stored.named([_run_name(run_ts)]))
+    store(path, result(restart, mine).withColumn(RUN_KEY, run).coalesce(1))        # one row
+    return read_table(spark, path).drop(RUN_KEY)
+
+
+def _run_name(run_ts) -> str:
+    t = dt.datetime.fromisoformat(run_ts) if isinstance(run_ts, str) else run_ts
+    return t.strftime("%Y%m%d%H%M%S")
+
+
+def run_blocks_audit(spark, fact_blocks: DataFrame, path, run_ts, now, full: bool = False,
+                     full_refresh: bool = False, allow_full_refresh: bool = False) -> DataFrame:
     """observability blocks: one result row per test timestamp (a re-run
     replaces its own), restarting from the previous run's impacted ids (I9)."""
-    prev = _earlier_results(spark, path, run_ts)
-    restart = observability_restart(fact_blocks, prev, now, full=full or prev is None)
-    r = observability.blocks_completeness(fact_blocks, run_ts, now=now, restart=restart)
-    return _keep_result(spark, path, prev, r)
+    return _audit(spark, path, run_ts, now, fact_blocks, full, full_refresh, allow_full_refresh,
+                  lambda restart: observability.block_gaps(fact_blocks, now, restart),
+                  lambda restart, ranges: observability.blocks_completeness(
+                      fact_blocks, run_ts, now=now, restart=restart, ranges=ranges))
 
 
 def run_transactions_audit(spark, fact_blocks: DataFrame, fact_txs: DataFrame, path, run_ts,
-                           now, full: bool = False) -> DataFrame:
-    prev = _earlier_results(spark, path, run_ts)
-    restart = observability_restart(fact_blocks, prev, now, full=full or prev is None)
-    r = observability.transactions_completeness(fact_blocks, fact_txs, run_ts, now=now,
-                                                restart=restart)
-    return _keep_result(spark, path, prev, r)
+                           now, full: bool = False, full_refresh: bool = False,
+                           allow_full_refresh: bool = False) -> DataFrame:
+    return _audit(spark, path, run_ts, now, fact_blocks, full, full_refresh, allow_full_refresh,
+                  lambda restart: observability.transaction_gaps(fact_blocks, fact_txs, now, restart),
+                  lambda restart, ranges: observability.transactions_completeness(
+                      fact_blocks, fact_txs, run_ts, now=now, restart=restart, ranges=ranges))
+
 
+def impacted_ranges(spark, path) -> DataFrame:
+    """The stored impacted id ranges of an audit table, per test timestamp."""
+    return read_table(spark, f"{path.rstrip('/')}_impacted").drop(RUN_KEY)
 
-def run_blocks_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+
+def run_blocks_complete(spark, bronze_root, path, run_ts, **refresh) -> DataFrame:
     """complete_blocks ledger: merge on the block, first-insert time kept."""
-    target = None if not exists(spark, path) else spark.read.parquet(path)
-    hwm = table_hwm(spark, path, target, "_inserted_timestamp")
-    bronze = _landed_scan(spark, bronze_root, hwm)
-    led = fetching.blocks_complete(bronze).withColumnRenamed("inserted_timestamp",
-                                                             "_inserted_timestamp")
-    led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
-                     ts_lit(run_ts).alias("modified_timestamp"))
-    _write(spark, path, led, ["complete_blocks_id"], block_bucket(),
-           preserve=["inserted_timestamp"], overwrite=target is None, moving=False)
-    return spark.read.parquet(path)
+    return _run_ledger(spark, bronze_root, path, run_ts, fetching.blocks_complete,
+                       "complete_blocks_id", **refresh)
 
 
-def run_silver_prices(spark, prices: DataFrame, asset_id: str, path, run_ts) -> DataFrame:
+def run_silver_prices(spark, prices: DataFrame, asset_id: str, path, run_ts,
+                      full_refresh: bool = False, allow_full_refresh: bool = False) -> DataFrame:
     """silver_hourly_prices: merge on (id, recorded_hour), rows modified at or
     after the stored high-water mark (I3), first-insert time kept (I5)."""
-    target = None if not exists(spark, path) else spark.read.parquet(path)
-    hwm = high_watermark(target, "modified_timestamp")
+    target = _target(spark, path, full_refresh, allow_full_refresh)
+    hwm = table_hwm(spark, path, target, "modified_timestamp")
     out = stats.silver_prices(prices, asset_id, run_ts)
     if hwm is not None and "modified_timestamp" in prices.columns:
         out = out.where(F.col("_source_modified") >= F.lit(hwm))
     out = out.drop("_source_modified").withColumn(DATE_KEY, cluster_value("recorded_hour"))
+    layout = {"sort_by": ["id", "recorded_hour"], "track": ["modified_timestamp"],
+              "changed_ts": "recorded_hour"}
     if target is None:
-        out.write.mode("overwrite").partitionBy(DATE_KEY).parquet(path)
+        overwrite_table(spark, path, out, DATE_KEY, **layout)
     else:
         upsert_table(spark, path, out, ["id", "recorded_hour"], DATE_KEY,
-                     preserve=["inserted_timestamp"])
-    return spark.read.parquet(path)
+                     preserve=["inserted_timestamp"], moving=False, **layout)
+    return read_table(spark, path)
 
 
 def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster,
@@ -266,7 +362,7 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster,
                          F.lit(run_id).alias("_invocation_id"))
     _write(spark, path, out, list(keys), cluster, preserve=preserve,
            overwrite=target is None, sort_by=sort_by, moving=moving)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def run_silver_msg_attributes(spark, msgs: DataFrame, path, run_ts, run_id,
@@ -306,29 +402,30 @@ def run_fact(spark, name: str, silver_table: DataFrame, path, run_ts, run_id, **
                      **refresh)
 
 
-def _ledger_source(spark, bronze_root, path):
-    target = None if not exists(spark, path) else spark.read.parquet(path)
-    return _landed_scan(spark, bronze_root, table_hwm(spark, path, target, "_inserted_timestamp"))
+def _run_ledger(spark, bronze_root, path, run_ts, transform, key: str, full_refresh: bool = False,
+                allow_full_refresh: bool = False) -> DataFrame:
+    """A completion ledger: records of files at/after its newest file time,
+    merged on ``key``; the first insert time is kept (I5)."""
+    target = _target(spark, path, full_refresh, allow_full_refresh)
+    src = _landed_scan(spark, bronze_root, table_hwm(spark, path, target, "_inserted_timestamp"))
+    led = transform(src).withColumnRenamed("inserted_timestamp", "_inserted_timestamp")
+    led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
+                     ts_lit(run_ts).alias("modified_timestamp"))
+    _write(spark, path, led, [key], block_bucket(), preserve=["inserted_timestamp"],
+           overwrite=target is None, moving=False)
+    return read_table(spark, path)
 
 
-def run_transactions_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+def run_transactions_complete(spark, bronze_root, path, run_ts, **refresh) -> DataFrame:
     """complete_transactions ledger (pages landed), first-insert time kept."""
-    src = _ledger_source(spark, bronze_root, path)
-    return run_merge(spark, src, path, ["complete_transactions_id"], block_bucket(),
-                     run_ts, "", transform=lambda d: fetching.transactions_complete(d)
-                     .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
-                     hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
-                     preserve=["inserted_timestamp"], moving=False)
+    return _run_ledger(spark, bronze_root, path, run_ts, fetching.transactions_complete,
+                       "complete_transactions_id", **refresh)
 
 
-def run_tx_count_complete(spark, bronze_root, path, run_ts) -> DataFrame:
+def run_tx_count_complete(spark, bronze_root, path, run_ts, **refresh) -> DataFrame:
     """complete_tx_counts ledger, first-insert time kept."""
-    src = _ledger_source(spark, bronze_root, path)
-    return run_merge(spark, src, path, ["complete_tx_counts_id"], block_bucket(),
-                     run_ts, "", transform=lambda d: fetching.tx_count_complete(d)
-                     .withColumnRenamed("inserted_timestamp", "_inserted_timestamp"),
-                     hwm_col="_inserted_timestamp", source_col="inserted_timestamp",
-                     preserve=["inserted_timestamp"], moving=False)
+    return _run_ledger(spark, bronze_root, path, run_ts, fetching.tx_count_complete,
+                       "complete_tx_counts_id", **refresh)
 
 
 def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_done: DataFrame,

@@ -1,10 +1,10 @@
 """Table sinks (S8–S10) and incremental table writes (I4–I7 on storage).
 
-Tables are Parquet folders, optionally partitioned by a derived cluster key.
-Incremental writes rewrite only the partitions the batch touches (dynamic
-partition overwrite, I6): the touched partitions are read (partition
-pruning), merged with the batch, staged in the shared checkpoint folder —
-never overwrite a path while reading it — and then swapped in.
+Model tables are versioned (:mod:`.versions`), partitioned by a derived cluster
+key. An incremental write reads the touched partitions of a pinned version,
+merges them with the batch, writes the result to files of its own and publishes
+it as the next version, which keeps all other partitions' files (I6): readers and
+crashes see the old or the new version only.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import replace_keys, upsert
 from ..session import checkpoint_dir
-from .landing import table_exists as exists
+from . import versions
+from .versions import exists, read_table
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -69,115 +70,138 @@ def _release(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-_stage = stage
-
-
-def _touched(target: DataFrame, batch: DataFrame, partition_col: str) -> DataFrame:
-    return target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
-
-
 def _unique_batch(batch: DataFrame, keys: Sequence[str]) -> None:
     twice = batch.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if twice:
         raise ValueError(f"duplicate merge key in the batch: {twice[0].asDict()}")
 
 
-def _drop_partitions(spark: SparkSession, path: str, partition_col: str, values: Sequence) -> None:
-    """Remove partition folders that a merge left without rows."""
-    from .landing import _fs
-    for v in values:
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{partition_col}={v}")
-        if fs is None:
-            raise RuntimeError("moving a key to another partition needs the Hadoop file system")
-        fs.delete(p, True)
+def _layout(partition_col: str, sort_by: Sequence[str], bloom_cols: Sequence[str]):
+    return lambda df, folder: write_table(df, folder, [partition_col], sort_by, bloom_cols)
+
+
+def _values(df: DataFrame, col: str) -> list[str | None]:
+    """A partition column's values as strings (a partition value is a table's
+    date or key bucket: far fewer than rows)."""
+    return [r[0] for r in df.select(F.col(col).cast("string")).distinct().collect()]
+
+
+def _hours(ts: str | None):
+    """The written rows' hours as a version's changes."""
+    return None if ts is None else lambda written: versions.hour_runs(written, ts)
+
+
+def overwrite_table(spark: SparkSession, path: str, df: DataFrame, partition_col: str,
+                    sort_by: Sequence[str] = (), bloom_cols: Sequence[str] = (),
+                    track: Sequence[str] = (), changed_ts: str | None = None,
+                    sources: dict[str, int] | None = None, notes: dict | None = None,
+                    stream: tuple[str, int] | None = None) -> dict:
+    """First load or full refresh: ``df`` becomes the whole table."""
+    def attempt():
+        base = versions.snapshot(spark, path)
+        return versions.commit(spark, path, base, df, partition_col, fresh=True,
+                               write=_layout(partition_col, sort_by, bloom_cols), track=track,
+                               changed=_hours(changed_ts), sources=sources, notes=notes,
+                               stream=stream, operation="overwrite")
+    return versions.retried(attempt).marks
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                  partition_col: str, preserve: Sequence[str] = (),
                  sort_by: Sequence[str] = (), track: Sequence[str] = (),
-                 bloom_cols: Sequence[str] = (), moving: bool = True) -> dict:
-    """I4/I5/I6 MERGE into a partitioned Parquet table. The batch is evaluated
-    once (staged); a key twice in it is an error. ``moving``: a key's partition
-    may differ from the stored one, so the stored partitions of the batch's keys
-    are looked up (keys and partition column only) and rewritten too; pass False
-    where the partition derives from the key. Returns ``max`` of the ``track``
-    columns over the rewritten partitions (for high-water marks)."""
+                 bloom_cols: Sequence[str] = (), moving: bool = True,
+                 changed_ts: str | None = None, sources: dict[str, int] | None = None,
+                 stream: tuple[str, int] | None = None) -> dict:
+    """I4/I5/I6 MERGE into a versioned table. The batch is evaluated once
+    (staged); a key twice in it is an error. ``moving``: a key's partition may
+    differ from the stored one, so the stored partitions of the batch's keys are
+    looked up (keys and partition column only) and rewritten too; pass False
+    where the partition derives from the key. ``stream``: (id, epoch) of a
+    micro-batch; an epoch that a version records is not merged again.
+    ``changed_ts``: the version lists the hours of that column in the batch and
+    in the rows it replaced. Returns the table's high-water marks."""
+    if versions.seen_epoch(versions.snapshot(spark, path), stream):
+        return versions.snapshot(spark, path).marks
     batch_path = _staging_path(spark)
     batch = stage(spark, batch, batch_path)
     _unique_batch(batch, keys)
-    if not exists(spark, path):
-        write_table(batch, path, [partition_col], sort_by, bloom_cols)
-        _release(spark, batch_path)
-        return _maxima(spark.read.parquet(path), track)
-    target = spark.read.parquet(path)
-    parts = batch.select(partition_col)
-    if moving:
-        old = target.select(*keys, partition_col).join(batch.select(*keys), list(keys), "left_semi")
-        parts = parts.unionByName(old.select(partition_col))
-    parts_path = _staging_path(spark)
-    parts = stage(spark, parts.distinct(), parts_path)
-    merged = upsert(_touched(target, parts, partition_col), batch, keys, preserve)
-    staging = _staging_path(spark)
-    staged = stage(spark, merged, staging)
-    write_table(staged, path, [partition_col], sort_by, bloom_cols, dynamic=True)
-    if moving:                       # dates: one value per touched partition
-        empty = parts.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
-        _drop_partitions(spark, path, partition_col, [r[0] for r in empty.collect()])
-    marks = _maxima(staged, track)
-    for p in (staging, batch_path, parts_path):
-        _release(spark, p)
+    write = _layout(partition_col, sort_by, bloom_cols)
+    common = {"write": write, "track": track, "sources": sources, "stream": stream}
+
+    def attempt():
+        base = versions.snapshot(spark, path)
+        if versions.seen_epoch(base, stream):
+            return base
+        if base is None:
+            return versions.commit(spark, path, None, batch, partition_col, changed=_hours(changed_ts),
+                                   operation="create", **common)
+        values, own = _values(batch, partition_col), batch.select(*keys)
+        if moving:
+            old = versions.read_parts(spark, path, base).select(*keys, partition_col)
+            values += _values(old.join(own, list(keys), "left_semi"), partition_col)
+        names = base.named(values)
+        touched = versions.read_parts(spark, path, base, names)
+        changed = None
+        if changed_ts is not None:
+            replaced = touched.join(own, list(keys), "left_semi").select(changed_ts)
+            changed = versions.hour_runs(replaced.unionByName(batch.select(changed_ts)), changed_ts)
+        return versions.commit(spark, path, base, upsert(touched, batch, keys, preserve), partition_col,
+                               drop=names, changed=changed, operation="merge", **common)
+    marks = versions.retried(attempt).marks
+    _release(spark, batch_path)
     return marks
 
 
-def _maxima(df: DataFrame, cols: Sequence[str]) -> dict:
-    if not cols:
-        return {}
-    row = df.agg(*[F.max(c).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
-
-
-WATERMARKS = "_watermarks"
-
-
-def save_watermarks(spark: SparkSession, path: str, marks: dict) -> None:
-    """Persist high-water marks next to a table (a one-row Parquet folder that
-    Spark's file index ignores, being ``_``-prefixed). Values only grow."""
-    old = load_watermarks(spark, path)
-    merged = {**old}
-    for k, v in marks.items():
-        if v is not None:
-            merged[k] = v if old.get(k) is None else max(old[k], v)
-    if not merged:
-        return
-    cols = sorted(merged)
-    df = spark.createDataFrame([tuple(merged[c] for c in cols)], cols)
-    df = df.select(*[F.col(c).cast("timestamp_ntz") if "timestamp" in
-                     df.schema[c].dataType.simpleString() else F.col(c) for c in cols])
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{WATERMARKS}")
-
-
 def load_watermarks(spark: SparkSession, path: str) -> dict:
-    wm = f"{path.rstrip('/')}/{WATERMARKS}"
-    from .landing import exists as marker_exists
-    if not marker_exists(spark, wm):
-        return {}
-    row = spark.read.parquet(wm).first()
-    return {} if row is None else row.asDict()
+    """High-water marks of the newest version (empty for a missing table)."""
+    snap = versions.snapshot(spark, path)
+    return {} if snap is None else snap.marks
 
 
 def replace_table_keys(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                       partition_col: str) -> None:
-    """I7 delete+insert: periods present in the batch are replaced whole."""
-    if not exists(spark, path):
-        write_table(batch, path, [partition_col])
+                       partition_col: str, sort_by: Sequence[str] = (), bloom_cols: Sequence[str] = (),
+                       track: Sequence[str] = (), changed_ts: str | None = None,
+                       sources: dict[str, int] | None = None, notes: dict | None = None,
+                       stream: tuple[str, int] | None = None, gone: DataFrame | None = None) -> None:
+    """I7 delete+insert: periods present in the batch, and those in ``gone`` (the
+    key and partition columns of periods left without rows), are replaced whole.
+    The batch is evaluated once; only these partitions are read and rewritten."""
+    if versions.seen_epoch(versions.snapshot(spark, path), stream):
         return
-    target = spark.read.parquet(path)
-    merged = replace_keys(_touched(target, batch, partition_col), batch, keys)
-    staging = _staging_path(spark)
-    staged = stage(spark, merged, staging)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(partition_col).parquet(path)
-    _release(spark, staging)
+    batch_path = _staging_path(spark)
+    batch = stage(spark, batch, batch_path)
+
+    def attempt():
+        base = versions.snapshot(spark, path)
+        if versions.seen_epoch(base, stream):
+            return base
+        periods = batch.select(*keys, partition_col)
+        periods = periods if gone is None else periods.unionByName(gone.select(*keys, partition_col))
+        names = [] if base is None else base.named(_values(periods, partition_col))
+        rows = batch if base is None else replace_keys(
+            versions.read_parts(spark, path, base, names), batch, keys, periods)
+        return versions.commit(spark, path, base, rows, partition_col, drop=names,
+                               write=_layout(partition_col, sort_by, bloom_cols), track=track,
+                               changed=None if changed_ts is None else versions.hour_runs(periods, changed_ts),
+                               sources=sources, notes=notes, stream=stream, operation="replace")
+    versions.retried(attempt)
+    _release(spark, batch_path)
+
+
+def append_table(spark: SparkSession, path: str, batch: DataFrame, partition_col: str,
+                 sort_by: Sequence[str] = (), bloom_cols: Sequence[str] = (),
+                 track: Sequence[str] = (), changed_ts: str | None = None,
+                 stream: tuple[str, int] | None = None) -> dict:
+    """Insert without a merge: the batch's files join their partitions' (many
+    small appends are put together by :func:`ledgerline.sources.layout.compact`)."""
+    def attempt():
+        base = versions.snapshot(spark, path)
+        if versions.seen_epoch(base, stream):
+            return base
+        return versions.commit(spark, path, base, batch, partition_col, append=True,
+                               write=_layout(partition_col, sort_by, bloom_cols), track=track,
+                               changed=_hours(changed_ts), stream=stream, operation="append")
+    return versions.retried(attempt).marks
 
 
 def write_worklist(worklist: DataFrame, path: str, order_by: str | Sequence[str], batch_size: int,

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans import models
+from ledgerline.sources.versions import read_table
 
 
 def _block(h, prop="P", ts="2025-01-02T10:00:00Z"):
@@ -50,7 +51,7 @@ def test_incremental_equals_full(spark, tmp_dir, monkeypatch):
     assert len(merges) == 2                 # runs 2 and 3 merged, run 1 created
     from ledgerline.sources.sinks import load_watermarks
     assert load_watermarks(spark, inc)["_inserted_timestamp"] is not None
-    a, b = spark.read.parquet(inc), spark.read.parquet(full)
+    a, b = read_table(spark, inc), read_table(spark, full)
     assert _cols(a) == _cols(b)
     # inclusive high-water mark: run 2 re-reads the boundary file (1_a), run 3
     # reads only the newest file (1_b), so 1_a-only blocks keep run 2's audit

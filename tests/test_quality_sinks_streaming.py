@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import quality as Q
 from ledgerline.plans import silver
 from ledgerline.sources.sinks import replace_table_keys, upsert_table, write_table
+from ledgerline.sources.versions import read_table
 from ledgerline.streaming import (bronze_stream, dedupe_stream, hourly_metrics_stream,
                                   stream_upsert)
 
@@ -41,11 +42,11 @@ def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_dir):
     b = spark.createDataFrame([(2, "Y", "d2"), (3, "z", "d3")], "k int, v string, p string")
     upsert_table(spark, path, b, ["k"], "p")
     upsert_table(spark, path, b, ["k"], "p")      # idempotent
-    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.v, r.p) for r in read_table(spark, path).collect())
     assert got == [(1, "x", "d1"), (2, "Y", "d2"), (3, "z", "d3")]
     c = spark.createDataFrame([(5, "h", "d2")], "k int, v string, p string")
     replace_table_keys(spark, path, c, ["p"], "p")
-    got = sorted((r.k, r.p) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.p) for r in read_table(spark, path).collect())
     assert got == [(1, "d1"), (3, "d3"), (5, "d2")]
 
 
@@ -75,7 +76,7 @@ def test_stream_bronze_to_silver_upsert(spark, tmp_dir):
     q = stream_upsert(bronze_stream(spark, src), silver.silver_blocks, sink,
                       os.path.join(tmp_dir, "ck"))
     q.awaitTermination(120)
-    rows = spark.read.parquet(target).collect()
+    rows = read_table(spark, target).collect()
     assert [(r.block_id, r.tx_count) for r in rows] == [(7, 1)]
 
 
@@ -156,7 +157,7 @@ def test_stream_transactions_chain(spark, tmp_dir):
                       os.path.join(tmp_dir, "ck2"))
     q.awaitTermination(120)
     got = sorted((r.tx_id, r.msg_index, r.msg_group, r.msg_sub_group)
-                 for r in spark.read.parquet(target).collect())
+                 for r in read_table(spark, target).collect())
     assert got == [("A", 0, 0, 0), ("A", 1, 0, 0), ("B", 0, 0, 0), ("B", 1, 0, 0)]
 
 
@@ -210,4 +211,4 @@ def test_merge_releases_its_staging_copy(spark, tmp_dir):
     replace_table_keys(spark, path, a, ["p"], "p")
     after = set(os.listdir(staging)) if os.path.isdir(staging) else set()
     assert after - before == set()
-    assert [r.v for r in spark.read.parquet(path).collect()] == ["x"]
+    assert [r.v for r in read_table(spark, path).collect()] == ["x"]
