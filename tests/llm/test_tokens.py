@@ -119,9 +119,19 @@ def test_cut_is_exact(text):
     code = tokens.coder(tokens.TOKENIZERS)
     parts = tokens.pieces(text, 1)
     assert " ".join(parts) == text
-    a = [i for p in parts for i in code.a.encode(" " + p, add_special_tokens=False).ids]
+    own = code._listed(tokens.TOKENIZERS)
+    a = [i for p in parts for i in code.encode_a([" " + p])[0]]
     b = [i for p in parts for i in code.b.encode(p)]
-    assert a == code.a.encode(" " + text, add_special_tokens=False).ids and b == code.b.encode(text)
+    assert a == code.encode_a([" " + text])[0] == own([" " + text])[0] and b == code.b.encode(text)
+
+
+def test_ranked_merges_equal_the_files_own_library():
+    code = tokens.coder(tokens.TOKENIZERS)
+    own = code._listed(tokens.TOKENIZERS)
+    assert "ranked" in code.encode_a.__code__.co_freevars
+    texts = [s for o in [*range(0x3000), *range(0xA000, 0xA100), *range(0x1F600, 0x1F650)]
+             for c in [chr(o)] for s in (f" a{c}b 1{c}{c}", f"{c}  {c}.{c}")]
+    assert code.encode_a(texts) == own(texts)
 
 
 def test_pair_bound_holds(spark):
