@@ -13,6 +13,7 @@ changed from that table's commits, not from its rows.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,17 @@ def set_cluster_grain(grain: str) -> None:
     CLUSTER_GRAIN["grain"] = grain
 
 
+@contextlib.contextmanager
+def cluster_grain(grain: str):
+    """The grain of the tables written inside the block."""
+    before = CLUSTER_GRAIN["grain"]
+    set_cluster_grain(grain)
+    try:
+        yield
+    finally:
+        set_cluster_grain(before)
+
+
 def cluster_value(col: str):
     return F.to_date(F.date_trunc(CLUSTER_GRAIN["grain"], F.col(col)))
 
@@ -74,11 +86,13 @@ def block_bucket(col: str = "block_id"):
     return F.round(F.col(col), -3).cast("bigint")
 
 
-def _write(spark, path, df, keys, cluster, preserve=(), overwrite=False,
-           track=("_inserted_timestamp", "modified_timestamp"), sort_by=(), moving=True):
-    """``cluster``: the timestamp column whose date, or the expression, that the
-    table is partitioned by. ``moving``: a key's partition may change between
-    versions (its date is not part of the key)."""
+def write_model(spark, path, df, keys, cluster, preserve=(), overwrite=False,
+                track=("_inserted_timestamp", "modified_timestamp"), sort_by=(), moving=True,
+                newest=(), stream=None):
+    """Merge (or ``overwrite``) a model table. ``cluster``: the timestamp column
+    whose date, or the expression, that the table is partitioned by. ``moving``: a
+    key's partition may change between versions (its date is not part of the key).
+    ``newest``, ``stream``: as in :func:`ledgerline.sources.sinks.upsert_table`."""
     if isinstance(cluster, str):
         df = df.withColumn(DATE_KEY, F.coalesce(cluster_value(cluster), F.lit("1970-01-01")
                                                 .cast("date")))
@@ -88,11 +102,12 @@ def _write(spark, path, df, keys, cluster, preserve=(), overwrite=False,
     track = [c for c in track if c in df.columns]
     blooms = [c for c in ("block_id", "tx_id") if c in df.columns]
     layout = {"sort_by": list(sort_by) or blooms, "bloom_cols": blooms, "track": track,
-              "changed_ts": changed_ts}
+              "changed_ts": changed_ts, "stream": stream}
     if overwrite:
         overwrite_table(spark, path, df, part, **layout)
     else:
-        upsert_table(spark, path, df, keys, part, preserve=preserve, moving=moving, **layout)
+        upsert_table(spark, path, df, keys, part, preserve=preserve, moving=moving, newest=newest,
+                     **layout)
 
 
 def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts, run_id: str,
@@ -104,7 +119,7 @@ def run_silver_blocks(spark: SparkSession, bronze_root: str, path: str, run_ts,
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_blocks(bronze, blockchain, run_ts, run_id)
-    _write(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
+    write_model(spark, path, out, ["blocks_id"], "block_timestamp", overwrite=target is None)
     return read_table(spark, path)
 
 
@@ -114,7 +129,7 @@ def run_silver_transactions(spark, bronze_root, path, run_ts, run_id, full_refre
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     bronze = _landed_scan(spark, bronze_root, hwm)
     out = silver.silver_transactions(bronze, run_ts, run_id, keep_data=keep_data)
-    _write(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
+    write_model(spark, path, out, ["transactions_id"], "block_timestamp", overwrite=target is None)
     return read_table(spark, path)
 
 
@@ -125,11 +140,11 @@ def run_silver_msgs(spark, txs: DataFrame, path, run_ts, run_id, lookback_days:
     hwm = table_hwm(spark, path, target, "_inserted_timestamp")
     src = since(txs, "_inserted_timestamp", hwm, lookback_days=lookback_days, by_date=True)
     out = silver.silver_msgs(src, run_ts=run_ts, run_id=run_id, partition_input=True)
-    _write(spark, path, out, ["msgs_id"], "block_timestamp", overwrite=target is None)
+    write_model(spark, path, out, ["msgs_id"], "block_timestamp", overwrite=target is None)
     return read_table(spark, path)
 
 
-def _changes(spark, source: DataFrame, path: str) -> tuple[list[list[int]] | None, dict]:
+def changes(spark, source: DataFrame, path: str) -> tuple[list[list[int]] | None, dict]:
     """What the table at ``path`` has to follow: the runs of hours that the
     ``source`` table's commits changed since the version it was computed from
     (None: not known, look at the rows), and the source version to record. Hours
@@ -148,12 +163,14 @@ def _changes(spark, source: DataFrame, path: str) -> tuple[list[list[int]] | Non
 
 def _open_part(runs: list[list[int]], now) -> list[list[int]]:
     """The hours of ``runs`` that are not closed at ``now``."""
+    if now is None:
+        return []
     n = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
     first = int((n - dt.datetime(1970, 1, 1)).total_seconds() // 3600)
     return [[max(lo, first), hi] for lo, hi in runs if hi >= first]
 
 
-def _hours_table(spark, runs: list[list[int]], col: str) -> DataFrame:
+def hours_table(spark, runs: list[list[int]], col: str) -> DataFrame:
     """One row per hour of ``runs`` with its partition date. As many rows as the
     history has hours at most, whatever the number of facts."""
     hours = spark.createDataFrame([tuple(r) for r in runs], "lo long, hi long").select(
@@ -162,7 +179,7 @@ def _hours_table(spark, runs: list[list[int]], col: str) -> DataFrame:
     return hours.select(ts.alias(col)).withColumn(DATE_KEY, cluster_value(col))
 
 
-def _only_hours(facts: DataFrame, hours: DataFrame, col: str, ts: str) -> DataFrame:
+def only_hours(facts: DataFrame, hours: DataFrame, col: str, ts: str) -> DataFrame:
     """The facts in ``hours``; where they are partitioned by date, only those
     dates' files are read."""
     if DATE_KEY in facts.columns:
@@ -181,7 +198,7 @@ def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, no
     input every hour from the earliest changed one is replaced, found by its
     modification times."""
     target = _target(spark, path, full_refresh, allow_full_refresh)
-    runs, seen = _changes(spark, fact_txs, path) if target is not None else (
+    runs, seen = changes(spark, fact_txs, path) if target is not None else (
         None, dict([versions.origin(fact_txs)]) if versions.origin(fact_txs) else {})
     min_hour, src, gone, notes = None, fact_txs, None, {"open_hours": []}
     if target is None and seen:
@@ -193,8 +210,8 @@ def run_core_metrics_hourly(spark, fact_txs: DataFrame, path, run_ts, run_id, no
         if not runs:
             return target
         notes["open_hours"] = _open_part(runs, now)
-        gone = _hours_table(spark, runs, "block_timestamp_hour")
-        src = _only_hours(fact_txs, gone, "block_timestamp_hour", "block_timestamp")
+        gone = hours_table(spark, runs, "block_timestamp_hour")
+        src = only_hours(fact_txs, gone, "block_timestamp_hour", "block_timestamp")
     elif target is not None:
         last = high_watermark(target, "modified_timestamp")
         min_hour = min_changed_period(fact_txs, "block_timestamp", "modified_timestamp", last)
@@ -228,7 +245,7 @@ def run_ez_metrics(spark, metrics: DataFrame, prices: DataFrame, asset_id: str,
     min_hour, seen = None, dict([versions.origin(metrics)]) if versions.origin(metrics) else {}
     if target is not None:
         default = dt.datetime.fromisoformat(default_start)
-        runs, _ = _changes(spark, metrics, path)
+        runs, _ = changes(spark, metrics, path)
         if runs is None:
             last = high_watermark(target, "modified_timestamp")
             min_hour = min_changed_period(metrics, "block_timestamp_hour", "modified_timestamp", last,
@@ -360,7 +377,7 @@ def run_merge(spark: SparkSession, source: DataFrame, path: str, keys, cluster,
                          ts_lit(run_ts).alias("inserted_timestamp"),
                          ts_lit(run_ts).alias("modified_timestamp"),
                          F.lit(run_id).alias("_invocation_id"))
-    _write(spark, path, out, list(keys), cluster, preserve=preserve,
+    write_model(spark, path, out, list(keys), cluster, preserve=preserve,
            overwrite=target is None, sort_by=sort_by, moving=moving)
     return read_table(spark, path)
 
@@ -411,7 +428,7 @@ def _run_ledger(spark, bronze_root, path, run_ts, transform, key: str, full_refr
     led = transform(src).withColumnRenamed("inserted_timestamp", "_inserted_timestamp")
     led = led.select("*", ts_lit(run_ts).alias("inserted_timestamp"),
                      ts_lit(run_ts).alias("modified_timestamp"))
-    _write(spark, path, led, [key], block_bucket(), preserve=["inserted_timestamp"],
+    write_model(spark, path, led, [key], block_bucket(), preserve=["inserted_timestamp"],
            overwrite=target is None, moving=False)
     return read_table(spark, path)
 

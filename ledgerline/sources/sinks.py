@@ -111,7 +111,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
                  sort_by: Sequence[str] = (), track: Sequence[str] = (),
                  bloom_cols: Sequence[str] = (), moving: bool = True,
                  changed_ts: str | None = None, sources: dict[str, int] | None = None,
-                 stream: tuple[str, int] | None = None) -> dict:
+                 stream: tuple[str, int] | None = None, newest: Sequence[str] = ()) -> dict:
     """I4/I5/I6 MERGE into a versioned table. The batch is evaluated once
     (staged); a key twice in it is an error. ``moving``: a key's partition may
     differ from the stored one, so the stored partitions of the batch's keys are
@@ -119,7 +119,9 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     where the partition derives from the key. ``stream``: (id, epoch) of a
     micro-batch; an epoch that a version records is not merged again.
     ``changed_ts``: the version lists the hours of that column in the batch and
-    in the rows it replaced. Returns the table's high-water marks."""
+    in the rows it replaced. ``newest``: a stored row stays unless the batch's is
+    greater in these columns (NULLs least), so arrival order does not matter.
+    Returns the table's high-water marks."""
     if versions.seen_epoch(versions.snapshot(spark, path), stream):
         return versions.snapshot(spark, path).marks
     batch_path = _staging_path(spark)
@@ -141,11 +143,18 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
             values += _values(old.join(own, list(keys), "left_semi"), partition_col)
         names = base.named(values)
         touched = versions.read_parts(spark, path, base, names)
+        put = batch
+        if newest:
+            at = F.struct(*newest)
+            old = touched.select(*keys, at.alias("__old"))
+            put = batch.join(old, list(keys), "left").where(
+                F.col("__old").isNull() | (at > F.col("__old"))).select(*batch.columns)
+            own = put.select(*keys)
         changed = None
         if changed_ts is not None:
             replaced = touched.join(own, list(keys), "left_semi").select(changed_ts)
-            changed = versions.hour_runs(replaced.unionByName(batch.select(changed_ts)), changed_ts)
-        return versions.commit(spark, path, base, upsert(touched, batch, keys, preserve), partition_col,
+            changed = versions.hour_runs(replaced.unionByName(put.select(changed_ts)), changed_ts)
+        return versions.commit(spark, path, base, upsert(touched, put, keys, preserve), partition_col,
                                drop=names, changed=changed, operation="merge", **common)
     marks = versions.retried(attempt).marks
     _release(spark, batch_path)
