@@ -132,8 +132,7 @@ from events
 """)
 def q_rank0(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
-    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(86400 * 10**6))
-    r = rank0(ev, ["user_id", "event_type"], "ts", "rank0", bucket=day)
+    r = rank0(ev, ["user_id", "event_type"], "ts", "rank0", rows=EVENT_ID_BUCKET)
     return r.select("event_id", "user_id", "event_type", "rank0")
 
 
