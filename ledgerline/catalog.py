@@ -1085,3 +1085,7 @@ def q_silver_checks(spark, sf):
     # the lineage with a written copy measured slower at this size, and the
     # suites run over stored tables in the incremental runs anyway
     return silver_checks(S.silver_blocks(_bronze_blocks(spark, sf)), _silver_txs(spark, sf))
+
+
+# multi-run and streaming queries register themselves in the same dictionaries
+from . import run_queries  # noqa: E402,F401

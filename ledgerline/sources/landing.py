@@ -9,11 +9,14 @@ a lost executor only re-runs its own write tasks.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -74,3 +77,60 @@ def landed(spark: SparkSession, name: str, source_key: str, build: Callable[[],
         if not fs.exists(dst):
             fs.rename(src, dst)
     return spark.read.parquet(final)
+
+
+def landed_json(spark: SparkSession, name: str, source_key: str,
+                build: Callable[[], dict[str, DataFrame]], times: dict[int, dt.datetime],
+                version: str = "v1") -> str:
+    """Land feeds as JSON files the way a fetcher does, once per ``source_key``:
+    ``<root>/<feed>/<wave>/<partition key>/part-*``, one record a line, files of a
+    wave dated ``times[wave]``. ``build`` gives each feed's frame (wave,
+    partition_key, value, data). Returns the root. Written aside and renamed into
+    place like any landed table."""
+    digest = hashlib.sha1(f"{source_key}|{version}".encode()).hexdigest()[:16]
+    final = f"{checkpoint_dir(spark)}/landed/{name}-{digest}"
+    fs, dst = _fs(spark, final)
+    if fs is None:
+        raise RuntimeError("landing files needs the Hadoop file system")
+    if fs.exists(dst):
+        return final
+    staging = f"{final}.staging-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for feed, df in build().items():
+        line = F.to_json(F.struct("value", "data"))
+        (df.select("wave", F.col("partition_key").cast("string").alias("pk"), line.alias("line"))
+         .repartition("wave", "pk").write.partitionBy("wave", "pk").text(f"{staging}/{feed}"))
+        # Spark's folder names (wave=0/pk=10000) to the fetcher's (0/10000); file times
+        for w in fs.listStatus(hadoop(f"{staging}/{feed}")):
+            if not w.isDirectory():
+                continue
+            wave = w.getPath().getName().split("=")[1]
+            at = int(times[int(wave)].replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+            fs.mkdirs(hadoop(f"{staging}/{feed}/{wave}"))
+            for k in fs.listStatus(w.getPath()):
+                to = hadoop(f"{staging}/{feed}/{wave}/{k.getPath().getName().split('=')[1]}")
+                fs.rename(k.getPath(), to)
+                for f in fs.listStatus(to):
+                    fs.setTimes(f.getPath(), at, -1)
+            fs.delete(w.getPath(), True)
+    if not fs.exists(dst):
+        fs.rename(hadoop(staging), dst)
+    return final
+
+
+#: Age at which a run's scratch folder is taken for left over.
+EXPIRE_HOURS = 48
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one run in the shared folder. Those of earlier runs of
+    the same name go once they are ``EXPIRE_HOURS`` old: their results were lazy,
+    so they could not be deleted by the run itself."""
+    root = f"{checkpoint_dir(spark)}/runs/{name}"
+    fs, p = _fs(spark, root)
+    if fs is not None and fs.exists(p):
+        limit = (time.time() - EXPIRE_HOURS * 3600) * 1000
+        for s in fs.listStatus(p):
+            if s.getModificationTime() < limit:
+                fs.delete(s.getPath(), True)
+    return f"{root}/{uuid.uuid4().hex}"
