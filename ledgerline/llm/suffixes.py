@@ -9,7 +9,8 @@ the positions instead of a fifth. A suffix is then the few bytes up to its
 sample position and the rank of the suffix there.
 
 1. Sample: each document's anchors, with the run of windows that chose each
-   and hashes of the anchor and of the run's bytes. No text moves.
+   and hashes of the anchor and of the run's bytes. No text moves. Equal runs
+   within one group of texts are settled there.
 2. Buckets: the anchors are sorted by (anchor, run, document, start) and read
    as streams. All but the first of equal runs are repeats as a whole. Anchors
    with several runs go on, one row a run.
@@ -17,7 +18,8 @@ sample position and the rank of the suffix there.
    sorted by itself: its suffixes at the sample positions to the right, its
    reversed prefixes to the left. Ranks cut at a depth name the strings of that
    length, so a window is a pair of names and ties cost no further bytes. Hot
-   buckets go on window by window instead.
+   buckets, and the anchors that a Misra-Gries summary finds frequent, go on
+   window by window instead, spread over all tasks.
 4. Spans are merged per document and the rest is digested.
 
 A task holds one group of documents' arrays (about GROUP bytes each) or one
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
+from .exact import frequent
 
 LENGTH, ANCHOR = 100, 32
 WINDOW = LENGTH - ANCHOR + 1
@@ -42,6 +45,8 @@ GROUP = 1 << 19
 _POS = np.uint64((1 << 20) - 1)
 #: Rows of a bucket that one task ranks; larger ones go window by window.
 HOT = 20_000
+#: Anchors that the summary of frequent ones tracks, and names at most.
+TRACKED, FREQUENT = 1 << 16, 20_000
 #: Rows of a bucket that are compared two by two instead of ranked.
 SMALL = 12
 
@@ -98,9 +103,9 @@ def anchors(data: np.ndarray, bounds: np.ndarray, hashes: Hashes):
     return (text[s], s - bounds[text[s]], e - s, p - s, h[p], hashes.of(prefix, s, e + LENGTH))
 
 
-def _tag(text: bytes) -> int:
-    """14 bits that tell apart the texts of rows with one doc_id."""
-    return int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "big") >> 2
+def text_key(text: bytes) -> int:
+    """64 bits of the text's MD5, which tell apart the texts that share a doc_id."""
+    return int.from_bytes(hashlib.md5(text).digest()[:8], "big", signed=True)
 
 
 def _pieces(texts: list[bytes]):
@@ -126,9 +131,26 @@ def _pieces(texts: list[bytes]):
         yield group
 
 
+def _first_of_runs(h, c, d, g, pk) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with equal (h, c): the first in (d, g, pk) order, and the others
+    (a row that repeats another one entirely is neither)."""
+    order = np.lexsort((pk, g, d, c, h))
+    same = np.ones(len(order), bool)
+    same[:1] = False
+    for x in (h, c):
+        same[1:] &= x[order][1:] == x[order][:-1]
+    twice = same.copy()
+    for x in (d, g, pk):
+        twice[1:] &= x[order][1:] == x[order][:-1]
+    return order[~same], order[same & ~twice]
+
+
 def sample(docs: DataFrame) -> DataFrame:
-    """(h, c, d, pk): anchor hash, run hash, document, and packed
-    (run start, text tag, windows - 1, bytes to the anchor)."""
+    """(k, h, c, d, g, pk): anchor hash, run hash, document (id, text key) and
+    packed (run start, windows - 1, bytes to the anchor). Runs that occur earlier
+    in the same group of texts are repeats already: they have no h. ``k`` is the
+    key to shuffle by: a very common line sends one row per group of texts to its
+    anchor's task and the rest anywhere."""
     def run(batches):
         hashes = Hashes(2 * GROUP + 1, 1)
         for b in batches:
@@ -137,31 +159,45 @@ def sample(docs: DataFrame) -> DataFrame:
             for group in _pieces(texts):
                 rows = np.array([r for r, _, _ in group])
                 offs = np.array([o for _, o, _ in group])
-                tags = np.array([_tag(texts[r]) for r, _, _ in group])
+                keys = np.array([text_key(texts[r]) for r, _, _ in group])
                 data = np.frombuffer(b"".join(t for *_, t in group), np.uint8)
                 bounds = np.concatenate(([0], np.cumsum([len(t) for *_, t in group])))
                 t, s, more, to, h, c = anchors(data, bounds, hashes)
-                pk = ((s + offs[t]) << 28) | (tags[t] << 14) | (more << 7) | to
+                pk = ((s + offs[t]) << 14) | (more << 7) | to
+                h, c, d, g = h.view(np.int64), c.view(np.int64), ids[rows[t]], keys[t]
+                lead, rest = _first_of_runs(h, c, d, g, pk)
+                at = np.concatenate((lead, rest))
+                known = np.arange(len(at)) >= len(lead)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[rows[t]]),
-                     pa.array(pk)], names=["h", "c", "d", "pk"])
+                    [pa.array(np.where(known, pk[at] * 31 + g[at], h[at])), pa.array(h[at], mask=known), pa.array(c[at]),
+                     pa.array(d[at]), pa.array(g[at]), pa.array(pk[at])], names=["k", "h", "c", "d", "g", "pk"])
     return (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.col("text").cast("string"))
-            .mapInArrow(run, "h long, c long, d long, pk long"))
+            .mapInArrow(run, "k long, h long, c long, d long, g long, pk long"))
 
 
 def _repeats(batches):
-    """Stream sorted by (h, c, d, pk). Yields whole repeats (h null) and, of
-    anchors with several runs, the first row of each run (h set)."""
-    last = None                       # last row: h, c, d, pk
+    """Stream of (h, c, d, g, pk, hot) sorted by these, rows without h first.
+    Yields whole repeats (h null) and, of anchors with several runs, the first row
+    of each run (h set). A frequent anchor's runs are in many tasks, so each of
+    its runs counts as one of several."""
+    last = None                       # last row: h, c, d, g, pk
     lone = None                       # first row of the open anchor while it has one run
     for b in batches:
-        h, c, d, pk = (b.column(i).to_numpy() for i in range(4))
-        if not len(h):
+        if not b.num_rows:
             continue
-        prev = [np.concatenate(([x[0] if last is None else last[i]], x[:-1])) for i, x in enumerate((h, c, d, pk))]
+        known = b.column(0).is_null().to_numpy(zero_copy_only=False)
+        if known.any():
+            done = b.filter(pa.array(known))
+            yield pa.RecordBatch.from_arrays([done.column(i) for i in (0, 2, 3, 4, 5)], names=["h", "d", "g", "pk", "hot"])
+            b = b.filter(pa.array(~known))
+            if not b.num_rows:
+                continue
+        h, c, d, g, pk = (b.column(i).to_numpy() for i in range(5))
+        hot = b.column(5).to_numpy(zero_copy_only=False).astype(bool)
+        prev = [np.concatenate(([x[0] if last is None else last[i]], x[:-1])) for i, x in enumerate((h, c, d, g, pk))]
         new_h = h != prev[0]
         new_c = new_h | (c != prev[1])
-        again = ~new_c & (d == prev[2]) & (pk == prev[3])          # a repeated row of one document
+        again = ~new_c & (d == prev[2]) & (g == prev[3]) & (pk == prev[4])      # a repeated row of one document
         if last is None:
             new_h[0] = new_c[0] = True
             again[0] = False
@@ -172,44 +208,44 @@ def _repeats(batches):
         many = other.copy()
         if len(r):
             many[:-1] |= other[1:]
-        out_h = [h[r[many]]]
-        out_d, out_pk = [d[r[many]]], [pk[r[many]]]
+        many |= hot[r]
+        out = [[x[r[many]]] for x in (h, d, g, pk, hot)]
         if lone is not None and len(r) and other[0]:
-            out_h.append(np.array([lone[0]]))
-            out_d.append(np.array([lone[2]]))
-            out_pk.append(np.array([lone[3]]))
+            for o, v in zip(out, lone):
+                o.append(np.array([v]))
         if len(r):
             x = r[-1]
-            lone = (h[x], c[x], d[x], pk[x]) if new_h[x] else None
-        last = (h[-1], c[-1], d[-1], pk[-1])
-        hs = np.concatenate(out_h)
-        w = int(whole.sum())
+            lone = (h[x], d[x], g[x], pk[x], False) if new_h[x] and not hot[x] else None
+        last = (h[-1], c[-1], d[-1], g[-1], pk[-1])
+        first = [np.concatenate(o) for o in out]
+        w, f = int(whole.sum()), len(first[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((np.zeros(w, np.int64), hs)), mask=np.concatenate((np.ones(w, bool), np.zeros(len(hs), bool)))),
-             pa.array(np.concatenate((d[whole], *out_d))), pa.array(np.concatenate((pk[whole], *out_pk)))],
-            names=["h", "d", "pk"])
+            [pa.array(np.concatenate((np.zeros(w, np.int64), first[0])), mask=np.arange(w + f) < w),
+             *[pa.array(np.concatenate((x[whole], y))) for x, y in zip((d, g, pk, hot), first[1:])]],
+            names=["h", "d", "g", "pk", "hot"])
 
 
 def _unpack(pk):
-    return pk >> 28, (pk >> 14) & 0x3FFF, (pk >> 7) & 0x7F, pk & 0x7F
+    return pk >> 14, (pk >> 7) & 0x7F, pk & 0x7F
 
 
 def _cut(batches):
-    """(d, text, rows of (h, pk)) -> the rows with the bytes of their runs."""
+    """(d, g, text, rows of (h, pk, hot)) -> the rows with the bytes of their runs
+    and the key to shuffle by; a frequent anchor's rows lose their h."""
     for b in batches:
-        texts = b.column(1).cast(pa.binary()).to_pylist()
-        h, d, pk, run = [], [], [], []
-        for doc, t, rows in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist()):
-            tag = _tag(t)
+        texts = b.column(2).cast(pa.binary()).to_pylist()
+        k, h, d, g, pk, run = [], [], [], [], [], []
+        for doc, key, t, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts, b.column(3).to_pylist()):
             for r in rows:
-                s, g, more, _ = _unpack(r["pk"])
-                if g == tag:
-                    h.append(r["h"])
-                    d.append(doc)
-                    pk.append(r["pk"])
-                    run.append(t[s:s + more + LENGTH])
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(pk, pa.int64()),
-                                          pa.array(run, pa.binary())], names=["h", "d", "pk", "run"])
+                s, more, _ = _unpack(r["pk"])
+                k.append((r["pk"] ^ key) if r["hot"] else r["h"])
+                h.append(None if r["hot"] else r["h"])
+                d.append(doc)
+                g.append(key)
+                pk.append(r["pk"])
+                run.append(t[s:s + more + LENGTH])
+        yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in (k, h, d, g, pk)], pa.array(run, pa.binary())],
+                                          names=["k", "h", "d", "g", "pk", "run"])
 
 
 def _same(a: bytes, b: bytes) -> int:
@@ -223,12 +259,12 @@ def _names(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(order), lcp
 
 
-def bucket_repeats(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, np.ndarray]]:
-    """``rows`` (d, pk, run bytes) of one anchor in (d, pk) order. Gives (row,
+def bucket_repeats(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, np.ndarray]]:
+    """``rows`` (d, g, pk, run bytes) of one anchor in (d, g, pk) order. Gives (row,
     distances to the anchor of its windows that occur in an earlier row)."""
-    s, tag, more, to = _unpack(np.array([r[1] for r in rows], np.int64))
-    left = [r[2][:t][::-1] for r, t in zip(rows, to.tolist())]
-    right = [r[2][t:] for r, t in zip(rows, to.tolist())]
+    s, more, to = _unpack(np.array([r[2] for r in rows], np.int64))
+    left = [r[3][:t][::-1] for r, t in zip(rows, to.tolist())]
+    right = [r[3][t:] for r, t in zip(rows, to.tolist())]
     low, n = to - more, len(rows)                 # a row's windows: distances low..to
     again = np.zeros((n, WINDOW), bool)
     if n <= SMALL:
@@ -256,8 +292,9 @@ def bucket_repeats(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, np.nda
 
 
 def _ranked(batches):
-    """Stream of (h, d, pk, run) sorted by (h, d, pk). Yields repeated spans
-    (d, tag, start, end); of hot buckets, (window digest, d, tag, start)."""
+    """Stream of (h, d, g, pk, run) sorted by (h, d, g, pk), frequent anchors' rows
+    (no h) first. Yields repeated spans (d, g, start, end); of hot buckets and
+    frequent anchors, (window digest, d, g, start, end)."""
     key, rows, hot = None, [], False
     out: list[tuple] = []
 
@@ -266,33 +303,34 @@ def _ranked(batches):
             spill()
         elif len(rows) > 1:
             for x, os_ in bucket_repeats(rows):
-                d, pk, _ = rows[x]
-                s, tag, _, to = _unpack(pk)
+                d, g, pk, _ = rows[x]
+                s, _, to = _unpack(pk)
                 for part in np.split(os_, np.flatnonzero(np.diff(os_) > 1) + 1):
-                    out.append((None, d, tag, s + to - int(part[-1]), s + to - int(part[0]) + LENGTH))
+                    out.append((None, d, g, s + to - int(part[-1]), s + to - int(part[0]) + LENGTH))
         rows.clear()
 
     def spill():
-        for d, pk, run in rows:
-            s, tag, more, _ = _unpack(pk)
+        for d, g, pk, run in rows:
+            s, more, _ = _unpack(pk)
             for i in range(more + 1):
-                out.append((hashlib.md5(run[i:i + LENGTH]).digest(), d, tag, s + i, s + i + LENGTH))
+                out.append((hashlib.md5(run[i:i + LENGTH]).digest(), d, g, s + i, s + i + LENGTH))
         rows.clear()
 
     def flush():
         cols = list(zip(*out)) or [()] * 5
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
-                                          names=["w", "d", "tag", "start", "stop"])
+                                          names=["w", "d", "g", "start", "stop"])
     for b in batches:
-        for h, d, pk, run in zip(*(b.column(i).to_pylist() for i in range(4))):
+        for h, d, g, pk, run in zip(*(b.column(i).to_pylist() for i in range(5))):
             if h != key:
                 close()
                 key, hot = h, False
-            if rows and rows[-1][0] == d and rows[-1][1] == pk:
+            hot |= h is None
+            if rows and rows[-1][:3] == (d, g, pk):
                 continue                              # a repeated row of one document
-            rows.append((d, pk, run))
-            if len(rows) >= HOT:
+            rows.append((d, g, pk, run))
+            if len(rows) >= HOT or hot:
                 hot = True
                 spill()
             if len(out) > 20_000:
@@ -303,15 +341,15 @@ def _ranked(batches):
 
 
 def _windows(batches):
-    """Stream of windows sorted by (w, d, start): all but a digest's first."""
+    """Stream of windows sorted by (w, d, g, start): all but a digest's first."""
     last = None
     for b in batches:
         rows = list(zip(*(b.column(i).to_pylist() for i in range(5))))
         keep = []
         for r in rows:
-            keep.append(last is not None and r[0] == last[0] and (r[1], r[3]) != last[1:])
+            keep.append(last is not None and r[0] == last[0] and r[1:4] != last[1:])
             if last is None or r[0] != last[0]:
-                last = (r[0], r[1], r[3])
+                last = r[:4]
         yield b.filter(pa.array(keep, pa.bool_())).select([1, 2, 3, 4])
 
 
@@ -327,13 +365,10 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def _removed(batches):
     for b in batches:
-        texts = b.column(1).cast(pa.binary()).to_pylist()
-        ds, tags, gone, n, sha, spans = [], [], [], [], [], []
-        for d, t, found in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist()):
-            tag = _tag(t)
-            mine = merged((x["start"], x["stop"]) for x in found if x["tag"] == tag)
-            ds.append(d)
-            tags.append(hashlib.md5(t).hexdigest())
+        texts = b.column(2).cast(pa.binary()).to_pylist()
+        gone, n, sha, spans = [], [], [], []
+        for t, found in zip(texts, b.column(3).to_pylist()):
+            mine = merged((x["start"], x["stop"]) for x in found)
             gone.append(sum(e - s for s, e in mine))
             n.append(len(mine))
             spans.append([{"start": s, "stop": e} for s, e in mine])
@@ -345,8 +380,8 @@ def _removed(batches):
             sha.append(h.hexdigest())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ds, pa.int64()), pa.array(tags, pa.string()), pa.array(gone, pa.int64()), pa.array(n, pa.int64()),
-             pa.array(sha, pa.string()), pa.array(spans, kind)], names=["d", "md5", "n_removed", "n_spans", "sha", "spans"])
+            [b.column(0), b.column(1), pa.array(gone, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
+             pa.array(spans, kind)], names=["d", "g", "n_removed", "n_spans", "sha", "spans"])
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
@@ -354,40 +389,52 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     runs of bytes) of every row.
 
     Null text is empty. Rows equal in doc_id and text are one document, listed
-    as often as it occurs; texts that share a doc_id are versions of one
-    document, in which a string starts earlier only at a smaller offset. A null
-    doc_id comes before all others. Equal runs are told by 64-bit hashes, all
-    other strings by their bytes. An empty table gives no rows."""
+    as often as it occurs; different texts that share a doc_id are documents of
+    their own, one after the other in the order of their text keys. A null doc_id
+    comes before all others. Equal runs are told by 64-bit hashes, all other
+    strings by their bytes. An empty table gives no rows."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    texts = docs.select(d.alias("d"), F.col("text").cast("string").alias("text"))
-    cover = (sample(docs).repartition("h").sortWithinPartitions("h", "c", "d", "pk")
-             .mapInArrow(_repeats, "h long, d long, pk long"))
+    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    high, low = (F.conv(F.substring(F.md5(raw), a, 8), 16, 10).cast("long") for a in (1, 9))
+    g = F.shiftleft(high, 32).bitwiseOR(low)                         # as text_key
+    texts = docs.select(d.alias("d"), g.alias("g"), F.col("text").cast("string").alias("text"))
+    # frequent anchors (a line of very many documents) are dealt out by run; the
+    # broadcast list is FREQUENT numbers at most
+    common = scratch.save(frequent(sample(docs).where("h is not null").select("h"), "h", TRACKED, FREQUENT))
+    dealt = sample(docs).join(F.broadcast(common), F.col("h") == F.col("item"), "left")
+    hot = F.col("item").isNotNull()
+    dealt = dealt.select(F.when(hot, F.xxhash64("h", "c")).otherwise(F.col("k")).alias("k"), "h", "c", "d", "g", "pk",
+                         hot.alias("hot"))
+    cover = (dealt.repartition("k").select("h", "c", "d", "g", "pk", "hot").sortWithinPartitions("h", "c", "d", "g", "pk")
+             .mapInArrow(_repeats, "h long, d long, g long, pk long, hot boolean"))
     cover = scratch.save(cover)
-    open_ = (cover.where("h is not null").groupBy(F.col("d").alias("__d"))
-             .agg(F.collect_list(F.struct("h", "pk")).alias("rows")))
-    runs = (texts.where("octet_length(text) >= 100").join(open_, F.col("d") == F.col("__d")).select("d", "text", "rows")
-            .mapInArrow(_cut, "h long, d long, pk long, run binary"))
-    ranked = scratch.save(runs.repartition("h").sortWithinPartitions("h", "d", "pk")
-                          .mapInArrow(_ranked, "w binary, d long, tag long, start long, stop long"))
-    hot = (ranked.where("w is not null").repartition("w").sortWithinPartitions("w", "d", "start")
-           .mapInArrow(_windows, "d long, tag long, start long, stop long"))
-    s = F.shiftright("pk", 28)
+
+    def of(df, value, name):
+        return df.groupBy(F.col("d").alias("__d"), F.col("g").alias("__g")).agg(F.collect_list(value).alias(name))
+
+    def with_texts(side, name):
+        long_ = texts.where("octet_length(text) >= 100")
+        return long_.join(side, (F.col("d") == F.col("__d")) & (F.col("g") == F.col("__g"))).select("d", "g", "text", name)
+    open_ = of(cover.where("h is not null"), F.struct("h", "pk", "hot"), "rows")
+    runs = with_texts(open_, "rows").mapInArrow(_cut, "k long, h long, d long, g long, pk long, run binary")
+    ranked = scratch.save(runs.repartition("k").drop("k").sortWithinPartitions("h", "d", "g", "pk")
+                          .mapInArrow(_ranked, "w binary, d long, g long, start long, stop long"))
+    single = (ranked.where("w is not null").repartition("w").sortWithinPartitions("w", "d", "g", "start")
+           .mapInArrow(_windows, "d long, g long, start long, stop long"))
+    s = F.shiftright("pk", 14)
     whole = cover.where("h is null").select(
-        "d", F.shiftright("pk", 14).bitwiseAND(F.lit(0x3FFF)).alias("tag"), s.alias("start"),
-        (s + F.shiftright("pk", 7).bitwiseAND(F.lit(0x7F)) + LENGTH).alias("stop"))
-    spans = whole.union(ranked.where("w is null").drop("w")).union(hot)
-    per = spans.groupBy(F.col("d").alias("__d")).agg(F.collect_list(F.struct("tag", "start", "stop")).alias("spans"))
-    cut = (texts.where("octet_length(text) >= 100").join(per, F.col("d") == F.col("__d")).select("d", "text", "spans")
-           .mapInArrow(_removed, "d long, md5 string, n_removed long, n_spans long, sha string, "
-                                 "spans array<struct<start:long,stop:long>>"))
-    cut = scratch.save(cut.where("n_removed > 0").dropDuplicates(["d", "md5"])
-                       .select(F.col("d").alias("__d"), F.col("md5").alias("__m"), "n_removed", "n_spans", "sha", "spans"))
-    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    all_ = docs.select("doc_id", d.alias("d"), F.md5(raw).alias("m"), F.octet_length(raw).cast("long").alias("n_bytes"),
+        "d", "g", s.alias("start"), (s + F.shiftright("pk", 7).bitwiseAND(F.lit(0x7F)) + LENGTH).alias("stop"))
+    spans = whole.union(ranked.where("w is null").drop("w")).union(single)
+    per = of(spans, F.struct("start", "stop"), "spans")
+    cut = with_texts(per, "spans").mapInArrow(_removed, "d long, g long, n_removed long, n_spans long, sha string, "
+                                                        "spans array<struct<start:long,stop:long>>")
+    cut = scratch.save(cut.where("n_removed > 0").dropDuplicates(["d", "g"])
+                       .select(F.col("d").alias("__d"), F.col("g").alias("__g"), "n_removed", "n_spans", "sha", "spans"))
+    all_ = docs.select("doc_id", d.alias("d"), g.alias("g"), F.octet_length(raw).cast("long").alias("n_bytes"),
                        F.sha2(raw, 256).alias("full_sha"))
     zero = F.lit(0).cast("long")
-    return (all_.join(cut, (F.col("d") == F.col("__d")) & (F.col("m") == F.col("__m")), "left")
+    return (all_.join(cut, (F.col("d") == F.col("__d")) & (F.col("g") == F.col("__g")), "left")
             .select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
                     F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("sha", "full_sha").alias("kept_sha256"),
                     F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")).alias("spans")))
