@@ -48,9 +48,36 @@ def test_blocks_ties_and_odd_vectors(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = ann.op3(clashing(df)).toPandas()
     assert sorted(got.query_id.unique()) == [0, 50, 100, 150]
-    assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == [100, 101, 102, 103, 104]
-    assert got[got.query_id == 100].sort_values("rank").vec_id.tolist() == [0, 101, 102, 103, 104]
+    # row 0 occurs twice: each copy is a query, and a candidate of the other
+    for _, g in got[got.query_id == 0].groupby("query_row"):
+        assert g.sort_values("rank").vec_id.tolist() == [0, 100, 101, 102, 103]
+    assert got[got.query_id == 0].query_row.nunique() == 2
+    assert got[got.query_id == 100].sort_values("rank").vec_id.tolist() == [0, 0, 101, 102, 103]
     assert ann.op3(df.limit(0)).count() == 0
     few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>")
     assert ann.op3(few).count() == 2
     assert ann.op3(spark.createDataFrame(rows[:1], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_repeated_ids_and_large_components(spark):
+    """Every row is a candidate; no finite vector overflows."""
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [1.0, 0.0]), (3, [0.0, 1.0]), (3, [2.0, 0.0]), (4, [1e200, 1e200]), (5, [1e-200, 2e-200]), (6, [-1e308, 1e-300])]
+    got = ann.op3(spark.createDataFrame(rows, schema)).orderBy("rank").collect()
+    assert [(r.vec_id, round(r.score, 6)) for r in got] == [
+        (3, 1.0), (4, round(0.5 ** 0.5, 6)), (5, round(0.2 ** 0.5, 6)), (3, 0.0), (6, -1.0)]
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(300, 12)) * 10.0 ** rng.integers(-150, 150, (300, 1))
+    ids = rng.integers(0, 120, 300)                                # two or three rows an id
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], schema)
+    u = ann.scaled(v)
+    u = u / np.linalg.norm(u, axis=1, keepdims=True)
+    want = []
+    for q in np.flatnonzero(ids % 50 == 0):
+        c = u @ u[q]
+        c[q] = -2
+        want.append((int(ids[q]), tuple(np.round(np.sort(c)[::-1][:5], 9))))
+    got = ann.op3(df).toPandas().sort_values("rank")
+    found = [(int(g.query_id.iloc[0]), tuple(np.round(g.score, 9))) for _, g in got.groupby("query_row")]
+    hit = sum(len(set(a[1]) & set(b[1])) for a, b in zip(sorted(found), sorted(want)))
+    assert len(found) == len(want) and hit >= 0.9 * 5 * len(want)
