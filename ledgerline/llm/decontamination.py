@@ -160,14 +160,20 @@ class Index:
             t, key, item, shift = (np.concatenate(c) for c in zip(*entries))
             per = []
             for x in range(TABLES):
+                # an item's windows with one key are one entry: (key, item, least and greatest shift)
                 k, i, sh = key[t == x], item[t == x], shift[t == x]
-                o = np.argsort(k, kind="stable")
-                per.append((k[o], i[o], sh[o]))
+                o = np.lexsort((sh, i, k))
+                k, i, sh = k[o], i[o], sh[o]
+                first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (i[1:] != i[:-1]))))
+                last = np.concatenate((first[1:], [len(k)])) - 1
+                per.append((k[first], i[first], sh[first], sh[last]))
             need = [min(x) for x in zip(*(least(len(self.items[i][1])) for i in members))]
             self.tables[b, s, w] = (walks, known, np.isin(self.pairs, pairs[b, s, w]), need, per)
 
     def hits(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-        """(row, item index, edits, first word, end word), best per row and item."""
+        """(row, item index, edits, first word, end word), best per row and item.
+        Equal windows of a row are one, and a row meets an item once for each
+        stretch that tables name: repeated words make no pairs."""
         get = self.vocab.get
         ids, bounds = [], [0]
         for text in texts:
@@ -178,7 +184,8 @@ class Index:
         bounds = np.array(bounds)
         if not len(words):
             return []
-        maybe = set()
+        # (row, item) -> passages' starts [from, to] that some table names
+        maybe: dict[tuple[int, int], list[tuple[int, int]]] = {}
         pair = words[:-1] * (len(self.vocab) + 1) + words[1:]
         pair[(words[:-1] == 0) | (words[1:] == 0)] = -1
         place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
@@ -197,30 +204,42 @@ class Index:
                       & (total_pairs[starts + w - 1] - total_pairs[starts] >= need[1]))
             row, starts = row[enough], starts[enough]
             for t, mine in walks.keys(words, starts):
-                keys, item, shift = per[t]
+                keys, item, least_shift, most_shift = per[t]
                 lo, hi = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-                for j in np.flatnonzero(hi > lo):
-                    r, at = int(row[j]), int(starts[j])
-                    for x in range(lo[j], hi[j]):
-                        maybe.add((r, int(item[x]), at - int(shift[x])))
+                hit = np.flatnonzero(hi > lo)
+                if not len(hit):
+                    continue
+                # a row's windows with one key (repeated words) are looked at once
+                hit = hit[np.lexsort((starts[hit], mine[hit], row[hit]))]
+                new = np.ones(len(hit), bool)
+                new[1:] = (row[hit][1:] != row[hit][:-1]) | (mine[hit][1:] != mine[hit][:-1])
+                first = np.flatnonzero(new)
+                last = np.concatenate((first[1:], [len(hit)])) - 1
+                for f, e in zip(hit[first], hit[last]):
+                    a, z, r = int(starts[f]), int(starts[e]), int(row[f])
+                    for x in range(lo[f], hi[f]):
+                        maybe.setdefault((r, int(item[x])), []).append((a - int(most_shift[x]), z - int(least_shift[x])))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        done = set()
-        for r, i, at in sorted(maybe):
+        for (r, i), found in sorted(maybe.items()):
             item = self.items[i][1]
             k = int((1 - SIMILARITY) * len(item) + 1e-9)
-            # neighbouring starts see the same passage: verify one per k + 1 words
-            if (r, i, at // (k + 1)) in done:
-                continue
-            done.add((r, i, at // (k + 1)))
-            lo, hi = max(at - 2 * k - 1, bounds[r]), min(at + len(item) + 2 * k + 1, bounds[r + 1])
-            text = words[lo:hi]
-            if sum((Counter(item.tolist()) & Counter(text.tolist())).values()) < len(item) - k:
-                continue
-            edits, first, end = edit_passage(item, text)
-            if edits <= k:
-                found = (edits, int(lo + first - bounds[r]), int(lo + end - bounds[r]))
-                if (r, i) not in best or found < best[r, i]:
-                    best[r, i] = found
+            parts: list[list[int]] = []
+            for a, z in sorted(found):                  # spans that touch are verified as one
+                lo, hi = max(a - 2 * k - 1, bounds[r]), min(z + len(item) + 2 * k + 1, bounds[r + 1])
+                if parts and lo <= parts[-1][1]:
+                    parts[-1][1] = max(parts[-1][1], hi)
+                else:
+                    parts.append([lo, hi])
+            have = Counter(item.tolist())
+            for lo, hi in parts:
+                text = words[lo:hi]
+                if sum((have & Counter(text.tolist())).values()) < len(item) - k:
+                    continue
+                edits, first, end = edit_passage(item, text)
+                if edits <= k:
+                    got = (edits, int(lo + first - bounds[r]), int(lo + end - bounds[r]))
+                    if (r, i) not in best or got < best[r, i]:
+                        best[r, i] = got
         return [(r, i, *x) for (r, i), x in sorted(best.items())]
 
 

@@ -119,3 +119,15 @@ def test_least_is_left_in_some_window():
         assert any(sum(x > 0 for x in text[a:a + w]) >= words
                    and sum(x > 0 and y == x + 1 for x, y in zip(text[a:a + w], text[a + 1:a + w])) >= pairs
                    for a in starts)
+
+
+def test_repeated_words_make_no_pairs():
+    """Items and texts of one word each: every window has every key."""
+    import time
+    index = dc.Index([(i, f"w{i % 5} " * 20) for i in range(200)])
+    t = time.perf_counter()
+    got = index.hits([f"w{n} " * 5_000 for n in range(5)] + ["w1 " * 300 + "x y z " + "w1 " * 300])
+    assert time.perf_counter() - t < 20
+    assert sorted((r, i) for r, i, *_ in got) == sorted(
+        [(n, i) for n in range(5) for i in range(200) if i % 5 == n] + [(5, i) for i in range(200) if i % 5 == 1])
+    assert all(x[2] == 0 for x in got)
