@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that the model learns from, at most (in hash order).
 TRAIN_ROWS = 40_000
-#: Significant tokens that the model keeps, at most: a fixed model size.
-MAX_TERMS = 20_000
 #: Distinct tokens that a task counts before it hands the counts on.
 FLUSH = 200_000
 STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 PRIOR, MIN_Z, MIN_ODDS, DRIFT = 50.0, 3.0, math.log(4), 0.25
 K = 0.1
+#: Highest score where nothing tells documents apart: none is rejected then.
+UNTOLD = 0.49
 
 
 def tokens(text: str | None) -> list[str]:
@@ -85,8 +85,9 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
 
 
 def fit_terms(docs: DataFrame, train: DataFrame) -> dict:
-    """The scoring model: terms {token: score}, lambda, and the training base
-    rate. Without toxic or without clean rows there are no terms."""
+    """The scoring model: every significant term {token: score} (they come from
+    the bounded sample), lambda, and the training base rate. Without toxic or
+    without clean rows there are no terms."""
     seen = document_frequencies(train).groupBy("token").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") > 0, F.col("n"))), F.lit(0)).alias("t"),
         F.coalesce(F.sum(F.when(F.col("toxic") <= 0, F.col("n"))), F.lit(0)).alias("c"))
@@ -105,8 +106,7 @@ def fit_terms(docs: DataFrame, train: DataFrame) -> dict:
     scored = (both.where("token <> ''").withColumn("a", prior)
               .withColumn("delta", odds("t", nt) - odds("c", nc))
               .withColumn("z", F.col("delta") / F.sqrt(1 / (F.col("t") + F.col("a")) + 1 / (F.col("c") + F.col("a"))))
-              .where((F.col("z") >= MIN_Z) & (F.col("delta") >= MIN_ODDS))
-              .orderBy(F.desc("z"), "token").limit(MAX_TERMS))
+              .where((F.col("z") >= MIN_Z) & (F.col("delta") >= MIN_ODDS)).orderBy("token"))
     rows = scored.select("token", "delta", ((F.col("c") + F.col("a")) / (nc + PRIOR)).alias("p")).collect()
     terms = {r["token"]: r["delta"] for r in rows}
     # document frequencies over-state a token's share of words, which only makes the test stricter
@@ -200,15 +200,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             h = (x * (c * p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 1.0])
             w = w + np.clip(np.linalg.solve(h, g), -2, 2)
     else:
-        w[0] = math.log((model["rate"] + 1e-3) / (1 - model["rate"] + 1e-3))
+        rate = min(model["rate"], UNTOLD)
+        w[0] = math.log((rate + 1e-3) / (1 - rate + 1e-3))
     return model | {"a": float(w[0]), "b": max(float(w[1]), 0.0)}
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score, predicted, passages of every row. Null and empty texts
-    have no words and get the curve's lowest score. Repeated rows repeat; with
-    no usable labels every score is the (empty) base rate, below 0.5. Labels
-    reach the result through the fitted model only."""
+    have no words and get the curve's lowest score. Repeated rows repeat. Where no
+    term is significant (no usable labels, labels of one class only) every score
+    is the base rate, 0.49 at most. Labels reach the result through the fitted
+    model only."""
     model = fit(docs, labels)
     p = 1 / (1 + F.exp(-(F.lit(model["a"]) + F.lit(model["b"]) * F.col("statistic"))))
     out = passages(docs, model).withColumn("score", p)
