@@ -46,6 +46,9 @@ def test_odd_rows_and_missing_labels(spark):
         assert len(rows) == len(ODD) and all(r.predicted == 0 for r in rows)
         assert toxicity.keep_clean(df, labels).count() == len(ODD)
     assert toxicity.op10(df.limit(0), none).count() == 0
+    only_toxic = spark.createDataFrame([(i, 1, 1) for i in range(len(ODD))], LABEL)
+    assert {(r.predicted, r.score < 0.5) for r in toxicity.op10(df, only_toxic).collect()} == {(0, True)}
+    assert toxicity.keep_clean(df, only_toxic).count() == len(ODD)
 
 
 def test_learns_and_ignores_held_out_labels(spark):

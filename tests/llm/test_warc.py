@@ -41,3 +41,31 @@ def test_round_trip(spark, tmp_dir):
         b = back[r.record_id]
         assert b.block == r.block and b.headers["WARC-Refers-To"] == r.refers_to
         assert b.headers["WARC-Block-Digest"] == r.block_digest and b.headers["WARC-Type"] == r.warc_type
+
+
+def test_references_links_and_headers():
+    """Written out by hand, not by the module's own patterns."""
+    page = ("<TITLE\n lang=en>Caf&eacute; &amp; &#8220;x&#x201D;</title><p>&copy; 2024 &middot; a&#8217;s &notin; &unknown; AT&T "
+            "&amp;lt;<!-- x --><sCRIPT>1<2</ScRiPt\n>y<br>z &lt;b&gt;<i>i</i>"
+            "<a href='/s?a=1&amp;b=2'>1</a><a HREF = /bare>2</a><a href=\"/d\n2\">3</a>")
+    assert warc.title_of(page) == "Café & “x”"
+    assert warc.links_of(page) == ["/s?a=1&b=2", "/bare", "/d2"]
+    assert warc.plain_text(page) == "Café & “x”\n© 2024 · a’s ∉ &unknown; AT&T &lt; y\nz <b>i123"
+    assert warc.plain_text("a < b and c") == "a < b and c" and warc.plain_text("a <!-- b <p>c") == "a c"
+
+
+def test_hostile_pages_are_read_in_linear_time():
+    import time
+    t = time.perf_counter()
+    n = 200_000
+    for part in ("<!--x ", "<script ", "<script>", "<style>", "<", "<a ", "<title ", "<title>", "href='", 'href="x', "&", "&#", "</script ",
+                 "<!-->", " \n", "<p"):
+        page = part * (n // len(part))
+        warc.plain_text(page), warc.title_of(page), warc.links_of(page)
+    assert time.perf_counter() - t < 16                               # a second a page
+
+
+def test_a_url_adds_no_headers(spark):
+    df = spark.createDataFrame([(1, "http://a/\r\nWARC-Type: fake", "x")], "page_id long, url string, html string")
+    for r in warc.serialised(warc.op8(df)).collect():
+        assert "http://a/%0D%0AWARC-Type: fake" in r.value and "\r\nWARC-Type: fake" not in r.value
