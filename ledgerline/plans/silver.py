@@ -101,7 +101,7 @@ def flatten_events(txs: DataFrame) -> DataFrame:
 
 
 def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
-    """X1 message grouping, two window passes over one sort.
+    """X1 message grouping in window passes that look back only.
 
     ``msg_group``: running count of *action* events (first attribute key is
     ``action``, base64 or plain) minus one, NULL before the first action (W3).
@@ -115,12 +115,11 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
     the original (exec flag per group, RANK of markers, look-ahead fill) are
     read off transaction-level running values: the exec flag is the latest
     action's; markers before a row in its group = running module count minus
-    the count at the group's start; the group's marker total = the count at
-    the next action (or the transaction's end). The next marker at or after a
-    row is numbered by the markers before it, if the group has more. Both
-    passes share the (block_id, tx_id) partitioning and ``msg_index`` order,
-    so the event rows are shuffled once (by the upstream dedupe) and sorted
-    once."""
+    the count at the group's start; the group's marker total = the greatest
+    count among its rows. The next marker at or after a row is numbered by the
+    markers before it, if the group has more. All passes keep the (block_id,
+    tx_id) partitioning, so the event rows are shuffled once (by the upstream
+    dedupe); time is linear in a transaction's events but for the sorts."""
     from ..functions.text import try_base64_decode
     k0 = vget("msg", "attributes[0].key")
     v0 = vget("msg", "attributes[0].value")
@@ -138,8 +137,6 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
                    modmsg.alias("__mm"))
     w = Window.partitionBy(*TX_KEY).orderBy("msg_index")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(1, Window.unboundedFollowing)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # pass 1: running action count, running module count, latest action's flag
     ev = ev.select("*",
                    F.sum(F.col("__act").cast("bigint")).over(upto).alias("__cte"),
@@ -150,9 +147,10 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
     # at the next group's start (= this group's end)
     ev = ev.select("*",
                    F.last(F.when(F.col("__act"), F.col("__r")), ignorenulls=True).over(upto)
-                    .alias("__base"),
-                   F.coalesce(F.first(F.when(F.col("__act"), F.col("__r")), ignorenulls=True)
-                              .over(ahead), F.max("__r").over(whole)).alias("__end"))
+                    .alias("__base"))
+    # pass 3: the module count at the group's end, over the group's own rows (a
+    # frame that looks ahead would be walked again for every row)
+    ev = ev.select("*", F.max("__r").over(Window.partitionBy(*TX_KEY, "__cte")).alias("__end"))
     group = F.nullif(F.col("__cte") - 1, F.lit(-1)).cast("bigint")
     before = F.col("__r") - F.col("__mm") - F.col("__base")
     total = F.col("__end") - F.col("__base")

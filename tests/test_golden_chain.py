@@ -162,3 +162,26 @@ def test_priced_metrics_forward_fill(spark):
     out = metrics_with_price(stats, prices, "cosmos", now="2025-01-02 06:30:00",
                              bucket_hours=2).orderBy("block_timestamp_hour").collect()
     assert [r.total_fees_usd for r in out] == [None, 20.0, 20.0, 20.0, 30.0, 30.0]
+
+
+def test_a_huge_transaction_takes_linear_time(spark):
+    """100,000 events in one transaction; a frame that looks ahead took minutes."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans import silver
+    n = 100_000
+    kind = F.col("id") % 4
+    key = F.when(kind == 1, "action").when(kind == 0, "other").otherwise("module")
+    value = F.when(kind == 1, F.when(F.col("id") % 8 == 1, "/x.MsgExec").otherwise("/x.MsgSend")).otherwise("bank")
+    ev = spark.range(n).select(
+        F.lit(1).cast("bigint").alias("block_id"), F.lit("t").alias("tx_id"), F.col("id").cast("int").alias("msg_index"),
+        F.to_json(F.struct(F.lit("message").alias("type"), F.array(F.struct(key.alias("key"), value.alias("value")))
+                           .alias("attributes"))).alias("j")).withColumn("msg", F.parse_json("j")).drop("j")
+    t = time.perf_counter()
+    rows = silver.msg_groups(ev).select("msg_index", "msg_group", "msg_sub_group").orderBy("msg_index").collect()
+    assert time.perf_counter() - t < 60
+    # groups start at 1, 5, 9, ...; in exec groups the modules at +1 and +2 are markers 0 and 1
+    want = [None if i < 1 else ((i - 1) // 4, [0, 0, 1, 0][(i - 1) % 4] if i % 8 in (1, 2, 3, 4) else 0) for i in range(n)]
+    assert [None if r.msg_group is None else (r.msg_group, r.msg_sub_group) for r in rows] == want
