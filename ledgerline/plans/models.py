@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.time import hour_floor, ts_lit
 from ..operators.incremental import (high_watermark, min_changed_period, observability_restart,
                                      since)
-from ..sources.files import scan_all, scan_since
+from ..sources.files import scan_all, scan_since, source_path
 from ..sources import versions
 from ..sources.sinks import (load_watermarks, overwrite_table, replace_table_keys, upsert_table)
 from ..sources.versions import exists, read_table
@@ -465,50 +465,98 @@ def run_worklists(spark, status: DataFrame, blocks_done: DataFrame, tx_counts_do
     }
     counts = {}
     for name, (wl, order) in lists.items():
-        path = f"{out_root.rstrip('/')}/{name}"
-        write_worklist(wl, path, order, batch_size, worker_batch_size=worker_batch_size)
-        counts[name] = spark.read.json(path).count()
+        counts[name] = write_worklist(wl, f"{out_root.rstrip('/')}/{name}", order, batch_size,
+                                      worker_batch_size=worker_batch_size)
     return counts
 
 
+def _feeds(spark, landing_root: str) -> list[str]:
+    from ..sources.landing import table_exists
+    from .bronze import FEEDS
+    return [f for f in FEEDS if table_exists(spark, source_path(landing_root, f))]
+
+
+def source_freshness(spark, landing_root: str, now) -> DataFrame:
+    """Q6: the newest landed file of every feed against the freshness limits. Only
+    the folders are listed, no file is opened."""
+    from . import checks
+
+    def files(feed):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(source_path(landing_root, feed))
+                .select(F.col("modificationTime").cast("timestamp_ntz").alias("inserted_timestamp")))
+    return checks.source_freshness_checks({f: files(f) for f in _feeds(spark, landing_root)}, now)
+
+
+def run_planning(spark, landing_root: str, warehouse: str, status: DataFrame, run_ts,
+                 limit: int | None = None, **refresh) -> dict:
+    """The completion ledgers of every landed feed, then the work-lists of
+    what is still to be fetched (``<warehouse>/worklists``). A feed without files
+    has an empty ledger. Returns the ledgers by name and ``worklists``: the number
+    of requests per list."""
+    w, have = warehouse.rstrip("/"), _feeds(spark, landing_root)
+    empty = {"blocks": "block_id bigint, block_timestamp timestamp_ntz, tx_count bigint",
+             "tx_count": "block_id bigint, tx_count bigint",
+             "transactions": "block_id bigint, page_number bigint"}
+    ledgers = {"blocks": ("complete_blocks", run_blocks_complete),
+               "tx_count": ("complete_tx_counts", run_tx_count_complete),
+               "transactions": ("complete_transactions", run_transactions_complete)}
+    out = {}
+    for feed, (name, run) in ledgers.items():
+        out[name] = (run(spark, source_path(landing_root, feed), f"{w}/{name}", run_ts, **refresh)
+                     if feed in have else spark.createDataFrame([], empty[feed]))
+    out["worklists"] = run_worklists(spark, status, out["complete_blocks"], out["complete_tx_counts"],
+                                     out["complete_transactions"], f"{w}/worklists", limit=limit)
+    return out
+
+
 def run_chain(spark: SparkSession, landing_root: str, warehouse: str, run_ts, run_id: str,
               now, prices: DataFrame | None = None, asset_id: str = "cosmos",
-              blockchain: str = "cosmos") -> dict:
+              blockchain: str = "cosmos", status: DataFrame | None = None,
+              full_refresh: bool = False, allow_full_refresh: bool = False) -> dict:
     """One scheduled run of the table models in dependency order (bronze folders
-    ``<landing_root>/{blocks,transactions}``, tables under ``warehouse``):
+    ``<landing_root>/{blocks,transactions,tx_count}``, tables under ``warehouse``):
     silver blocks / transactions → messages → attributes, logs → the five gold facts →
-    hourly metrics (→ priced metrics when ``prices`` is given) → audits → the
-    silver test-suite. Returns the result DataFrames by name."""
+    hourly metrics (→ the price table and priced metrics when ``prices`` is given) →
+    audits → the silver test-suite and source freshness (→ ledgers and work-lists
+    when ``status``, stored chain-head responses, is given). ``full_refresh`` rebuilds
+    every table that allows it. Returns the results by name."""
     from . import checks
     w = warehouse.rstrip("/")
+    refresh = {"full_refresh": full_refresh, "allow_full_refresh": allow_full_refresh}
     out = {}
     out["silver_blocks"] = run_silver_blocks(spark, f"{landing_root}/blocks", f"{w}/silver_blocks",
-                                             run_ts, run_id, blockchain=blockchain)
+                                             run_ts, run_id, blockchain=blockchain, **refresh)
     out["silver_transactions"] = run_silver_transactions(
-        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id)
+        spark, f"{landing_root}/transactions", f"{w}/silver_transactions", run_ts, run_id, **refresh)
     out["silver_msgs"] = run_silver_msgs(spark, out["silver_transactions"], f"{w}/silver_msgs",
-                                         run_ts, run_id)
+                                         run_ts, run_id, **refresh)
     out["silver_msg_attributes"] = run_silver_msg_attributes(
-        spark, out["silver_msgs"], f"{w}/silver_msg_attributes", run_ts, run_id)
+        spark, out["silver_msgs"], f"{w}/silver_msg_attributes", run_ts, run_id, **refresh)
     out["silver_transactions_logs"] = run_silver_transactions_logs(
-        spark, out["silver_transactions"], f"{w}/silver_transactions_logs", run_ts, run_id)
+        spark, out["silver_transactions"], f"{w}/silver_transactions_logs", run_ts, run_id, **refresh)
     sources = {"fact_blocks": "silver_blocks", "fact_transactions": "silver_transactions",
                "fact_msgs": "silver_msgs", "fact_msg_attributes": "silver_msg_attributes",
                "fact_transactions_logs": "silver_transactions_logs"}
     for fact, src in sources.items():
-        out[fact] = run_fact(spark, fact, out[src], f"{w}/{fact}", run_ts, run_id)
+        out[fact] = run_fact(spark, fact, out[src], f"{w}/{fact}", run_ts, run_id, **refresh)
     out["core_metrics_hourly"] = run_core_metrics_hourly(
-        spark, out["fact_transactions"], f"{w}/core_metrics_hourly", run_ts, run_id, now)
+        spark, out["fact_transactions"], f"{w}/core_metrics_hourly", run_ts, run_id, now, **refresh)
     if prices is not None:
+        out["silver_hourly_prices"] = run_silver_prices(spark, prices, asset_id, f"{w}/silver_hourly_prices",
+                                                        run_ts, **refresh)
         out["ez_core_metrics_hourly"] = run_ez_metrics(
-            spark, out["core_metrics_hourly"], prices, asset_id, f"{w}/ez_core_metrics_hourly",
-            run_ts, now)
+            spark, out["core_metrics_hourly"], out["silver_hourly_prices"], asset_id,
+            f"{w}/ez_core_metrics_hourly", run_ts, now, **refresh)
     out["blocks_completeness"] = run_blocks_audit(spark, out["fact_blocks"],
-                                                  f"{w}/blocks_completeness", run_ts, now)
+                                                  f"{w}/blocks_completeness", run_ts, now, **refresh)
     out["transactions_completeness"] = run_transactions_audit(
         spark, out["fact_blocks"], out["fact_transactions"], f"{w}/transactions_completeness",
-        run_ts, now)
+        run_ts, now, **refresh)
     out["silver_checks"] = checks.silver_checks(out["silver_blocks"], out["silver_transactions"],
                                                 out["silver_msgs"], out["silver_msg_attributes"],
                                                 out["silver_transactions_logs"])
+    out["source_freshness"] = source_freshness(spark, landing_root, now)
+    if status is not None:
+        out.update(run_planning(spark, landing_root, warehouse, status, run_ts, **refresh))
     return out

@@ -214,13 +214,19 @@ def append_table(spark: SparkSession, path: str, batch: DataFrame, partition_col
 
 
 def write_worklist(worklist: DataFrame, path: str, order_by: str | Sequence[str], batch_size: int,
-                   limit: int | None = None, worker_batch_size: int | None = None) -> None:
+                   limit: int | None = None, worker_batch_size: int | None = None) -> int:
     """Publish a work-list for an external fetcher as JSON lines, in
     ``order_by`` order (all requests; at most ``limit`` if one is given), one
     folder per producer batch (rows carry ``worker_batch_id`` when
-    ``worker_batch_size`` is given)."""
+    ``worker_batch_size`` is given). The list is landed first, as numbering the
+    batches reads it twice. Returns the number of requests."""
     from ..plans.fetching import with_batches
+    spark = worklist.sparkSession
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    wl = worklist.orderBy(*order).limit(limit) if limit else worklist
+    landed_at = _staging_path(spark)
+    wl = stage(spark, worklist.orderBy(*order).limit(limit) if limit else worklist, landed_at)
     with_batches(wl, order, batch_size, worker_batch_size).write.mode("overwrite") \
         .partitionBy("batch_id").json(path)
+    n = wl.count()                                   # from the landed files' footers
+    _release(spark, landed_at)
+    return n

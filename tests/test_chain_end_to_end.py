@@ -90,15 +90,27 @@ def test_run_chain_twice_is_stable(spark, tmp_dir):
             F.try_variant_get("value", "$.BLOCK_ID_REQUESTED", "bigint") < 300),
             f"{land}/transactions/a", time.time() - 600)
         wh = f"{tmp_dir}/wh"
+        prices = spark.createDataFrame([("cosmos", "1992-01-01 00:00:00", 2.0)], "id string, t string, close double").select(
+            "id", F.to_timestamp_ntz("t").alias("recorded_hour"), "close")
+        more = {"prices": prices, "status": D.bronze_status(orders)}
         first = models.run_chain(spark, land, wh, "2025-01-05 00:00:00", "r1",
-                                 now="2025-01-05 00:00:00")
+                                 now="2025-01-05 00:00:00", **more)
+        lists = first.pop("worklists")
         counts = {k: v.count() for k, v in first.items()}
         second = models.run_chain(spark, land, wh, "2025-01-05 01:00:00", "r2",
-                                  now="2025-01-05 01:00:00")
+                                  now="2025-01-05 01:00:00", **more)
+        assert second.pop("worklists") == lists and lists["blocks"] > 0 and lists["transactions"] == 0
+        head = orders.agg(F.max("o_orderkey")).first()[0] + D.HEAD_AHEAD
+        assert lists["blocks"] == head + 1 - second["complete_blocks"].count()
+        assert lists["tx_counts"] == head + 1                     # no count was landed
+        assert spark.read.json(f"{wh}/worklists/blocks").count() == lists["blocks"]
+        fresh = {r.tbl: r.status for r in second["source_freshness"].collect()}
+        assert set(fresh) == {"blocks", "transactions"} and set(fresh.values()) == {"pass"}
         assert {k: v.count() for k, v in second.items() if k not in (
             "blocks_completeness", "transactions_completeness")} == {
             k: v for k, v in counts.items() if k not in (
                 "blocks_completeness", "transactions_completeness")}
+        assert counts["ez_core_metrics_hourly"] == counts["core_metrics_hourly"] > 0 == counts["silver_hourly_prices"] - 1
         assert second["blocks_completeness"].count() == 2      # one audit row per run
         assert {r.status for r in second["silver_checks"].collect()} <= {"pass", "error"}
         assert second["silver_checks"].where("check_name = 'unique'").agg(
