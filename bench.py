@@ -1,5 +1,7 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS]
-and print one JSON line with per-query warm seconds (median of N runs).
+and print one JSON line with per-query warm seconds (median of N runs). Queries of
+several runs, landed files or streams are whole jobs; they run if $BENCH_RUNS is 1
+or they are named in $BENCH_QUERIES.
 
 Each run materialises the full result through the no-op sink (all columns,
 all rows) so nothing is pruned away.
@@ -16,6 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerline.catalog import QUERIES  # noqa: E402
+from ledgerline.run_queries import RUNS  # noqa: E402
 from ledgerline.session import get_session  # noqa: E402
 
 
@@ -24,7 +27,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    names = only or list(QUERIES)
+    jobs = set() if os.environ.get("BENCH_RUNS") == "1" else set(RUNS)
+    names = only or [q for q in QUERIES if q not in jobs]
     # spark.checkpoint.dir comes from the session defaults when the platform
     # names one; ledgerline.session.checkpoint_dir falls back only if unset
     # local mode: one shuffle partition per core gives one even wave of reduce
