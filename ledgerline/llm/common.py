@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,15 +21,28 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Age in hours at which an operator's written intermediates are taken for left over.
+EXPIRE_HOURS = 48
+
+
 class Scratch:
     """Written intermediates of one run in the shared folder that
     ``spark.checkpoint.dir`` names: each cuts the lineage, survives lost
-    executors, and can be dropped once its readers are done."""
+    executors, and can be dropped once its readers are done. What the lazy
+    result still reads cannot be dropped by the run itself: a later run of the
+    same operator deletes it after ``EXPIRE_HOURS``."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        base = checkpoint_dir(spark)
+        self.root = f"{base}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        limit = (time.time() - EXPIRE_HOURS * 3600) * 1000
+        for s in (fs.listStatus(path) if fs.exists(path) else ()):
+            if re.fullmatch(f"{name}-[0-9a-f]{{32}}", s.getPath().getName()) and s.getModificationTime() < limit:
+                fs.delete(s.getPath(), True)
 
     def save(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{self.n}"
