@@ -47,6 +47,8 @@ _POS = np.uint64((1 << 20) - 1)
 HOT = 20_000
 #: Anchors that the summary of frequent ones tracks, and names at most.
 TRACKED, FREQUENT = 1 << 16, 20_000
+#: Window digests that a task remembers.
+SEEN = 50_000
 #: Rows of a bucket that are compared two by two instead of ranked.
 SMALL = 12
 
@@ -295,8 +297,9 @@ def _ranked(batches):
     """Stream of (h, d, g, pk, run) sorted by (h, d, g, pk), frequent anchors' rows
     (no h) first. Yields repeated spans (d, g, start, end); of hot buckets and
     frequent anchors, (window digest, d, g, start, end)."""
-    key, rows, hot = None, [], False
+    key, rows, hot, prev = None, [], False, None
     out: list[tuple] = []
+    seen: set[bytes] = set()
 
     def close():
         if hot:
@@ -310,11 +313,22 @@ def _ranked(batches):
         rows.clear()
 
     def spill():
+        # rows come in document order, so a window seen before is a repeat here and
+        # now; only the first of each goes on
         for d, g, pk, run in rows:
             s, more, _ = _unpack(pk)
+            known = []
             for i in range(more + 1):
-                out.append((hashlib.md5(run[i:i + LENGTH]).digest(), d, g, s + i, s + i + LENGTH))
+                w = hashlib.md5(run[i:i + LENGTH]).digest()
+                if w in seen:
+                    known.append((s + i, s + i + LENGTH))
+                else:
+                    seen.add(w)
+                    out.append((w, d, g, s + i, s + i + LENGTH))
+            out.extend((None, d, g, a, b) for a, b in merged(known))
         rows.clear()
+        if len(seen) > SEEN:
+            seen.clear()
 
     def flush():
         cols = list(zip(*out)) or [()] * 5
@@ -326,9 +340,11 @@ def _ranked(batches):
             if h != key:
                 close()
                 key, hot = h, False
+                seen.clear()
             hot |= h is None
-            if rows and rows[-1][:3] == (d, g, pk):
+            if prev == (h, d, g, pk):
                 continue                              # a repeated row of one document
+            prev = (h, d, g, pk)
             rows.append((d, g, pk, run))
             if len(rows) >= HOT or hot:
                 hot = True
