@@ -2,9 +2,10 @@
 
 Strong findings (whole texts, leftmost, not overlapping within a kind):
 assign, access and hex, as the patterns below state. Weak candidates are no
-secret alone: short assigned values, key-like tokens and user names, and
-endpoints. They are reported only where complementary parts co-occur: a
-credential is an access identifier, a secret and an endpoint, and a weak
+secret alone: short assigned values, values of names such as secret_access_key,
+key-like tokens without a label (long, of letters of both cases and digits, of
+high entropy), user names, and endpoints. They are reported only where
+complementary parts co-occur: a credential is an access identifier, a secret and an endpoint, and a weak
 candidate counts when a part of another role lies in its scope (a paragraph,
 i.e. text without an empty line) within ``REACH`` characters.
 
@@ -16,8 +17,12 @@ join row carries two numbers a role and no pair is ever made.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,21 +36,26 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 ASSIGN_LEAST = 12
-KINDS = ("assign", "access", "hex", "weak_secret", "weak_id", "endpoint")
+KINDS = ("assign", "access", "hex", "weak_secret", "weak_id", "endpoint", "key_like")
 WORDS = ("passw", "secret", "token", "api")
 
 WEAK_LEAST = 6
 WEAK_ID = re.compile(r"\b(?:user(?:name)?|login|client_?id|account|email)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.@=-]{3,})",
                      re.IGNORECASE | re.ASCII)
 ENDPOINT = re.compile(r"\b(?:https?|ftp|sftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20\"'<>]+")
+KEY_NAME = re.compile(r"\b[a-z0-9_]*(?:secret|access|private|auth|account|signing)[a-z0-9_]*_key[\"']?\x20*[:=]\x20*[\"']?"
+                      r"([A-Za-z0-9+/_.=-]{6,})", re.IGNORECASE | re.ASCII)
+#: An unlabelled key: its least length and Shannon entropy in bits a character.
+KEY_LIKE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+KEY_ENTROPY = 3.5
 ID_WORDS = ("user", "login", "client", "account", "email")
 #: Characters between complementary parts, at most.
 REACH = 200
 #: Which role a kind plays in a credential.
 ROLE = {"assign": "secret", "hex": "secret", "weak_secret": "secret", "access": "id", "weak_id": "id",
-        "endpoint": "endpoint"}
+        "endpoint": "endpoint", "key_like": "secret"}
 ROLES = ("secret", "id", "endpoint")
-WEAK = ("weak_secret", "weak_id", "endpoint")
+WEAK = ("weak_secret", "weak_id", "endpoint", "key_like")
 BREAK = re.compile(r"\n[ \t\r]*\n")
 
 
@@ -62,7 +72,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def key_like(token: str) -> bool:
+    """Letters of both cases and a digit, and no more repetition than chance."""
+    body = token.rstrip("=")
+    if not (any(c.isdigit() for c in body) and any(c.islower() for c in body) and any(c.isupper() for c in body)):
+        return False
+    n = len(body)
+    return -sum(c / n * math.log2(c / n) for c in Counter(body).values()) >= KEY_ENTROPY
+
+
 def weak_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the weak candidates. A key name's value or a
+    key-like token that lies in another part is none."""
+    out = _weak_labelled(text)
+    named = [(m.start(), 3, m.end()) for m in KEY_NAME.finditer(text)] if "_key" in text.lower() else []
+    bare = [(m.start(), 6, m.end()) for m in KEY_LIKE.finditer(text) if key_like(m[0])]
+    for keys in (named, bare):
+        if keys:
+            out += _apart(keys, out + base_spans(text))
+    return out
+
+
+def _apart(spans, others) -> list[tuple[int, int, int]]:
+    """The ``spans`` that overlap none of ``others``."""
+    others = sorted((s, e) for s, _, e in others)
+    starts, reach = [s for s, _ in others], list(itertools.accumulate((e for _, e in others), max))
+    out = []
+    for s, k, e in spans:
+        at = bisect.bisect_left(starts, e)                 # others that start before the span's end
+        if not at or reach[at - 1] <= s:
+            out.append((s, k, e))
+    return out
+
+
+def _weak_labelled(text: str) -> list[tuple[int, int, int]]:
     out = []
     low = text.lower()
     if any(w in low for w in WORDS):
