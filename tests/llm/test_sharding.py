@@ -52,3 +52,28 @@ def test_odd_and_hot_rows(spark, monkeypatch):
     check(rows, 24)
     assert [(r.size, r.text_crc32) for r in rows if r.doc_id in (0, 1)] == [(8, 0)] * 2
     assert sharding.op6(df.limit(0)).count() == 0
+
+
+def test_equals_a_walk_key_by_key(spark):
+    """The ring walked in plain Python, one key at a time, on the same hashes."""
+    n, shards, vnodes = 500, 7, 5
+    for slack in (0.0, 0.3):
+        keys = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).cast("long").alias("copies"))
+        hashed = keys.select("doc_id", F.pmod(F.xxhash64(F.lit("key"), F.lit(3), "doc_id"), F.lit(sharding.CELLS)).alias("cell"),
+                             F.xxhash64(F.lit("order"), F.lit(3), "doc_id").alias("k")).collect()
+        points = sorted(sharding.ring(spark, shards, vnodes, 3).collect())
+        own = [[] for _ in points]
+        for r in sorted(hashed, key=lambda r: r.k):
+            own[next((p.arc for p in points if p.cell >= r.cell), 0)].append(r.doc_id)
+        room = [int(n * (1 + slack) / shards) + (1 if slack or j < n % shards else 0) for j in range(shards)]
+        used, want, wait = [0] * shards, {}, []
+        for turn in range(2):
+            for p in points:
+                wait = (own[p.arc] if turn == 0 else []) + wait
+                taken, wait = wait[:room[p.shard]], wait[room[p.shard]:]
+                for d in taken:
+                    want[d] = (p.shard, used[p.shard])
+                    used[p.shard] += 1
+                room[p.shard] -= len(taken)
+        got = sharding.ring_shards(keys, F.col("doc_id"), shards, vnodes, 3, slack)
+        assert {r.doc_id: (r.shard, r.slot) for r in got.collect()} == want and len(want) == n
