@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from . import catalog as C
 from .catalog import _L, _TXID, D, S, _t, register
-from .functions.variant import vget
 from .operators.joins import join_file_meta
 from .plans import fetching, gold, models, observability
 from .plans.bronze import bronze
@@ -44,28 +43,40 @@ def run_query(name: str, sql: str):
     return register(name, sql)
 
 
-def _wave_of_block(k, older):
-    return F.when(older, 0).when(k % 5 == 0, 2).otherwise(k % 3).cast("int")
+def _spread(rows, key, digits, wave):
+    """``rows`` with their wave and path key, those of a landed folder in one task
+    and in its order: the small rows are shuffled and sorted, not their records."""
+    at = rows.select("*", wave.cast("int").alias("wave"), F.round(key, digits).cast("int").alias("pk"))
+    return at.repartition("wave", "pk").sortWithinPartitions("wave", "pk")
 
 
-def _landing(spark, sf) -> str:
-    """Root of the landed feeds of these tables."""
-    def build():
-        orders, lines = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
-        older = F.col("inserted_timestamp") < F.lit(D.LANDED_AT)
-        b = D.bronze_blocks(orders, lines)
-        t = D.bronze_transactions(lines)
-        tk, tn = vget("value", "BLOCK_ID_REQUESTED", "bigint"), vget("data", "index", "bigint")
-        twice = ((tk % 7 == 0) | (tk % 50 == 0)) & (F.coalesce(tn, F.lit(0)) == 0)
-        return {"blocks": b.withColumn("wave", _wave_of_block(vget("value", "BLOCK_ID", "bigint"), older)),
-                "transactions": t.withColumn("wave", F.when(older, 0).when(twice, 2).otherwise(tk % 3).cast("int"))}
-    return landed_json(spark, "json", f"{sf}|{C._input_stamp(spark, sf)}", build, WAVES,
-                       version=C._GEN_VERSION + "w1")
+def _block_feed(spark, sf) -> DataFrame:
+    rows = D.block_versions(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"))
+    k = F.col("o_orderkey")
+    wave = F.when(F.col("ver") > 0, 0).when(k % 5 == 0, 2).otherwise(k % 3)
+    return D.block_records(_spread(rows, k, -4, wave), "wave", "pk")
+
+
+def _tx_feed(spark, sf) -> DataFrame:
+    rows = D.tx_versions(_t(spark, sf, "lineitem"))
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    twice = ((k % 7 == 0) | (k % 50 == 0)) & (F.coalesce(ln, F.lit(1)) == 1)
+    wave = F.when(F.col("ver") > 0, 0).when(twice, 2).otherwise(k % 3)
+    return D.tx_records(_spread(rows, k, -3, wave), 100, "wave", "pk")
+
+
+_FEEDS = {"blocks": _block_feed, "transactions": _tx_feed}
+
+
+def _landing(spark, sf, feed: str) -> str:
+    """Root of the landed files of one feed of these tables."""
+    return landed_json(spark, f"json_{feed}", f"{sf}|{C._input_stamp(spark, sf)}",
+                       lambda: {feed: _FEEDS[feed](spark, sf)}, WAVES, version=C._GEN_VERSION + "w2")
 
 
 def _two_runs(spark, sf, feed: str, run) -> DataFrame:
     """``run(paths, n)`` over the first two waves' files, then over all."""
-    root = f"{_landing(spark, sf)}/{feed}"
+    root = f"{_landing(spark, sf, feed)}/{feed}"
     with models.cluster_grain("year"):
         run([f"{root}/0", f"{root}/1"], 1)
         return run(root, 2)
@@ -75,7 +86,7 @@ def _two_runs(spark, sf, feed: str, run) -> DataFrame:
 
 @run_query("landed_full_scan", C.ORACLES["silver_blocks"])
 def q_landed_full_scan(spark, sf):
-    b = S.silver_blocks(bronze(spark, _landing(spark, sf), "blocks", incremental=False))
+    b = S.silver_blocks(bronze(spark, _landing(spark, sf, "blocks"), "blocks", incremental=False))
     return b.select("blockchain", "block_id", "block_timestamp", "chain_id", "tx_count",
                     "proposer_address", "validator_hash", "blocks_id")
 
@@ -93,7 +104,7 @@ from waves where wave = 2 group by 1
 """)
 def q_landed_recent_scan(spark, sf):
     """An existing target reads the files of the last days only."""
-    path = f"{_landing(spark, sf)}/blocks"
+    path = f"{_landing(spark, sf, "blocks")}/blocks"
     df = choose_scan(spark, path, True, days=3, now=WAVES[2] + dt.timedelta(hours=12), segment=-2)
     return df.groupBy("partition_key").agg(F.count(F.lit(1)).alias("records"))
 
@@ -106,7 +117,7 @@ from waves group by 1, 2, 3
 """)
 def q_landed_file_registry(spark, sf):
     """Records joined with the registry of their files (one row a file)."""
-    path = f"{_landing(spark, sf)}/blocks"
+    path = f"{_landing(spark, sf, "blocks")}/blocks"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.col("path").alias("file_name"), partition_key_from_path(F.col("path"), -2).alias("partition_key"),
         F.col("modificationTime").cast("timestamp_ntz").alias("file_time"))
@@ -295,7 +306,8 @@ def q_compacted_lookup(spark, sf):
     by block id (a range per file)."""
     path = scratch_folder(spark, "lookup")
     f = gold.fact_transactions(C._silver_txs(spark, sf)).select("block_id", "tx_id", "gas_used", "block_timestamp")
-    f = f.withColumn("year", F.year("block_timestamp"))
+    # three appends read the facts: they are landed, not deduplicated thrice
+    f = sinks.stage(spark, f.withColumn("year", F.year("block_timestamp")))
     for n in range(3):
         sinks.append_table(spark, path, f.where(F.pmod(F.hash("tx_id"), F.lit(3)) == n), "year",
                            sort_by=["block_id"], bloom_cols=["tx_id"])
@@ -320,7 +332,7 @@ def q_stream_blocks(spark, sf):
     """The landed files as a stream, each micro-batch one commit."""
     root = scratch_folder(spark, "stream_blocks")
     with models.cluster_grain("year"):
-        _finish(stream_table(bronze_stream(spark, f"{_landing(spark, sf)}/blocks", max_files_per_trigger=100),
+        _finish(stream_table(bronze_stream(spark, f"{_landing(spark, sf, "blocks")}/blocks", max_files_per_trigger=100),
                              S.silver_blocks, f"{root}/table", ["blocks_id"], "block_timestamp", f"{root}/checkpoint",
                              newest=["_inserted_timestamp"]))
     return read_table(spark, f"{root}/table").select(
@@ -332,7 +344,7 @@ def q_stream_blocks(spark, sf):
 def q_stream_hours(spark, sf):
     """Later files change hours that were published already."""
     root = scratch_folder(spark, "stream_hours")
-    raw = bronze_stream(spark, f"{_landing(spark, sf)}/transactions", max_files_per_trigger=1_000)
+    raw = bronze_stream(spark, f"{_landing(spark, sf, "transactions")}/transactions", max_files_per_trigger=1_000)
     facts, hours = f"{root}/facts", f"{root}/hours"
 
     def sink(df, epoch):

@@ -19,6 +19,7 @@ encoded on even block ids (amount values left plain when key % 10 = 4); every
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
@@ -54,14 +55,23 @@ def tx_hash(orderkey: ColumnOrName, linenumber: ColumnOrName) -> Column:
     return F.md5(F.concat_ws("-", _c(orderkey).cast("string"), _c(linenumber).cast("string")))
 
 
-def bronze_blocks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def block_versions(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The rows that block records are made of: one per landing (``ver`` 0: newest)."""
     n = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count(F.lit(1)).alias("__n"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").join(
         n, "o_orderkey", "left")
+    return o.withColumn("ver", F.explode(F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(0)))))
+
+
+def bronze_blocks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    return block_records(block_versions(orders, lineitem))
+
+
+def block_records(rows: DataFrame, *extra: str) -> DataFrame:
+    """Landed records of :func:`block_versions`, with the ``extra`` columns of the rows."""
     k = F.col("o_orderkey")
-    o = o.withColumn("ver", F.explode(F.when(k % 5 == 0, F.array(F.lit(0), F.lit(1)))
-                                      .otherwise(F.array(F.lit(0)))))
     ts = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(NS_SUFFIX))
     header = F.struct(
         k.cast("string").alias("height"),
@@ -80,8 +90,8 @@ def bronze_blocks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(~err & (k % 2 == 1), block).alias("block"),
         F.when(err, F.struct(F.lit(-32603).alias("code"))).alias("error"))
     pk = F.round(k, -4).cast("int")
-    return o.select(
-        F.parse_json(F.to_json(F.struct(k.alias("BLOCK_ID")))).alias("value"),
+    return rows.select(
+        *extra, F.parse_json(F.to_json(F.struct(k.alias("BLOCK_ID")))).alias("value"),
         F.parse_json(F.to_json(data)).alias("data"),
         pk.alias("partition_key"),
         F.concat(F.lit("blocks/"), pk.cast("string"), F.lit("_"), F.col("ver").cast("string"),
@@ -90,27 +100,23 @@ def bronze_blocks(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def _events(enc: Column, amount_plain: Column) -> Column:
-    def b64(x: Column) -> Column:
-        return F.when(enc, F.base64(x)).otherwise(x)
-
-    def one(i: Column) -> Column:
-        m = i % 4
-        is_tx = i == 0
-        typ = (F.when(is_tx, "tx").when(m.isin(1, 2, 3), "message").otherwise("transfer"))
-        key = (F.when(is_tx, "fee").when(m == 1, "action").when(m.isin(2, 3), "module")
-               .otherwise("recipient"))
-        val = (F.when(is_tx, F.lit(FEE_VALUE))
-               .when(m == 1, F.when(F.col("l_suppkey") % 2 == 0, F.lit(EXEC_ACTION))
-                     .otherwise(F.lit(SEND_ACTION)))
-               .when(m.isin(2, 3), F.lit(MODULE_VALUE)).otherwise(F.lit(RECIPIENT_VALUE)))
-        a0 = F.struct(b64(key).alias("key"), b64(val).alias("value"))
-        amount = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("uatom"))
-        a1 = F.struct(b64(F.lit("amount")).alias("key"),
-                      F.when(amount_plain, amount).otherwise(b64(amount)).alias("value"))
-        attrs = F.when(typ == "transfer", F.array(a0, a1)).otherwise(F.array(a0))
-        return F.struct(typ.alias("type"), attrs.alias("attributes"))
-
-    return F.transform(F.sequence(F.lit(0), (F.lit(3) + F.col("l_partkey") % 6).cast("int")), one)
+    def b64(text: str) -> Column:
+        return F.when(enc, F.lit(base64.b64encode(text.encode()).decode())).otherwise(F.lit(text))
+
+    def event(kind: str, *attrs: tuple[str, Column]) -> Column:
+        return F.struct(F.lit(kind).alias("type"), F.array(*[
+            F.struct(b64(k).alias("key"), v.alias("value")) for k, v in attrs]).alias("attributes"))
+
+    amount = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("uatom"))
+    action = F.when(F.col("l_suppkey") % 2 == 0, b64(EXEC_ACTION)).otherwise(b64(SEND_ACTION))
+    fee, act = event("tx", ("fee", b64(FEE_VALUE))), event("message", ("action", action))
+    module = event("message", ("module", b64(MODULE_VALUE)))
+    transfer = event("transfer", ("recipient", b64(RECIPIENT_VALUE)),
+                     ("amount", F.when(~enc | amount_plain, amount).otherwise(F.base64(amount))))
+    # every transaction begins this row of events; how far it goes depends on its part
+    n = F.lit(4) + F.col("l_partkey") % 6
+    every = F.array(fee, act, module, module, transfer, act, module, module, transfer)
+    return F.slice(every, F.lit(1), F.when(n < 0, F.lit(0)).otherwise(n).cast("int"))
 
 
 def _log(ok: Column) -> Column:
@@ -124,13 +130,23 @@ def _log(ok: Column) -> Column:
     return F.when(ok, obj).otherwise(F.concat(F.lit("err "), F.col("l_partkey").cast("string")))
 
 
-def bronze_transactions(lineitem: DataFrame, page_size: int = 100) -> DataFrame:
-    li = dedup_lineitem(lineitem)
+def tx_versions(lineitem: DataFrame) -> DataFrame:
+    """The rows that transaction records are made of: one per landing (``ver`` 0:
+    newest, 1: older copy, 2: empty page)."""
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    li = li.withColumn("ver", F.explode(
+    return dedup_lineitem(lineitem).withColumn("ver", F.explode(
         F.when((k % 7 == 0) & (ln == 1), F.array(F.lit(0), F.lit(1)))
          .when((k % 50 == 0) & (ln == 1), F.array(F.lit(0), F.lit(2)))
          .otherwise(F.array(F.lit(0)))))
+
+
+def bronze_transactions(lineitem: DataFrame, page_size: int = 100) -> DataFrame:
+    return tx_records(tx_versions(lineitem), page_size)
+
+
+def tx_records(rows: DataFrame, page_size: int = 100, *extra: str) -> DataFrame:
+    """Landed records of :func:`tx_versions`, with the ``extra`` columns of the rows."""
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     ok = F.col("l_returnflag") != "R"
     gas = (F.col("l_quantity") * 1000).cast("bigint") + F.when(F.col("ver") == 1, 1).otherwise(0)
     tx_result = F.struct(
@@ -140,15 +156,16 @@ def bronze_transactions(lineitem: DataFrame, page_size: int = 100) -> DataFrame:
         (gas + 500).cast("string").alias("gas_wanted"),
         _log(ok).alias("log"),
         _events(k % 2 == 0, k % 10 == 4).alias("events"))
-    data = F.to_json(F.struct(tx_hash(k, ln).alias("hash"), (ln - 1).alias("index"),
-                              tx_result.alias("tx_result")))
-    data = F.when(F.col("ver") == 2, F.lit("[]")).otherwise(data)
-    value = F.to_json(F.struct(
+    # built as variants: a text of them would only be parsed again
+    data = F.to_variant_object(F.struct(tx_hash(k, ln).alias("hash"), (ln - 1).alias("index"),
+                                        tx_result.alias("tx_result")))
+    data = F.when(F.col("ver") == 2, F.parse_json(F.lit("[]"))).otherwise(data)
+    value = F.to_variant_object(F.struct(
         k.alias("BLOCK_ID_REQUESTED"), format_block_ts("l_shipdate").alias("BLOCK_TIMESTAMP"),
         F.ceil(ln / F.lit(page_size)).cast("int").alias("PAGE_NUMBER")))
     pk = F.round(k, -3).cast("int")
-    return li.select(
-        F.parse_json(value).alias("value"), F.parse_json(data).alias("data"),
+    return rows.select(
+        *extra, value.alias("value"), data.alias("data"),
         pk.alias("partition_key"),
         F.concat(F.lit("transactions/"), pk.cast("string"), F.lit("_"),
                  F.col("ver").cast("string"), F.lit(".json")).alias("file_name"),

@@ -14,6 +14,7 @@ import hashlib
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def landed(spark: SparkSession, name: str, source_key: str, build: Callable[[],
         fs, _ = _fs(spark, staging)
         if fs is None:
             raise RuntimeError("landing a table needs the Hadoop file system for its atomic rename")
-        build().write.mode("overwrite").parquet(staging)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(staging)
         fs, src = _fs(spark, staging)
         _, dst = _fs(spark, final)
         if not fs.exists(dst):
@@ -83,10 +84,11 @@ def landed_json(spark: SparkSession, name: str, source_key: str,
                 build: Callable[[], dict[str, DataFrame]], times: dict[int, dt.datetime],
                 version: str = "v1") -> str:
     """Land feeds as JSON files the way a fetcher does, once per ``source_key``:
-    ``<root>/<feed>/<wave>/<partition key>/part-*``, one record a line, files of a
-    wave dated ``times[wave]``. ``build`` gives each feed's frame (wave,
-    partition_key, value, data). Returns the root. Written aside and renamed into
-    place like any landed table."""
+    ``<root>/<feed>/<wave>/<partition key>/part-*.gz``, one record a line, files of
+    a wave dated ``times[wave]``. ``build`` gives each feed's frame (wave,
+    pk: the partition key, value, data), all rows of a (wave, pk) in one task:
+    the caller spreads the rows before it makes the (much larger) records of them.
+    Returns the root. Written aside and renamed into place like any landed table."""
     digest = hashlib.sha1(f"{source_key}|{version}".encode()).hexdigest()[:16]
     final = f"{checkpoint_dir(spark)}/landed/{name}-{digest}"
     fs, dst = _fs(spark, final)
@@ -98,8 +100,8 @@ def landed_json(spark: SparkSession, name: str, source_key: str,
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     for feed, df in build().items():
         line = F.to_json(F.struct("value", "data"))
-        (df.select("wave", F.col("partition_key").cast("string").alias("pk"), line.alias("line"))
-         .repartition("wave", "pk").write.partitionBy("wave", "pk").text(f"{staging}/{feed}"))
+        (df.select("wave", "pk", line.alias("line"))
+         .write.partitionBy("wave", "pk").option("compression", "gzip").text(f"{staging}/{feed}"))
         # Spark's folder names (wave=0/pk=10000) to the fetcher's (0/10000); file times
         for w in fs.listStatus(hadoop(f"{staging}/{feed}")):
             if not w.isDirectory():
@@ -107,11 +109,14 @@ def landed_json(spark: SparkSession, name: str, source_key: str,
             wave = w.getPath().getName().split("=")[1]
             at = int(times[int(wave)].replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
             fs.mkdirs(hadoop(f"{staging}/{feed}/{wave}"))
-            for k in fs.listStatus(w.getPath()):
+
+            def place(k, feed=feed, wave=wave, at=at):
                 to = hadoop(f"{staging}/{feed}/{wave}/{k.getPath().getName().split('=')[1]}")
                 fs.rename(k.getPath(), to)
                 for f in fs.listStatus(to):
                     fs.setTimes(f.getPath(), at, -1)
+            with ThreadPoolExecutor(8) as pool:
+                list(pool.map(place, fs.listStatus(w.getPath())))
             fs.delete(w.getPath(), True)
     if not fs.exists(dst):
         fs.rename(hadoop(staging), dst)
