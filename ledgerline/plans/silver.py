@@ -2,9 +2,9 @@
 
 All steps are native expressions over VARIANT payloads; arrays are
 flattened with ``posexplode`` (inner semantics: empty/NULL drops the row).
-Message-level windows are partitioned by ``tx_id`` — a transaction's
-events are bounded by the block gas limit, so no partition can grow with
-the table — and all of them share that one partitioning (one shuffle).
+A transaction's events and log entries stay in its row (their number is
+bounded by the block gas limit) until they are grouped: the transactions are
+shuffled and sorted, their many events are not.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_ci, decode_or_keep, surrogate_key
+from ..functions.text import contains_ci, decode_or_keep, surrogate_key, try_base64_decode
 from ..functions.time import parse_block_ts
 from ..functions.variant import (no_error, not_empty_array, parse_or_text, vget,
                                  vget_first, vsize, vstring)
@@ -100,8 +100,82 @@ def flatten_events(txs: DataFrame) -> DataFrame:
                        .alias("msg_index", "msg"))
 
 
+#: What an event is to the grouping.
+OTHER, ACTION, EXEC, MARKER = 0, 1, 2, 3
+
+
+def _event_kind(type_, k0, dk, v0, strict_compat: bool = False):
+    """An event's kind, by its type and its first attribute: the key ``k0`` (``dk``:
+    decoded, if it is base64) and the value."""
+    key = F.coalesce(dk, k0)
+    value = F.when(dk.isNull(), k0 if strict_compat else v0).otherwise(try_base64_decode(v0))
+    message = type_ == "message"
+    return (F.when(key == "action", F.when(message & contains_ci(value, "exec"), F.lit(EXEC)).otherwise(F.lit(ACTION)))
+            .when((key == "module") & message, F.lit(MARKER)).otherwise(F.lit(OTHER)))
+
+
+def _event_kinds(msgs, strict_compat: bool = False):
+    """The kinds of an array of events. Lambdas are interpreted and compute again
+    what they name twice, so each step keeps what the next one reads."""
+    read = F.transform(msgs, lambda m: F.struct(vget(m, "type").alias("t"), vget(m, "attributes[0].key").alias("k"),
+                                                vget(m, "attributes[0].value").alias("v")))
+    known = F.transform(read, lambda e: F.struct(e["t"].alias("t"), e["k"].alias("k"), e["v"].alias("v"),
+                                                 try_base64_decode(e["k"]).alias("d")))
+    return F.transform(known, lambda e: _event_kind(e["t"], e["k"], e["d"], e["v"], strict_compat))
+
+
+def _let(value, use):
+    """``use(value)`` with the value computed once however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _where(codes, test):
+    """0-based positions of the codes that pass."""
+    return F.array_compact(F.transform(codes, lambda c, i: F.when(test(c), i)))
+
+
+def _runs(starts, end, part):
+    """``part(start, length, number)`` of each run, given their 0-based starts;
+    each run ends where the next one starts, the last at ``end``."""
+    return _let(starts, lambda s: F.transform(s, lambda at, n: part(
+        at, F.coalesce(F.get(s, n + 1), end) - at, n)))
+
+
+def _sub_groups(codes):
+    """Sub-groups of an exec group's events, given their kinds: the number of the
+    next marker at or after each, 0 past the last one."""
+    def numbered(marks):
+        upto = F.transform(marks, lambda at, n: F.array_repeat(
+            n.cast("bigint"), at - F.coalesce(F.get(marks, n - 1), F.lit(-1))))
+        last = F.coalesce(F.get(marks, F.size(marks) - 1), F.lit(-1))
+        return F.concat(F.flatten(upto), F.array_repeat(F.lit(0).cast("bigint"), F.size(codes) - 1 - last))
+    return _let(_where(codes, lambda c: c == MARKER), numbered)
+
+
+def event_groups(kinds):
+    """X1 inside a row: (msg_group, msg_sub_group) of each of a transaction's
+    events, given the array of their kinds; as :func:`msg_groups`. The array is cut
+    at the actions and the groups at their markers, so time is linear."""
+    def pair(group, sub):
+        return F.struct(group.cast("bigint").alias("g"), sub.cast("bigint").alias("s"))
+
+    def group(codes, at, length, n):
+        # an empty slice cannot be: a run holds its action
+        return _let(F.slice(codes, at + 1, length), lambda own: F.when(
+            own[0] == EXEC, F.transform(_sub_groups(own), lambda s: pair(n, s)))
+            .otherwise(F.transform(own, lambda _: pair(n, F.lit(0)))))
+
+    def grouped(codes):
+        def cut(starts):
+            none = F.array_repeat(pair(F.lit(None), F.lit(None)), F.coalesce(F.get(starts, F.lit(0)), F.size(codes)))
+            return F.concat(none, F.flatten(_runs(starts, F.size(codes), lambda at, length, n: group(codes, at, length, n))))
+        return _let(_where(codes, lambda c: (c == ACTION) | (c == EXEC)), cut)
+    return _let(kinds, grouped)
+
+
 def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
-    """X1 message grouping in window passes that look back only.
+    """X1 message grouping of exploded events in window passes that look back
+    only; :func:`silver_msgs` groups a transaction's events inside its row.
 
     ``msg_group``: running count of *action* events (first attribute key is
     ``action``, base64 or plain) minus one, NULL before the first action (W3).
@@ -120,21 +194,11 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
     markers before it, if the group has more. All passes keep the (block_id,
     tx_id) partitioning, so the event rows are shuffled once (by the upstream
     dedupe); time is linear in a transaction's events but for the sorts."""
-    from ..functions.text import try_base64_decode
     k0 = vget("msg", "attributes[0].key")
-    v0 = vget("msg", "attributes[0].value")
-    key, value = decode_or_keep(k0, v0)
-    if strict_compat:
-        value = F.when(try_base64_decode(k0).isNull(), k0).otherwise(value)
-    ev = events.select("*", vget("msg", "type").alias("msg_type"), key.alias("__key"),
-                       value.alias("__value"))
-    act = F.coalesce(F.col("__key") == "action", F.lit(False))
-    exec_row = F.coalesce((F.col("msg_type") == "message") & act
-                          & contains_ci("__value", "exec"), F.lit(False))
-    modmsg = F.coalesce((F.col("__key") == "module") & (F.col("msg_type") == "message"),
-                        F.lit(False)).cast("bigint")
-    ev = ev.select("*", act.alias("__act"), exec_row.cast("int").alias("__xr"),
-                   modmsg.alias("__mm"))
+    kind = _event_kind(vget("msg", "type"), k0, try_base64_decode(k0), vget("msg", "attributes[0].value"), strict_compat)
+    ev = events.select("*", vget("msg", "type").alias("msg_type"), kind.alias("__kind"))
+    ev = ev.select("*", F.col("__kind").isin(ACTION, EXEC).alias("__act"), (F.col("__kind") == EXEC)
+                   .cast("int").alias("__xr"), (F.col("__kind") == MARKER).cast("bigint").alias("__mm"))
     w = Window.partitionBy(*TX_KEY).orderBy("msg_index")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     # pass 1: running action count, running module count, latest action's flag
@@ -161,15 +225,21 @@ def msg_groups(events: DataFrame, strict_compat: bool = False) -> DataFrame:
 
 def silver_msgs(txs: DataFrame, strict_compat: bool = False, run_ts=None,
                 run_id: str | None = None, partition_input: bool = False) -> DataFrame:
-    """Messages of each transaction with their groups. ``partition_input``:
-    hash a stored (unpartitioned) transactions table on (block_id, tx_id)
-    before flattening, so the message windows need no shuffle of events."""
+    """Messages of each transaction with their groups, found before the events are
+    flattened (:func:`event_groups`), so that no event is shuffled or sorted.
+    ``partition_input``: spread a stored transactions table by (block_id, tx_id)
+    first."""
     if partition_input:
         txs = txs.repartition(*TX_KEY)
-    g = msg_groups(flatten_events(txs), strict_compat)
-    out = g.select(*TX_COLS, "msg_group", "msg_sub_group", F.col("msg_index").cast("int"),
-                   "msg_type", "msg", surrogate_key("tx_id", "msg_index").alias("msgs_id"),
-                   "_inserted_timestamp")
+    t = txs.select(*TX_COLS, "_inserted_timestamp", F.try_variant_get("msgs", "$", "array<variant>").alias("__msgs"))
+    kinds = _event_kinds("__msgs", strict_compat)
+    g = t.select(*TX_COLS, "_inserted_timestamp", F.posexplode(F.arrays_zip("__msgs", event_groups(kinds).alias("__at")))
+                 .alias("msg_index", "__e"))
+    g = g.select(*TX_COLS, "msg_index", F.col("__e")["__msgs"].alias("msg"), F.col("__e")["__at"].alias("__at"),
+                 "_inserted_timestamp")
+    out = g.select(*TX_COLS, F.col("__at.g").alias("msg_group"), F.col("__at.s").alias("msg_sub_group"),
+                   F.col("msg_index").cast("int"), vget("msg", "type").alias("msg_type"), "msg",
+                   surrogate_key("tx_id", "msg_index").alias("msgs_id"), "_inserted_timestamp")
     return _audit(out, run_ts, run_id)
 
 
@@ -209,16 +279,12 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
     txs with a log get one synthetic ``error`` event holding the raw text.
     Newest landing per tx.
 
-    One pass: both kinds flow through the same outer explodes (a failed tx
-    explodes nothing) and the same two aggregates, whose keys contain
-    (block_id, tx_id) — the partitioning the upstream dedupe produced — so
-    neither aggregate shuffles and the transactions are read once. For a
-    stored (unpartitioned) input pass ``partition_input=True``: the
-    transactions are hashed on (block_id, tx_id) before exploding."""
+    Every log is normalised inside its transaction's row: its attributes are
+    listed, sorted once by (msg_index, event_type, position) and cut into events,
+    so only whole transactions are shuffled, for the newest landing of each.
+    ``partition_input`` spreads a stored table by (block_id, tx_id) first."""
     base = txs.where(F.col("tx_log").isNotNull())
     if partition_input:
-        # a stored table has no partitioning: hash the (narrow) transactions
-        # once so both aggregates below run without shuffling exploded rows
         base = base.repartition(*TX_KEY)
     ok = F.col("tx_succeeded")
     as_map = F.when(ok, F.try_variant_get("tx_log", "$", "map<string,variant>"))
@@ -229,42 +295,31 @@ def normalize_logs(txs: DataFrame, accept_arrays: bool = False, run_ts=None,
         as_arr = F.when(ok, F.try_variant_get("tx_log", "$", "array<variant>"))
         entries = F.coalesce(entries, F.transform(
             as_arr, lambda x, i: F.struct(i.alias("pos"), x.alias("entry"))))
-    # the raw log is kept only where it is the output (failed txs)
-    e1 = base.select(*LOG_TX_COLS, F.when(~ok, F.col("tx_log")).alias("tx_log"),
-                     F.explode_outer(entries).alias("__e"))
-    e2 = e1.select(*LOG_TX_COLS, "tx_log", F.col("__e.pos").alias("__epos"),
-                   F.coalesce(vget("__e.entry", "msg_index", "int"), F.lit(0)).alias("msg_index"),
-                   F.posexplode_outer(F.try_variant_get("__e.entry", "$.events",
-                                                        "array<variant>")).alias("__vpos", "__ev"))
-    e3 = e2.select(*LOG_TX_COLS, "tx_log", "__epos", "msg_index", "__vpos",
-                   vget("__ev", "type").alias("event_type"),
-                   F.posexplode_outer(F.try_variant_get("__ev", "$.attributes", "array<variant>"))
-                    .alias("__apos", "__a"))
-    attr = F.when(F.col("__a").isNotNull(), F.struct(
-        F.col("__epos").alias("s0"), F.col("__vpos").alias("s1"), F.col("__apos").alias("s2"),
-        vget("__a", "key").alias("key"),
-        F.coalesce(vget("__a", "value"), F.lit("")).alias("value")))
-    per_event = e3.groupBy(*LOG_TX_COLS, "msg_index", "event_type").agg(
-        F.first("tx_log").alias("tx_log"),
-        F.transform(F.sort_array(F.collect_list(attr)),
-                    lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
-        .alias("attributes"))
-    per_event = per_event.where((F.size("attributes") > 0) | ~ok)
-    event = F.when(ok, F.struct(F.col("msg_index").alias("s0"), F.col("event_type").alias("s1"),
-                                F.col("msg_index").alias("msg_index"),
-                                F.col("event_type").alias("event_type"),
-                                F.col("attributes").alias("attributes")))
-    per_tx = per_event.groupBy(*LOG_TX_COLS).agg(
-        F.first("tx_log").alias("__raw"),
-        F.transform(F.sort_array(F.collect_list(event)), lambda x: F.struct(
-            x["msg_index"].alias("msg_index"), x["event_type"].alias("event_type"),
-            x["attributes"].alias("attributes"))).alias("__events"))
+    array = lambda v, path: F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array())
+
+    def attributes(e):
+        mi = F.coalesce(vget(e["entry"], "msg_index", "int"), F.lit(0))
+        return F.flatten(F.transform(array(e["entry"], "$.events"), lambda ev, vpos: F.transform(
+            array(ev, "$.attributes"), lambda a, apos: F.when(a.isNotNull(), F.struct(
+                mi.alias("msg_index"), vget(ev, "type").alias("event_type"), e["pos"].alias("s0"), vpos.alias("s1"),
+                apos.alias("s2"), vget(a, "key").alias("key"), F.coalesce(vget(a, "value"), F.lit("")).alias("value"))))))
+
+    def events(rows):
+        def begins(x, i):
+            b = F.get(rows, i - 1)
+            return (i == 0) | (b["msg_index"] != x["msg_index"]) | ~b["event_type"].eqNullSafe(x["event_type"])
+        starts = F.array_compact(F.transform(rows, lambda x, i: F.when(begins(x, i), i)))
+        return _runs(starts, F.size(rows), lambda at, length, _: F.struct(
+            F.get(rows, at)["msg_index"].alias("msg_index"), F.get(rows, at)["event_type"].alias("event_type"),
+            F.transform(F.slice(rows, at + 1, length), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
+             .alias("attributes")))
+    found = F.sort_array(F.array_compact(F.flatten(F.transform(entries, attributes))))
     failed_log = F.array(F.struct(
         F.lit(0).alias("msg_index"), F.lit("error").alias("event_type"),
         F.array(F.struct(F.lit("error_message").alias("key"),
-                         vstring("__raw").alias("value"))).alias("attributes")))
-    both = per_tx.select(*LOG_TX_COLS, F.when(ok, F.col("__events")).otherwise(failed_log)
-                         .alias("tx_log"))
+                         vstring("tx_log").alias("value"))).alias("attributes")))
+    both = base.select(*LOG_TX_COLS, F.when(~ok, failed_log).otherwise(_let(found, events)).alias("tx_log"))
+    both = both.where(F.size("tx_log") > 0)
     out = latest_by_key(both, ["tx_id"], [F.col("_inserted_timestamp").desc(),
                                           F.col("block_id").desc()])
     out = out.select("block_id", "block_timestamp", "tx_id", "tx_succeeded", "tx_code",
