@@ -932,6 +932,7 @@ def q_core_metrics_hourly(spark, sf):
 # ===================================================================
 from .operators import flatten, latest_row, summary_stats  # noqa: E402
 from .sources.files import explode_response  # noqa: E402
+from .sources.sinks import stage  # noqa: E402
 
 
 @register("flatten", """
@@ -1010,7 +1011,7 @@ select block_id as block_id_requested, page_number, cast(rn // 500 as bigint) as
 from r
 """)
 def q_worklist_pages(spark, sf):
-    wl = q_pending_tx_pages(spark, sf)
+    wl = stage(spark, q_pending_tx_pages(spark, sf))       # numbering reads it twice
     b = SL.with_batches(wl, ["block_id_requested", "page_number"], 500, 200)
     return b.select("block_id_requested", "page_number", "batch_id", "worker_batch_id")
 
