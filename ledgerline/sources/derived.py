@@ -159,7 +159,10 @@ def tx_records(rows: DataFrame, page_size: int = 100, *extra: str) -> DataFrame:
     # built as variants: a text of them would only be parsed again
     data = F.to_variant_object(F.struct(tx_hash(k, ln).alias("hash"), (ln - 1).alias("index"),
                                         tx_result.alias("tx_result")))
-    data = F.when(F.col("ver") == 2, F.parse_json(F.lit("[]"))).otherwise(data)
+    # an empty page's data is picked from an array: in the branch of a condition Spark
+    # neither shares common parts of the record nor keeps its code small enough for the
+    # JVM to compile (8,000 bytes a method)
+    data = F.get(F.array(data, F.parse_json(F.lit("[]"))), F.when(F.col("ver") == 2, 1).otherwise(0))
     value = F.to_variant_object(F.struct(
         k.alias("BLOCK_ID_REQUESTED"), format_block_ts("l_shipdate").alias("BLOCK_TIMESTAMP"),
         F.ceil(ln / F.lit(page_size)).cast("int").alias("PAGE_NUMBER")))

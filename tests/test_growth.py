@@ -55,6 +55,32 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_making_records_is_compiled(spark):
+    # the JVM interprets methods of more than 8,000 bytes; a cut lineage: no adaptive plan
+    lineitem = load(spark, SF_SMALL, "lineitem")
+    for records in (D.tx_records(D.tx_versions(lineitem).localCheckpoint()),
+                    D.block_records(D.block_versions(load(spark, SF_SMALL, "orders"), lineitem).localCheckpoint())):
+        code = records._jdf.queryExecution().debug().codegenToSeq()
+        assert code.size() == 1
+        assert code.apply(0)._3().maxMethodCodeSize() < 8000
+
+
+def test_landed_pages_are_empty_or_whole(spark):
+    rows = spark.createDataFrame(
+        [(50, 1, 7, 3, 2.0, "R", dt.datetime(2024, 1, 2), v) for v in (0, 1, 2)]
+        + [(None, None, None, None, None, None, None, v) for v in (0, 2)],
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, "
+        "l_returnflag string, l_shipdate timestamp_ntz, ver int")
+    got = D.tx_records(rows, 100, "l_orderkey", "ver").select(
+        "l_orderkey", "ver", F.to_json("data").alias("d"),
+        F.expr("try_variant_get(data, '$.tx_result.gas_used', 'bigint')").alias("gas")).collect()
+    data = {(r.l_orderkey, r.ver): r.d for r in got}
+    assert data[50, 2] == data[None, 2] == "[]"
+    assert json.loads(data[50, 0])["index"] == 0 and len(json.loads(data[50, 0])["tx_result"]["events"]) == 5
+    assert json.loads(data[None, 0])["tx_result"]["code"] == 5
+    assert sorted(r.gas for r in got if r.gas is not None) == [2000, 2001]
+
+
 def test_events_and_logs_are_grouped_without_sorting_them(spark):
     txs = D.bronze_transactions(load(spark, SF_SMALL, "lineitem"))
     txs = silver.silver_transactions(txs).localCheckpoint()
