@@ -3,8 +3,9 @@
 An audit's impacted ids are an interval set: :func:`block_gaps` and
 :func:`transaction_gaps` give them as a distributed table of maximal id ranges,
 so an outage of a billion blocks is one row. The result row counts them from the
-ranges; its array, which the result format asks for, is filled up to
-``ARRAY_LIMIT`` ids and NULL beyond (the ranges stay whole).
+ranges; its array, which the result format asks for, lists every one of them,
+however many (a row of Spark's holds up to 2 GB, about 2^28 ids: an audit of more
+fails when its row is made, after its ranges are stored).
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from ..operators.aggregates import ordered_array_by_group
 from ..operators.joins import count_mismatch
 
 CHUNK = 1 << 14
-#: Most ids that a result row lists.
-ARRAY_LIMIT = 1 << 20
 
 
 def sorted_id_array(ids: DataFrame, col: str, out: str) -> DataFrame:
@@ -37,22 +36,19 @@ def _window(blocks: DataFrame, key: str, ts: str, now, settle_hours: int, restar
     return b
 
 
-def _result(test_name: str, summary: DataFrame, ranges: DataFrame, run_ts, limit: int) -> DataFrame:
+def _result(test_name: str, summary: DataFrame, ranges: DataFrame, run_ts) -> DataFrame:
     """One row: the summary, the number of impacted ids (summed from the ranges)
-    and, up to ``limit`` of them, the ids."""
+    and the ids."""
     t = ts_lit(run_ts)
     n = ranges.agg(F.coalesce(F.sum(F.col("range_end") - F.col("range_start") + 1), F.lit(0))
                    .cast("bigint").alias("__n"))
     one = summary.crossJoin(F.broadcast(n))                    # J8: 1 row × 1 row
-    few = ranges.crossJoin(F.broadcast(n)).where(F.col("__n") <= limit)
-    arr = sorted_id_array(expand_ranges(few, "range_start", "range_end", "block_id"), "block_id",
+    arr = sorted_id_array(expand_ranges(ranges, "range_start", "range_end", "block_id"), "block_id",
                           "blocks_impacted_array")
     return (arr.crossJoin(F.broadcast(one))
             .select(F.lit(test_name).alias("test_name"), "min_block", "max_block",
                     "min_block_timestamp", "max_block_timestamp", "blocks_tested",
-                    F.col("__n").alias("blocks_impacted_count"),
-                    F.when(F.col("__n") <= limit, F.col("blocks_impacted_array"))
-                    .alias("blocks_impacted_array"),
+                    F.col("__n").alias("blocks_impacted_count"), "blocks_impacted_array",
                     t.alias("test_timestamp"), t.alias("modified_timestamp")))
 
 
@@ -91,8 +87,7 @@ def transaction_gaps(blocks: DataFrame, txs: DataFrame, now=None, restart=None,
 
 def blocks_completeness(blocks: DataFrame, run_ts, now=None, restart=None,
                         key: str = "block_id", ts: str = "block_timestamp",
-                        settle_hours: int = 12, ranges: DataFrame | None = None,
-                        limit: int = ARRAY_LIMIT) -> DataFrame:
+                        settle_hours: int = 12, ranges: DataFrame | None = None) -> DataFrame:
     """Over settled blocks from ``restart`` on — id range, blocks tested
     (every id of the range), and the ids missing inside it. ``ranges``: the
     :func:`block_gaps` of the same arguments, if they are stored already."""
@@ -103,14 +98,14 @@ def blocks_completeness(blocks: DataFrame, run_ts, now=None, restart=None,
                     F.max(ts).alias("max_block_timestamp")).withColumn(
         "blocks_tested", (F.col("max_block") - F.col("min_block") + 1).cast("bigint"))
     found = block_gaps(blocks, now, restart, key, ts, settle_hours) if ranges is None else ranges
-    return _result("blocks", summary, found, run_ts, limit)
+    return _result("blocks", summary, found, run_ts)
 
 
 def transactions_completeness(blocks: DataFrame, txs: DataFrame, run_ts, now=None,
                               restart=None, key: str = "block_id",
                               ts: str = "block_timestamp", count_col: str = "tx_count",
-                              settle_hours: int = 12, ranges: DataFrame | None = None,
-                              limit: int = ARRAY_LIMIT) -> DataFrame:
+                              settle_hours: int = 12, ranges: DataFrame | None = None
+                              ) -> DataFrame:
     """Blocks whose declared ``tx_count`` differs from the transactions
     present. ``ranges``: as in :func:`blocks_completeness`."""
     b = _window(blocks, key, ts, now, settle_hours, restart)
@@ -121,4 +116,4 @@ def transactions_completeness(blocks: DataFrame, txs: DataFrame, run_ts, now=Non
                     F.count(F.lit(1)).cast("bigint").alias("blocks_tested"))
     found = (transaction_gaps(blocks, txs, now, restart, key, ts, count_col, settle_hours)
              if ranges is None else ranges)
-    return _result("transactions", summary, found, run_ts, limit)
+    return _result("transactions", summary, found, run_ts)
