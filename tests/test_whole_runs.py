@@ -1,9 +1,11 @@
 """Whole results at any size, and merges that grow with what changed: audits list
 every impacted id, whatever their number."""
 
+import os
+
 from pyspark.sql import functions as F
 
-from ledgerline.plans import observability
+from ledgerline.plans import models, observability
 
 #: More ids than audits once listed (2^20).
 MANY = (1 << 20) + 5
@@ -20,6 +22,12 @@ def _listed(row):
                    F.max(F.element_at("blocks_impacted_array", -1)).alias("last")).first()
 
 
+def test_an_audit_lists_every_missing_block(spark, tmp_dir):
+    ends = _blocks(spark, spark.createDataFrame([(0,), (MANY + 1,)], "id bigint"))
+    out = models.run_blocks_audit(spark, ends, os.path.join(tmp_dir, "audit"), "2025-01-03 00:00:00", "2025-01-04 00:00:00")
+    assert tuple(_listed(out)) == (MANY, MANY, 1, MANY)
+
+
 def test_an_audit_lists_every_block_with_other_counts(spark):
     row = observability.transactions_completeness(
         _blocks(spark, spark.range(MANY)), spark.createDataFrame([], "block_id bigint"), "2025-01-03 00:00:00")
