@@ -40,6 +40,7 @@ def paginate(df: DataFrame, count_col: str, page_size: int = 100, out: str = "pa
 def join_file_meta(records: DataFrame, meta: DataFrame, keys: Sequence[str] = ("file_name",
                                                                               "partition_key")
                    ) -> DataFrame:
-    """Records ⋈ an explicit file registry. The registry has one row per
-    file; Spark/AQE choose broadcast only when its runtime size allows."""
-    return records.join(meta, list(keys), "inner")
+    """Records ⋈ an explicit file registry, one row per file. Both sides are
+    shuffled and the registry is hashed a part at a time: by the sizes of packed
+    files Spark would take the records for small and send them all to the driver."""
+    return records.join(meta.hint("shuffle_hash"), list(keys), "inner")

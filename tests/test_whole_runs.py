@@ -1,10 +1,11 @@
-"""Whole results at any size, and merges that grow with what changed: audits list
-every impacted id, whatever their number."""
+"""Whole results at any size, and runs that grow with what changed: audits list every
+impacted id, records are not broadcast, merges leave other commits' files alone."""
 
 import os
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import join_file_meta
 from ledgerline.plans import models, observability
 
 #: More ids than audits once listed (2^20).
@@ -32,3 +33,13 @@ def test_an_audit_lists_every_block_with_other_counts(spark):
     row = observability.transactions_completeness(
         _blocks(spark, spark.range(MANY)), spark.createDataFrame([], "block_id bigint"), "2025-01-03 00:00:00")
     assert tuple(_listed(row)) == (MANY, MANY, 0, MANY - 1)
+
+
+def test_records_are_not_broadcast_to_meet_their_files(spark):
+    # both sides are small by their estimate: 10 million records in packed files are, too
+    meta = spark.createDataFrame([("f1", 1, "a"), ("f2", 1, "b"), (None, 2, "c")], "file_name string, partition_key int, at string")
+    rec = spark.createDataFrame([("f1", 1), ("f1", 1), ("f3", 1), (None, 2), ("f2", 1)], "file_name string, partition_key int")
+    j = join_file_meta(rec, meta)
+    assert sorted(map(tuple, j.collect())) == [("f1", 1, "a"), ("f1", 1, "a"), ("f2", 1, "b")]
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
